@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .minhash import op8_minhash
+from .suffix import op5_suffix
 
-QUERIES = {"op8_minhash": op8_minhash}
+QUERIES = {"op5_suffix": op5_suffix, "op8_minhash": op8_minhash}
 SQL: dict[str, str] = {}
