@@ -9,6 +9,7 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FALLBACK = f"/tmp/checkpoints/corpusloom-{uuid.uuid4().hex[:12]}"
 
@@ -40,3 +41,21 @@ def park(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+#: Bits of the sketch in likely(); its size is fixed (4 MB), whatever the tables hold.
+SKETCH_BITS = 1 << 25
+
+
+def likely(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of df whose column may be in ids (same column): none of ids is lost, others may stay.
+
+    A bitmap of hashed ids, at most 1024 rows of 4 KB, is broadcast, so wide rows that have no
+    partner need not be shuffled. An exact join has to follow.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(SKETCH_BITS))
+    maps = ids.select(place.alias("at")).groupBy(F.expr("at div 32768").alias("map_no")).agg(F.bitmap_construct_agg(F.expr("at % 32768")).alias("map"))
+    x = df.withColumn("map_at", place).withColumn("map_no", F.expr("map_at div 32768")).join(F.broadcast(maps), "map_no")
+    byte = F.conv(F.hex(F.substring("map", F.expr("cast((map_at % 32768) div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("cast(map_at % 8 as int)")
+    return x.where(F.call_function("getbit", byte, bit) == 1).select(*df.columns)

@@ -7,8 +7,8 @@ under the chosen miss probability. Survivors are confirmed on their full sets, i
 
 Candidates never become all pairs of a bucket. First each bucket's smallest member is compared with
 the others (as many pairs as members). Buckets whose members are then still in different components
-are compared once more, in blocks and inside tasks, and only pairs that join two components, and
-that survive the signature, leave the task.
+are compared once more, in blocks and inside tasks, with their full sets at hand; only confirmed
+links that join two components leave the task, so the links stay fewer than the members.
 
 Null or blank texts have no shingle and no link. Repeated rows, ties and extra columns are allowed;
 equal texts are linked. An empty table gives an empty result.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, parts, table
+from .base import by_value, likely, park, parts, table
 from .components import components
 from .words import buffers, hashes, mixed, words
 
@@ -33,8 +33,8 @@ by_value(__name__)
 SHINGLE, THRESHOLD = 5, (85, 100)
 BANDS, ROWS = 24, 4
 MISS, BATCH = 1e-5, 16
-#: Members of a bucket that meet in one task; larger buckets meet block by block.
-BLOCK = 2048
+#: Members of a bucket, and their shingles, that meet in one task; larger buckets meet block by block.
+BLOCK, WEIGHT = 2048, 1 << 20
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -163,22 +163,27 @@ def pruned(pairs: DataFrame, k: int, bounds: list[tuple[int, int]]) -> DataFrame
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """The (a, b) of pairs whose full shingle sets have den * |a and b| >= num * |a or b|. docs: doc_id, text."""
-    named = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """doc_id, shingles (sorted, 8 bytes each) of the documents in ids. docs: doc_id, text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 values, offsets, _ = shingled(part.column(1), size)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([values[i:j].tobytes() for i, j in zip(offsets, offsets[1:])], pa.binary())], ["doc_id", "shingles"])
 
-    held = park(docs.join(named, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles binary"), "shingles")
+    found = likely(docs.select("doc_id", "text"), ids, "doc_id").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return park(found.mapInArrow(sets, "doc_id long, shingles binary"), "shingles")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """The (a, b) of pairs whose full shingle sets have den * |a and b| >= num * |a or b|. docs: doc_id, text."""
+    held = shingle_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), size)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            keep, mine, other = [], None, None
+            keep = []
             for i, (p, q) in enumerate(zip(x.column("shingles_a"), x.column("shingles_b"))):
                 mine, other = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
                 if den * min(len(mine), len(other)) < num * max(len(mine), len(other)):
@@ -193,62 +198,80 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int)
     return x.select("a", "b", "shingles_a", "shingles_b").mapInArrow(check, "a long, b long")
 
 
-def mixed_buckets(members: DataFrame, k: int, rows: int, bounds: list[tuple[int, int]], block: int) -> DataFrame:
-    """Pairs of different components in the same bucket that the posterior keeps.
+def joining_pairs(ids: np.ndarray, part: np.ndarray, own: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], band: int, pivot: int, two: bool, keys: np.ndarray, bounds: list[tuple[int, int]], num: int, den: int) -> list[tuple[int, int]]:
+    """Confirmed links that join two components among one task's members; at most one fewer than members.
 
-    members: key, n (members of the bucket), pivot, doc_id, part (component), sig. A bucket of more
-    than block members is cut into blocks, and each two of them meet in a task of their own. A pair
-    leaves from its first common band only.
+    Looked at are pairs of members whose components differ at that moment, who share no earlier
+    band, of which neither is the pivot (its pairs are known), and that the posterior keeps.
+    """
+    _, index = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(x) for x in sets])
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    flags, part, links = np.zeros(len(index), np.int32), part.copy(), []
+    for i in range(len(ids)):
+        j = np.arange(i + 1, len(ids))
+        j = j[(part[j] != part[i]) & (ids[j] != pivot) & (ids[i] != pivot) & (den * np.minimum(size[j], size[i]) >= num * np.maximum(size[j], size[i]))]
+        j = j[own[j] != own[i]] if two else j
+        j = j[~(keys[j, :band] == keys[i, :band]).any(1)] if len(j) and band else j
+        j = j[survivors(np.broadcast_to(sig[i], (len(j), sig.shape[1])), sig[j], bounds)] if len(j) else j
+        if not len(j):
+            continue
+        mine = index[first[i] : first[i] + size[i]]
+        flags[mine] = 1
+        at = np.repeat(first[j] - np.concatenate([[0], np.cumsum(size[j])[:-1]]), size[j]) + np.arange(size[j].sum())
+        both = np.add.reduceat(flags[index[at]], np.concatenate([[0], np.cumsum(size[j])[:-1]]))
+        flags[mine] = 0
+        for x in j[den * both >= num * (size[i] + size[j] - both)].tolist():
+            if part[x] != part[i]:
+                links.append((int(ids[i]), int(ids[x])))
+                part[part == part[x]] = part[i]
+    return links
+
+
+def mixed_buckets(members: DataFrame, k: int, rows: int, bounds: list[tuple[int, int]], block: int, weight: int, num: int, den: int) -> DataFrame:
+    """Confirmed links between different components that share a bucket.
+
+    members: key, n (members of the bucket), w (their shingles), pivot, doc_id, part (component),
+    sig, shingles. A bucket of more than block members or weight shingles is cut, and each two of
+    its blocks meet in a task of their own.
     """
-    cut = F.greatest(F.lit(1), F.ceil(F.col("n") / block)).cast("int")
-    own = F.when(cut == 1, 0).otherwise(F.pmod(F.xxhash64("doc_id"), cut).cast("int"))
+    cut = F.greatest(F.lit(1), F.ceil(F.col("n") / block), F.ceil(F.col("w") / weight)).cast("int")
+    own = F.when(F.col("cut") == 1, 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("cut")).cast("int"))
     x = members.withColumn("cut", cut).withColumn("own", own)
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-    x = x.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "pivot", "doc_id", "part", "sig")
+    x = x.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "pivot", "doc_id", "part", "sig", "shingles")
     bands = k // rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted by (key, p, q): a group ends where one of the three changes
-        def groups():
-            rest = None
+        def groups():  # rows come sorted by (key, p, q)
+            group, held = None, []
             for batch in batches:
-                t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-                ids = [t.column(c).to_numpy() for c in ("key", "p", "q")]
-                ends = np.flatnonzero((ids[0][1:] != ids[0][:-1]) | (ids[1][1:] != ids[1][:-1]) | (ids[2][1:] != ids[2][:-1])) + 1
-                at = 0
-                for e in ends:
-                    yield t.slice(at, e - at)
-                    at = e
-                rest = t.slice(at)
-            if rest is not None and rest.num_rows:
-                yield rest
+                for row in zip(*(batch.column(c).to_pylist() for c in ("key", "p", "q", "own", "pivot", "doc_id", "part", "sig", "shingles"))):
+                    if row[:3] != group:
+                        if len(held) > 1:
+                            yield held
+                        group, held = row[:3], []
+                    held.append(row)
+            if len(held) > 1:
+                yield held
 
         for g in groups():
-            p, q = g.column("p")[0].as_py(), g.column("q")[0].as_py()
-            ids, part, own = (g.column(c).to_numpy() for c in ("doc_id", "part", "own"))
-            if len(ids) < 2 or part.min() == part.max():
+            key, p, q, _, pivot = g[0][:5]
+            own, ids, part = (np.array([r[c] for r in g]) for c in (3, 5, 6))
+            if part.min() == part.max():
                 continue
-            sig = matrix(g.column("sig"), k)
+            sig = np.frombuffer(b"".join(r[7] for r in g), np.uint32).reshape(len(g), k)
             keys = band_keys(sig, bands, rows)
-            band = int(np.flatnonzero(keys[0] == np.uint64(g.column("key")[0].as_py() & 0xFFFFFFFFFFFFFFFF))[0])
-            pivot = g.column("pivot")[0].as_py()
-            a, b = [], []
-            for i in range(len(ids)):
-                j = np.arange(i + 1, len(ids))
-                j = j[(part[j] != part[i]) & (ids[j] != pivot) & (ids[i] != pivot)]
-                j = j[(own[j] != own[i])] if p != q else j
-                j = j[survivors(np.broadcast_to(sig[i], (len(j), k)), sig[j], bounds)] if len(j) else j
-                j = j[~(keys[j, :band] == keys[i, :band]).any(1)] if len(j) and band else j
-                a += [min(ids[i], ids[x]) for x in j]
-                b += [max(ids[i], ids[x]) for x in j]
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            band = int(np.flatnonzero(keys[0] == np.uint64(key & 0xFFFFFFFFFFFFFFFF))[0])
+            links = joining_pairs(ids, part, own, sig, [np.frombuffer(r[8], np.uint64) for r in g], band, pivot, p != q, keys, bounds, num, den)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
 
     n = parts(members.sparkSession)
-    return x.repartition(n, "key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long").distinct()
+    return x.repartition(n, "key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, batch: int = BATCH, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, batch: int = BATCH, block: int = BLOCK, weight: int = WEIGHT) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable over links), kept (doc_id = component_id).
 
     A link: den * |a and b| >= num * |a or b| of two shingle sets, threshold = (num, den). With 24
@@ -263,8 +286,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     equal = park(equal, "equal")
     firsts = full.join(equal.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     firsts = park(firsts.select("doc_id", "n_shingles", "sig", "bands"), "firsts")
-    member = firsts.select("doc_id", F.explode("bands").alias("key"))
-    buckets = member.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("pivot")).where("n > 1")
+    member = firsts.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
+    buckets = member.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"), F.min("doc_id").alias("pivot")).where("n > 1")
     member = park(member.join(buckets, "key"), "buckets")
     sig = firsts.select("doc_id", "sig")
 
@@ -277,8 +300,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = member.join(first.select("doc_id", "component_id"), "doc_id", "left").withColumn("part", F.coalesce("component_id", "doc_id")).drop("component_id")
     label = park(label, "labels")
     split = label.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-    rest = label.where("n > 2").join(split.select("key"), "key", "left_semi").join(sig, "doc_id")
-    more = confirmed(park(mixed_buckets(rest, k, rows, bounds, block), "mixed"), texts, size, num, den)
+    rest = park(label.where("n > 2").join(split.select("key"), "key", "left_semi"), "mixed")
+    sets = shingle_sets(texts, rest.select("doc_id").distinct(), size)
+    rest = rest.join(sig.join(sets, "doc_id"), "doc_id")
+    more = mixed_buckets(rest, k, rows, bounds, block, weight, num, den)
     last = components(park(links.union(more), "all_links"))
 
     # copies: every document takes its first's component; that is the smallest id, as firsts are

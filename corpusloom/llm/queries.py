@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .minhash import op8_minhash
+from .packing import op3_packing
 from .suffix import op5_suffix
+from .toxicity import op1_toxicity
 
-QUERIES = {"op5_suffix": op5_suffix, "op8_minhash": op8_minhash}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_packing": op3_packing, "op5_suffix": op5_suffix, "op8_minhash": op8_minhash}
 SQL: dict[str, str] = {}

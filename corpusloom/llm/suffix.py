@@ -416,7 +416,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = park(texts.groupBy("sha").agg(F.min("rid").alias("rid"), F.count("*").alias("n"), F.first("n_bytes").alias("n_bytes")), "copies")
     one = texts.select("rid", "runs").where(F.size("runs") > 0).join(copies.select("rid"), "rid", "left_semi").select("rid", F.explode("runs").alias("x")).select("rid", "x.*")
     one = park(one, "anchors")
-    often = one.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / split).cast("int").alias("m"))
+    # written, so that the join reads two plain shuffles and a frequent anchor can be split there
+    often = park(one.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / split).cast("int").alias("m")), "often")
     lists = one.join(often, "h").groupBy("rid").agg(F.collect_list(F.struct("s", "e", "h", "m")).alias("runs"))
     segments = park(cut_segments(texts.select("rid", "packed").join(lists, "rid").select("rid", "packed", "runs"), length), "segments")
     dealt = segments.where("seg is not null").select("h", "m", "salt", "digest", "seg").repartition(parts(docs.sparkSession), "h", "salt").sortWithinPartitions("h", "salt")
@@ -425,7 +426,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     light = segments.select("rid", "s", "w", "h", "digest")
     counts = light.groupBy("h", "digest").agg(F.count("*").alias("n"))
     known = counts.join(hits.groupBy("h", "digest").agg(F.flatten(F.collect_list("hits")).alias("hits")), ["h", "digest"], "left").where("n > 1 or hits is not null")
-    each = light.join(known, ["h", "digest"])
+    each = light.join(park(known, "known"), ["h", "digest"])
     own = F.when(F.col("n") > 1, F.array(F.struct(F.col("s").alias("a"), (F.col("s") + F.col("w") - 1).alias("b")))).otherwise(F.transform("hits", lambda x: F.struct((x["a"] + F.col("s")).alias("a"), (x["b"] + F.col("s")).alias("b"))))
     spans = united(each.select("rid", own.alias("hits")).groupBy("rid").agg(F.flatten(F.collect_list("hits")).alias("hits")), length)
     # copies: a document that is there twice repeats from end to end, if it is long enough
