@@ -33,7 +33,7 @@ from .words import buffers, hashes, loads, mixed, words
 by_value(__name__)
 
 BITS, VOCAB, FACTORS = 18, 2048, 8
-SAMPLE, EPOCHS, RATE, DECAY = 16000, 20, 0.02, 2e-4
+SAMPLE, STEPS, RATE, DECAY = 16000, 1200, 0.02, 2e-4
 PREFIXES = (4, 5)
 TOXIC_FROM = 0.7
 
@@ -68,8 +68,8 @@ def chosen(rows: list[np.ndarray], y: np.ndarray, vocab: int) -> np.ndarray:
     return np.sort(best[chi[best] > 0])
 
 
-def fitted(rows: list[np.ndarray], y: np.ndarray, vocab: int = VOCAB, factors: int = FACTORS, epochs: int = EPOCHS, rate: float = RATE, decay: float = DECAY) -> dict[str, np.ndarray]:
-    """The factorization machine by Adam on the logistic loss, in batches of 256, with a fixed seed."""
+def fitted(rows: list[np.ndarray], y: np.ndarray, vocab: int = VOCAB, factors: int = FACTORS, steps: int = STEPS, rate: float = RATE, decay: float = DECAY) -> dict[str, np.ndarray]:
+    """The factorization machine by Adam on the logistic loss, in `steps` batches of 256, with a fixed seed."""
     prior = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     ids = chosen(rows, y, vocab) if len(y) else np.zeros(0, np.int64)
     place = np.full(1 << BITS, -1, np.int64)
@@ -82,7 +82,7 @@ def fitted(rows: list[np.ndarray], y: np.ndarray, vocab: int = VOCAB, factors: i
     own = [p[p >= 0] for p in (place[x] for x in rows)]
     first, second = ({n: np.zeros_like(p) for n, p in model.items()} for _ in range(2))
     t = 0
-    for _ in range(epochs):
+    while t < steps:
         order = r.permutation(len(y))
         for at in range(0, len(order), 256):
             some = order[at : at + 256]
