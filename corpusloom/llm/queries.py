@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from .knn import OP4_SQL, op4_knn
 from .minhash import op8_minhash
 from .packing import op3_packing
+from .simhash import op9_simhash
 from .suffix import op5_suffix
 from .toxicity import op1_toxicity
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_packing": op3_packing, "op5_suffix": op5_suffix, "op8_minhash": op8_minhash}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op3_packing": op3_packing,
+    "op4_knn": op4_knn,
+    "op5_suffix": op5_suffix,
+    "op8_minhash": op8_minhash,
+    "op9_simhash": op9_simhash,
+}
+SQL: dict[str, str] = {"op4_knn": OP4_SQL}
