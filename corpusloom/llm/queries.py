@@ -5,6 +5,7 @@ from __future__ import annotations
 from .knn import OP4_SQL, op4_knn
 from .minhash import op8_minhash
 from .packing import op3_packing
+from .resharding import op7_resharding
 from .simhash import op9_simhash
 from .suffix import op5_suffix
 from .toxicity import op1_toxicity
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_knn": op4_knn,
     "op5_suffix": op5_suffix,
+    "op7_resharding": op7_resharding,
     "op8_minhash": op8_minhash,
     "op9_simhash": op9_simhash,
 }
