@@ -47,15 +47,26 @@ def parts(spark: SparkSession) -> int:
 SKETCH_BITS = 1 << 25
 
 
-def likely(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """The rows of df whose column may be in ids (same column): none of ids is lost, others may stay.
+def _sketched(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """df with `_likely`, whether column may be in ids (same column): true for all that are, and for some others.
 
-    A bitmap of hashed ids, at most 1024 rows of 4 KB, is broadcast, so wide rows that have no
-    partner need not be shuffled. An exact join has to follow.
+    A bitmap of hashed ids, at most 1024 rows of 4 KB, is broadcast.
     """
     place = F.pmod(F.xxhash64(column), F.lit(SKETCH_BITS))
-    maps = ids.select(place.alias("at")).groupBy(F.expr("at div 32768").alias("map_no")).agg(F.bitmap_construct_agg(F.expr("at % 32768")).alias("map"))
-    x = df.withColumn("map_at", place).withColumn("map_no", F.expr("map_at div 32768")).join(F.broadcast(maps), "map_no")
-    byte = F.conv(F.hex(F.substring("map", F.expr("cast((map_at % 32768) div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("cast(map_at % 8 as int)")
-    return x.where(F.call_function("getbit", byte, bit) == 1).select(*df.columns)
+    maps = ids.select(place.alias("at")).groupBy(F.expr("at div 32768").alias("_map_no")).agg(F.bitmap_construct_agg(F.expr("at % 32768")).alias("_map"))
+    x = df.withColumn("_map_at", place).withColumn("_map_no", F.expr("_map_at div 32768")).join(F.broadcast(maps), "_map_no", "left")
+    byte = F.conv(F.hex(F.substring("_map", F.expr("cast((_map_at % 32768) div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("getbit", byte, F.expr("cast(_map_at % 8 as int)"))
+    return x.select(*df.columns, F.coalesce(bit == 1, F.lit(False)).alias("_likely"))
+
+
+def likely(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of df whose column may be in ids: wide rows without partner need not be shuffled. An exact join has to follow."""
+    return _sketched(df, ids, column).where("_likely").drop("_likely")
+
+
+def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of df whose column is not in ids; of the others, and a few more, alone are shuffled."""
+    x = _sketched(df, ids, column)
+    sure, unsure = x.where("not _likely").drop("_likely"), x.where("_likely").drop("_likely")
+    return sure.union(unsure.join(ids, column, "left_anti").select(*df.columns))

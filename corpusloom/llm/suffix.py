@@ -218,7 +218,7 @@ def intervals(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def ingest(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """rid (own row key), doc_id, sha, n_bytes, packed text, and the runs of windows by anchor."""
+    """rid (own row key), doc_id, sha, n_bytes, packed text, the runs of windows by anchor, and what is carried."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -237,12 +237,13 @@ def ingest(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(d, minlength=n))]), pa.int32()), pa.StructArray.from_arrays([pa.array(h.astype(np.uint64).view(np.int64)), pa.array(s, pa.int64()), pa.array(e, pa.int64())], ["h", "s", "e"]))
                 texts = [data[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(rid, rid + n)), part.column(0), pa.array([hashlib.sha256(x).digest() for x in texts], pa.binary()), pa.array(np.diff(offsets), pa.int64()), pa.array([z.compress(x) for x in texts], pa.binary()), runs],
-                    ["rid", "doc_id", "sha", "n_bytes", "packed", "runs"],
+                    [pa.array(np.arange(rid, rid + n)), part.column(0), pa.array([hashlib.sha256(x).digest() for x in texts], pa.binary()), pa.array(np.diff(offsets), pa.int64()), pa.array([z.compress(x) for x in texts], pa.binary()), runs, part.column(2)],
+                    ["rid", "doc_id", "sha", "n_bytes", "packed", "runs", "carried"],
                 )
                 rid += n
 
-    return docs.mapInArrow(run, "rid long, doc_id long, sha binary, n_bytes long, packed binary, runs array<struct<h: long, s: long, e: long>>")
+    kind = docs.schema["carried"].dataType.simpleString()
+    return docs.mapInArrow(run, f"rid long, doc_id long, sha binary, n_bytes long, packed binary, runs array<struct<h: long, s: long, e: long>>, carried {kind}")
 
 
 def cut_segments(rows: DataFrame, length: int) -> DataFrame:
@@ -410,9 +411,10 @@ def united(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, f"rid long, spans {SPANS}")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): texts has rid, doc_id, sha, n_bytes, packed (zstd) of every row; spans has rid, spans of rows with repeats."""
-    texts = park(ingest(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), length, gram), "texts")
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, split: int = SPLIT, carry: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(texts, spans): texts has rid, doc_id, sha, n_bytes, packed (zstd), carried of every row; spans has rid, spans of rows with repeats."""
+    carried = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(0)
+    texts = park(ingest(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), carried.alias("carried")), length, gram), "texts")
     copies = park(texts.groupBy("sha").agg(F.min("rid").alias("rid"), F.count("*").alias("n"), F.first("n_bytes").alias("n_bytes")), "copies")
     one = texts.select("rid", "runs").where(F.size("runs") > 0).join(copies.select("rid"), "rid", "left_semi").select("rid", F.explode("runs").alias("x")).select("rid", "x.*")
     one = park(one, "anchors")
@@ -435,8 +437,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return texts.drop("runs"), spans.join(whole.select("rid"), "rid", "left_anti").union(whole)
 
 
-def kept_text(texts: DataFrame, spans: DataFrame, whole_chars: bool) -> DataFrame:
-    """Per row: rid, doc_id, n_bytes, n_removed, n_spans, kept (bytes), sha of them. With whole_chars, a character goes only if all its bytes do."""
+def kept_text(texts: DataFrame, spans: DataFrame, whole_chars: bool, how: str = "inner") -> DataFrame:
+    """Per row of texts (rid, packed, ...) with spans, or all rows (left): n_removed, n_spans, kept (bytes), kept_sha256, and the rest.
+
+    With whole_chars, a character goes only if all its bytes do.
+    """
+    rest = [c for c in texts.columns if c != "packed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -444,10 +450,10 @@ def kept_text(texts: DataFrame, spans: DataFrame, whole_chars: bool) -> DataFram
         z = zstandard.ZstdDecompressor()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part, kept, removed = batch.slice(at, 256), [], []
+                part, kept, removed, spans_of = batch.slice(at, 256), [], [], []
                 for packed, spans in zip(part.column("packed").to_pylist(), part.column("spans").to_pylist()):
                     text, out, end = z.decompress(packed), [], 0
-                    for x in spans:
+                    for x in spans or []:
                         a, b = x["start"], x["end"]
                         if whole_chars:
                             while a < b and text[a] & 0xC0 == 0x80:
@@ -459,24 +465,25 @@ def kept_text(texts: DataFrame, spans: DataFrame, whole_chars: bool) -> DataFram
                     out.append(text[end:])
                     kept.append(b"".join(out))
                     removed.append(len(text) - len(kept[-1]))
+                    spans_of.append(len(spans or []))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), pa.array(removed, pa.int64()), pa.array([len(x) for x in part.column("spans").to_pylist()], pa.int64()), pa.array(kept, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in kept])],
-                    ["rid", "n_removed", "n_spans", "kept", "kept_sha256"],
+                    [pa.array(removed, pa.int64()), pa.array(spans_of, pa.int64()), pa.array(kept, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), *(part.column(c) for c in rest)],
+                    ["n_removed", "n_spans", "kept", "kept_sha256", *rest],
                 )
 
-    return texts.select("rid", "packed").join(spans, "rid").select("rid", "packed", "spans").mapInArrow(run, "rid long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    kinds = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in rest)
+    return texts.join(spans, "rid", how).select("packed", "spans", *rest).mapInArrow(run, f"n_removed long, n_spans long, kept binary, kept_sha256 string, {kinds}")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """Per row: doc_id, text without the repeated characters (those whose bytes all repeat)."""
-    texts, spans = repeated_spans(docs, id_col, text_col, **more)
-    cut = kept_text(texts, spans, True).select("rid", "kept")
-    x = texts.select("rid", "doc_id").join(cut, "rid", "left")
-    return x.select("doc_id", F.col("kept").cast("string").alias("text"))
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] = (), **more) -> DataFrame:
+    """Per row: doc_id, text without the repeated characters (those whose bytes all repeat), n_removed, and the columns to carry."""
+    texts, spans = repeated_spans(docs, id_col, text_col, carry=carry, **more)
+    cut = kept_text(texts.select("rid", "packed", "carried", "doc_id"), spans, True, "left")
+    return cut.select("doc_id", F.col("kept").cast("string").alias("text"), "n_removed", *(["carried.*"] if carry else []))
 
 
 def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts, spans = repeated_spans(table(spark, sf_dir, "documents"))
-    cut = kept_text(texts, spans, False).drop("kept")
+    cut = kept_text(texts.select("rid", "packed"), spans, False).drop("kept")
     x = texts.select("rid", "doc_id", "sha", "n_bytes").join(cut, "rid", "left")
     return x.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", F.lower(F.hex("sha"))).alias("kept_sha256"))

@@ -145,6 +145,19 @@ def scored(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
+def clean(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text", limit: float = TOXIC_FROM) -> DataFrame:
+    """The rows whose score is under the limit, with all their columns."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                yield part.filter(pa.array(scores(model, *terms(part.column(at))) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1
 

@@ -40,7 +40,7 @@ def corpus(n=60):
 def result(spark, texts, length, gram, **more):
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)], "doc_id long, text string, rid int, sha string")
     t, spans = suffix.repeated_spans(df, length=length, gram=gram, **more)
-    cut = {x["rid"]: x for x in suffix.kept_text(t, spans, False).collect()}
+    cut = {x["rid"]: x for x in suffix.kept_text(t.select("rid", "packed"), spans, False).collect()}
     return sorted((x["n_bytes"], *((c["n_removed"], c["n_spans"], c["kept_sha256"]) if (c := cut.get(x["rid"])) else (0, 0, x["sha"].hex()))) for x in t.collect())
 
 
@@ -63,7 +63,7 @@ def test_empty_table(spark):
 def test_whole_characters_stay(spark):
     texts = ["é" * 40 + "x", "y" + "é" * 40 + "è"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = dict(map(tuple, suffix.without_repeats(df, length=33, gram=8).collect()))
+    got = {x["doc_id"]: x["text"] for x in suffix.without_repeats(df, length=33, gram=8).collect()}
     assert got[0] == "x" and got[1][0] == "y" and got[1][-1] == "è"
 
 
