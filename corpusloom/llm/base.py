@@ -57,16 +57,18 @@ def _sketched(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     x = df.withColumn("_map_at", place).withColumn("_map_no", F.expr("_map_at div 32768")).join(F.broadcast(maps), "_map_no", "left")
     byte = F.conv(F.hex(F.substring("_map", F.expr("cast((_map_at % 32768) div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
     bit = F.call_function("getbit", byte, F.expr("cast(_map_at % 8 as int)"))
-    return x.select(*df.columns, F.coalesce(bit == 1, F.lit(False)).alias("_likely"))
+    # the row number keeps the optimizer from moving a later semi or anti join below the filter
+    x = x.select(*df.columns, F.coalesce(bit == 1, F.lit(False)).alias("_likely"), F.monotonically_increasing_id().alias("_row"))
+    return x.where("_row >= 0")
 
 
 def likely(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """The rows of df whose column may be in ids: wide rows without partner need not be shuffled. An exact join has to follow."""
-    return _sketched(df, ids, column).where("_likely").drop("_likely")
+    return _sketched(df, ids, column).where("_likely").drop("_likely", "_row")
 
 
 def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """The rows of df whose column is not in ids; of the others, and a few more, alone are shuffled."""
     x = _sketched(df, ids, column)
-    sure, unsure = x.where("not _likely").drop("_likely"), x.where("_likely").drop("_likely")
+    sure, unsure = x.where("not _likely").drop("_likely", "_row"), x.where("_likely").drop("_likely", "_row")
     return sure.union(unsure.join(ids, column, "left_anti").select(*df.columns))
