@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .html import op6_html
 from .knn import OP4_SQL, op4_knn
 from .minhash import op8_minhash
 from .packing import op3_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_knn": op4_knn,
     "op5_suffix": op5_suffix,
+    "op6_html": op6_html,
     "op7_resharding": op7_resharding,
     "op8_minhash": op8_minhash,
     "op9_simhash": op9_simhash,
