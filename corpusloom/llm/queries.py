@@ -7,6 +7,7 @@ from .knn import OP4_SQL, op4_knn
 from .minhash import op8_minhash
 from .packing import op3_packing
 from .resharding import op7_resharding
+from .rollups import op10_rollups
 from .simhash import op9_simhash
 from .suffix import op5_suffix
 from .toxicity import op1_toxicity
@@ -20,5 +21,6 @@ QUERIES = {
     "op7_resharding": op7_resharding,
     "op8_minhash": op8_minhash,
     "op9_simhash": op9_simhash,
+    "op10_rollups": op10_rollups,
 }
 SQL: dict[str, str] = {"op4_knn": OP4_SQL}
