@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .html import op6_html
 from .knn import OP4_SQL, op4_knn
+from .lattice import op2_sentencepiece
 from .minhash import op8_minhash
 from .packing import op3_packing
 from .resharding import op7_resharding
@@ -14,6 +15,7 @@ from .toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_packing": op3_packing,
     "op4_knn": op4_knn,
     "op5_suffix": op5_suffix,
