@@ -1,6 +1,483 @@
-"""The corpus queries that the driver can run on its tables, and the SQL they are held against."""
+"""The corpus queries that the driver can run on its tables, and the SQL they are held against.
+
+How the tables are read: a document is a segment; its source is the book, its language the chapter,
+its id the position. A label is a ledger row (quality 1: translated, 0: needs review; ids divisible
+by 11 have a blank translation). A user's turn and the next turn are a source and its translation.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import placeholders as P
+from .functions import text as T
+from .operators import align, batch, context, markup, progress, render, segment, translations, validate
+from .sources import text as S
+
+WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def long(c):
+    return (F.col(c) if isinstance(c, str) else c).cast("long")
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def segs(spark, d) -> DataFrame:
+    kind = F.when(F.col("doc_id") % 10 == 0, "heading").otherwise("paragraph")
+    return table(spark, d, "documents").select(F.col("source").alias("book_id"), F.col("lang").alias("chapter_id"), F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("id"), kind.alias("kind"), F.col("text").alias("source"))
+
+
+def ledger(spark, d) -> DataFrame:
+    text = F.when(F.col("doc_id") % 11 == 0, " 　").otherwise(F.concat(F.lit("T"), F.col("doc_id")))
+    good = F.col("quality") == 1
+    return table(spark, d, "labels").select(F.col("doc_id").alias("append_pos"), F.col("doc_id").cast("string").alias("segment_id"), text.alias("translation"), F.when(good, "translated").otherwise("needs_review").alias("status"), F.when(~good, "n").alias("review_note"))
+
+
+def items(spark, d, **caps) -> DataFrame:
+    x = batch.batch_items(segs(spark, d), **caps)
+    return x.withColumn("batch_id", F.concat_ws("-", "book_id", T.batch_id(F.col("chapter_id"), F.col("pack"))))
+
+
+def pairs(spark, d) -> DataFrame:
+    """conv_id, turn, source (a user's text), translation (the next turn's, if it is the assistant's)."""
+    c = table(spark, d, "conversations")
+    ask = c.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("source"))
+    answer = c.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("translation"))
+    return ask.join(answer, ["conv_id", "turn"], "left")
+
+
+SEG = "seg AS (SELECT source AS book_id, lang AS chapter_id, doc_id AS pos, CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 10 = 0 THEN 'heading' ELSE 'paragraph' END AS kind, text AS source FROM documents)"
+LED = "led AS (SELECT doc_id AS append_pos, CAST(doc_id AS VARCHAR) AS segment_id, CASE WHEN doc_id % 11 = 0 THEN ' ' || chr(12288) ELSE 'T' || doc_id END AS translation, CASE WHEN quality = 1 THEN 'translated' ELSE 'needs_review' END AS status, CASE WHEN quality <> 1 THEN 'n' END AS review_note FROM labels)"
+DONE = f"done AS (SELECT DISTINCT segment_id AS id FROM led WHERE regexp_replace(translation, '^{WS}+|{WS}+$', '', 'g') <> '')"
+PAIRS = "pairs AS (SELECT a.conv_id, a.turn, a.text AS source, b.text AS translation FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant' WHERE a.role = 'user')"
+
+
+def packs(max_bytes: int, max_count: int, max_chars: int = 1 << 60) -> str:
+    """num: seg in order; items: with pack and batch_id."""
+    return f"""{SEG}, num AS (
+  SELECT *, octet_length(encode(source)) AS size, length(source) AS chars, row_number() OVER (PARTITION BY book_id, chapter_id ORDER BY pos) AS rn FROM seg
+), walk AS (
+  SELECT book_id, chapter_id, rn, size AS b, chars AS c, 1 AS k, 1 AS pack FROM num WHERE rn = 1
+  UNION ALL
+  SELECT n.book_id, n.chapter_id, n.rn,
+    CASE WHEN w.b + n.size > {max_bytes} OR w.c + n.chars > {max_chars} OR w.k >= {max_count} THEN n.size ELSE w.b + n.size END,
+    CASE WHEN w.b + n.size > {max_bytes} OR w.c + n.chars > {max_chars} OR w.k >= {max_count} THEN n.chars ELSE w.c + n.chars END,
+    CASE WHEN w.b + n.size > {max_bytes} OR w.c + n.chars > {max_chars} OR w.k >= {max_count} THEN 1 ELSE w.k + 1 END,
+    CASE WHEN w.b + n.size > {max_bytes} OR w.c + n.chars > {max_chars} OR w.k >= {max_count} THEN w.pack + 1 ELSE w.pack END
+  FROM walk w JOIN num n ON n.book_id = w.book_id AND n.chapter_id = w.chapter_id AND n.rn = w.rn + 1
+), items AS (
+  SELECT n.*, w.pack, n.book_id || '-' || n.chapter_id || '-b' || printf('%03d', w.pack) AS batch_id FROM num n JOIN walk w USING (book_id, chapter_id, rn)
+)"""
+
+
+ITEMS = packs(20000, 24)
+PENDING = """pend AS (
+  SELECT batch_id, count(*) FILTER (WHERE d.id IS NULL) AS missing_count, arg_min(i.id, pos) FILTER (WHERE d.id IS NULL) AS first_missing_segment_id,
+    arg_max(i.id, pos) FILTER (WHERE d.id IS NULL) AS last_missing_segment_id, count(*) AS segment_count, min(pos) AS first_pos
+  FROM items i LEFT JOIN done d USING (id) GROUP BY batch_id HAVING count(*) FILTER (WHERE d.id IS NULL) > 0
+)"""
+PAGED = "paged AS (SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents))"
+
+
+def books(spark, d) -> DataFrame:
+    """Each document as a book with a title, a chapter heading, and a page marker before every seventh line."""
+    parts = F.transform(F.split("text", "\n", -1), lambda s, i: F.when(i % 7 == 0, F.concat(F.lit(" [PAGE "), i.cast("string"), F.lit("] \n"), s, F.lit(" \t"))).otherwise(s))
+    text = F.concat(F.lit("# "), F.col("doc_id").cast("string"), F.lit("\r\n\n## one\r"), F.array_join(parts, "\n"), F.lit("\n"))
+    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("book_id"), text.alias("text"))
+
+
+@query(f"""WITH {PAGED} SELECT CAST(doc_id AS VARCHAR) AS book_id,
+  regexp_replace('# ' || doc_id || chr(10) || chr(10) || '## one' || chr(10) || string_agg(regexp_replace(line, '{WS}+$', ''), chr(10) ORDER BY i), '{WS}+$', '') || chr(10) AS text,
+  CAST(count(*) FILTER (WHERE (i - 1) % 7 = 0) AS BIGINT) AS removed FROM paged GROUP BY doc_id""")
+def clean_lines(spark, d):
+    return segment.clean_pages(books(spark, d)).select("book_id", "text", long("removed"))
+
+
+@query(f"""SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes, CAST(length(text) AS BIGINT) AS n_points, CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS n_breaks,
+  CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_full_match(x, '{WS}*'))) AS BIGINT) AS n_blank,
+  CAST(len(string_split(text, chr(10))) - CASE WHEN text LIKE '%' || chr(10) THEN 1 ELSE 0 END AS BIGINT) AS n_lines, sha256(text) AS sha FROM documents""")
+def line_metrics(spark, d):
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", long(T.byte_count(t)).alias("n_bytes"), long(T.char_count(t)).alias("n_points"), long(T.line_breaks(t)).alias("n_breaks"), long(F.size(T.blank_line_positions(t))).alias("n_blank"), long(T.line_count(t)).alias("n_lines"), T.sha256(t.cast("binary")).alias("sha"))
+
+
+SEGMENTED = f"""{PAGED}, line AS (
+  SELECT doc_id, i, regexp_replace(line, '{WS}+$', '') AS line FROM paged
+), num AS (
+  SELECT *, octet_length(encode(line)) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn FROM line WHERE line <> ''
+), walk AS (
+  SELECT doc_id, rn, size AS b, 1 AS pack FROM num WHERE rn = 1
+  UNION ALL
+  SELECT n.doc_id, n.rn, CASE WHEN w.b + 1 + n.size > 1000 THEN n.size ELSE w.b + 1 + n.size END, CASE WHEN w.b + 1 + n.size > 1000 THEN w.pack + 1 ELSE w.pack END
+  FROM walk w JOIN num n ON n.doc_id = w.doc_id AND n.rn = w.rn + 1
+), segmented AS (
+  SELECT CAST(doc_id AS VARCHAR) AS book_id, 'ch001-p' || printf('%04d', pack + 1) AS id, 'ch001' AS chapter_id, CAST(pack + 1 AS BIGINT) AS ord, 'paragraph' AS kind,
+    regexp_replace(string_agg(line, chr(10) ORDER BY rn), '^{WS}+', '') AS source FROM num JOIN walk USING (doc_id, rn) GROUP BY doc_id, pack
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'front-p0001', 'front', 1, 'book_title', '# ' || doc_id FROM documents
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'ch001-p0001', 'ch001', 1, 'heading', '## one' FROM documents
+)"""
+
+
+@query(f"WITH RECURSIVE {SEGMENTED} SELECT * FROM segmented")
+def segment_documents(spark, d):
+    return segment.segment(books(spark, d)).select("book_id", "id", "chapter_id", long("order").alias("ord"), "kind", "source")
+
+
+@query(f"""WITH RECURSIVE {SEGMENTED} SELECT book_id, count(*) AS segments, count(DISTINCT chapter_id) FILTER (WHERE chapter_id <> 'front') AS chapters,
+  count(*) FILTER (WHERE kind <> 'paragraph') AS headings, count(*) FILTER (WHERE kind = 'paragraph') AS paragraphs FROM segmented GROUP BY book_id""")
+def segment_stats(spark, d):
+    return segment.segment_stats(segment.segment(books(spark, d)), "book_id")
+
+
+def batch_query(caps: str) -> str:
+    return f"""WITH RECURSIVE {caps}, b AS (
+  SELECT book_id, chapter_id, pack, min(pos) AS first, sum(chars) AS char_count, sum(size) AS source_byte_count, string_agg(id, ',' ORDER BY pos) AS ids,
+    sha256(string_agg('[' || id || ' | ' || kind || ']' || chr(10) || source, chr(10) || chr(10) ORDER BY pos)) AS text_sha FROM items GROUP BY ALL
+) SELECT book_id, chapter_id || '-b' || printf('%03d', chapter_order) AS batch_id, CAST(ord AS BIGINT) AS ord, CAST(chapter_order AS BIGINT) AS chapter_order, CAST(char_count AS BIGINT) AS char_count,
+  CAST(source_byte_count AS BIGINT) AS source_byte_count, ids, text_sha FROM (
+  SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY first) AS ord, row_number() OVER (PARTITION BY book_id, chapter_id ORDER BY first) AS chapter_order FROM b)"""
+
+
+def batch_rows(x):
+    return batch.batches(x).select("book_id", "batch_id", long("order").alias("ord"), long("chapter_order").alias("chapter_order"), long("char_count").alias("char_count"), long("source_byte_count").alias("source_byte_count"), F.array_join("segment_ids", ",").alias("ids"), T.sha256(F.col("source_text").cast("binary")).alias("text_sha"))
+
+
+@query(batch_query(ITEMS))
+def batch_documents(spark, d):
+    return batch_rows(items(spark, d))
+
+
+@query(batch_query(packs(20000, 24, 9000)))
+def batch_max_chars(spark, d):
+    return batch_rows(items(spark, d, max_chars=9000))
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, b AS (SELECT book_id, batch_id, sum(size) AS s, sum(chars) AS c, count(*) AS n FROM items GROUP BY ALL)
+SELECT book_id, count(*) AS batches, CAST(max(s) AS BIGINT) AS largest_bytes, CAST(max(c) AS BIGINT) AS largest_chars, CAST(max(n) AS BIGINT) AS most_segments FROM b GROUP BY book_id""")
+def batch_stats(spark, d):
+    return batch.batch_stats(batch.batches(items(spark, d)), "book_id")
+
+
+@query(f"""WITH RECURSIVE {ITEMS} SELECT book_id, chapter_id, CAST(row_number() OVER (PARTITION BY book_id, chapter_id, pack ORDER BY pos) - 1 AS BIGINT) AS idx, id, kind, source FROM items""")
+def compact_flatten(spark, d):
+    return batch.flat(batch.batches(items(spark, d))).select("book_id", "chapter_id", long("idx").alias("idx"), "id", "kind", "source")
+
+
+@query(f"WITH {LED}, {DONE} SELECT id FROM done")
+def completed_ids(spark, d):
+    return progress.completed(ledger(spark, d))
+
+
+@query(f"WITH {SEG}, {LED}, {DONE} SELECT book_id, id FROM seg WHERE id NOT IN (SELECT id FROM done)")
+def pending_segments(spark, d):
+    return progress.pending_items(segs(spark, d), progress.completed(ledger(spark, d))).select("book_id", "id")
+
+
+def pending(spark, d):
+    return progress.pending_batches(items(spark, d), progress.completed(ledger(spark, d)), ["batch_id"])
+
+
+@query(f"WITH RECURSIVE {ITEMS}, {LED}, {DONE}, {PENDING} SELECT * FROM pend")
+def pending_batches(spark, d):
+    return pending(spark, d)
+
+
+@query(f"WITH RECURSIVE {ITEMS}, {LED}, {DONE}, {PENDING} SELECT * FROM pend ORDER BY first_pos LIMIT 1")
+def next_pending_batch(spark, d):
+    return progress.first_pending(pending(spark, d), "first_pos")
+
+
+@query(f"WITH RECURSIVE {ITEMS}, {LED}, {DONE}, {PENDING} SELECT * FROM pend ORDER BY first_pos LIMIT 5")
+def first_n_pending(spark, d):
+    return progress.first_pending(pending(spark, d), "first_pos", n=5)
+
+
+TOTALS = "t AS (SELECT book_id, count(*) AS segments, count(d.id) AS completed, count(*) - count(d.id) AS pending FROM seg LEFT JOIN done d USING (id) GROUP BY book_id)"
+
+
+@query(f"WITH {SEG}, {LED}, {DONE}, {TOTALS} SELECT * FROM t")
+def progress_totals(spark, d):
+    return progress.totals(segs(spark, d), ledger(spark, d), "book_id")
+
+
+@query(f"WITH {SEG}, {LED}, {DONE}, {TOTALS} SELECT book_id, completed / segments * 100 AS share, printf('%.1f%%', completed / segments * 100) AS shown FROM t")
+def progress_percent(spark, d):
+    x = progress.totals(segs(spark, d), ledger(spark, d), "book_id")
+    return x.select("book_id", progress.percent(F.col("completed"), F.col("segments")).alias("share"), progress.percent_text(F.col("completed"), F.col("segments")).alias("shown"))
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, {LED}, {DONE}, o AS (SELECT batch_id, row_number() OVER (ORDER BY min(pos)) AS n FROM items GROUP BY batch_id),
+e AS (SELECT batch_id FROM o WHERE n BETWEEN 4 AND 9)
+SELECT batch_id, coalesce(string_agg(i.id, ',' ORDER BY pos) FILTER (WHERE d.id IS NULL), '') AS missing FROM e JOIN items i USING (batch_id) LEFT JOIN done d USING (id) GROUP BY batch_id""")
+def checkpoint_range(spark, d):
+    x = items(spark, d)
+    order = x.groupBy("batch_id").agg(F.min("pos").alias("first"))
+    start = order.orderBy("first").limit(4).agg(F.max_by("batch_id", "first")).first()[0]
+    expected = progress.batch_range(order, start, 6, "first")
+    rows = progress.checkpoint(x.join(expected.select("batch_id"), "batch_id").withColumn("idx", F.col("pos")), progress.completed(ledger(spark, d)))
+    return rows.select("batch_id", F.array_join("missing", ",").alias("missing"))
+
+
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1")
+def duplicate_ids(spark, d):
+    return progress.duplicates(table(spark, d, "events"), "user_id")
+
+
+@query("SELECT user_id, event_id, CAST(occurrence AS BIGINT) AS occurrence FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS occurrence FROM events) WHERE occurrence > 1")
+def duplicate_occurrences(spark, d):
+    return progress.later_occurrences(table(spark, d, "events"), "user_id", "event_id").select("user_id", "event_id", long("occurrence").alias("occurrence"))
+
+
+def dirty(spark, d):
+    """The ledger with unknown and repeated ids."""
+    x = ledger(spark, d)
+    return x.withColumn("segment_id", F.when(F.col("append_pos") % 97 == 0, F.concat(F.lit("x"), "segment_id")).otherwise(F.col("segment_id"))).union(x.where("append_pos % 89 = 0"))
+
+
+DIRTY = "dirty AS (SELECT append_pos, CASE WHEN append_pos % 97 = 0 THEN 'x' || segment_id ELSE segment_id END AS segment_id, translation, status, review_note FROM led UNION ALL SELECT * FROM led WHERE append_pos % 89 = 0)"
+
+
+@query(f"WITH {SEG}, {LED}, {DIRTY} SELECT DISTINCT segment_id FROM dirty WHERE segment_id NOT IN (SELECT id FROM seg)")
+def unmatched_ids(spark, d):
+    return dirty(spark, d).select("segment_id").distinct().join(segs(spark, d).select(F.col("id").alias("segment_id")), "segment_id", "left_anti")
+
+
+def holed(spark, d):
+    x = segs(spark, d)
+    return x.where("pos % 13 <> 0"), x.where("pos % 17 <> 0")
+
+
+HOLED = "a AS (SELECT * FROM seg WHERE pos % 13 <> 0), b AS (SELECT * FROM seg WHERE pos % 17 <> 0)"
+
+
+@query(f"WITH {SEG}, {HOLED} SELECT id AS entity_id, 'segment without batch' AS side FROM a WHERE id NOT IN (SELECT id FROM b) UNION ALL SELECT id, 'batch item without segment' FROM b WHERE id NOT IN (SELECT id FROM a)")
+def coverage_gaps(spark, d):
+    return batch.coverage(*holed(spark, d))
+
+
+REPORT = f"""{SEG}, {LED}, {DIRTY}, {HOLED}, good AS (SELECT DISTINCT segment_id FROM dirty WHERE regexp_replace(translation, '^{WS}+|{WS}+$', '', 'g') <> ''), rep AS (
+  SELECT 'duplicate_translation_ids' AS issue, segment_id AS entity_id FROM dirty GROUP BY segment_id HAVING count(*) > 1
+  UNION ALL SELECT DISTINCT 'empty_translation_ids', segment_id FROM dirty WHERE regexp_replace(translation, '^{WS}+|{WS}+$', '', 'g') = ''
+  UNION ALL SELECT 'unmatched_translation_ids', segment_id FROM good WHERE segment_id NOT IN (SELECT id FROM a)
+  UNION ALL SELECT 'segments_without_batch', id FROM a WHERE id NOT IN (SELECT id FROM b)
+  UNION ALL SELECT 'batch_items_without_segment', id FROM b WHERE id NOT IN (SELECT id FROM a)
+)"""
+
+
+@query(f"WITH {REPORT} SELECT * FROM rep")
+def validation_report(spark, d):
+    a, b = holed(spark, d)
+    return validate.report(a, b, dirty(spark, d))
+
+
+@query(f"WITH {REPORT} SELECT DISTINCT issue FROM rep")
+def issue_names(spark, d):
+    return validate.issue_names(validation_report(spark, d))
+
+
+@query(f"""WITH {SEG}, {LED}, {DIRTY} SELECT 'translations: duplicate segment_id' AS rule, CAST(3 AS BIGINT) AS priority, segment_id AS entity_id FROM dirty GROUP BY segment_id HAVING count(*) > 1
+UNION ALL SELECT 'translations: empty translation', 5, segment_id FROM dirty WHERE regexp_replace(translation, '^{WS}+|{WS}+$', '', 'g') = ''
+UNION ALL SELECT DISTINCT 'translations: unknown segment_id', 4, segment_id FROM dirty WHERE segment_id NOT IN (SELECT id FROM seg)""")
+def strict_violations(spark, d):
+    return validate.translations(dirty(spark, d), segs(spark, d)).select("rule", long("priority").alias("priority"), "entity_id")
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '{\"id\":' || event_id || ',\"k\":' || CAST(json_extract(props, '$.k') AS BIGINT) || '}' AS line FROM events")
+def parse_jsonl(spark, d):
+    x = S.parse_jsonl(table(spark, d, "events").select("event_id", "props"), "props", "k bigint", ["k"]).where("error is null")
+    return x.select("event_id", F.col("fields.k").alias("k"), F.to_json(F.struct(F.col("event_id").alias("id"), F.col("fields.k").alias("k"))).alias("line"))
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, {LED}, {DONE}, {PENDING}, f AS (SELECT p.batch_id, any_value(i.book_id) AS book_id, any_value(i.chapter_id) AS chapter_id, min(i.pos) AS first FROM pend p JOIN items i USING (batch_id) LEFT JOIN done d USING (id) WHERE d.id IS NULL GROUP BY p.batch_id),
+c AS (SELECT f.batch_id, i.id, i.pos, row_number() OVER (PARTITION BY f.batch_id ORDER BY i.pos DESC) AS r FROM f JOIN items i ON i.book_id = f.book_id AND i.chapter_id = f.chapter_id AND i.pos < f.first JOIN done USING (id))
+SELECT batch_id, id FROM c WHERE r <= 8""")
+def context_last_n(spark, d):
+    x, done = items(spark, d), progress.completed(ledger(spark, d))
+    targets = progress.pending_items(x, done).groupBy("batch_id", "book_id", "chapter_id").agg(F.min("pos").alias("first_pos"))
+    good = ledger(spark, d).select(F.col("segment_id").alias("id"), "translation").join(done, "id", "left_semi")
+    return context.previous(x, targets, good, 8).select("batch_id", "id")
+
+
+@query("""SELECT conv_id, turn, coalesce((SELECT string_agg(t, ',' ORDER BY t) FROM (SELECT b.turn AS t FROM conversations b WHERE b.conv_id = a.conv_id AND b.turn < a.turn AND b.role = 'user' ORDER BY b.turn DESC LIMIT 2)), '') AS before FROM conversations a""")
+def context_last_n_window(spark, d):
+    x = table(spark, d, "conversations").withColumn("done", F.col("role") == "user").withColumn("value", F.col("turn").cast("string"))
+    return context.last_done(x, ["conv_id"], "turn", "done", "value", 2).select("conv_id", "turn", F.array_join("context", ",").alias("before"))
+
+
+@query(f"WITH {PAIRS} SELECT conv_id, turn, CASE WHEN translation IS NULL THEN 'pending' WHEN regexp_replace(translation, '^{WS}+|{WS}+$', '', 'g') = '' THEN 'empty' ELSE 'translated' END AS status FROM pairs")
+def align_pairs(spark, d):
+    return pairs(spark, d).select("conv_id", "turn", render.status(F.col("translation"), F.col("translation"), F.lit(None).cast("string")).alias("status"))
+
+
+NORMAL = f"regexp_replace(replace(replace(translation, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '^{WS}+|{WS}+$', '', 'g')"
+
+
+@query(f"""WITH {PAIRS}, n AS (SELECT *, {NORMAL} AS clean FROM pairs)
+SELECT conv_id, turn, CASE WHEN clean IS NULL OR clean = '' THEN 'empty translation' WHEN length(source) - length(replace(source, chr(10), '')) <> length(clean) - length(replace(clean, chr(10), '')) THEN 'line break count differs' END AS error,
+CASE WHEN clean <> '' AND length(source) - length(replace(source, chr(10), '')) = length(clean) - length(replace(clean, chr(10), '')) THEN clean ELSE translation END AS translation FROM n""")
+def normalize_pairs(spark, d):
+    x = pairs(spark, d).withColumn("status", F.lit(None).cast("string")).withColumn("review_note", F.lit(None).cast("string"))
+    return translations.normalized(x).select("conv_id", "turn", "error", "translation")
+
+
+@query("""WITH e AS (SELECT conv_id, turn AS id FROM conversations WHERE role = 'user' AND turn % 5 <> 3), o AS (SELECT conv_id, turn AS id FROM conversations WHERE role = 'user' AND turn % 7 <> 4 UNION ALL SELECT conv_id, turn FROM conversations WHERE role = 'user' AND turn % 4 = 2),
+k AS (SELECT DISTINCT conv_id FROM (SELECT conv_id FROM e UNION ALL SELECT conv_id FROM o)),
+m AS (SELECT conv_id, string_agg(id, ',' ORDER BY id) AS missing FROM e WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.conv_id = e.conv_id AND o.id = e.id) GROUP BY conv_id),
+x AS (SELECT conv_id, string_agg(DISTINCT id, ',' ORDER BY id) AS extra FROM o WHERE NOT EXISTS (SELECT 1 FROM e WHERE o.conv_id = e.conv_id AND o.id = e.id) GROUP BY conv_id),
+d AS (SELECT conv_id, string_agg(id, ',' ORDER BY id) AS duplicate FROM (SELECT conv_id, id FROM o GROUP BY ALL HAVING count(*) > 1) GROUP BY conv_id)
+SELECT conv_id, coalesce(missing, '') AS missing, coalesce(extra, '') AS extra, coalesce(duplicate, '') AS duplicate FROM k LEFT JOIN m USING (conv_id) LEFT JOIN x USING (conv_id) LEFT JOIN d USING (conv_id)""")
+def exact_cover(spark, d):
+    u = table(spark, d, "conversations").where("role = 'user'").select("conv_id", F.col("turn").alias("id"), F.col("turn").alias("idx"), F.col("turn").alias("pos"))
+    x = translations.exact_cover(u.where("id % 5 <> 3").drop("pos"), u.where("id % 7 <> 4").union(u.where("id % 4 = 2")).drop("idx"), ["conv_id"])
+    return x.select("conv_id", *(F.array_join(F.transform(c, lambda v: v.cast("string")), ",").alias(c) for c in ("missing", "extra", "duplicate")))
+
+
+@query(f"""WITH {SEG}, {LED} SELECT segment_id, translation, status FROM led WHERE append_pos % 3 = 0 AND segment_id NOT IN (SELECT segment_id FROM led WHERE append_pos % 2 = 0)""")
+def append_candidates(spark, d):
+    x = ledger(spark, d)
+    return translations.appendable(x.where("append_pos % 3 = 0"), x.where("append_pos % 2 = 0")).select("segment_id", "translation", "status")
+
+
+def aligned(spark, d):
+    return render.aligned(segs(spark, d).withColumn("status", F.lit("imported")), ledger(spark, d), None)
+
+
+ALIGNED = f"al AS (SELECT s.*, l.translation, CASE WHEN l.segment_id IS NULL THEN 'pending' WHEN regexp_replace(l.translation, '^{WS}+|{WS}+$', '', 'g') = '' THEN 'empty' ELSE l.status END AS status FROM seg s LEFT JOIN led l ON l.segment_id = s.id)"
+
+
+@query(f"WITH {SEG}, {LED}, {ALIGNED} SELECT book_id, status, count(*) AS n FROM al GROUP BY ALL")
+def status_histogram(spark, d):
+    return render.status_histogram(aligned(spark, d), "book_id")
+
+
+@query(f"WITH {SEG}, {LED}, {ALIGNED} SELECT book_id, count(*) AS segments, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ("translated", "needs_review", "empty", "pending")) + " FROM al GROUP BY ALL")
+def render_stats(spark, d):
+    return render.stats(aligned(spark, d), "book_id")
+
+
+def esc(c: str) -> str:
+    return f"replace(replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+
+
+MARKS = f"regexp_replace(regexp_replace(%s, '^{WS}+|{WS}+$', '', 'g'), '^#(?:#|{WS})*', '')"
+
+
+@query(f"""WITH {SEG}, {LED}, {ALIGNED} SELECT id, '<article id="' || id || '" class="kind-' || kind || ' status-' || status || CASE WHEN kind = 'heading' THEN ' is-heading' ELSE '' END || '" data-chapter="' || chapter_id || '" data-batch=""><div class="pair"><p>'
+ || replace({esc(f"CASE WHEN kind = 'heading' THEN {MARKS % 'source'} ELSE source END")}, chr(10), '<br>' || chr(10)) || '</p><p>' || CASE status WHEN 'empty' THEN '<span class="note">empty</span>' ELSE {esc("translation")} END || '</p></div></article>' AS html FROM al WHERE status <> 'pending'""")
+def render_rows(spark, d):
+    return render.rendered(aligned(spark, d), only_translated=True).select("id", "html")
+
+
+@query(f"""WITH {SEG}, {LED}, {ALIGNED} SELECT id, coalesce(nullif({MARKS % "coalesce(translation, '')"}, ''), {MARKS % 'source'}) AS label FROM al WHERE kind = 'heading'""")
+def toc(spark, d):
+    return render.contents(aligned(spark, d)).select("id", "label")
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, {LED}, {DONE}, t AS (SELECT i.* FROM items i WHERE i.id NOT IN (SELECT id FROM done))
+SELECT batch_id, string_agg('    ' || replace(CASE WHEN source LIKE '%' || chr(10) THEN left(source, length(source) - 1) ELSE source END, chr(10), chr(10) || '    '), chr(10) ORDER BY pos) AS targets, count(*) AS n FROM t GROUP BY batch_id""")
+def request_targets(spark, d):
+    x = progress.pending_items(items(spark, d), progress.completed(ledger(spark, d)))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("pos", "source"))), lambda r: T.indent(r["source"]))
+    return x.groupBy("batch_id").agg(F.array_join(rows, "\n").alias("targets"), F.count("*").alias("n"))
+
+
+@query()
+def request_markdown(spark, d):
+    x, done = items(spark, d), progress.completed(ledger(spark, d))
+    left = progress.pending_items(x, done)
+    targets = left.groupBy("batch_id", "book_id", "chapter_id").agg(F.min("pos").alias("first_pos"))
+    good = ledger(spark, d).select(F.col("segment_id").alias("id"), "translation").join(done, "id", "left_semi")
+    return context.requests(targets.select("batch_id", "chapter_id"), left.withColumn("idx", F.col("pos")), context.previous(x, targets, good, 12))
+
+
+SHAPES = ["array", "wrapped", "object", "jsonl"]
+
+
+@query("""WITH u AS (SELECT conv_id, turn, text, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS pos FROM conversations WHERE role = 'user')
+SELECT conv_id, CASE WHEN conv_id % 4 = 2 THEN 0 ELSE pos END AS pos, CAST(turn AS VARCHAR) AS segment_id, text AS translation FROM u WHERE conv_id % 4 <> 2 OR pos = 0""")
+def model_output_shapes(spark, d):
+    """Each conversation as the output of a model, in one of the four shapes, half of them fenced."""
+    one = F.struct(F.col("turn").cast("string").alias("segment_id"), F.col("text").alias("translation"))
+    rows = table(spark, d, "conversations").where("role = 'user'").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", one.alias("r")))), lambda x: x["r"]).alias("rows"))
+    shape = F.col("conv_id") % 4
+    text = F.when(shape == 0, F.to_json("rows")).when(shape == 1, F.to_json(F.struct(F.col("rows").alias("translations")))).when(shape == 2, F.to_json(F.col("rows")[0])).otherwise(F.array_join(F.transform("rows", lambda r: F.to_json(r)), "\n"))
+    fenced = F.when(F.col("conv_id") % 8 < 4, F.concat(F.lit("```json\n"), text, F.lit("\n```"))).otherwise(text)
+    out = S.parse_model_output(rows.select("conv_id", fenced.alias("output")), "output")
+    return out.where("error is null").select("conv_id", long("pos").alias("pos"), "segment_id", "translation")
+
+
+TOKENS = "tok AS (SELECT page_id, '⟦EPUB_IMG:' || replace(url_encode(url), '%2F', '/') || '|alt=' || url_encode(url || ' ~*') || '⟧' AS token FROM pages)"
+
+
+def tokens(spark, d):
+    return table(spark, d, "pages").select("page_id", "url", P.encode(F.col("url"), F.concat("url", F.lit(" ~*"))).alias("token"))
+
+
+@query(f"WITH {TOKENS} SELECT * FROM tok")
+def placeholder_encode(spark, d):
+    return tokens(spark, d).select("page_id", "token")
+
+
+@query(f"WITH {TOKENS} SELECT page_id, CAST(2 AS BIGINT) AS n, token AS first FROM tok")
+def placeholder_extract(spark, d):
+    x = tokens(spark, d).withColumn("found", P.extract(F.concat(F.lit("a ⟦EPUB_IMG:broken⟧ "), "token", F.lit("|b⟧"), "token", F.lit("⟧"))))
+    return x.select("page_id", long(F.size("found")).alias("n"), F.col("found")[0].alias("first"))
+
+
+@query("SELECT page_id, 'a' || url || ' ~*' || 'b' AS shown, CAST(3 AS BIGINT) AS n, url AS src FROM pages")
+def placeholder_tokenize(spark, d):
+    x = tokens(spark, d).withColumn("s", F.concat(F.lit("a"), "token", F.lit("b"))).withColumn("t", P.tokenize(F.col("s")))
+    return x.select("page_id", P.display(F.col("s")).alias("shown"), long(F.size("t.tokens")).alias("n"), F.col("t.tokens")[1]["src"].alias("src"))
+
+
+@query("SELECT page_id, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<li>')) FROM pages) GROUP BY page_id")
+def html_list_items(spark, d):
+    return markup.html_blocks(table(spark, d, "pages"), "page_id", "html").where("tag = 'li'").groupBy("page_id").agg(F.count("*").alias("n"))
+
+
+@query()
+def html_blocks(spark, d):
+    return markup.html_blocks(table(spark, d, "pages"), "page_id", "html")
+
+
+LINKS = "link AS (SELECT DISTINCT page_id, href FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS href FROM pages))"
+
+
+@query(f"WITH {LINKS}, known AS (SELECT DISTINCT '/' || regexp_extract(url, '/([^/?#]*)(?:[?#].*)?$', 1) AS href FROM pages) SELECT page_id, href FROM link WHERE href NOT IN (SELECT href FROM known)")
+def link_closure(spark, d):
+    p = table(spark, d, "pages")
+    known = p.select(F.concat(F.lit("/"), F.regexp_extract("url", r"/([^/?#]*)(?:[?#].*)?$", 1)).alias("href"))
+    links = p.select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("href")).distinct()
+    return align.dangling(links, known, "href").select("page_id", "href")
+
+
+@query("SELECT sha256(text) AS sha, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY ALL")
+def member_hashes(spark, d):
+    return table(spark, d, "documents").groupBy(T.sha256(F.col("text").cast("binary")).alias("sha")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+
+
+@query(f"""WITH a AS (SELECT conv_id, turn, role AS kind, text FROM conversations WHERE turn % 6 <> 5), b AS (SELECT conv_id, turn, CASE WHEN turn % 7 = 3 THEN 'x' ELSE role END AS kind, CASE WHEN turn % 4 = 1 THEN text || '!' ELSE ' ' || text || chr(12288) END AS text FROM conversations WHERE turn % 5 <> 4)
+SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CASE WHEN b.turn IS NULL THEN 'only left' WHEN a.turn IS NULL THEN 'only right' WHEN a.kind <> b.kind THEN 'kind differs'
+WHEN regexp_replace(a.text, '^{WS}+|{WS}+$', '', 'g') <> regexp_replace(b.text, '^{WS}+|{WS}+$', '', 'g') THEN 'text differs' ELSE 'equal' END AS problem FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.turn = b.turn""")
+def zip_align(spark, d):
+    c = table(spark, d, "conversations")
+    a = c.where("turn % 6 <> 5").select("conv_id", "turn", F.col("role").alias("kind"), "text")
+    kind = F.when(F.col("turn") % 7 == 3, "x").otherwise(F.col("role"))
+    text = F.when(F.col("turn") % 4 == 1, F.concat("text", F.lit("!"))).otherwise(F.concat(F.lit(" "), "text", F.lit("　")))
+    return align.zipped(a, c.where("turn % 5 <> 4").select("conv_id", "turn", kind.alias("kind"), text.alias("text")), ["conv_id", "turn"])
