@@ -30,7 +30,7 @@ from .words import buffers, hashes, mixed, words
 
 by_value(__name__)
 
-SHINGLE, THRESHOLD = 5, (85, 100)
+SHINGLE, THRESHOLD = 5, (80, 100)
 BANDS, ROWS = 24, 4
 MISS, BATCH = 1e-5, 16
 #: Members of a bucket, and their shingles, that meet in one task; larger buckets meet block by block.
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: doc_id, n_shingles, component_id (smallest id reachable over links), kept (doc_id = component_id).
 
     A link: den * |a and b| >= num * |a or b| of two shingle sets, threshold = (num, den). With 24
-    bands of 4, a pair of similarity 0.85 is no candidate with probability 2e-8.
+    bands of 4, a pair of similarity 0.8 is no candidate with probability 3e-6, one of 0.85 with 2e-8.
     """
     num, den = threshold
     k = bands * rows
@@ -315,4 +315,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=(85, 100))

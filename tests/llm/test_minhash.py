@@ -10,7 +10,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def brute(rows):
+def brute(rows, num=85):
     sets = {i: shingles(t) for i, t in rows}
     part = {i: i for i in sets}
 
@@ -21,7 +21,7 @@ def brute(rows):
 
     for a, b in itertools.combinations(sorted(sets), 2):
         both = len(sets[a] & sets[b])
-        if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+        if both and 100 * both >= num * (len(sets[a]) + len(sets[b]) - both):
             x, y = find(a), find(b)
             part[max(x, y)] = min(x, y)
     return {(i, len(sets[i]), find(i), find(i) == i) for i in sets}
@@ -44,7 +44,7 @@ def corpus(n=160):
 
 def result(spark, rows, **more):
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'x' as sig", "1 as component_id", "2 as n")
-    return {tuple(x) for x in near_duplicates(df, **more).collect()}
+    return {tuple(x) for x in near_duplicates(df, **{"threshold": (85, 100)} | more).collect()}
 
 
 def test_equals_brute_force(spark):

@@ -61,7 +61,7 @@ def test_equals_brute_force(spark, tmp_path):
     score = {x["doc_id"]: x["score"] for x in tox.scored(docs, tox.learned(spark, docs, labels)).collect()}
     left = [(i, t) for i, t, *_ in rows if score[i] < 0.7]
     assert 10 < len(rows) - len(left) < 80
-    kept = {i for i, _, _, keep in components(left) if keep}
+    kept = {i for i, _, _, keep in components(left, 80) if keep}
     left = {i: (t or "").encode() for i, t in left if i in kept}
     clean = {i: t for i, (t, cut_) in without_repeats(left).items() if t.strip() or not cut_}
     assert any(len(t) < len(left[i].decode()) for i, t in clean.items())
