@@ -20,9 +20,13 @@ an empty result.
 from __future__ import annotations
 
 import heapq
+import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ from .base import by_value, park, table
 by_value(__name__)
 
 MARK, LONG = "▁", 32
+#: Frequent units whose ids go with the code (at most about 20 MB, as units are at most LONG characters).
+HOT = 1 << 15
 
 
 def default_model() -> str:
@@ -133,15 +139,47 @@ def merge_long(unit: str, ids: dict[str, int], scores: dict[str, float], bytes_f
     return [x for p in parts if p for x in ([ids[p]] if p in ids else [bytes_from + b for b in p.encode()])]
 
 
-def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, ids, round_trip (all its units decode to themselves)."""
+def placed(docs: DataFrame, hot: dict[str, list[int]]) -> DataFrame:
+    """row (own key), doc_id, ids of the units in hot, and holes (at: the place among ids, unit) for the others. docs: doc_id, text."""
+    split = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
+    hole = pa.list_(pa.struct([("at", pa.int32()), ("unit", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part, ids, holes = batch.slice(first, 256), [], []
+                for text in part.column(1):
+                    own, missing = array("i"), []
+                    if text.is_valid and (text := text.as_py()):
+                        for unit in split.findall(MARK + text.replace(" ", MARK)):
+                            known = hot.get(unit)
+                            if known is None:
+                                missing.append({"at": len(own), "unit": unit})
+                            else:
+                                own.extend(known)
+                    ids.append(np.frombuffer(own, np.int32) if own else np.zeros(0, np.int32))
+                    holes.append(missing)
+                n = len(ids)
+                flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]), pa.int32()), pa.array(np.concatenate(ids) if n else np.zeros(0, np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), part.column(0), flat, pa.array(holes, hole)], ["row", "doc_id", "ids", "holes"])
+                row += n
+
+    return docs.mapInArrow(run, "row long, doc_id long, ids array<int>, holes array<struct<at: int, unit: string>>")
+
+
+def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """Per row: doc_id, ids, round_trip (all its units decode to themselves).
+
+    The `hot` most frequent units of at most LONG characters, a table of bounded size, are looked up
+    where the text is; so no frequent unit is shuffled. The rest are joined to the coded units.
+    """
     spark = docs.sparkSession
     rows = piece_rows(path or default_model())
     pieces = spark.createDataFrame(rows, "piece string, id int, score double, byte int")
     longest = max((len(p) for p, _, _, b in rows if b < 0), default=1)
-    keyed = park(docs.select(F.col(id_col).cast("long").alias("doc_id"), units(F.coalesce(F.col(text_col), F.lit(""))).alias("units")).withColumn("row", F.monotonically_increasing_id()), "units")
-    each = keyed.select("row", F.posexplode("units").alias("pos", "unit"))
-    words = park(each.select("unit").distinct(), "words")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    words = park(texts.select(F.explode(units(F.col("text"))).alias("unit")).groupBy("unit").agg(F.count("*").alias("times")), "words")
     lattice = edges(words.where(F.length("unit") <= LONG), pieces, longest).groupBy("unit", "n").agg(F.collect_list("edge").alias("edges"))
     folded = (merged if model == "bpe" else viterbi)(lattice)
     by_piece, scores = {p: i for p, i, _, b in rows if b < 0}, {p: s for p, _, s, b in rows if b < 0}
@@ -152,13 +190,21 @@ def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col:
             found = [merge_long(u, by_piece, scores, bytes_from) for u in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["unit", "ids"])
 
-    coded = park(folded.union(words.where(F.length("unit") > LONG).mapInArrow(run, "unit string, ids array<int>")), "coded")
+    coded = park(folded.union(words.where(F.length("unit") > LONG).select("unit").mapInArrow(run, "unit string, ids array<int>")), "coded")
     back = decoded(coded, pieces, "unit").select("unit", (F.col("text") == F.col("unit")).alias("same"))
     coded = park(coded.join(back, "unit"), "checked")
-    placed = each.join(coded, "unit").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"), F.min("same").alias("same"))
-    out = keyed.select("row", "doc_id").join(placed, "row", "left")
-    ids = F.coalesce(F.flatten(F.transform("parts", lambda p: p["ids"])), F.array().cast("array<int>"))
-    return out.select("doc_id", ids.alias("ids"), F.coalesce("same", F.lit(True)).alias("round_trip"))
+    # at most `hot` rows reach the driver: ids of the most frequent units
+    often = words.where(F.length("unit") <= LONG).orderBy(F.desc("times"), "unit").limit(hot).select("unit")
+    known = {r["unit"]: r["ids"] for r in coded.where("same").join(F.broadcast(often), "unit").select("unit", "ids").collect()}
+    held = park(placed(texts, known), "placed")
+    misses = held.select("row", F.posexplode("holes").alias("k", "hole")).select("row", "k", "hole.unit")
+    found = misses.join(coded, "unit").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", F.col("ids").alias("own")))).alias("parts"), F.min("same").alias("same"))
+    some = held.where(F.size("holes") > 0).join(found, "row")
+    start = lambda i: F.when(i == 0, 0).otherwise(F.element_at("holes", i)["at"])
+    filled = F.transform("holes", lambda h, i: F.concat(F.slice("ids", start(i) + 1, h["at"] - start(i)), F.element_at("parts", i + 1)["own"]))
+    rest = F.slice("ids", F.element_at("holes", -1)["at"] + 1, F.size("ids"))
+    done = held.where(F.size("holes") == 0).select("doc_id", "ids", F.lit(True).alias("round_trip"))
+    return done.union(some.select("doc_id", F.concat(F.flatten(filled), rest), "same"))
 
 
 def decoded(coded: DataFrame, pieces: DataFrame, key: str, column: str = "ids") -> DataFrame:

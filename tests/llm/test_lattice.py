@@ -18,9 +18,10 @@ def sp():
     return sentencepiece.SentencePieceProcessor(model_file=lattice.default_model())
 
 
-def test_ids_are_the_librarys(spark, sp):
+@pytest.mark.parametrize("hot", [0, 3, lattice.HOT])
+def test_ids_are_the_librarys(spark, sp, hot):
     rows = [(i if i else None, t, 1, "x") for i, t in enumerate(texts())] + [(3, texts()[3], 1, "x")]
-    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string, ids int, unit string")).collect()
+    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string, ids int, unit string"), hot=hot).collect()
     want = sorted((i or -1, sp.encode(t or "")) for i, t, *_ in rows)
     assert sorted((x["doc_id"] or -1, list(x["ids"])) for x in got) == want
     assert all(x["round_trip"] for x in got)
