@@ -33,10 +33,19 @@ def previous(items: DataFrame, targets: DataFrame, done: DataFrame, n: int = CON
 
 
 def last_done(rows: DataFrame, key: list[str], pos: str, done: str, value: str, n: int) -> DataFrame:
-    """The window form, per row: the last n values of done rows before it. The frame is bounded by numbering done rows."""
-    w = Window.partitionBy(*key).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    x = rows.withColumn("_c", F.collect_list(F.when(F.col(done), F.struct(pos, value))).over(w))
-    return x.withColumn("context", F.transform(F.slice("_c", F.greatest(F.size("_c") - n + 1, F.lit(1)), n), lambda r: r[value])).drop("_c")
+    """The window form, per row: the last n values of done rows before it.
+
+    Done rows gather themselves and the n - 1 done rows before (a bounded frame); every row then takes
+    the last such list before it. So the work is linear in the rows, whatever a key holds.
+    """
+    if n <= 0:
+        return rows.withColumn("context", F.array().cast(f"array<{rows.schema[value].dataType.simpleString()}>"))
+    of_done = Window.partitionBy(*key, "_d").orderBy(pos).rowsBetween(1 - n, 0)
+    before = Window.partitionBy(*key).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+    x = rows.withColumn("_d", F.coalesce(F.col(done), F.lit(False))).withColumn("_c", F.when(F.col("_d"), F.collect_list(F.struct(F.col(value).alias("v"))).over(of_done)))
+    empty = F.array().cast(f"array<{rows.schema[value].dataType.simpleString()}>")
+    found = F.transform(F.last("_c", ignorenulls=True).over(before), lambda r: r["v"])
+    return x.withColumn("context", F.coalesce(found, empty)).drop("_c", "_d")
 
 
 DEFAULT_STYLE = "Keep names and terms consistent. Keep the register of the original. Prefer natural phrasing over literal order."

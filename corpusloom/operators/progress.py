@@ -54,13 +54,17 @@ def percent_text(done: Column, total: Column) -> Column:
     return F.format_string("%.1f%%", percent(done, total))
 
 
-def batch_range(batch_rows: DataFrame, start: str | None, count: int, *order: Column | str) -> DataFrame:
-    """`count` batches in order from batch `start` (the first if none)."""
+def batch_range(batch_rows: DataFrame, start: str | None, count: int, *order: str) -> DataFrame:
+    """`count` batches in order from batch `start` (the first if none): a top-k, so no global numbering."""
     if count <= 0:
         raise ValueError("count must be positive")
-    x = batch_rows.withColumn("_n", F.row_number().over(Window.orderBy(*order)))
-    at = x.where(F.col("batch_id") == start).select(F.col("_n").alias("_at")) if start is not None else x.sparkSession.createDataFrame([(1,)], "_at int")
-    return x.join(F.broadcast(at.limit(1)), (F.col("_n") >= F.col("_at")) & (F.col("_n") < F.col("_at") + count)).drop("_n", "_at")
+    x = batch_rows
+    if start is not None:
+        at = x.where(F.col("batch_id") == start).select(*order).orderBy(*order).first()
+        if at is None:
+            return x.limit(0)
+        x = x.where(F.struct(*order) >= F.struct(*(F.lit(v).alias(c) for c, v in zip(order, at))))
+    return x.orderBy(*order).limit(count)
 
 
 def checkpoint(expected: DataFrame, done: DataFrame) -> DataFrame:

@@ -65,6 +65,8 @@ def append_plan(draft: DataFrame, segments: DataFrame, ledger: DataFrame, allow_
     """draft (append_pos, segment_id, translation, status, review_note) with action: append, skip, or an error's name.
 
     Rules in order: id there, not repeated, known, not in the ledger (unless allowed), in source order, normal.
+    The order of a draft is one order, so its rows are looked at by one task: a draft is what one call
+    brings. Outputs of many batches go through exact_cover() and appendable().
     """
     id_ = F.col("segment_id")
     x = draft.withColumn("_n", F.count("*").over(Window.partitionBy("segment_id")))
