@@ -36,13 +36,22 @@ class Workspace:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.segments_path, self.batches_path, self.ledger_path = (f"{self.root}/work/{n}.jsonl" for n in ("segments", "batches", "translations"))
+        # parsed tables, for as long as their files stay the same
+        self._held: dict[str, tuple[tuple, DataFrame]] = {}
         self.checkpoints, self.html_path = f"{self.root}/work/checkpoints", f"{self.root}/output/parallel.html"
 
     # tables
 
     def _table(self, path: str, schema: str, optional: bool = False) -> DataFrame:
-        x = S.read_jsonl(self.spark, path, schema, optional=optional)
+        mark, held = files.signature(self.spark, path), self._held.get(path)
+        if held and held[0] == mark:
+            return held[1]
+        x = S.read_jsonl(self.spark, path, schema, optional=optional).persist()
+        if held:
+            held[1].unpersist()
+        self._held[path] = (mark, x)
         if bad := x.where("error is not null").select("file", "line_number", "error").limit(LISTED).collect():
+            del self._held[path]
             raise ValueError("; ".join(f"{r['file']}:{r['line_number']}: {r['error']}" for r in bad))
         return x
 

@@ -56,6 +56,14 @@ def size_and_time(spark: SparkSession, path: str) -> tuple[int, int] | None:
     return s.getLen(), s.getModificationTime()
 
 
+def signature(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at a path: equal as long as nobody writes there."""
+    _, p, fs = _context(spark, path)
+    if not fs.exists(p):
+        return ()
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
+
+
 def put(spark: SparkSession, path: str, data: str | bytes, overwrite: bool = True) -> None:
     """One file, whole or not at all."""
     jvm, p, fs = _context(spark, path)
