@@ -14,15 +14,18 @@ empty result.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import parts, table
+from .base import likely, park, parts, table
 
 BITS, LANES, CHUNK = 128, 4, 30000
+#: Different bits that still count as near, blocks that have to agree, queries that are looked at together; every EVERY-th id is a query.
+RADIUS, KEPT, BLOCK, EVERY = 3, 2, 256, 20
 STEP = 64 // LANES
 MASK = 0x0001000100010001
 #: Cells of the id range; neighbouring cells make a bucket, and ids are ordered within buckets.
@@ -76,22 +79,52 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return voted(rows, ["row", "doc_id"], "text").drop("row")
 
 
-def within(queries: DataFrame, corpus: DataFrame, radius: int = 3, kept: int = 2) -> DataFrame:
-    """All (query_id, doc_id, distance) with at most `radius` different bits. Both sides: doc_id, hi, lo.
+def masks(first: int, last: int) -> tuple[int, int]:
+    """Bits first .. last - 1, from the left, as longs for hi and lo."""
+    m = ((1 << (last - first)) - 1) << (BITS - last)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return signed(m >> 64), signed(m & ((1 << 64) - 1))
+
+
+def matches(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, kept: int = KEPT, block: int = BLOCK) -> DataFrame:
+    """qhi, qlo, hi, lo, n: each two different or equal fingerprints of the sides with at most `radius` different bits, once; n rows of the corpus have hi, lo.
 
     The bits are cut into radius + kept blocks. Two fingerprints within the radius agree in `kept`
     blocks at least, so one of the tables, one for each choice of `kept` blocks and keyed by them
-    (the permuted blocks in front), holds both under one key. Equal fingerprints are looked up once
-    and joined back, so groups of copies do not meet pair by pair.
+    (the permuted blocks in front), holds both under one key. The queries of a key come in lists of
+    about `block`; a row of the corpus is held against such a list at once, so what fails the test is
+    never a row. A pair that several tables hold counts in the first of them.
     """
-    blocks = radius + kept
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
-    bits = F.concat(F.lpad(F.bin("hi"), 64, "0"), F.lpad(F.bin("lo"), 64, "0"))
-    keys = F.array(*(F.xxhash64(F.lit(i), *(F.substring(bits, edges[b] + 1, edges[b + 1] - edges[b]) for b in chosen)) for i, chosen in enumerate(combinations(range(blocks), kept))))
-    tabled = lambda x: x.select("hi", "lo").distinct().select("hi", "lo", F.explode(keys).alias("key"))
-    q, c = tabled(queries).select(F.col("hi").alias("qhi"), F.col("lo").alias("qlo"), "key"), tabled(corpus)
+    count = radius + kept
+    edges = [BITS * i // count for i in range(count + 1)]
+    own = [masks(edges[i], edges[i + 1]) for i in range(count)]
+    choices = list(combinations(range(count), kept))
+    whole = lambda chosen, side: reduce(lambda x, y: x | y, (own[i][side] for i in chosen))
+    key = lambda t, chosen: F.xxhash64(F.lit(t), F.col("hi").bitwiseAND(F.lit(whole(chosen, 0))), F.col("lo").bitwiseAND(F.lit(whole(chosen, 1))))
+    tables = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), key(t, chosen).alias("key")) for t, chosen in enumerate(choices))))
+    tabled = lambda x: x.select("*", tables.alias("_t")).select(*x.columns, "_t.t", "_t.key")
+    asked = tabled(queries.select("hi", "lo").distinct())
+    size = asked.groupBy("key").agg(F.count("*").alias("size"))
+    part = F.pmod(F.xxhash64("hi", "lo"), F.ceil(F.col("size") / block))
+    lists = asked.join(size, "key").groupBy("t", "key", part.alias("part")).agg(F.collect_list(F.struct(F.col("hi").alias("qhi"), F.col("lo").alias("qlo"))).alias("asked"))
+    rows = tabled(corpus.groupBy("hi", "lo").agg(F.count("*").alias("n")))
+    x = likely(rows, asked.select("key"), "key").join(lists.withColumnRenamed("t", "_t"), "key").where("t = _t")
+
+    def found(q):
+        hi, lo = F.col("hi").bitwiseXOR(q["qhi"]), F.col("lo").bitwiseXOR(q["qlo"])
+        same = [hi.bitwiseAND(F.lit(h)).bitwiseOR(lo.bitwiseAND(F.lit(l))) == 0 for h, l in own]
+        # the table of the first `kept` blocks in which both agree
+        first = lambda chosen: reduce(lambda p, r: p & r, (same[i] if i in chosen else ~same[i] for i in range(max(chosen) + 1)))
+        tables_ = reduce(lambda p, r: p | r, ((F.col("t") == t) & first(chosen) for t, chosen in enumerate(choices)))
+        return (F.bit_count(hi) + F.bit_count(lo) <= radius) & tables_
+
+    return x.select(F.explode(F.filter("asked", found)).alias("q"), "hi", "lo", "n").select("q.*", "hi", "lo", "n")
+
+
+def within(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, kept: int = KEPT) -> DataFrame:
+    """All (query_id, doc_id, distance) with at most `radius` different bits. Both sides: doc_id, hi, lo."""
     distance = F.bit_count(F.col("hi").bitwiseXOR(F.col("qhi"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("qlo")))
-    near = q.join(c, "key").select("qhi", "qlo", "hi", "lo", distance.alias("distance")).where(F.col("distance") <= radius).distinct()
+    near = matches(queries, corpus, radius, kept).select("qhi", "qlo", "hi", "lo", distance.alias("distance"))
     asked = queries.select(F.col("doc_id").alias("query_id"), F.col("hi").alias("qhi"), F.col("lo").alias("qlo"))
     return asked.join(near, ["qhi", "qlo"]).join(corpus.select("doc_id", "hi", "lo"), ["hi", "lo"]).select("query_id", "doc_id", "distance")
 
@@ -125,6 +158,7 @@ def chained(docs: DataFrame) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the contract's columns near_docs: for ids divisible by 20, the other rows within RADIUS bits of the fingerprint."""
     rows = chained(table(spark, sf_dir, "documents").select("doc_id", "text"))
     order = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "text")
     n = F.length("text")
@@ -141,5 +175,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = votes.groupBy(*keys[:-1]).agg(*(F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{c}{s}") for s in (0, 1) for c in ("hi", "lo")))
     by_row = Window.partitionBy("bucket").orderBy("row")
     both = both.withColumn("hi2", F.lead("hi0").over(by_row)).withColumn("lo2", F.lead("lo0").over(by_row)).where("ghost = 0")
+    both = park(both.drop("bucket", "row", "ghost"), "prints")
+    # every 20th id is a query against all fingerprints
+    asked = F.coalesce(F.col("doc_id") % EVERY == 0, F.lit(False))
+    prints = F.col("hi0").alias("hi"), F.col("lo0").alias("lo")
+    near = matches(both.where(asked).select(*prints), both.select(*prints)).groupBy(F.col("qhi").alias("hi0"), F.col("qlo").alias("lo0")).agg((F.sum("n") - 1).alias("near_docs"))
+    found = both.where(asked).join(near, ["hi0", "lo0"], "left").select(*both.columns, "near_docs")
+    both = found.union(both.where(~asked).withColumn("near_docs", F.lit(None).cast("long")))
     hex_sha = F.lower(F.concat(*(F.lpad(F.hex(f"sha{i}"), 16, "0") for i in range(4))))
-    return both.select("doc_id", "n_chars", hex_sha.alias("edited_sha256"), as_hex("hi0", "lo0").alias("fingerprint"), as_hex("hi1", "lo1").alias("edited_fingerprint"), likeness(("hi0", "lo0"), ("hi1", "lo1")).alias("near_edited"), likeness(("hi0", "lo0"), ("hi2", "lo2")).alias("near_next"))
+    return both.select("doc_id", "n_chars", hex_sha.alias("edited_sha256"), as_hex("hi0", "lo0").alias("fingerprint"), as_hex("hi1", "lo1").alias("edited_fingerprint"), likeness(("hi0", "lo0"), ("hi1", "lo1")).alias("near_edited"), likeness(("hi0", "lo0"), ("hi2", "lo2")).alias("near_next"), "near_docs")

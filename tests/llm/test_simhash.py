@@ -40,6 +40,11 @@ def test_query_equals_brute_force(spark, tmp_path, monkeypatch):
             assert abs(x["near_next"] - likeness(x["fingerprint"], after["fingerprint"])) < 1e-9
 
 
+    for x in got:
+        near = sum(likeness(x["fingerprint"], y["fingerprint"]) >= 1 - 3 / 128 for y in got) - 1
+        assert x["near_docs"] == (near if x["doc_id"] is not None and x["doc_id"] % 20 == 0 else None)
+
+
 def test_chunks_do_not_change_votes(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
     whole = {tuple(x) for x in simhash.fingerprints(df).collect()}
@@ -48,8 +53,8 @@ def test_chunks_do_not_change_votes(spark, monkeypatch):
 
 
 def test_one_document_and_none(spark, tmp_path):
-    (x,) = run(spark, [(4, "a b c d e f", 0, 0)], tmp_path)
-    assert x["near_next"] == 1.0 and x["n_chars"] == 11
+    (x,) = run(spark, [(40, "a b c d e f", 0, 0)], tmp_path)
+    assert x["near_next"] == 1.0 and x["n_chars"] == 11 and x["near_docs"] == 0
     assert run(spark, [], tmp_path) == []
 
 
@@ -60,6 +65,8 @@ def test_block_tables_find_all_within_the_radius(spark):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     rows = [(i, signed(p >> 64), signed(p & ((1 << 64) - 1))) for i, p in enumerate(prints)]
     df = spark.createDataFrame(rows, "doc_id long, hi long, lo long")
-    got = {tuple(x) for x in simhash.within(df.where("doc_id % 2 = 0"), df, 3).collect()}
+    found = [tuple(x) for x in simhash.within(df.where("doc_id % 2 = 0"), df, 3).collect()]
+    got = set(found)
+    assert len(got) == len(found)
     want = {(i, j, d) for i, p in enumerate(prints) for j, q in enumerate(prints) if i % 2 == 0 and (d := bin(p ^ q).count("1")) <= 3}
     assert got == want
