@@ -12,16 +12,22 @@ merges, step by step, the neighbours whose joint piece has the best score (the l
 on a bit mask of cuts; with model="unigram" it is Viterbi. Units of more than LONG characters, which
 have no place in the mask, are encoded by the same merges in Python, with a heap.
 
+Frequent units are looked up where the text is, in a table of bounded size; so no frequent unit is
+shuffled. For the others, a chunk of documents asks, once for each unit, the bucket that holds it.
+Units travel sorted and joined by spaces, which they never hold, and so take a few bytes each.
+
 Characters without a piece become their bytes' pieces. A null or empty text has no ids. Ids may be
-null or repeated, as rows get a key of their own; extra columns do not matter. An empty table gives
-an empty result.
+null or repeated, as chunks keep their rows in order; extra columns do not matter. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +36,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, table
+from .base import by_value, park, parts, table
 
 by_value(__name__)
 
 MARK, LONG = "▁", 32
-#: Frequent units whose ids go with the code (at most about 20 MB, as units are at most LONG characters).
-HOT = 1 << 15
+#: Frequent units whose ids go with the code (units of at most LONG characters: some 10 MB).
+HOT = 1 << 17
+#: Units that a task counts before it passes them on; rows and characters of a chunk.
+MOST, CHUNK_ROWS, CHUNK_CHARS = 400_000, 8192, 1 << 24
+UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
 
 
 def default_model() -> str:
@@ -57,9 +66,39 @@ def piece_rows(path: str) -> list[tuple[str, int, float, int]]:
     return rows
 
 
-def units(text: Column) -> Column:
-    marked = F.concat(F.lit(MARK), F.translate(text, " ", MARK))
-    return F.when(F.length(text) > 0, F.regexp_extract_all(marked, F.lit(f"({MARK}+[^{MARK}\\n]*|[^{MARK}\\n]+|\\n+)"), F.lit(1))).otherwise(F.array().cast("array<string>"))
+def units(text: str | None) -> list[str]:
+    return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+
+
+def bucket_of(unit: str, buckets: int) -> int:
+    return zlib.crc32(unit.encode()) % buckets
+
+
+def counted(texts: DataFrame, buckets: int) -> DataFrame:
+    """bucket, unit, times; dealt by bucket, so that what follows can group units without a shuffle. texts: doc_id, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: Counter = Counter()
+
+        def rows() -> pa.RecordBatch:
+            by: dict[int, list[str]] = {}
+            for u in sorted(have):
+                by.setdefault(bucket_of(u, buckets), []).append(u)
+            found = [pa.array(list(by), pa.int32()), pa.array([" ".join(x) for x in by.values()], pa.string()), pa.array([[have[u] for u in x] for x in by.values()], pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(found, ["bucket", "units", "times"])
+
+        for batch in batches:
+            for text in batch.column(1):
+                have.update(units(text.as_py()))
+                if len(have) > MOST:
+                    yield rows()
+                    have.clear()
+        if have:
+            yield rows()
+
+    x = texts.mapInArrow(run, "bucket int, units string, times array<long>").repartition(buckets, "bucket")
+    x = x.select("bucket", F.explode(F.arrays_zip(F.split("units", " ").alias("unit"), F.col("times").alias("times"))).alias("u"))
+    return x.select("bucket", "u.unit", "u.times").groupBy("bucket", "unit").agg(F.sum("times").alias("times"))
 
 
 def mask(first: Column, last: Column) -> Column:
@@ -69,25 +108,35 @@ def mask(first: Column, last: Column) -> Column:
 
 
 def edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """unit, its length n, and all edges: start, end, score, ids, inner (cuts that the edge covers), ends. words: unit."""
-    n = F.length("unit")
-    x = words.withColumn("n", n).withColumn("start", F.explode(F.sequence(F.lit(0), n - 1)))
+    """words with n, the unit's length, and edge (score, left: minus the start, size, id or -1), a row for each edge. words: unit, and others."""
+    x = words.withColumn("n", F.length("unit")).withColumn("start", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     x = x.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("start")))))
     x = x.withColumn("piece", F.substring("unit", F.col("start") + 1, F.col("size")))
     # the piece table is a file's vocabulary: its size does not depend on the texts
     x = x.join(F.broadcast(pieces.where("byte < 0").select("piece", "id", "score")), "piece", "left").where("id is not null or size = 1")
-    code = F.hex(F.encode("piece", "UTF-8"))
-    first_byte = pieces.where("byte >= 0").agg(F.min("id")).first()[0] or 0
+    return x.select(*words.columns, "n", F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), (-F.col("start")).alias("left"), "size", F.coalesce("id", F.lit(-1)).alias("id")).alias("edge"))
+
+
+def edge_ids(e: Column, first_byte: int) -> Column:
+    """The edge's id, or those of its character's bytes."""
+    code = F.hex(F.encode(F.substring(F.col("unit"), 1 - e["left"], e["size"]), "UTF-8"))
     as_bytes = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda i: F.conv(F.substring(code, i, F.lit(2)), 16, 10).cast("int") + first_byte)
-    end = F.col("start") + F.col("size")
-    return x.select("unit", "n", F.struct("start", end.alias("end"), F.coalesce("score", F.lit(0.0)).alias("score"), F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes).alias("ids"), mask(F.col("start") + 1, end - 1).alias("inner"), mask(F.col("start"), F.col("start")).bitwiseOR(mask(end, end)).alias("ends"), F.col("id").isNotNull().alias("known")).alias("edge"))
+    return F.when(e["id"] >= 0, F.array(e["id"])).otherwise(as_bytes)
+
 
+def inner(e: Column) -> Column:
+    """The cuts that the edge covers."""
+    return mask(1 - e["left"], e["size"] - e["left"] - 1)
 
-def merged(grouped: DataFrame) -> DataFrame:
-    """unit, ids by merges in order of score. grouped: unit, n, edges."""
-    usable = F.filter("edges", lambda e: (e["inner"] != 0) & e["known"])
-    moves = F.transform(usable, lambda e: F.struct(e["score"].alias("score"), (-e["start"]).alias("left"), e["inner"].alias("inner"), e["ends"].alias("ends")))
-    x = grouped.withColumn("moves", moves)
+
+def ends(e: Column) -> Column:
+    return mask(-e["left"], -e["left"]).bitwiseOR(mask(e["size"] - e["left"], e["size"] - e["left"]))
+
+
+def merged(grouped: DataFrame, first_byte: int) -> DataFrame:
+    """ids by merges in order of score. grouped: unit, n, edges, and others, which stay."""
+    usable = F.filter("edges", lambda e: e["size"] > 1)
+    x = grouped.withColumn("moves", F.transform(usable, lambda e: F.struct(e["score"].alias("score"), e["left"].alias("left"), inner(e).alias("inner"), ends(e).alias("ends"))))
 
     def step(cuts: Column, _: Column) -> Column:
         fits = F.filter(F.col("moves"), lambda m: (m["ends"].bitwiseAND(cuts) == m["ends"]) & (F.bit_count(m["inner"].bitwiseAND(cuts)) == 1))
@@ -95,22 +144,24 @@ def merged(grouped: DataFrame) -> DataFrame:
         return F.coalesce(cuts.bitwiseAND(F.bitwise_not(best["inner"])), cuts)
 
     x = x.withColumn("cuts", F.aggregate(F.sequence(F.lit(1), F.col("n")), mask(F.lit(0), F.col("n")), step))
-    kept = F.filter(F.array_sort("edges"), lambda e: (e["ends"].bitwiseAND(F.col("cuts")) == e["ends"]) & (e["inner"].bitwiseAND(F.col("cuts")) == 0))
-    return x.select("unit", F.flatten(F.transform(kept, lambda e: e["ids"])).alias("ids"))
+    kept = F.filter("edges", lambda e: (ends(e).bitwiseAND(F.col("cuts")) == ends(e)) & (inner(e).bitwiseAND(F.col("cuts")) == 0))
+    in_order = F.array_sort(F.transform(kept, lambda e: F.struct((-e["left"]).alias("start"), edge_ids(e, first_byte).alias("ids"))))
+    return x.select(*(c for c in grouped.columns if c not in ("n", "edges")), F.flatten(F.transform(in_order, lambda e: e["ids"])).alias("ids"))
 
 
-def viterbi(grouped: DataFrame) -> DataFrame:
-    """unit, ids by the best sum of scores (characters without a piece cost 1e6)."""
+def viterbi(grouped: DataFrame, first_byte: int) -> DataFrame:
+    """ids by the best sum of scores (characters without a piece cost 1e6). grouped: unit, n, edges, and others, which stay."""
     state = "array<struct<score: double, ids: array<int>>>"
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))).cast(state)
 
     def step(done: Column, end: Column) -> Column:
-        into = F.filter(F.col("edges"), lambda e: e["end"] == end)
-        best = F.array_max(F.transform(into, lambda e: F.struct((F.element_at(done, e["start"] + 1)["score"] + F.when(e["known"], e["score"]).otherwise(F.lit(-1e6))).alias("score"), F.concat(F.element_at(done, e["start"] + 1)["ids"], e["ids"]).alias("ids"))))
+        into = F.filter(F.col("edges"), lambda e: e["size"] - e["left"] == end)
+        before = lambda e: F.element_at(done, 1 - e["left"])
+        best = F.array_max(F.transform(into, lambda e: F.struct((before(e)["score"] + F.when(e["id"] >= 0, e["score"]).otherwise(F.lit(-1e6))).alias("score"), F.concat(before(e)["ids"], edge_ids(e, first_byte)).alias("ids"))))
         return F.concat(done, F.array(best).cast(state))
 
     x = grouped.withColumn("done", F.aggregate(F.sequence(F.lit(1), F.col("n")), start, step))
-    return x.select("unit", F.element_at("done", -1)["ids"].alias("ids"))
+    return x.select(*(c for c in grouped.columns if c not in ("n", "edges")), F.element_at("done", -1)["ids"].alias("ids"))
 
 
 def merge_long(unit: str, ids: dict[str, int], scores: dict[str, float], bytes_from: int) -> list[int]:
@@ -139,72 +190,177 @@ def merge_long(unit: str, ids: dict[str, int], scores: dict[str, float], bytes_f
     return [x for p in parts if p for x in ([ids[p]] if p in ids else [bytes_from + b for b in p.encode()])]
 
 
-def placed(docs: DataFrame, hot: dict[str, list[int]]) -> DataFrame:
-    """row (own key), doc_id, ids of the units in hot, and holes (at: the place among ids, unit) for the others. docs: doc_id, text."""
-    split = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
-    hole = pa.list_(pa.struct([("at", pa.int32()), ("unit", pa.string())]))
+def squeezed(x: np.ndarray) -> bytes:
+    import zstandard
+
+    return zstandard.compress(x.astype("<i4" if len(x) and (x.max() > 32767 or x.min() < -32768) else "<i2").tobytes() + bytes([4 if len(x) and (x.max() > 32767 or x.min() < -32768) else 2]), 9)
+
+
+def loosened(x: bytes) -> np.ndarray:
+    import zstandard
+
+    raw = zstandard.decompress(x)
+    return np.frombuffer(raw[:-1], f"<i{raw[-1]}").astype(np.int64)
+
+
+def bucketed(coded: DataFrame, shown: dict[int, bytes]) -> DataFrame:
+    """Per bucket and task: bucket, units (sorted, joined), times, lens (negative where the ids do not decode to the unit) and ids, flat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
+        by: dict[int, list[tuple[str, int, list[int]]]] = {}
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part, ids, holes = batch.slice(first, 256), [], []
-                for text in part.column(1):
-                    own, missing = array("i"), []
-                    if text.is_valid and (text := text.as_py()):
-                        for unit in split.findall(MARK + text.replace(" ", MARK)):
-                            known = hot.get(unit)
-                            if known is None:
-                                missing.append({"at": len(own), "unit": unit})
-                            else:
-                                own.extend(known)
-                    ids.append(np.frombuffer(own, np.int32) if own else np.zeros(0, np.int32))
-                    holes.append(missing)
-                n = len(ids)
-                flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]), pa.int32()), pa.array(np.concatenate(ids) if n else np.zeros(0, np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), part.column(0), flat, pa.array(holes, hole)], ["row", "doc_id", "ids", "holes"])
-                row += n
-
-    return docs.mapInArrow(run, "row long, doc_id long, ids array<int>, holes array<struct<at: int, unit: string>>")
+            for b, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "unit", "times", "ids"))):
+                by.setdefault(b, []).append(tuple(row))
+        for b, rows in by.items():
+            rows.sort()
+            lens = [len(ids) if b"".join(shown[i] for i in ids) == u.encode() else -len(ids) for u, _, ids in rows]
+            flat = np.array([i for *_, ids in rows for i in ids])
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([" ".join(r[0] for r in rows)]), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())), pa.array([squeezed(np.array(lens))]), pa.array([squeezed(flat)])], ["bucket", "units", "times", "lens", "ids"])
+
+    return coded.select("bucket", "unit", "times", "ids").mapInArrow(run, "bucket int, units string, times array<long>, lens binary, ids binary")
+
+
+def frequent(coded: DataFrame, most: int) -> dict[str, bytes]:
+    """Ids (as four bytes each) of the most frequent units: at most `most`, which reach the driver. A histogram of counts gives the limit."""
+    size = F.floor(F.log2("n") * 16).cast("int")
+    bins = coded.select(F.explode("times").alias("n")).groupBy(size.alias("size")).agg(F.count("*").alias("units")).collect()
+    least, total = None, 0
+    for r in sorted(bins, key=lambda r: -r["size"]):
+        total += r["units"]
+        if total > most:
+            break
+        least = r["size"]
+    if least is None:
+        return {}
+    floor = 2 ** (least / 16) - 1e-6
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, times, lens, ids in zip(*(batch.column(c).to_pylist() for c in ("units", "times", "lens", "ids"))):
+                n, flat = loosened(lens), loosened(ids).astype("<i4")
+                stop = np.cumsum(np.abs(n))
+                out = [(u, flat[e - k : e].tobytes()) for u, t, k, e in zip(names.split(" "), times, n.tolist(), stop.tolist()) if t >= floor and k > 0 and len(u) <= LONG]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["unit", "ids"])
+
+    return {r["unit"]: bytes(r["ids"]) for r in coded.mapInArrow(run, "unit string, ids binary").collect()}
 
-def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """Per row: doc_id, ids, round_trip (all its units decode to themselves).
 
-    The `hot` most frequent units of at most LONG characters, a table of bounded size, are looked up
-    where the text is; so no frequent unit is shuffled. The rest are joined to the coded units.
+def placed(texts: DataFrame, hot: dict[str, bytes], buckets: int) -> DataFrame:
+    """Per chunk of rows: chunk, doc_ids, and the ids of hot units with holes for the others; asked: those units by bucket, in order of their numbers.
+
+    own: ids of a row; gaps: its holes; at: the place of each hole among the chunk's ids; unit: its number.
     """
+    asked = pa.list_(pa.struct([("bucket", pa.int32()), ("units", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+
+        def rows(doc_ids, own, gaps, ids, at, missing) -> pa.RecordBatch:
+            by: dict[int, list[str]] = {}
+            for u in sorted(set(missing)):
+                by.setdefault(bucket_of(u, buckets), []).append(u)
+            by = dict(sorted(by.items()))
+            number = {u: i for i, u in enumerate(u for x in by.values() for u in x)}
+            flat = np.frombuffer(bytes(ids), "<i4")
+            data = [squeezed(np.array(x)) for x in (own, gaps, flat, np.diff(np.array(at), prepend=0), [number[u] for u in missing])]
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), *(pa.array([x]) for x in data), pa.array([[{"bucket": b, "units": " ".join(x)} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "own", "gaps", "ids", "at", "unit", "asked"])
+
+        state: tuple = ([], [], [], bytearray(), array("i"), [])
+        chars = 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                doc_ids, own, gaps, ids, at, missing = state
+                before, holes, text = len(ids), len(missing), text.as_py()
+                for u in units(text):
+                    known = hot.get(u)
+                    if known is None:
+                        missing.append(u)
+                        at.append(len(ids) // 4)
+                    else:
+                        ids += known
+                doc_ids.append(doc_id)
+                own.append((len(ids) - before) // 4)
+                gaps.append(len(missing) - holes)
+                chars += len(text or "")
+                if len(doc_ids) >= CHUNK_ROWS or chars >= CHUNK_CHARS:
+                    yield rows(*state)
+                    state, chars, chunk = ([], [], [], bytearray(), array("i"), []), 0, chunk + 1
+        if state[0]:
+            yield rows(*state)
+
+    return texts.mapInArrow(run, "chunk long, doc_ids array<long>, own binary, gaps binary, ids binary, at binary, unit binary, asked array<struct<bucket: int, units: string>>")
+
+
+ANSWER = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("lens", pa.binary()), ("ids", pa.binary())])
+
+
+def answer(known: pa.Table, asked: pa.Table) -> pa.Table:
+    """Of one bucket: to each chunk the ids of the units it asks for, in its order."""
+    held: dict[str, tuple[int, np.ndarray]] = {}
+    for names, lens, ids in zip(*(known.column(c).to_pylist() for c in ("units", "lens", "ids"))):
+        n, flat = loosened(lens), loosened(ids)
+        stop = np.cumsum(np.abs(n))
+        held |= {u: (k, flat[e - abs(k) : e]) for u, k, e in zip(names.split(" "), n.tolist(), stop.tolist())}
+    out = []
+    for chunk, bucket, names in zip(*(asked.column(c).to_pylist() for c in ("chunk", "bucket", "units"))):
+        found = [held[u] for u in names.split(" ")]
+        out.append((chunk, bucket, squeezed(np.array([k for k, _ in found])), squeezed(np.concatenate([x for _, x in found]))))
+    return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), ANSWER)], schema=ANSWER) if out else ANSWER.empty_table()
+
+
+CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
+
+
+def filled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+    """The chunk's rows, with the answers in its holes."""
+    if not chunk.num_rows:
+        return CODED.empty_table()
+    (row,) = chunk.to_pylist()
+    own, gaps, ids, at, unit = (loosened(row[c]) for c in ("own", "gaps", "ids", "at", "unit"))
+    at = np.cumsum(at)
+    got = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
+    none = np.zeros(0, np.int64)
+    lens, words = (np.concatenate([loosened(r[c]) for r in got] or [none]) for c in ("lens", "ids"))
+    first = np.cumsum(np.abs(lens)) - np.abs(lens)
+    size = np.abs(lens)[unit]
+    pushed = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(len(ids) + pushed[-1], np.int32)
+    out[np.arange(len(ids)) + pushed[np.searchsorted(at, np.arange(len(ids)), side="right")]] = ids
+    inside = np.arange(pushed[-1]) - np.repeat(pushed[:-1], size)
+    out[np.repeat(at + pushed[:-1], size) + inside] = words[np.repeat(first[unit], size) + inside]
+    of_row = np.repeat(np.arange(len(own)), gaps)
+    length = own + np.bincount(of_row, size, len(own)).astype(np.int64)
+    wrong = np.bincount(of_row[lens[unit] < 0], minlength=len(own)) > 0
+    return pa.table([pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(out)), pa.array(~wrong)], schema=CODED)
+
+
+def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """Per row: doc_id, ids, round_trip (all its units that are not frequent decode to themselves; the frequent ones do)."""
     spark = docs.sparkSession
     rows = piece_rows(path or default_model())
     pieces = spark.createDataFrame(rows, "piece string, id int, score double, byte int")
     longest = max((len(p) for p, _, _, b in rows if b < 0), default=1)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    words = park(texts.select(F.explode(units(F.col("text"))).alias("unit")).groupBy("unit").agg(F.count("*").alias("times")), "words")
-    lattice = edges(words.where(F.length("unit") <= LONG), pieces, longest).groupBy("unit", "n").agg(F.collect_list("edge").alias("edges"))
-    folded = (merged if model == "bpe" else viterbi)(lattice)
     by_piece, scores = {p: i for p, i, _, b in rows if b < 0}, {p: s for p, _, s, b in rows if b < 0}
-    bytes_from = min((i for _, i, _, b in rows if b >= 0), default=0)
+    first_byte = min((i for _, i, _, b in rows if b >= 0), default=0)
+    buckets = 4 * parts(spark)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    words = counted(texts, buckets)
+    grouped = edges(words.where(F.length("unit") <= LONG), pieces, longest).groupBy("bucket", "unit", "times", "n").agg(F.collect_list("edge").alias("edges"))
+    folded = (merged if model == "bpe" else viterbi)(grouped, first_byte)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [merge_long(u, by_piece, scores, bytes_from) for u in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["unit", "ids"])
-
-    coded = park(folded.union(words.where(F.length("unit") > LONG).select("unit").mapInArrow(run, "unit string, ids array<int>")), "coded")
-    back = decoded(coded, pieces, "unit").select("unit", (F.col("text") == F.col("unit")).alias("same"))
-    coded = park(coded.join(back, "unit"), "checked")
-    # at most `hot` rows reach the driver: ids of the most frequent units
-    often = words.where(F.length("unit") <= LONG).orderBy(F.desc("times"), "unit").limit(hot).select("unit")
-    known = {r["unit"]: r["ids"] for r in coded.where("same").join(F.broadcast(often), "unit").select("unit", "ids").collect()}
-    held = park(placed(texts, known), "placed")
-    misses = held.select("row", F.posexplode("holes").alias("k", "hole")).select("row", "k", "hole.unit")
-    found = misses.join(coded, "unit").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", F.col("ids").alias("own")))).alias("parts"), F.min("same").alias("same"))
-    some = held.where(F.size("holes") > 0).join(found, "row")
-    start = lambda i: F.when(i == 0, 0).otherwise(F.element_at("holes", i)["at"])
-    filled = F.transform("holes", lambda h, i: F.concat(F.slice("ids", start(i) + 1, h["at"] - start(i)), F.element_at("parts", i + 1)["own"]))
-    rest = F.slice("ids", F.element_at("holes", -1)["at"] + 1, F.size("ids"))
-    done = held.where(F.size("holes") == 0).select("doc_id", "ids", F.lit(True).alias("round_trip"))
-    return done.union(some.select("doc_id", F.concat(F.flatten(filled), rest), "same"))
+            found = [merge_long(u, by_piece, scores, first_byte) for u in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], ["bucket", "unit", "times", "ids"])
+
+    long_ones = words.where(F.length("unit") > LONG).mapInArrow(run, "bucket int, unit string, times long, ids array<int>")
+    shown = {i: bytes([b]) if b >= 0 else p.encode() for p, i, _, b in rows}
+    coded = park(bucketed(folded.union(long_ones), shown), "coded", compression="zstd")
+    held = park(placed(texts, frequent(coded, hot), buckets), "chunks", compression="zstd")
+    asked = held.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.bucket", "a.units")
+    answers = coded.select("bucket", "units", "lens", "ids").groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket int, lens binary, ids binary")
+    return held.drop("asked").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(filled, "doc_id long, ids array<int>, round_trip boolean")
 
 
 def decoded(coded: DataFrame, pieces: DataFrame, key: str, column: str = "ids") -> DataFrame:

@@ -46,9 +46,17 @@ def test_viterbi_has_the_best_sum(spark):
     pieces = spark.createDataFrame([(p, i, s, -1) for i, (p, s) in enumerate(scores.items())] + [(f"<0x{b:02X}>", 10 + b, 0.0, b) for b in range(256)], "piece string, id int, score double, byte int")
     words = ["abc", "abab", "cab", "abz"]
     grouped = lattice.edges(spark.createDataFrame([(w,) for w in words], "unit string"), pieces, 3).groupBy("unit", "n").agg({"edge": "collect_list"}).toDF("unit", "n", "edges")
-    got = dict(map(tuple, lattice.viterbi(grouped).collect()))
+    got = dict(map(tuple, lattice.viterbi(grouped, 10).collect()))
     assert got == {"abc": [0, 5], "abab": [0, 1, 0, 1], "cab": [4, 0, 1], "abz": [0, 1, 10 + ord("z")]}
 
 
+def test_small_chunks(spark, sp, monkeypatch):
+    monkeypatch.setattr(lattice, "CHUNK_ROWS", 7)
+    monkeypatch.setattr(lattice, "MOST", 5)
+    rows = [(i, t) for i, t in enumerate(texts())]
+    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string"), hot=20).collect()
+    assert sorted((x["doc_id"], list(x["ids"])) for x in got) == [(i, sp.encode(t or "")) for i, t in rows]
+
+
 def test_empty_table(spark):
     assert lattice.encode(spark.createDataFrame([], "doc_id long, text string")).collect() == []
