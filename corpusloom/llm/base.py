@@ -19,6 +19,34 @@ def by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+by_value(__name__)
+
+
+def tidy(run):
+    """run, a function of an Arrow batch iterator, that gives freed memory back to the system at its task's end.
+
+    Python workers live on from task to task, and so would what their allocators keep.
+    """
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow
+
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not glibc
+                pass
+
+    return whole
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

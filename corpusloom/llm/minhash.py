@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, likely, park, parts, table
+from .base import by_value, likely, park, parts, table, tidy
 from .components import components
 from .words import buffers, hashes, mixed, words
 
@@ -148,7 +148,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, r
                     ["doc_id", "digest", "n_shingles", "sig", "bands"],
                 )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, digest binary, n_shingles long, sig binary, bands array<long>")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(tidy(run), "doc_id long, digest binary, n_shingles long, sig binary, bands array<long>")
 
 
 def pruned(pairs: DataFrame, k: int, bounds: list[tuple[int, int]]) -> DataFrame:
@@ -160,7 +160,7 @@ def pruned(pairs: DataFrame, k: int, bounds: list[tuple[int, int]]) -> DataFrame
                 keep = survivors(matrix(x.column("sig_a"), k), matrix(x.column("sig_b"), k), bounds)
                 yield x.select(["a", "b"]).take(pa.array(keep))
 
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -174,7 +174,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([values[i:j].tobytes() for i, j in zip(offsets, offsets[1:])], pa.binary())], ["doc_id", "shingles"])
 
     found = likely(docs.select("doc_id", "text"), ids, "doc_id").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return park(found.mapInArrow(sets, "doc_id long, shingles binary"), "shingles")
+    return park(found.mapInArrow(tidy(sets), "doc_id long, shingles binary"), "shingles")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -195,7 +195,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int)
                 yield x.select(["a", "b"]).take(pa.array(keep))
 
     x = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("shingles").alias("shingles_a")), "a").join(held.select(F.col("doc_id").alias("b"), F.col("shingles").alias("shingles_b")), "b")
-    return x.select("a", "b", "shingles_a", "shingles_b").mapInArrow(check, "a long, b long")
+    return x.select("a", "b", "shingles_a", "shingles_b").mapInArrow(tidy(check), "a long, b long")
 
 
 def joining_pairs(ids: np.ndarray, part: np.ndarray, own: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], band: int, pivot: int, two: bool, keys: np.ndarray, bounds: list[tuple[int, int]], num: int, den: int) -> list[tuple[int, int]]:
@@ -268,7 +268,7 @@ def mixed_buckets(members: DataFrame, k: int, rows: int, bounds: list[tuple[int,
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
 
     n = parts(members.sparkSession)
-    return x.repartition(n, "key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long")
+    return x.repartition(n, "key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(tidy(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, batch: int = BATCH, block: int = BLOCK, weight: int = WEIGHT) -> DataFrame:

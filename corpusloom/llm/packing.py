@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import by_value, park, table
+from .base import by_value, park, table, tidy
 from .tokens import default_path, encoder
 
 by_value(__name__)
@@ -63,7 +63,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, size: int,
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(rid, rid + len(out))), part.column(0), pa.array(out, kind)], ["rid", "doc_id", "pieces"])
                 rid += len(out)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"rid long, doc_id long, pieces {PIECES}")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), f"rid long, doc_id long, pieces {PIECES}")
 
 
 def best_fit(counts: dict[int, int], size: int) -> Counter:

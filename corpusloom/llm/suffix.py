@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, parts, table
+from .base import by_value, park, parts, table, tidy
 from .words import buffers, loads, mixed
 
 by_value(__name__)
@@ -243,7 +243,7 @@ def ingest(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 rid += n
 
     kind = docs.schema["carried"].dataType.simpleString()
-    return docs.mapInArrow(run, f"rid long, doc_id long, sha binary, n_bytes long, packed binary, runs array<struct<h: long, s: long, e: long>>, carried {kind}")
+    return docs.mapInArrow(tidy(run), f"rid long, doc_id long, sha binary, n_bytes long, packed binary, runs array<struct<h: long, s: long, e: long>>, carried {kind}")
 
 
 def cut_segments(rows: DataFrame, length: int) -> DataFrame:
@@ -268,7 +268,7 @@ def cut_segments(rows: DataFrame, length: int) -> DataFrame:
                 c = list(zip(*out[at : at + 4096]))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["rid", "s", "w", "h", "m", "salt", "digest", "seg"])
 
-    return rows.mapInArrow(run, "rid long, s long, w long, h long, m int, salt int, digest binary, seg binary")
+    return rows.mapInArrow(tidy(run), "rid long, s long, w long, h long, m int, salt int, digest binary, seg binary")
 
 
 def shard_sort(segments: DataFrame, length: int) -> DataFrame:
@@ -330,7 +330,7 @@ def shard_sort(segments: DataFrame, length: int) -> DataFrame:
         if out:
             yield batch_of(out)
 
-    return segments.select("h", "m", "salt", "digest", "seg").mapInArrow(run, HITS)
+    return segments.select("h", "m", "salt", "digest", "seg").mapInArrow(tidy(run), HITS)
 
 
 HITS = "h long, digest binary, hits array<struct<a: long, b: long>>, range long, seg binary"
@@ -389,7 +389,7 @@ def merged_shards(runs: DataFrame) -> DataFrame:
             yield batch_of(out[at : at + 2000])
 
     n = parts(runs.sparkSession)
-    return runs.repartition(n, "h", "range").sortWithinPartitions("h", "range").mapInArrow(run, HITS)
+    return runs.repartition(n, "h", "range").sortWithinPartitions("h", "range").mapInArrow(tidy(run), HITS)
 
 
 def united(rows: DataFrame, length: int) -> DataFrame:
@@ -408,7 +408,7 @@ def united(rows: DataFrame, length: int) -> DataFrame:
                 out.append(spans)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["rid", "spans"])
 
-    return rows.mapInArrow(run, f"rid long, spans {SPANS}")
+    return rows.mapInArrow(tidy(run), f"rid long, spans {SPANS}")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, split: int = SPLIT, carry: list[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -472,7 +472,7 @@ def kept_text(texts: DataFrame, spans: DataFrame, whole_chars: bool, how: str =
                 )
 
     kinds = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in rest)
-    return texts.join(spans, "rid", how).select("packed", "spans", *rest).mapInArrow(run, f"n_removed long, n_spans long, kept binary, kept_sha256 string, {kinds}")
+    return texts.join(spans, "rid", how).select("packed", "spans", *rest).mapInArrow(tidy(run), f"n_removed long, n_spans long, kept binary, kept_sha256 string, {kinds}")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] = (), **more) -> DataFrame:

@@ -32,9 +32,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(path)
+        self.path, self._slow = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [x["content"] for x in spec.get("added_tokens", [])]
@@ -43,6 +42,15 @@ class Encoder:
         ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def slow(self):
+        """The library's own, for the few texts that need it: loaded with the first of them."""
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self.path)
+        return self._slow
+
     def ids(self, text: str) -> list[int]:
         if any(x in text for x in self.special):
             return self.slow.encode(text, add_special_tokens=False).ids

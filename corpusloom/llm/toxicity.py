@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, table
+from .base import by_value, park, table, tidy
 from .words import buffers, hashes, loads, mixed, words
 
 by_value(__name__)
@@ -129,7 +129,7 @@ def train(labelled: DataFrame, **more) -> dict[str, np.ndarray]:
         m = fitted([np.asarray(x, np.int64) for x in pdf["terms"]], pdf["toxic"].to_numpy(float), **more)
         return pd.DataFrame({"name": list(m), "value": [np.asarray(m[x], float).tobytes() for x in m], "width": [m[x].shape[-1] for x in m]})
 
-    got = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(featured, "terms array<int>, toxic int, one int").groupBy("one").applyInPandas(fit, "name string, value binary, width int").collect()
+    got = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(tidy(featured), "terms array<int>, toxic int, one int").groupBy("one").applyInPandas(fit, "name string, value binary, width int").collect()
     model = {r["name"]: np.frombuffer(r["value"]) for r in got} or {x: np.asarray(y, float) for x, y in fitted([], np.zeros(0)).items()}
     factors = next((r["width"] for r in got if r["name"] == "v"), FACTORS)
     return {"b": model["b"], "w": model["w"], "v": model["v"].reshape(-1, factors), "ids": model["ids"].astype(np.int64)}
@@ -144,7 +144,7 @@ def scored(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id"
                 part = batch.slice(at, 512)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores(model, *terms(part.column(1))), pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def clean(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text", limit: float = TOXIC_FROM) -> DataFrame:
@@ -157,7 +157,7 @@ def clean(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text",
                 part = batch.slice(start, 512)
                 yield part.filter(pa.array(scores(model, *terms(part.column(at))) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def held_out(column: str = "doc_id"):
