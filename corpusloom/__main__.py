@@ -22,8 +22,8 @@ def parser() -> argparse.ArgumentParser:
         return sub.add_parser(name, help=text, description=text)
 
     c = command("strip-page-markers", "books without page marker lines")
-    c.add_argument("--input", required=True)
-    c.add_argument("--output", required=True)
+    c.add_argument("--input", help="default: input/ of the workspace")
+    c.add_argument("--output", help="default: work/clean, where prepare looks first")
     c.add_argument("--force", action="store_true")
     c = command("prepare", "cut the books of input/ into segments, and pack those into batches")
     c.add_argument("--keep-page-markers", action="store_true")
@@ -81,7 +81,7 @@ def parser() -> argparse.ArgumentParser:
 def run(a: argparse.Namespace, spark: SparkSession) -> int:
     w = Workspace(spark, a.root)
     if a.command == "strip-page-markers":
-        report = clean(spark, a.input, a.output, a.force)
+        report = clean(spark, a.input or f"{a.root}/input/*.{{md,txt}}", a.output or f"{a.root}/work/clean", a.force)
     elif a.command == "prepare":
         report = w.prepare(None, a.max_segment_bytes, a.keep_page_markers, a.max_bytes, a.max_segments, a.max_chars, a.force)
     elif a.command == "request":

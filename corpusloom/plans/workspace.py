@@ -6,6 +6,7 @@ is always derived from the segments and the ledger, so a step that broke off can
     input/                 books (.md, .txt) and archives (.epub)
     work/segments.jsonl    work/batches.jsonl    work/translations.jsonl (the ledger)
     work/checkpoints/      requests and the outputs that answer them
+    work/clean/            books without page markers, if they were cleaned beforehand
     output/                parallel.html, rebuilt archives
 
 With several books, segment and batch ids carry their book in front (book:ch001-p0001), so that
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..operators import batch, context, epub, progress, render, segment, translations, validate
@@ -85,8 +87,11 @@ class Workspace:
         return {"ok": True, "books": len(written), **counts}
 
     def prepare(self, books: DataFrame | None = None, max_segment_bytes: int = MAX_SEGMENT_BYTES, keep_page_markers: bool = False, max_bytes: int = MAX_BATCH_BYTES, max_segments: int = MAX_BATCH_SEGMENTS, max_chars: int | None = None, overwrite: bool = False) -> dict:
-        """Segments and batches of all books."""
-        books = books if books is not None else S.read_books(self.spark, f"{self.root}/input/*.{{md,txt}}")
+        """Segments and batches of all books: those in work/clean, if clean() was run, else those in input/."""
+        if books is None:
+            cleaned = f"{self.root}/work/clean"
+            found = S.read_books(self.spark, f"{cleaned}/*.md" if files.exists(self.spark, cleaned) else f"{self.root}/input/*.{{md,txt}}")
+            books = found.withColumn("book_id", F.regexp_replace("book_id", r"\.no_pages$", ""))
         several = books.select("book_id").distinct().limit(2).count() > 1
         named = lambda c: F.concat("book_id", F.lit(":"), c) if several else F.col(c)
         segs = segment.segment(books, max_segment_bytes, not keep_page_markers).withColumn("id", named("id"))
@@ -97,10 +102,9 @@ class Workspace:
         files.write_jsonl(rows, self.batches_path, "book_id", "order", overwrite=overwrite)
         rows = self.batches()
         validate.enforce(validate.batches(rows))
-        order = lambda x, *by: x.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct(*by))).alias("ids"))
-        a, b = order(segs, "pos", "id"), order(batch.flat(rows), "batch_order", "idx", "id")
-        ids = lambda c: F.transform(c, lambda r: r["id"])
-        wrong = a.select("book_id", ids("ids").alias("a")).join(b.select("book_id", ids("ids").alias("b")), "book_id", "full_outer").where("not (a <=> b)")
+        numbered = lambda x, *by: x.select("book_id", F.row_number().over(Window.partitionBy("book_id").orderBy(*by)).alias("n"), "id")
+        a, b = numbered(segs, "pos"), numbered(batch.flat(rows), "batch_order", "idx").withColumnRenamed("id", "other")
+        wrong = a.join(b, ["book_id", "n"], "full_outer").where("not (id <=> other)").select("book_id").distinct()
         if bad := _listed(wrong, "book_id"):
             raise ValueError(f"batches: segments missing, extra or out of order in {bad}")
         return {"ok": True, **segment.segment_stats(segs).first().asDict(), **batch.batch_stats(rows).first().asDict()}

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from corpusloom.__main__ import parser, run
-from corpusloom.plans.workspace import Workspace, clean
+from corpusloom.plans.workspace import Workspace
 from corpusloom.sinks import files
 from corpusloom.streaming import outputs
 
@@ -111,5 +111,6 @@ def test_command_line(spark, tmp_path, capsys):
     assert code == 1 and json.loads(out)["issues"]["expected_missing_by_batch"]
     assert "Progress: 0/6" in call("progress")[1] and "## Targets" in call("step")[1]
     assert json.loads(call("assemble", "--only-translated")[1])["pending"] == 6
-    assert clean(spark, str(tmp_path / "input"), str(tmp_path / "clean"))["removed_page_markers"] == 1
-    assert "[Page" not in (tmp_path / "clean" / "book.no_pages.md").read_text()
+    assert json.loads(call("strip-page-markers")[1])["removed_page_markers"] == 1
+    assert "[Page" not in (tmp_path / "work" / "clean" / "book.no_pages.md").read_text()
+    assert json.loads(call("prepare", "--keep-page-markers", "--force")[1])["segments"] == 6
