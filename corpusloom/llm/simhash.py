@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import likely, park, parts, table
+from .base import park, parts, table
 
 BITS, LANES, CHUNK = 128, 4, 30000
-#: Different bits that still count as near, blocks that have to agree, queries that are looked at together; every EVERY-th id is a query.
-RADIUS, KEPT, BLOCK, EVERY = 3, 2, 256, 20
+#: Different bits that still count as near: near copies of some hundred words differ in 10 to 24 bits, unrelated texts in about 64.
+RADIUS = 23
+#: Blocks (each 128 / BLOCKS bits), rows that are looked at together; every EVERY-th id is a query.
+BLOCKS, LIST, EVERY = 8, 256, 20
 STEP = 64 // LANES
 MASK = 0x0001000100010001
 #: Cells of the id range; neighbouring cells make a bucket, and ids are ordered within buckets.
@@ -79,54 +81,48 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return voted(rows, ["row", "doc_id"], "text").drop("row")
 
 
-def masks(first: int, last: int) -> tuple[int, int]:
-    """Bits first .. last - 1, from the left, as longs for hi and lo."""
-    m = ((1 << (last - first)) - 1) << (BITS - last)
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    return signed(m >> 64), signed(m & ((1 << 64) - 1))
+def cell(hi: Column, lo: Column, i: int, blocks: int) -> Column:
+    """Block i of the bits, from the left, as a number; blocks do not cross from hi to lo."""
+    width = BITS // blocks
+    return F.shiftrightunsigned(hi if i * width < 64 else lo, 64 - width - i * width % 64).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def matches(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, kept: int = KEPT, block: int = BLOCK) -> DataFrame:
-    """qhi, qlo, hi, lo, n: each two different or equal fingerprints of the sides with at most `radius` different bits, once; n rows of the corpus have hi, lo.
+def matches(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, most: int = LIST) -> DataFrame:
+    """hi, lo of each different fingerprint of the queries, near: (doc_id, distance) of each row of the corpus with at most `radius` different bits.
 
-    The bits are cut into radius + kept blocks. Two fingerprints within the radius agree in `kept`
-    blocks at least, so one of the tables, one for each choice of `kept` blocks and keyed by them
-    (the permuted blocks in front), holds both under one key. The queries of a key come in lists of
-    about `block`; a row of the corpus is held against such a list at once, so what fails the test is
-    never a row. A pair that several tables hold counts in the first of them.
+    Two fingerprints within the radius differ in at most radius // blocks bits of one block. So there is
+    a table for each block, keyed by it (the block in front); the corpus is in it under its own block, a
+    query asks for its block and for all that differ so little from it. The rows of a key come in lists
+    of about `most`, and a query is held against such a list at once, so what fails the test is never a
+    row, and what is found stays an array. A pair that several tables hold counts in the first of them.
     """
-    count = radius + kept
-    edges = [BITS * i // count for i in range(count + 1)]
-    own = [masks(edges[i], edges[i + 1]) for i in range(count)]
-    choices = list(combinations(range(count), kept))
-    whole = lambda chosen, side: reduce(lambda x, y: x | y, (own[i][side] for i in chosen))
-    key = lambda t, chosen: F.xxhash64(F.lit(t), F.col("hi").bitwiseAND(F.lit(whole(chosen, 0))), F.col("lo").bitwiseAND(F.lit(whole(chosen, 1))))
-    tables = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), key(t, chosen).alias("key")) for t, chosen in enumerate(choices))))
-    tabled = lambda x: x.select("*", tables.alias("_t")).select(*x.columns, "_t.t", "_t.key")
-    asked = tabled(queries.select("hi", "lo").distinct())
-    size = asked.groupBy("key").agg(F.count("*").alias("size"))
-    part = F.pmod(F.xxhash64("hi", "lo"), F.ceil(F.col("size") / block))
-    lists = asked.join(size, "key").groupBy("t", "key", part.alias("part")).agg(F.collect_list(F.struct(F.col("hi").alias("qhi"), F.col("lo").alias("qlo"))).alias("asked"))
-    rows = tabled(corpus.groupBy("hi", "lo").agg(F.count("*").alias("n")))
-    x = likely(rows, asked.select("key"), "key").join(lists.withColumnRenamed("t", "_t"), "key").where("t = _t")
-
-    def found(q):
-        hi, lo = F.col("hi").bitwiseXOR(q["qhi"]), F.col("lo").bitwiseXOR(q["qlo"])
-        same = [hi.bitwiseAND(F.lit(h)).bitwiseOR(lo.bitwiseAND(F.lit(l))) == 0 for h, l in own]
-        # the table of the first `kept` blocks in which both agree
-        first = lambda chosen: reduce(lambda p, r: p & r, (same[i] if i in chosen else ~same[i] for i in range(max(chosen) + 1)))
-        tables_ = reduce(lambda p, r: p | r, ((F.col("t") == t) & first(chosen) for t, chosen in enumerate(choices)))
-        return (F.bit_count(hi) + F.bit_count(lo) <= radius) & tables_
-
-    return x.select(F.explode(F.filter("asked", found)).alias("q"), "hi", "lo", "n").select("q.*", "hi", "lo", "n")
-
-
-def within(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, kept: int = KEPT) -> DataFrame:
+    width, off = BITS // blocks, radius // blocks
+    near = [sum(1 << i for i in c) for k in range(off + 1) for c in combinations(range(width), k)]
+    key = lambda i: cell(F.col("hi"), F.col("lo"), i, blocks).bitwiseOR(F.lit(i << width))
+    flips = F.array(*(F.lit(x).cast("long") for x in near))
+    asks = F.flatten(F.transform(F.array(*map(key, range(blocks))), lambda k: F.transform(flips, lambda m: k.bitwiseXOR(m))))
+    asked = queries.select("hi", "lo").distinct().select(F.col("hi").alias("qhi"), F.col("lo").alias("qlo"), F.explode(asks).alias("key"))
+    rows = corpus.select("doc_id", "hi", "lo", F.explode(F.array(*(key(i) for i in range(blocks)))).alias("key"))
+    # at most blocks << width keys, whatever the corpus
+    size = rows.groupBy("key").agg(F.count("*").alias("size"))
+    part = F.pmod(F.xxhash64("doc_id", "hi", "lo"), F.ceil(F.col("size") / most))
+    lists = rows.join(size, "key").groupBy("key", part.alias("part")).agg(F.collect_list(F.struct("doc_id", "hi", "lo")).alias("rows"))
+    x = asked.join(lists, "key").withColumn("t", F.shiftright("key", width))
+    distance = lambda r: F.bit_count(F.col("qhi").bitwiseXOR(r["hi"])) + F.bit_count(F.col("qlo").bitwiseXOR(r["lo"]))
+
+    def found(r):
+        hi, lo = F.col("qhi").bitwiseXOR(r["hi"]), F.col("qlo").bitwiseXOR(r["lo"])
+        first = [(F.col("t") <= i) | (F.bit_count(cell(hi, lo, i, blocks)) > off) for i in range(blocks - 1)]
+        return reduce(lambda p, q: p & q, first, distance(r) <= radius)
+
+    x = x.select("qhi", "qlo", F.transform(F.filter("rows", found), lambda r: F.struct(r["doc_id"].alias("doc_id"), distance(r).alias("distance"))).alias("near"))
+    return x.where(F.size("near") > 0).groupBy(F.col("qhi").alias("hi"), F.col("qlo").alias("lo")).agg(F.flatten(F.collect_list("near")).alias("near"))
+
+
+def within(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """All (query_id, doc_id, distance) with at most `radius` different bits. Both sides: doc_id, hi, lo."""
-    distance = F.bit_count(F.col("hi").bitwiseXOR(F.col("qhi"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("qlo")))
-    near = matches(queries, corpus, radius, kept).select("qhi", "qlo", "hi", "lo", distance.alias("distance"))
-    asked = queries.select(F.col("doc_id").alias("query_id"), F.col("hi").alias("qhi"), F.col("lo").alias("qlo"))
-    return asked.join(near, ["qhi", "qlo"]).join(corpus.select("doc_id", "hi", "lo"), ["hi", "lo"]).select("query_id", "doc_id", "distance")
+    asked = queries.select(F.col("doc_id").alias("query_id"), "hi", "lo")
+    return asked.join(matches(queries, corpus, radius, blocks), ["hi", "lo"]).select("query_id", F.explode("near").alias("n")).select("query_id", "n.doc_id", "n.distance")
 
 
 def chained(docs: DataFrame) -> DataFrame:
@@ -158,7 +154,7 @@ def chained(docs: DataFrame) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Beside the contract's columns near_docs: for ids divisible by 20, the other rows within RADIUS bits of the fingerprint."""
+    """Beside the contract's columns near: for ids divisible by 20, (doc_id, distance) of the other rows within RADIUS bits of the fingerprint, and near_docs, their number."""
     rows = chained(table(spark, sf_dir, "documents").select("doc_id", "text"))
     order = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "text")
     n = F.length("text")
@@ -178,9 +174,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = park(both.drop("bucket", "row", "ghost"), "prints")
     # every 20th id is a query against all fingerprints
     asked = F.coalesce(F.col("doc_id") % EVERY == 0, F.lit(False))
-    prints = F.col("hi0").alias("hi"), F.col("lo0").alias("lo")
-    near = matches(both.where(asked).select(*prints), both.select(*prints)).groupBy(F.col("qhi").alias("hi0"), F.col("qlo").alias("lo0")).agg((F.sum("n") - 1).alias("near_docs"))
-    found = both.where(asked).join(near, ["hi0", "lo0"], "left").select(*both.columns, "near_docs")
-    both = found.union(both.where(~asked).withColumn("near_docs", F.lit(None).cast("long")))
+    prints = both.select("doc_id", F.col("hi0").alias("hi"), F.col("lo0").alias("lo"))
+    near = matches(prints.where(asked), prints).select(F.col("hi").alias("hi0"), F.col("lo").alias("lo0"), F.array_sort("near").alias("near"))
+    # without the row itself
+    own = F.array_position("near", F.struct("doc_id", F.lit(0).alias("distance"))).cast("int")
+    others = F.concat(F.slice("near", F.lit(1), own - 1), F.slice("near", own + 1, F.size("near")))
+    found = both.where(asked).join(near, ["hi0", "lo0"], "left").select(*both.columns, others.alias("near"))
+    both = found.union(both.where(~asked).withColumn("near", F.lit(None).cast(found.schema["near"].dataType)))
     hex_sha = F.lower(F.concat(*(F.lpad(F.hex(f"sha{i}"), 16, "0") for i in range(4))))
-    return both.select("doc_id", "n_chars", hex_sha.alias("edited_sha256"), as_hex("hi0", "lo0").alias("fingerprint"), as_hex("hi1", "lo1").alias("edited_fingerprint"), likeness(("hi0", "lo0"), ("hi1", "lo1")).alias("near_edited"), likeness(("hi0", "lo0"), ("hi2", "lo2")).alias("near_next"), "near_docs")
+    return both.select("doc_id", "n_chars", hex_sha.alias("edited_sha256"), as_hex("hi0", "lo0").alias("fingerprint"), as_hex("hi1", "lo1").alias("edited_fingerprint"), likeness(("hi0", "lo0"), ("hi1", "lo1")).alias("near_edited"), likeness(("hi0", "lo0"), ("hi2", "lo2")).alias("near_next"), F.when(F.col("near").isNotNull(), F.size("near").cast("long")).alias("near_docs"), "near")

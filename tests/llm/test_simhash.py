@@ -70,3 +70,35 @@ def test_block_tables_find_all_within_the_radius(spark):
     assert len(got) == len(found)
     want = {(i, j, d) for i, p in enumerate(prints) for j, q in enumerate(prints) if i % 2 == 0 and (d := bin(p ^ q).count("1")) <= 3}
     assert got == want
+
+
+def test_query_keeps_the_near_copies_of_ordinary_texts(spark, tmp_path):
+    r = random.Random(4)
+    rows = []
+    for i in range(12):
+        words = [f"v{r.randrange(3000)}" for _ in range(100 + 20 * i)]
+        copy = [*words]
+        copy[50] = "edited"
+        rows += [(40 * i, " ".join(words), 0, 0), (40 * i + 1, " ".join(copy), 0, 0)]
+    rows.append((40, rows[2][1], 0, 0))
+    got = run(spark, rows, tmp_path)
+    prints = [(x["doc_id"], x["fingerprint"]) for x in got]
+    for x in got:
+        want = [(i, round(128 * (1 - likeness(x["fingerprint"], p)))) for i, p in prints]
+        want = sorted(w for w in want if w[1] <= simhash.RADIUS)
+        if x["doc_id"] % 20:
+            assert x["near"] is None
+            continue
+        want.remove((x["doc_id"], 0))
+        assert [tuple(n) for n in x["near"]] == want and x["near_docs"] == len(want)
+        assert x["doc_id"] + 1 in [i for i, _ in want]
+
+
+def test_probed_blocks_find_all_within_a_wide_radius(spark):
+    r = random.Random(2)
+    base = [r.getrandbits(128) for _ in range(6)]
+    prints = base + [b ^ sum(1 << i for i in r.sample(range(128), r.randrange(18, 28))) for b in base for _ in range(8)]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    df = spark.createDataFrame([(i, signed(p >> 64), signed(p & ((1 << 64) - 1))) for i, p in enumerate(prints)], "doc_id long, hi long, lo long")
+    found = sorted(tuple(x) for x in simhash.within(df.where("doc_id < 6"), df).collect())
+    assert found == sorted((i, j, d) for i, p in enumerate(base) for j, q in enumerate(prints) if (d := bin(p ^ q).count("1")) <= simhash.RADIUS)
