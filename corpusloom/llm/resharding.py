@@ -14,12 +14,13 @@ ids too. Extra columns do not matter. An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .base import park, table
+from .base import park, shared_dir, table
 
 SHARDS, FINE = 16, 256
 #: Groups of rows of one shard that are numbered by a task of their own.
@@ -154,10 +155,21 @@ def rewrite(rows: DataFrame, old: str, source: str, target: str) -> list[int]:
 
 
 def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The old layout: one shard for each source, by hash of its name; so a hot source is a hot shard."""
+    """The old layout: one shard for each source, by hash of its name; so a hot source is a hot shard.
+
+    Whole documents of shards that give or take are rewritten into the shared folder; size and text_crc32 are
+    taken from the new files there, and from the old rows only where a shard stays as it is.
+    """
     docs = table(spark, sf_dir, "documents")
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     old = F.pmod(F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")), F.lit(SHARDS)).cast("int")
-    rows = park(docs.select("doc_id", (F.octet_length("text").cast("long")).alias("bytes"), F.crc32(text).alias("text_crc32"), old.alias("old_shard")).select("doc_id", (F.coalesce("bytes", F.lit(0)) + 1).alias("size"), "text_crc32", "old_shard"), "sizes")
-    placed = slotted(plan(rows, "old_shard", "doc_id", "size", SHARDS), "shard", "doc_id", "text_crc32", "size")
+    size = F.coalesce(F.octet_length("text").cast("long"), F.lit(0)) + 1
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    columns = [c for c in docs.columns if c.lower() not in ("size", "shard", "old_shard", "b1", "b2", "coarse", "small")]
+    whole = plan(docs.select(*columns, size.alias("size"), old.alias("old_shard")), "old_shard", "doc_id", "size", SHARDS).select(*columns, "old_shard", "shard")
+    target = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    same = rewrite(whole, "old_shard", sf_dir, target)
+    written = spark.read.schema(whole.schema).parquet(target)
+    files = written.unionByName(whole.where(F.col("shard").isin(same))) if same else written
+    rows = park(files.select("doc_id", size.alias("size"), crc.alias("text_crc32"), "old_shard", "shard"), "sizes")
+    placed = slotted(rows, "shard", "doc_id", "text_crc32", "size")
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")

@@ -57,3 +57,14 @@ def test_rewrite_touches_moved_shards_only(spark, tmp_path):
     assert files | set(same) == {0, 1, 2, 3} and not files & set(same)
     back = {(x["doc_id"], x["shard"]) for x in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert back == {x for x in after if x[1] in files}
+
+
+def test_query_rewrites_whole_documents(spark, tmp_path, monkeypatch):
+    rows = [(i if i else None, None if i % 50 == 3 else f"text {i} " * (i % 9), f"s{i % 5}", i) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(rs, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    got = {(x["doc_id"], x["shard"], x["text_crc32"]) for x in rs.op7_resharding(spark, str(tmp_path)).collect()}
+    (target,) = (d for d in os.listdir(f"{tmp_path}/shared") if d.startswith("shards-"))
+    files = spark.read.parquet(f"{tmp_path}/shared/{target}").collect()
+    assert sorted((x["doc_id"] or -1, x["text"] or "", x["source"]) for x in files) == sorted((i or -1, t or "", s) for i, t, s, _ in rows)
+    assert {(x["doc_id"], x["shard"], zlib.crc32((x["text"] or "").encode())) for x in files} == got
