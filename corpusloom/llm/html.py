@@ -8,7 +8,8 @@ host in Spark, and pages are read again with their host's winning path. A page w
 missing falls back to its own best container, and a page without any text gives an empty string.
 
 Not text: scripts, styles, templates, markup, head, menus, headers and footers outside an article,
-asides, forms, buttons, adverts, notices, cookie banners, share bars and reader comments.
+asides, forms, buttons; and containers with a class or id that as a whole names adverts, notices, cookie
+banners, share bars or reader comments, unless they hold most of the page's text outside links.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed
 and joined by two newlines in page order. Null html is empty. Null urls are one host of their own.
@@ -39,56 +40,69 @@ DROP = RAW | frozenset("head nav aside form button dialog menu figure-toolbar fi
 BLOCK = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINER = frozenset("article main section div td body".split())
 CLOSES = {"li": ("li", ("ul", "ol")), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "tr": ("tr", ("table",)), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "option": ("option", ("select",))}
-NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notices?|alert|newsletter|subscribe|signup|popup|modal|overlay|share|sharing|social|sidebar|side|related|recommend(?:ed|ations)?|more-stories|comments?|commentlist|disqus|respond|replies|reply|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|topbar|masthead|site-header|site-footer|footer|login|search|widget|tags?|skip|hidden|print-only|paywall)(?=$|[\s_-]|\d)", re.I)
+WORD = r"(?:ads?|adverts?|advertisements?|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notices?|alert|newsletter|subscribe|signup|popup|modal|overlay|share|sharing|social|sidebar|side|related|recommend(?:ed|ations)?|more-stories|comments?|commentlist|disqus|respond|replies|reply|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|topbar|masthead|site-header|site-footer|footer|login|search|widget|tags?|skip|hidden|print-only|paywall)"
+#: Words that say where or in what form such a thing is, but not that it is something else.
+FORM = r"(?:area|bar|block|bottom|box|buttons?|container|content|form|global|icons?|inner|left|links?|list|main|mobile|outer|page|panel|posts?|primary|right|secondary|section|site|slot|sticky|stories|top|unit|wrap|wrapper|\d+)"
+#: A whole class or id of nothing but these words.
+NOISE = re.compile(rf"(?:^|\s)(?:{FORM}[_-]+)*{WORD}\d*(?:[_-]+(?:{WORD}\d*|{FORM}))*(?=$|\s)", re.I)
+#: Tags that are judged by class and id; an article only as a comment.
+JUDGED = frozenset("div section article ul ol dl table td header footer figure details".split())
+#: Share of the page's unlinked text from which a container is kept in spite of its name; that of reader comments.
+PROSE, COMMENTS = 0.5, 0.9
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 SPACE = re.compile(r"\s+")
-COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies)(?=$|[\s_-]|\d)", re.I)
+COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|reply|replies)(?=$|[\s_-]|\d)", re.I)
 GENERAL = re.compile(r"\d+")
 
 
 class Block:
-    __slots__ = ("chars", "item", "linked", "path", "text")
+    __slots__ = ("chars", "item", "linked", "noise", "path", "text")
 
-    def __init__(self, text: str, path: tuple, linked: int, item: bool):
-        self.text, self.path, self.linked, self.item, self.chars = text, path, linked, item, len(text)
+    def __init__(self, text: str, path: tuple, linked: int, item: bool, noise: tuple):
+        self.text, self.path, self.linked, self.item, self.noise, self.chars = text, path, linked, item, noise, len(text)
 
+    @property
+    def prose(self) -> int:
+        return self.chars - min(self.linked, self.chars)
 
-def attributes(source: str) -> tuple[str, bool]:
-    """Generalised classes, and whether they or other attributes mark what is no article text."""
+
+def attributes(source: str) -> tuple[str, bool, str]:
+    """Generalised classes; whether other attributes mark what is no article text; the classes and ids that do by their name, if any."""
     if "=" not in source and "hidden" not in source:
-        return "", False
+        return "", False, ""
     found = {}
     for name, value in ATTRIBUTE.findall(source):
         found.setdefault(name.lower(), value.strip("\"'"))
     names = f"{found.get('class', '')} {found.get('id', '')}"
-    noisy = bool(NOISE.search(names)) or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-    return ".".join(sorted({GENERAL.sub("", c) for c in found.get("class", "").lower().split()} - {""})), noisy
+    unseen = found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+    return ".".join(sorted({GENERAL.sub("", c) for c in found.get("class", "").lower().split()} - {""})), unseen, names if NOISE.search(names) else ""
 
 
 def blocks(html: str) -> list[Block]:
     """The page's text blocks outside what is dropped, with the generalised path of open containers."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple, bool]] = []  # tag, container path, dropped from here on
+    stack: list[tuple[str, tuple, bool, tuple]] = []  # tag, container path, dropped from here on, noisy containers
+    needed: list[float] = []  # by noisy container, the share of the page's prose that keeps it
     parts: list[str] = []
     linked, links, path, dropped = 0, 0, (), 0
-    item = False
+    item, noise = False, ()
 
     def flush():
         nonlocal linked, parts
         if parts:
             text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             if text:
-                out.append(Block(text, path, linked, item))
+                out.append(Block(text, path, linked, item, noise))
             parts, linked = [], 0
 
     def close(depth: int):
-        nonlocal path, dropped, links, item
+        nonlocal path, dropped, links, item, noise
         while len(stack) > depth:
-            tag, before, drops = stack.pop()
+            tag, before, drops, outer = stack.pop()
             if tag in BLOCK or drops:
                 flush()
             dropped -= drops
-            path = before
+            path, noise = before, outer
             links -= tag == "a"
             item = item and tag != "li"
 
@@ -147,12 +161,16 @@ def blocks(html: str) -> list[Block]:
             flush()
             at = e.end() if e else size
             continue
-        classes, noisy = attributes(m[3])
+        classes, unseen, names = attributes(m[3])
         outside = tag == "footer" or (tag == "header" and not any(x[0] in ("article", "main") for x in stack))
-        drops = tag in DROP or outside or (noisy and tag not in ("html", "body", "main") and (tag != "article" or bool(COMMENT.search(m[3].replace('"', " ").replace("'", " ").replace("=", " ")))))
+        drops = tag in DROP or outside or (unseen and tag not in ("html", "body", "main", "article"))
         if drops:
             flush()
-        stack.append((tag, path, drops))
+        stack.append((tag, path, drops, noise))
+        comment = bool(COMMENT.search(names))
+        if names and tag in JUDGED and (comment or tag != "article"):
+            noise = (*noise, len(needed))
+            needed.append(COMMENTS if comment else PROSE)
         dropped += drops
         links += tag == "a"
         item = item or tag == "li"
@@ -160,7 +178,16 @@ def blocks(html: str) -> list[Block]:
             path = (*path, f"{tag}.{classes}" if classes else tag)
     close(0)
     flush()
-    return out
+    return without_noise(out, needed) if needed else out
+
+
+def without_noise(found: list[Block], needed: list[float]) -> list[Block]:
+    """Without the blocks in noisy containers, unless these hold more than the needed share of the page's prose."""
+    total, held = sum(b.prose for b in found), [0] * len(needed)
+    for b in found:
+        for i in b.noise:
+            held[i] += b.prose
+    return [b for b in found if all(held[i] > needed[i] * total for i in b.noise)]
 
 
 def best_path(found: list[Block]) -> tuple[str, int] | None:
@@ -168,7 +195,7 @@ def best_path(found: list[Block]) -> tuple[str, int] | None:
     own: dict[tuple, float] = {}
     size: dict[tuple, int] = {}
     for b in found:
-        share = (b.chars - min(b.linked, b.chars)) * (0.3 if b.item else 1.0)
+        share = b.prose * (0.3 if b.item else 1.0)
         weight = 1.0
         for depth in range(len(b.path), 0, -1):
             p = b.path[:depth]

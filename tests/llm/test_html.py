@@ -37,3 +37,18 @@ def test_hosts_agree_on_a_path(spark):
 
 def test_empty_table(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_names_of_content_are_no_noise():
+    long = "prose of the page " * 20
+    page = f"""<body><article><h2 id="related-work">Related work</h2><p id="notice-1">{long}</p><section id="side-effects"><p>Effects</p></section>
+<h3 id="search-algorithms">Search</h3><p>in <span class="tag">tagged</span> words</p><div class="elementor-widget-text-editor"><p>Edited</p></div>
+<div class="share-buttons"><p>Share me</p></div><div id="ad-slot-3"><p>Buy</p></div><div hidden><p>Unseen</p></div></article></body>"""
+    assert extracted(page, None).split("\n\n") == ["Related work", long.strip(), "Effects", "Search", "in tagged words", "Edited"]
+
+
+def test_noisy_container_with_the_prose_is_kept():
+    long = "prose of the page " * 20
+    page = f"<body><h1>T</h1><div class='paywall'><p>{long}</p><div class='promo'><p>Buy</p></div></div><div class='related'><p>{'more ' * 9}</p></div></body>"
+    assert extracted(page, None) == long.strip()
+    assert "nice" not in extracted(f"<body><div class='post'><p>{long}</p></div><div class='comments'><p>{'nice ' * 200}</p></div></body>", None)
