@@ -4,8 +4,9 @@ Pages are read by a tolerant tag scanner. Every container (article, main, sectio
 scored by its own text: the characters of its blocks, less those in links, with a penalty for list
 items and a bonus for article and main. Each page votes, with its size, for the generalised path of
 its best container (tags and classes from the root, digits and ids removed); votes are summed per
-host in Spark, and pages are read again with their host's winning path. A page where that path is
-missing falls back to its own best container, and a page without any text gives an empty string.
+host in Spark, and pages are read again with their host's winning path. A page keeps its own best
+container where the path has no more than half of that container's text, unless the container is one
+that mostly loses on the host's pages. A page without any text gives an empty string.
 
 Not text: scripts, styles, templates, markup, head, menus, headers and footers outside an article,
 asides, forms, buttons; and containers with a class or id that as a whole names adverts, notices, cookie
@@ -26,7 +27,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .base import by_value, park, table
 
@@ -52,6 +52,8 @@ PROSE, COMMENTS = 0.5, 0.9
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 SPACE = re.compile(r"\s+")
 COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|reply|replies)(?=$|[\s_-]|\d)", re.I)
+#: Prose of a container's second part, as a share of its first's, from which both are one text; in the body.
+SECOND, SECOND_OF_BODY = 0.1, 0.5
 GENERAL = re.compile(r"\d+")
 
 
@@ -191,65 +193,91 @@ def without_noise(found: list[Block], needed: list[float]) -> list[Block]:
 
 
 def best_path(found: list[Block]) -> tuple[str, int] | None:
-    """The path of the container with the best score, and its text's size. Half of a part's score counts for its parent."""
+    """The path of the container with the best score, and its text's size.
+
+    A parent gets half of its parts' scores. It gets them whole, and so wins over its parts, where a second
+    part has the share SECOND of the largest one's prose; for the body, where all meets, SECOND_OF_BODY.
+    """
     own: dict[tuple, float] = {}
     size: dict[tuple, int] = {}
+    prose: dict[tuple, float] = {}
     for b in found:
         share = b.prose * (0.3 if b.item else 1.0)
-        weight = 1.0
+        if b.path:
+            own[b.path] = own.get(b.path, 0.0) + share
         for depth in range(len(b.path), 0, -1):
             p = b.path[:depth]
-            own[p] = own.get(p, 0.0) + share * weight
+            own.setdefault(p, 0.0)
+            prose[p] = prose.get(p, 0.0) + share
             size[p] = size.get(p, 0) + b.chars
-            weight *= 0.5
     if not own:
         return None
+    inside: dict[tuple, list[tuple]] = {}
+    for p in own:
+        inside.setdefault(p[:-1], []).append(p)
+    for p in sorted(inside, key=len, reverse=True):
+        if p:
+            most = sorted((prose[c] for c in inside[p]), reverse=True)
+            several = len(most) > 1 and most[1] > 0 and most[1] >= most[0] * (SECOND_OF_BODY if p[-1].split(".")[0] == "body" else SECOND)
+            own[p] += sum(own[c] for c in inside[p]) * (1.0 if several else 0.5)
     bonus = lambda p: 2.0 if p[-1].split(".")[0] in ("article", "main") else 1.0
     best = max(own, key=lambda p: (own[p] * bonus(p), len(p), p))
     return ">".join(best), size[best]
 
 
-def extracted(html: str, path: str | None) -> str:
-    """Text of the blocks in containers with this path; of the page's own best container if it has none; of all blocks if there is no container."""
+def extracted(html: str, path: str | None, losers: frozenset[str] | set[str] = frozenset()) -> str:
+    """Text of the blocks in containers with this path, if it has most of the text of the page's own best container; else of that container; of all blocks if there is no container.
+
+    An own best container that mostly is not best where the host's pages have it, one of the losers, does not count against the path.
+    """
     found = blocks(html)
-    for p in (path, (best_path(found) or (None,))[0]):
-        if p is not None:
-            want = tuple(p.split(">"))
-            some = [b.text for b in found if b.path[: len(want)] == want]
-            if some:
-                return "\n\n".join(some)
-    return "\n\n".join(b.text for b in found)
+    best = best_path(found)
+    own = tuple(best[0].split(">")) if best else ()
+    if path is not None:
+        want = tuple(path.split(">"))
+        some = [b for b in found if b.path[: len(want)] == want]
+        common = sum(b.chars for b in some if b.path[: len(own)] == own)
+        if some and (best[0] in losers or 2 * common > best[1]):
+            return "\n\n".join(b.text for b in some)
+    return "\n\n".join(b.text for b in found if b.path[: len(own)] == own)
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """host, path, size of every page with text."""
+    """host, path, size (0 if the path is not the page's best), won: the best path of every page with text, and the others that have text of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(h, *best) for h, page in zip(batch.column(0).to_pylist(), batch.column(1)) if (best := best_path(blocks(page.as_py() or "")))]
+            rows = []
+            for h, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = blocks(page.as_py() or "")
+                if best := best_path(found):
+                    rows.append((h, *best, 1))
+                    rows += [(h, p, 0, 0) for p in {">".join(b.path) for b in found if b.path and b.prose} - {best[0]}]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["host", "path", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["host", "path", "size", "won"])
 
-    return pages.select("host", "html").mapInArrow(run, "host string, path string, size long")
+    return pages.select("host", "html").mapInArrow(run, "host string, path string, size long, won long")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text per row. Votes are one row for each host and path, summed before they are shuffled."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
-    tally = votes(rows).groupBy("host", "path").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    first = Window.partitionBy("host").orderBy(F.desc("size"), F.desc("n"), "path")
-    winner = park(tally.withColumn("r", F.row_number().over(first)).where("r = 1").select("host", "path"), "winners")
+    tally = votes(rows).groupBy("host", "path").agg(F.sum("size").alias("size"), F.sum("won").alias("n"), F.count("*").alias("seen")).where("n > 0")
+    # of paths that won, the first by votes, and those that are best on less than half of the pages that have them
+    lost = F.collect_list(F.when(F.col("n") * 2 < F.col("seen"), F.col("path")))
+    first = F.min_by("path", F.struct((-F.col("size")).alias("size"), (-F.col("n")).alias("n"), "path"))
+    winner = park(tally.groupBy("host").agg(first.alias("path"), lost.alias("losers")), "winners")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [extracted(h.as_py() or "", p) for h, p in zip(part.column(2), part.column(3).to_pylist())]
+                texts = [extracted(h.as_py() or "", p, set(x or ())) for h, p, x in zip(part.column(2), part.column(3).to_pylist(), part.column(4).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     kinds = f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string"
-    return rows.join(winner, "host", "left").select("page_id", "url", "html", "path").mapInArrow(run, kinds)
+    return rows.join(winner, "host", "left").select("page_id", "url", "html", "path", "losers").mapInArrow(run, kinds)
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,3 +52,20 @@ def test_noisy_container_with_the_prose_is_kept():
     page = f"<body><h1>T</h1><div class='paywall'><p>{long}</p><div class='promo'><p>Buy</p></div></div><div class='related'><p>{'more ' * 9}</p></div></body>"
     assert extracted(page, None) == long.strip()
     assert "nice" not in extracted(f"<body><div class='post'><p>{long}</p></div><div class='comments'><p>{'nice ' * 200}</p></div></body>", None)
+
+
+def test_pages_of_another_template_keep_their_article(spark):
+    long = ("prose of the page " * 20).strip()
+    usual = lambda i: f"<body><div class='story'><p>{i} {long} {long}</p></div></body>"
+    other = lambda i: f"<body><div class='story'><p>teaser {i}</p></div><div class='essay'><p>{i} {long}</p></div></body>"
+    plain = f"<body><p>{long}</p><div class='story'><p>teaser</p></div></body>"
+    rows = [(i, None, usual(i)) for i in range(8)] + [(i, None, other(i)) for i in (8, 9)] + [(10, None, plain)]
+    got = {x["page_id"]: x["text"] for x in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == f"0 {long} {long}" and got[8] == f"8 {long}" and got[9] == f"9 {long}"
+    assert long in got[10]
+
+
+def test_an_article_in_several_containers_is_whole():
+    page = f"<body><div class='top'><p>Name</p></div><div class='post'><div class='intro'><p>{'first ' * 30}</p></div><div class='body'><p>{'then ' * 100}</p></div></div></body>"
+    assert extracted(page, None) == f"{('first ' * 30).strip()}\n\n{('then ' * 100).strip()}"
+    assert extracted(page, "body>div.top") == extracted(page, None)
