@@ -60,3 +60,12 @@ def test_small_chunks(spark, sp, monkeypatch):
 
 def test_empty_table(spark):
     assert lattice.encode(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_units_follow_the_model(spark, monkeypatch):
+    rows = [(0, "unbelievablyconsequential"), (1, "x" * 29), (2, "日本語ﬁnaïve"), (3, "abcabcabcfoo_bar12345")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = lambda model: {x["doc_id"]: list(x["ids"]) for x in lattice.encode(df, model=model).collect()}
+    folded = ids("unigram")
+    monkeypatch.setattr(lattice, "LONG", 0)
+    assert ids("unigram") == folded
