@@ -24,6 +24,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 import zlib
@@ -224,8 +225,8 @@ def loosened(x: bytes) -> np.ndarray:
     return np.frombuffer(raw[:-1], f"<i{raw[-1]}").astype(np.int64)
 
 
-def bucketed(coded: DataFrame, shown: dict[int, bytes]) -> DataFrame:
-    """Per bucket and task: bucket, units (sorted, joined), times, lens (negative where the ids do not decode to the unit) and ids, flat."""
+def bucketed(coded: DataFrame) -> DataFrame:
+    """Per bucket and task: bucket, units (sorted, joined), times, lens and ids, flat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[int, list[tuple[str, int, list[int]]]] = {}
@@ -234,7 +235,7 @@ def bucketed(coded: DataFrame, shown: dict[int, bytes]) -> DataFrame:
                 by.setdefault(b, []).append(tuple(row))
         for b, rows in by.items():
             rows.sort()
-            lens = [len(ids) if b"".join(shown[i] for i in ids) == u.encode() else -len(ids) for u, _, ids in rows]
+            lens = [len(ids) for *_, ids in rows]
             flat = np.array([i for *_, ids in rows for i in ids])
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([" ".join(r[0] for r in rows)]), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())), pa.array([squeezed(np.array(lens))]), pa.array([squeezed(flat)])], ["bucket", "units", "times", "lens", "ids"])
 
@@ -259,8 +260,8 @@ def frequent(coded: DataFrame, most: int) -> dict[str, bytes]:
         for batch in batches:
             for names, times, lens, ids in zip(*(batch.column(c).to_pylist() for c in ("units", "times", "lens", "ids"))):
                 n, flat = loosened(lens), loosened(ids).astype("<i4")
-                stop = np.cumsum(np.abs(n))
-                out = [(u, flat[e - k : e].tobytes()) for u, t, k, e in zip(names.split(" "), times, n.tolist(), stop.tolist()) if t >= floor and k > 0 and len(u) <= LONG]
+                stop = np.cumsum(n)
+                out = [(u, flat[e - k : e].tobytes()) for u, t, k, e in zip(names.split(" "), times, n.tolist(), stop.tolist()) if t >= floor and len(u) <= LONG]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["unit", "ids"])
 
@@ -270,14 +271,14 @@ def frequent(coded: DataFrame, most: int) -> dict[str, bytes]:
 def placed(texts: DataFrame, hot: dict[str, bytes], buckets: int) -> DataFrame:
     """Per chunk of rows: chunk, doc_ids, and the ids of hot units with holes for the others; asked: those units by bucket, in order of their numbers.
 
-    own: ids of a row; gaps: its holes; at: the place of each hole among the chunk's ids; unit: its number.
+    own: ids of a row; gaps: its holes; digests: 16 bytes of each row's text; at: the place of each hole among the chunk's ids; unit: its number.
     """
     asked = pa.list_(pa.struct([("bucket", pa.int32()), ("units", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
 
-        def rows(doc_ids, own, gaps, ids, at, missing) -> pa.RecordBatch:
+        def rows(doc_ids, own, gaps, ids, at, missing, digests) -> pa.RecordBatch:
             by: dict[int, list[str]] = {}
             for u in sorted(set(missing)):
                 by.setdefault(bucket_of(u, buckets), []).append(u)
@@ -285,13 +286,13 @@ def placed(texts: DataFrame, hot: dict[str, bytes], buckets: int) -> DataFrame:
             number = {u: i for i, u in enumerate(u for x in by.values() for u in x)}
             flat = np.frombuffer(bytes(ids), "<i4")
             data = [squeezed(np.array(x)) for x in (own, gaps, flat, np.diff(np.array(at), prepend=0), [number[u] for u in missing])]
-            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), *(pa.array([x]) for x in data), pa.array([[{"bucket": b, "units": " ".join(x)} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "own", "gaps", "ids", "at", "unit", "asked"])
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), *(pa.array([x]) for x in data), pa.array([bytes(digests)]), pa.array([[{"bucket": b, "units": " ".join(x)} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "own", "gaps", "ids", "at", "unit", "digests", "asked"])
 
-        state: tuple = ([], [], [], bytearray(), array("i"), [])
+        state: tuple = ([], [], [], bytearray(), array("i"), [], bytearray())
         chars = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                doc_ids, own, gaps, ids, at, missing = state
+                doc_ids, own, gaps, ids, at, missing, digests = state
                 before, holes, text = len(ids), len(missing), text.as_py()
                 for u in units(text):
                     known = hot.get(u)
@@ -301,16 +302,17 @@ def placed(texts: DataFrame, hot: dict[str, bytes], buckets: int) -> DataFrame:
                     else:
                         ids += known
                 doc_ids.append(doc_id)
+                digests += hashlib.md5((text or "").replace(MARK, " ").encode()).digest()
                 own.append((len(ids) - before) // 4)
                 gaps.append(len(missing) - holes)
                 chars += len(text or "")
                 if len(doc_ids) >= CHUNK_ROWS or chars >= CHUNK_CHARS:
                     yield rows(*state)
-                    state, chars, chunk = ([], [], [], bytearray(), array("i"), []), 0, chunk + 1
+                    state, chars, chunk = ([], [], [], bytearray(), array("i"), [], bytearray()), 0, chunk + 1
         if state[0]:
             yield rows(*state)
 
-    return texts.mapInArrow(run, "chunk long, doc_ids array<long>, own binary, gaps binary, ids binary, at binary, unit binary, asked array<struct<bucket: int, units: string>>")
+    return texts.mapInArrow(run, "chunk long, doc_ids array<long>, own binary, gaps binary, ids binary, at binary, unit binary, digests binary, asked array<struct<bucket: int, units: string>>")
 
 
 ANSWER = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("lens", pa.binary()), ("ids", pa.binary())])
@@ -321,8 +323,8 @@ def answer(known: pa.Table, asked: pa.Table) -> pa.Table:
     held: dict[str, tuple[int, np.ndarray]] = {}
     for names, lens, ids in zip(*(known.column(c).to_pylist() for c in ("units", "lens", "ids"))):
         n, flat = loosened(lens), loosened(ids)
-        stop = np.cumsum(np.abs(n))
-        held |= {u: (k, flat[e - abs(k) : e]) for u, k, e in zip(names.split(" "), n.tolist(), stop.tolist())}
+        stop = np.cumsum(n)
+        held |= {u: (k, flat[e - k : e]) for u, k, e in zip(names.split(" "), n.tolist(), stop.tolist())}
     out = []
     for chunk, bucket, names in zip(*(asked.column(c).to_pylist() for c in ("chunk", "bucket", "units"))):
         found = [held[u] for u in names.split(" ")]
@@ -330,7 +332,7 @@ def answer(known: pa.Table, asked: pa.Table) -> pa.Table:
     return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), ANSWER)], schema=ANSWER) if out else ANSWER.empty_table()
 
 
-CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
+CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("digest", pa.binary())])
 
 
 def filled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
@@ -343,8 +345,8 @@ def filled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
     got = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
     none = np.zeros(0, np.int64)
     lens, words = (np.concatenate([loosened(r[c]) for r in got] or [none]) for c in ("lens", "ids"))
-    first = np.cumsum(np.abs(lens)) - np.abs(lens)
-    size = np.abs(lens)[unit]
+    first = np.cumsum(lens) - lens
+    size = lens[unit]
     pushed = np.concatenate([[0], np.cumsum(size)])
     out = np.zeros(len(ids) + pushed[-1], np.int32)
     out[np.arange(len(ids)) + pushed[np.searchsorted(at, np.arange(len(ids)), side="right")]] = ids
@@ -352,12 +354,12 @@ def filled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
     out[np.repeat(at + pushed[:-1], size) + inside] = words[np.repeat(first[unit], size) + inside]
     of_row = np.repeat(np.arange(len(own)), gaps)
     length = own + np.bincount(of_row, size, len(own)).astype(np.int64)
-    wrong = np.bincount(of_row[lens[unit] < 0], minlength=len(own)) > 0
-    return pa.table([pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(out)), pa.array(~wrong)], schema=CODED)
+    digests = [row["digests"][i : i + 16] for i in range(0, len(row["digests"]), 16)]
+    return pa.table([pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(out)), pa.array(digests, pa.binary())], schema=CODED)
 
 
 def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """Per row: doc_id, ids, round_trip (all its units that are not frequent decode to themselves; the frequent ones do)."""
+    """Per row: doc_id, ids, round_trip: whether the text decoded from all ids is the row's text, by MD5. A mark in a text counts as a space, as for the model."""
     spark = docs.sparkSession
     rows = piece_rows(path or default_model())
     pieces = spark.createDataFrame(rows, "piece string, id int, score double, byte int")
@@ -377,29 +379,30 @@ def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], ["bucket", "unit", "times", "ids"])
 
     long_ones = words.where(F.length("unit") > LONG).mapInArrow(run, "bucket int, unit string, times long, ids array<int>")
-    shown = {i: bytes([b]) if b >= 0 else p.encode() for p, i, _, b in rows}
-    coded = park(bucketed(folded.union(long_ones), shown), "coded", compression="zstd")
+    coded = park(bucketed(folded.union(long_ones)), "coded", compression="zstd")
     held = park(placed(texts, frequent(coded, hot), buckets), "chunks", compression="zstd")
     asked = held.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.bucket", "a.units")
     answers = coded.select("bucket", "units", "lens", "ids").groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket int, lens binary, ids binary")
-    return held.drop("asked").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(filled, "doc_id long, ids array<int>, round_trip boolean")
+    x = held.drop("asked").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(filled, "doc_id long, ids array<int>, digest binary")
+    same = F.md5(decoded("ids", rows).cast("binary")) == F.lower(F.hex("digest"))
+    return x.select("doc_id", "ids", F.coalesce(same, F.lit(False)).alias("round_trip"))
 
 
-def decoded(coded: DataFrame, pieces: DataFrame, key: str, column: str = "ids") -> DataFrame:
-    """key, text (with marks) of rows of ids: ids are joined to the piece table, and their bytes put together in order."""
-    code = F.when(F.col("byte") >= 0, F.lpad(F.hex("byte"), 2, "0")).otherwise(F.hex(F.encode("piece", "UTF-8")))
-    x = coded.select(key, F.posexplode(column).alias("pos", "id")).join(F.broadcast(pieces.select("id", code.alias("code"))), "id")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "code"))), lambda p: p["code"]), "")
-    return x.groupBy(key).agg(joined.alias("code")).select(key, F.try_to_binary("code", F.lit("hex")).alias("code")).select(key, F.try_validate_utf8(F.col("code").cast("string")).alias("text"))
+def decoded(ids: str, rows: list[tuple[str, int, float, int]]) -> Column:
+    """The text of a column of ids: each is looked up in the piece table, and their bytes put together in order; null if they are no UTF-8."""
+    codes = [""] * (max((i for _, i, _, _ in rows), default=0) + 1)
+    for p, i, _, b in rows:
+        codes[i] = (bytes([b]) if b >= 0 else p.encode()).hex()
+    # one string, as a literal of 32,000 would take as many calls
+    pieces = F.split(F.lit(" ".join(codes)), " ")
+    code = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")
+    text = F.translate(F.try_validate_utf8(F.try_to_binary(code, F.lit("hex")).cast("string")), MARK, " ")
+    return F.when(text.startswith(" "), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
 
 
 def decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """Per row: doc_id, text of its ids (control ids have none)."""
-    pieces = docs.sparkSession.createDataFrame(piece_rows(path or default_model()), "piece string, id int, score double, byte int")
-    keyed = park(docs.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).withColumn("row", F.monotonically_increasing_id()), "ids")
-    text = F.translate(F.col("text"), MARK, " ")
-    x = keyed.join(decoded(keyed, pieces, "row"), "row", "left")
-    return x.select("doc_id", F.coalesce(F.when(text.startswith(" "), F.substring(text, F.lit(2), F.length(text))).otherwise(text), F.lit("")).alias("text"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(decoded(ids_col, piece_rows(path or default_model())), F.lit("")).alias("text"))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,3 +69,18 @@ def test_long_units_follow_the_model(spark, monkeypatch):
     folded = ids("unigram")
     monkeypatch.setattr(lattice, "LONG", 0)
     assert ids("unigram") == folded
+
+
+def test_round_trip_sees_ids_in_wrong_places(spark, monkeypatch):
+    rows = [(0, "one two three"), (1, "same same"), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(x["round_trip"] for x in lattice.encode(df).collect())
+    whole = lattice.filled
+
+    def turned(chunk, answers):
+        x = whole(chunk, answers)
+        ids = [i[::-1] for i in x.column("ids").to_pylist()]
+        return x.set_column(1, "ids", lattice.pa.array(ids, x.schema.field("ids").type))
+
+    monkeypatch.setattr(lattice, "filled", turned)
+    assert {x["doc_id"]: x["round_trip"] for x in lattice.encode(df).collect()} == {0: False, 1: True, 2: True, 3: True}
