@@ -1,25 +1,27 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-A text, with the mark U+2581 for spaces and one in front, falls into units that no piece crosses: a
-run of marks with the characters after it, or a run of newlines. Each different unit is encoded
-once: all its substrings of at most the longest piece's length are joined to the piece table, the
-edges found are grouped by unit, and a higher-order aggregate folds them to the unit's pieces; texts
-then take their units' ids back in order.
+A text, with the mark U+2581 for spaces and one in front, falls into words: a run of marks with the
+characters after it, or a run of newlines. A word falls into units, between neighbouring characters
+that no piece holds side by side; so no piece crosses a unit's border. Each different unit is encoded
+once: its substrings of at most the longest piece's length are joined to the piece table, the edges
+found are grouped by unit, and a higher-order aggregate folds them to the unit's pieces; texts then
+take their units' ids back in order.
 
 The fold follows the model. The file at hand is a byte-pair model, whose encoding is not the path of
 the best sum of scores, so Viterbi gives other ids than the library on it. With model="bpe" the fold
 merges, step by step, the neighbours whose joint piece has the best score (the leftmost of equals),
 on a bit mask of cuts; with model="unigram" it is Viterbi. Units of more than LONG characters, which
-have no place in the mask and would take the fold a time that grows with their square, leave the
-lattice: they are encoded in Python, by the same merges with a heap, or by the same best sum.
+have no place in the mask (runs such as rows of letters; text without spaces mostly falls into
+shorter units), leave the lattice: they are encoded in Python, by the same merges with a heap, or by
+the same best sum.
 
-Frequent units are looked up where the text is, in a table of bounded size; so no frequent unit is
-shuffled. For the others, a chunk of documents asks, once for each unit, the bucket that holds it.
-Units travel sorted and joined by spaces, which they never hold, and so take a few bytes each.
+Texts are read once. A chunk of documents keeps its words as numbers, and asks, once for each of its
+units, the bucket that holds it; so no frequent word is shuffled more than once a chunk. Units travel
+sorted and joined by spaces, which they never hold, and so take a few bytes each.
 
 Characters without a piece become their bytes' pieces. A null or empty text has no ids. Ids may be
-null or repeated, as chunks keep their rows in order; extra columns do not matter. An empty table
-gives an empty result.
+null or repeated, and texts too, as chunks keep their rows in order; texts of any length are whole;
+extra columns do not matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,25 +31,25 @@ import heapq
 import re
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, parts, table
+from .base import by_value, park, parts, table, tidy
 
 by_value(__name__)
 
-MARK, LONG = "▁", 32
-#: Frequent units whose ids go with the code (units of at most LONG characters: some 10 MB).
-HOT = 1 << 17
-#: Units that a task counts before it passes them on; rows and characters of a chunk.
-MOST, CHUNK_ROWS, CHUNK_CHARS = 400_000, 8192, 1 << 24
-UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
+MARK, LONG = "▁", 61
+#: Rows and characters after which a chunk is full.
+CHUNK_ROWS, CHUNK_CHARS = 8192, 1 << 23
+WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
+#: An edge as a long: the place of its score among all (best last), 63 less its start, its size, its id.
+SCORE, START, SIZE = 34, 28, 22
 
 
 def default_model() -> str:
@@ -65,42 +67,38 @@ def piece_rows(path: str) -> list[tuple[str, int, float, int]]:
     for i in range(sp.get_piece_size()):
         if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_unused(i)):
             rows.append((sp.id_to_piece(i), i, float(sp.get_score(i)), int(sp.id_to_piece(i)[3:5], 16) if sp.is_byte(i) else -1))
+    if any(len(WORD.findall(p)) > 1 for p, _, _, b in rows if b < 0):
+        raise ValueError("a piece holds a mark or a newline behind other characters; its model does not encode word by word")
     return rows
 
 
-def units(text: str | None) -> list[str]:
-    return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+def words(text: str | None) -> list[str]:
+    return WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-def bucket_of(unit: str, buckets: int) -> int:
-    return zlib.crc32(unit.encode()) % buckets
-
+def neighbours(pieces: list[str]) -> np.ndarray:
+    """Sorted codes of the pairs of characters that stand side by side in a piece."""
+    return np.array(sorted({ord(a) << 32 | ord(b) for p in pieces for a, b in zip(p, p[1:])}), np.uint64)
 
-def counted(texts: DataFrame, buckets: int) -> DataFrame:
-    """bucket, unit, times; dealt by bucket, so that what follows can group units without a shuffle. texts: doc_id, text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have: Counter = Counter()
+def units(of: list[str], joined: np.ndarray) -> tuple[list[int], list[str]]:
+    """The number of units of each word, and all units. Words hold no space."""
+    if not of:
+        return [], []
+    text = " ".join(of)
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    pair = code[:-1] << np.uint64(32) | code[1:]
+    at = np.minimum(np.searchsorted(joined, pair), max(0, len(joined) - 1))
+    cut = joined[at] != pair if len(joined) else np.ones(len(pair), bool)
+    space = code == 32
+    begins = np.concatenate([[True], cut]) & ~space
+    begin, end = np.flatnonzero(begins), np.flatnonzero(np.concatenate([cut, [True]]) & ~space) + 1
+    word = np.cumsum(space)[begin]
+    return np.bincount(word, minlength=len(of)).tolist(), [text[a:b] for a, b in zip(begin.tolist(), end.tolist())]
 
-        def rows() -> pa.RecordBatch:
-            by: dict[int, list[str]] = {}
-            for u in sorted(have):
-                by.setdefault(bucket_of(u, buckets), []).append(u)
-            found = [pa.array(list(by), pa.int32()), pa.array([" ".join(x) for x in by.values()], pa.string()), pa.array([[have[u] for u in x] for x in by.values()], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(found, ["bucket", "units", "times"])
-
-        for batch in batches:
-            for text in batch.column(1):
-                have.update(units(text.as_py()))
-                if len(have) > MOST:
-                    yield rows()
-                    have.clear()
-        if have:
-            yield rows()
 
-    x = texts.mapInArrow(run, "bucket int, units string, times array<long>").repartition(buckets, "bucket")
-    x = x.select("bucket", F.explode(F.arrays_zip(F.split("units", " ").alias("unit"), F.col("times").alias("times"))).alias("u"))
-    return x.select("bucket", "u.unit", "u.times").groupBy("bucket", "unit").agg(F.sum("times").alias("times"))
+def bucket_of(unit: str, buckets: int) -> int:
+    return zlib.crc32(unit.encode("utf-8", "surrogatepass")) % buckets
 
 
 def mask(first: Column, last: Column) -> Column:
@@ -109,300 +107,308 @@ def mask(first: Column, last: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftleft", one, last - first + 1) - 1, first)
 
 
-def edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """words with n, the unit's length, and edge (score, left: minus the start, size, id or -1), a row for each edge. words: unit, and others."""
-    x = words.withColumn("n", F.length("unit")).withColumn("start", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    x = x.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("start")))))
-    x = x.withColumn("piece", F.substring("unit", F.col("start") + 1, F.col("size")))
-    # the piece table is a file's vocabulary: its size does not depend on the texts
-    x = x.join(F.broadcast(pieces.where("byte < 0").select("piece", "id", "score")), "piece", "left").where("id is not null or size = 1")
-    return x.select(*words.columns, "n", F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), (-F.col("start")).alias("left"), "size", F.coalesce("id", F.lit(-1)).alias("id")).alias("edge"))
-
-
-def edge_ids(e: Column, first_byte: int) -> Column:
-    """The edge's id, or those of its character's bytes."""
-    code = F.hex(F.encode(F.substring(F.col("unit"), 1 - e["left"], e["size"]), "UTF-8"))
-    as_bytes = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda i: F.conv(F.substring(code, i, F.lit(2)), 16, 10).cast("int") + first_byte)
-    return F.when(e["id"] >= 0, F.array(e["id"])).otherwise(as_bytes)
+def edges(of: DataFrame, pieces: DataFrame, longest: int, least: int) -> DataFrame:
+    """of with start, size, id and score of each edge of at least `least` characters; of one character, those without a piece too (id -1).
 
-
-def inner(e: Column) -> Column:
-    """The cuts that the edge covers."""
-    return mask(1 - e["left"], e["size"] - e["left"] - 1)
+    of: unit, n (its length), and others. The join is on a hash of the substring, which makes it several times
+    as fast as one on strings; that both are equal is then checked.
+    """
+    x = of.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("n") - least)))
+    x = x.withColumn("size", F.explode(F.sequence(F.lit(least), F.least(F.lit(longest), F.col("n") - F.col("start")))))
+    part = F.substring("unit", F.col("start") + 1, F.col("size"))
+    held = pieces.where("byte < 0").select(F.xxhash64("piece").alias("h"), F.col("piece").alias("_piece"), F.length("piece").alias("_size"), "id", "score", "place")
+    # the piece table is a file's vocabulary: its size does not depend on the texts
+    same = (F.col("key") == F.col("h")) & part.startswith(F.col("_piece")) & (F.col("_size") >= F.col("size"))
+    x = x.withColumn("key", F.xxhash64(part)).join(F.broadcast(held), same, "left" if least == 1 else "inner")
+    x = x.where("id is not null or size = 1") if least == 1 else x
+    return x.select(*of.columns, "start", "size", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("score", F.lit(0.0)).alias("score"), "place")
 
 
-def ends(e: Column) -> Column:
-    return mask(-e["left"], -e["left"]).bitwiseOR(mask(e["size"] - e["left"], e["size"] - e["left"]))
+def merged(of: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """bucket, unit, cuts (a bit for each border of a token), tokens (start, id of those of several characters), by merges in order of score."""
+    packed = F.call_function("shiftleft", F.col("place"), F.lit(SCORE)) + F.call_function("shiftleft", (63 - F.col("start")).cast("long"), F.lit(START)) + F.call_function("shiftleft", F.col("size").cast("long"), F.lit(SIZE)) + F.col("id")
+    x = edges(of, pieces, longest, 2).withColumn("edge", packed).groupBy("bucket", "u").agg(F.first("unit").alias("unit"), F.first("n").alias("n"), F.collect_list("edge").alias("edges"))
 
+    def move(e: Column) -> Column:
+        start, size = (63 - F.shiftright(e, START).bitwiseAND(F.lit(63))).cast("int"), F.shiftright(e, SIZE).bitwiseAND(F.lit(63)).cast("int")
+        end = start + size
+        token = F.struct(start.alias("start"), e.bitwiseAND(F.lit((1 << SIZE) - 1)).cast("int").alias("id"))
+        return F.struct(mask(start + 1, end - 1).alias("inner"), mask(start, start).bitwiseOR(mask(end, end)).alias("ends"), token.alias("token"))
 
-def merged(grouped: DataFrame, first_byte: int) -> DataFrame:
-    """ids by merges in order of score. grouped: unit, n, edges, and others, which stay."""
-    usable = F.filter("edges", lambda e: e["size"] > 1)
-    x = grouped.withColumn("moves", F.transform(usable, lambda e: F.struct(e["score"].alias("score"), e["left"].alias("left"), inner(e).alias("inner"), ends(e).alias("ends"))))
+    # the best first: of those that fit, the first is the one to make
+    x = x.withColumn("moves", F.transform(F.sort_array("edges", asc=False), move))
 
     def step(cuts: Column, _: Column) -> Column:
-        fits = F.filter(F.col("moves"), lambda m: (m["ends"].bitwiseAND(cuts) == m["ends"]) & (F.bit_count(m["inner"].bitwiseAND(cuts)) == 1))
-        best = F.array_max(fits)
-        return F.coalesce(cuts.bitwiseAND(F.bitwise_not(best["inner"])), cuts)
+        fits = F.filter("moves", lambda m: (m["ends"].bitwiseAND(cuts) == m["ends"]) & (F.bit_count(m["inner"].bitwiseAND(cuts)) == 1))
+        return F.coalesce(cuts.bitwiseAND(F.bitwise_not(F.get(fits, F.lit(0))["inner"])), cuts)
 
-    x = x.withColumn("cuts", F.aggregate(F.sequence(F.lit(1), F.col("n")), mask(F.lit(0), F.col("n")), step))
-    kept = F.filter("edges", lambda e: (ends(e).bitwiseAND(F.col("cuts")) == ends(e)) & (inner(e).bitwiseAND(F.col("cuts")) == 0))
-    in_order = F.array_sort(F.transform(kept, lambda e: F.struct((-e["left"]).alias("start"), edge_ids(e, first_byte).alias("ids"))))
-    return x.select(*(c for c in grouped.columns if c not in ("n", "edges")), F.flatten(F.transform(in_order, lambda e: e["ids"])).alias("ids"))
+    x = x.withColumn("cuts", F.aggregate(F.sequence(F.lit(2), F.col("n")), mask(F.lit(0), F.col("n")), step))
+    kept = F.filter("moves", lambda m: (m["ends"].bitwiseAND(F.col("cuts")) == m["ends"]) & (m["inner"].bitwiseAND(F.col("cuts")) == 0))
+    return x.select("bucket", "unit", "cuts", F.transform(kept, lambda m: m["token"]).alias("tokens"))
 
 
-def viterbi(grouped: DataFrame, first_byte: int) -> DataFrame:
-    """ids by the best sum of scores (characters without a piece cost 1e6). grouped: unit, n, edges, and others, which stay."""
-    state = "array<struct<score: double, ids: array<int>>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))).cast(state)
+def viterbi(of: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """bucket, unit, cuts, tokens (as in merged), by the best sum of scores (characters without a piece cost 1e6), of equals the greater ids."""
+    edge = F.struct("score", "start", "size", "id")
+    x = edges(of, pieces, longest, 1).groupBy("bucket", "u").agg(F.first("unit").alias("unit"), F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
+    token = "struct<start: int, id: int>"
+    state = f"array<struct<score: double, ids: array<int>, cuts: bigint, tokens: array<{token}>>>"
+    begin = F.array(F.struct(F.lit(0.0), F.array().cast("array<int>"), F.lit(1).cast("long"), F.array().cast(f"array<{token}>"))).cast(state)
 
     def step(done: Column, end: Column) -> Column:
-        into = F.filter(F.col("edges"), lambda e: e["size"] - e["left"] == end)
-        before = lambda e: F.element_at(done, 1 - e["left"])
-        best = F.array_max(F.transform(into, lambda e: F.struct((before(e)["score"] + F.when(e["id"] >= 0, e["score"]).otherwise(F.lit(-1e6))).alias("score"), F.concat(before(e)["ids"], edge_ids(e, first_byte)).alias("ids"))))
-        return F.concat(done, F.array(best).cast(state))
-
-    x = grouped.withColumn("done", F.aggregate(F.sequence(F.lit(1), F.col("n")), start, step))
-    return x.select(*(c for c in grouped.columns if c not in ("n", "edges")), F.element_at("done", -1)["ids"].alias("ids"))
-
-
-def merge_long(unit: str, ids: dict[str, int], scores: dict[str, float], bytes_from: int) -> list[int]:
-    """The same merges with a heap, in time n log n."""
-    parts, after, before = list(unit), list(range(1, len(unit) + 1)), list(range(-1, len(unit) - 1))
-    heap: list[tuple[float, int, str]] = []
-
-    def offer(i: int) -> None:
-        j = after[i]
-        if j < len(parts) and (both := parts[i] + parts[j]) in scores:
-            heapq.heappush(heap, (-scores[both], i, both))
-
-    for i in range(len(parts)):
-        offer(i)
-    while heap:
-        _, i, both = heapq.heappop(heap)
-        if not parts[i] or after[i] >= len(parts) or parts[i] + parts[after[i]] != both:
-            continue
-        j = after[i]
-        parts[i], parts[j], after[i] = both, "", after[j]
-        if after[j] < len(parts):
-            before[after[j]] = i
-        offer(i)
-        if before[i] >= 0:
-            offer(before[i])
-    return [x for p in parts if p for x in ([ids[p]] if p in ids else [bytes_from + b for b in p.encode()])]
-
-
-def viterbi_long(unit: str, ids: dict[str, int], scores: dict[str, float], bytes_from: int, longest: int) -> list[int]:
-    """The same best sum as in viterbi(), of equals the greater ids, in time n * longest."""
-    own = lambda p: [ids[p]] if p in ids else [bytes_from + b for b in p.encode()]
-    best: list[tuple[float, int]] = [(0.0, 0)]  # sum, and start of the last piece
-
-    def path(start: int, end: int) -> list[int]:
-        out = [own(unit[start:end])]
-        while start:
-            start, end = best[start][1], start
-            out.append(own(unit[start:end]))
-        return [x for p in reversed(out) for x in p]
-
-    for end in range(1, len(unit) + 1):
-        into = [(best[start][0] + scores.get(unit[start:end], -1e6), start) for start in range(max(0, end - longest), end) if end - start == 1 or unit[start:end] in ids]
-        most = max(into)[0]
-        equal = [x for x in into if x[0] == most]
-        best.append(equal[0] if len(equal) == 1 else max(equal, key=lambda x: path(x[1], end)))
-    return path(best[-1][1], len(unit))
+        into = F.filter("edges", lambda e: e["start"] + e["size"] == end)
+
+        def via(e: Column) -> Column:
+            before = F.element_at(done, e["start"] + 1)
+            own = F.when(e["size"] > 1, F.array(F.struct(e["start"].alias("start"), e["id"].alias("id")))).otherwise(F.array().cast(f"array<{token}>"))
+            code = F.when(e["id"] >= 0, e["id"]).otherwise(F.ascii(F.substring(F.col("unit"), e["start"] + 1, F.lit(1))))
+            sum_ = before["score"] + F.when(e["id"] >= 0, e["score"]).otherwise(F.lit(-1e6))
+            return F.struct(sum_.alias("score"), F.concat(before["ids"], F.array(code)).alias("ids"), before["cuts"].bitwiseOR(mask(end, end)).alias("cuts"), F.concat(before["tokens"], own).alias("tokens"))
+
+        return F.concat(done, F.array(F.array_max(F.transform(into, via))).cast(state))
+
+    x = x.withColumn("best", F.element_at(F.aggregate(F.sequence(F.lit(1), F.col("n")), begin, step), -1))
+    return x.select("bucket", "unit", "best.cuts", "best.tokens")
+
+
+class Known:
+    """The piece table where units are put together from their tokens, and units beyond the mask are encoded."""
+
+    def __init__(self, rows: list[tuple[str, int, float, int]], model: str):
+        self.ids, self.scores = {p: i for p, i, _, b in rows if b < 0}, {p: s for p, _, s, b in rows if b < 0}
+        self.first_byte = min((i for _, i, _, b in rows if b >= 0), default=0)
+        self.longest = max((len(p) for p in self.ids), default=1)
+        self.model = model
+
+    def own(self, piece: str) -> list[int]:
+        """The piece's id, or those of its bytes."""
+        i = self.ids.get(piece)
+        return [i] if i is not None else [self.first_byte + b for b in piece.encode("utf-8", "surrogatepass")]
+
+    def from_tokens(self, unit: str, cuts: int, tokens: list[tuple[int, int]]) -> list[int]:
+        """tokens: (start, id) of those of several characters; between other cuts stand single characters."""
+        at, out = dict(tokens), []
+        for start in range(len(unit)):
+            if cuts >> start & 1:
+                out += [at[start]] if start in at else self.own(unit[start])
+        return out
+
+    def alone(self, unit: str) -> list[int]:
+        """A unit that the lattice gave no edge of several characters, or that is too long for it."""
+        if len(unit) <= LONG:
+            return [i for c in unit for i in self.own(c)]
+        return self.merge_long(unit) if self.model == "bpe" else self.viterbi_long(unit)
+
+    def merge_long(self, unit: str) -> list[int]:
+        """The same merges as in merged(), with a heap, in time n log n."""
+        parts, after, before = list(unit), list(range(1, len(unit) + 1)), list(range(-1, len(unit) - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j < len(parts) and (both := parts[i] + parts[j]) in self.scores:
+                heapq.heappush(heap, (-self.scores[both], i, both))
+
+        for i in range(len(parts)):
+            offer(i)
+        while heap:
+            _, i, both = heapq.heappop(heap)
+            if not parts[i] or after[i] >= len(parts) or parts[i] + parts[after[i]] != both:
+                continue
+            j = after[i]
+            parts[i], parts[j], after[i] = both, "", after[j]
+            if after[j] < len(parts):
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [x for p in parts if p for x in self.own(p)]
+
+    def viterbi_long(self, unit: str) -> list[int]:
+        """The same best sum as in viterbi(), of equals the greater ids, in time n * longest."""
+        best: list[tuple[float, int]] = [(0.0, 0)]  # sum, and start of the last piece
+
+        def path(start: int, end: int) -> list[str]:
+            out = [unit[start:end]]
+            while start:
+                start, end = best[start][1], start
+                out.append(unit[start:end])
+            return out[::-1]
+
+        for end in range(1, len(unit) + 1):
+            into = [(best[start][0] + self.scores.get(unit[start:end], -1e6), start) for start in range(max(0, end - self.longest), end) if end - start == 1 or unit[start:end] in self.ids]
+            most = max(into)[0]
+            equal = [x for x in into if x[0] == most]
+            best.append(equal[0] if len(equal) == 1 else max(equal, key=lambda x: [self.ids.get(p, ord(p[0])) for p in path(x[1], end)]))
+        return [x for p in path(best[-1][1], len(unit)) for x in self.own(p)]
 
 
 def squeezed(x: np.ndarray) -> bytes:
+    """Whole numbers under 2**31, byte by byte of each: the upper ones are mostly equal."""
     import zstandard
 
-    return zstandard.compress(x.astype("<i4" if len(x) and (x.max() > 32767 or x.min() < -32768) else "<i2").tobytes() + bytes([4 if len(x) and (x.max() > 32767 or x.min() < -32768) else 2]), 9)
+    return zstandard.compress(np.ascontiguousarray(np.asarray(x, "<i4").reshape(-1, 1).view(np.uint8).T).tobytes(), 3)
 
 
 def loosened(x: bytes) -> np.ndarray:
     import zstandard
 
-    raw = zstandard.decompress(x)
-    return np.frombuffer(raw[:-1], f"<i{raw[-1]}").astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(x), np.uint8).reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
 
 
-def bucketed(coded: DataFrame) -> DataFrame:
-    """Per bucket and task: bucket, units (sorted, joined), times, lens and ids, flat."""
+def spliced(lens: np.ndarray, flat: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and joined contents of the lists number index[0], index[1], ...; list i holds lens[i] of flat."""
+    size = lens[index]
+    shift = (np.cumsum(lens) - lens)[index] - (np.cumsum(size) - size)
+    return size, flat[np.arange(size.sum()) + np.repeat(shift, size)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[int, list[tuple[str, int, list[int]]]] = {}
-        for batch in batches:
-            for b, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "unit", "times", "ids"))):
-                by.setdefault(b, []).append(tuple(row))
-        for b, rows in by.items():
-            rows.sort()
-            lens = [len(ids) for *_, ids in rows]
-            flat = np.array([i for *_, ids in rows for i in ids])
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([" ".join(r[0] for r in rows)]), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())), pa.array([squeezed(np.array(lens))]), pa.array([squeezed(flat)])], ["bucket", "units", "times", "lens", "ids"])
-
-    return coded.select("bucket", "unit", "times", "ids").mapInArrow(run, "bucket int, units string, times array<long>, lens binary, ids binary")
-
-
-def frequent(coded: DataFrame, most: int) -> dict[str, bytes]:
-    """Ids (as four bytes each) of the most frequent units: at most `most`, which reach the driver. A histogram of counts gives the limit."""
-    size = F.floor(F.log2("n") * 16).cast("int")
-    bins = coded.select(F.explode("times").alias("n")).groupBy(size.alias("size")).agg(F.count("*").alias("units")).collect()
-    least, total = None, 0
-    for r in sorted(bins, key=lambda r: -r["size"]):
-        total += r["units"]
-        if total > most:
-            break
-        least = r["size"]
-    if least is None:
-        return {}
-    floor = 2 ** (least / 16) - 1e-6
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for names, times, lens, ids in zip(*(batch.column(c).to_pylist() for c in ("units", "times", "lens", "ids"))):
-                n, flat = loosened(lens), loosened(ids).astype("<i4")
-                stop = np.cumsum(n)
-                out = [(u, flat[e - k : e].tobytes()) for u, t, k, e in zip(names.split(" "), times, n.tolist(), stop.tolist()) if t >= floor and len(u) <= LONG]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["unit", "ids"])
+class Numbers(dict):
+    """Keys get numbers from 0, in the order in which they are first asked for."""
 
-    return {r["unit"]: bytes(r["ids"]) for r in coded.mapInArrow(run, "unit string, ids binary").collect()}
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
 
 
-def placed(texts: DataFrame, hot: dict[str, bytes], buckets: int) -> DataFrame:
-    """Per chunk of rows: chunk, doc_ids, and the ids of hot units with holes for the others; asked: those units by bucket, in order of their numbers.
+CHUNK = "chunk long, doc_ids array<long>, digests binary, count binary, word binary, parts binary, unit binary, asked array<struct<bucket: int, units: string>>"
 
-    own: ids of a row; gaps: its holes; digests: 16 bytes of each row's text; at: the place of each hole among the chunk's ids; unit: its number.
-    """
+
+def chunks(texts: DataFrame, joined: np.ndarray, buckets: int) -> DataFrame:
+    """Per chunk of rows: its number, doc_ids, 16 bytes of each row's text, count (words of each row), word (their numbers),
+    parts (units of each different word), unit (their numbers), and asked, the units by bucket in the order of their numbers."""
     asked = pa.list_(pa.struct([("bucket", pa.int32()), ("units", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
 
-        def rows(doc_ids, own, gaps, ids, at, missing, digests) -> pa.RecordBatch:
+        def row(doc_ids, digests, count, word, seen) -> pa.RecordBatch:
+            parts, found = units(list(seen), joined)
             by: dict[int, list[str]] = {}
-            for u in sorted(set(missing)):
+            for u in sorted(set(found)):
                 by.setdefault(bucket_of(u, buckets), []).append(u)
             by = dict(sorted(by.items()))
             number = {u: i for i, u in enumerate(u for x in by.values() for u in x)}
-            flat = np.frombuffer(bytes(ids), "<i4")
-            data = [squeezed(np.array(x)) for x in (own, gaps, flat, np.diff(np.array(at), prepend=0), [number[u] for u in missing])]
-            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), *(pa.array([x]) for x in data), pa.array([bytes(digests)]), pa.array([[{"bucket": b, "units": " ".join(x)} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "own", "gaps", "ids", "at", "unit", "digests", "asked"])
+            data = [squeezed(np.array(x)) for x in (count, word, parts, [number[u] for u in found])]
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([bytes(digests)]), *(pa.array([x]) for x in data), pa.array([[{"bucket": b, "units": " ".join(x)} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "digests", "count", "word", "parts", "unit", "asked"])
 
-        state: tuple = ([], [], [], bytearray(), array("i"), [], bytearray())
+        state: tuple = ([], bytearray(), [], array("i"), Numbers())
         chars = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                doc_ids, own, gaps, ids, at, missing, digests = state
-                before, holes, text = len(ids), len(missing), text.as_py()
-                for u in units(text):
-                    known = hot.get(u)
-                    if known is None:
-                        missing.append(u)
-                        at.append(len(ids) // 4)
-                    else:
-                        ids += known
+                doc_ids, digests, count, word, seen = state
+                text = text.as_py() or ""
+                own = words(text)
+                word.extend(map(seen.__getitem__, own))
                 doc_ids.append(doc_id)
-                digests += hashlib.md5((text or "").replace(MARK, " ").encode()).digest()
-                own.append((len(ids) - before) // 4)
-                gaps.append(len(missing) - holes)
-                chars += len(text or "")
+                digests += hashlib.md5(text.replace(MARK, " ").encode()).digest()
+                count.append(len(own))
+                chars += len(text)
                 if len(doc_ids) >= CHUNK_ROWS or chars >= CHUNK_CHARS:
-                    yield rows(*state)
-                    state, chars, chunk = ([], [], [], bytearray(), array("i"), [], bytearray()), 0, chunk + 1
+                    del own, text
+                    yield row(*state)
+                    state, chars, chunk = ([], bytearray(), [], array("i"), Numbers()), 0, chunk + 1
         if state[0]:
-            yield rows(*state)
+            yield row(*state)
 
-    return texts.mapInArrow(run, "chunk long, doc_ids array<long>, own binary, gaps binary, ids binary, at binary, unit binary, digests binary, asked array<struct<bucket: int, units: string>>")
+    return texts.mapInArrow(tidy(run), CHUNK)
 
 
 ANSWER = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("lens", pa.binary()), ("ids", pa.binary())])
 
 
-def answer(known: pa.Table, asked: pa.Table) -> pa.Table:
-    """Of one bucket: to each chunk the ids of the units it asks for, in its order."""
-    held: dict[str, tuple[int, np.ndarray]] = {}
-    for names, lens, ids in zip(*(known.column(c).to_pylist() for c in ("units", "lens", "ids"))):
-        n, flat = loosened(lens), loosened(ids)
-        stop = np.cumsum(n)
-        held |= {u: (k, flat[e - k : e]) for u, k, e in zip(names.split(" "), n.tolist(), stop.tolist())}
-    out = []
-    for chunk, bucket, names in zip(*(asked.column(c).to_pylist() for c in ("chunk", "bucket", "units"))):
-        found = [held[u] for u in names.split(" ")]
-        out.append((chunk, bucket, squeezed(np.array([k for k, _ in found])), squeezed(np.concatenate([x for _, x in found]))))
-    return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), ANSWER)], schema=ANSWER) if out else ANSWER.empty_table()
+def answerer(known: Known):
+    def answer(coded: pa.Table, asked: pa.Table) -> pa.Table:
+        """Of one bucket: to each chunk the ids of the units it asks for, in its order."""
+        held: dict[str, list[int]] = {}
+        for unit, cuts, tokens in zip(*(coded.column(c).to_pylist() for c in ("unit", "cuts", "tokens"))):
+            held[unit] = known.from_tokens(unit, cuts, [(t["start"], t["id"]) for t in tokens])
+        out = []
+        for chunk, bucket, names in zip(*(asked.column(c).to_pylist() for c in ("chunk", "bucket", "units"))):
+            found = []
+            for u in names.split(" "):
+                if (ids := held.get(u)) is None:
+                    held[u] = ids = known.alone(u)
+                found.append(ids)
+            out.append((chunk, bucket, squeezed(np.array([len(x) for x in found])), squeezed(np.array([i for x in found for i in x]))))
+        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), ANSWER)], schema=ANSWER) if out else ANSWER.empty_table()
+
+    return answer
 
 
 CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("digest", pa.binary())])
 
 
 def filled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-    """The chunk's rows, with the answers in its holes."""
+    """The chunk's rows: units' ids put together to words, and these to texts."""
     if not chunk.num_rows:
         return CODED.empty_table()
     (row,) = chunk.to_pylist()
-    own, gaps, ids, at, unit = (loosened(row[c]) for c in ("own", "gaps", "ids", "at", "unit"))
-    at = np.cumsum(at)
     got = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
     none = np.zeros(0, np.int64)
-    lens, words = (np.concatenate([loosened(r[c]) for r in got] or [none]) for c in ("lens", "ids"))
-    first = np.cumsum(lens) - lens
-    size = lens[unit]
-    pushed = np.concatenate([[0], np.cumsum(size)])
-    out = np.zeros(len(ids) + pushed[-1], np.int32)
-    out[np.arange(len(ids)) + pushed[np.searchsorted(at, np.arange(len(ids)), side="right")]] = ids
-    inside = np.arange(pushed[-1]) - np.repeat(pushed[:-1], size)
-    out[np.repeat(at + pushed[:-1], size) + inside] = words[np.repeat(first[unit], size) + inside]
-    of_row = np.repeat(np.arange(len(own)), gaps)
-    length = own + np.bincount(of_row, size, len(own)).astype(np.int64)
+    lens, ids = (np.concatenate([loosened(r[c]) for r in got] or [none]) for c in ("lens", "ids"))
+    count, word, parts, unit = (loosened(row[c]) for c in ("count", "word", "parts", "unit"))
+    size, ids = spliced(lens, ids.astype(np.int32), unit)
+    ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(parts)])]
+    size, ids = spliced(np.diff(ends), ids, word)
+    ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
     digests = [row["digests"][i : i + 16] for i in range(0, len(row["digests"]), 16)]
-    return pa.table([pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(out)), pa.array(digests, pa.binary())], schema=CODED)
+    return pa.table([pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), pa.array(digests, pa.binary())], schema=CODED)
 
 
-def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, ids, round_trip: whether the text decoded from all ids is the row's text, by MD5. A mark in a text counts as a space, as for the model."""
     spark = docs.sparkSession
     rows = piece_rows(path or default_model())
-    pieces = spark.createDataFrame(rows, "piece string, id int, score double, byte int")
-    longest = max((len(p) for p, _, _, b in rows if b < 0), default=1)
-    by_piece, scores = {p: i for p, i, _, b in rows if b < 0}, {p: s for p, _, s, b in rows if b < 0}
-    first_byte = min((i for _, i, _, b in rows if b >= 0), default=0)
+    known = Known(rows, model)
+    place = {s: i + 1 for i, s in enumerate(sorted({s for _, _, s, b in rows if b < 0}))}
+    pieces = spark.createDataFrame([(*r, place.get(r[2], 0)) for r in rows], "piece string, id int, score double, byte int, place long").coalesce(1)
     buckets = 4 * parts(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    words = counted(texts, buckets)
-    grouped = edges(words.where(F.length("unit") <= LONG), pieces, longest).groupBy("bucket", "unit", "times", "n").agg(F.collect_list("edge").alias("edges"))
-    folded = (merged if model == "bpe" else viterbi)(grouped, first_byte)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            by_model = (lambda u: merge_long(u, by_piece, scores, first_byte)) if model == "bpe" else (lambda u: viterbi_long(u, by_piece, scores, first_byte, longest))
-            found = [by_model(u) for u in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], ["bucket", "unit", "times", "ids"])
-
-    long_ones = words.where(F.length("unit") > LONG).mapInArrow(run, "bucket int, unit string, times long, ids array<int>")
-    coded = park(bucketed(folded.union(long_ones)), "coded", compression="zstd")
-    held = park(placed(texts, frequent(coded, hot), buckets), "chunks", compression="zstd")
-    asked = held.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.bucket", "a.units")
-    answers = coded.select("bucket", "units", "lens", "ids").groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket int, lens binary, ids binary")
+    held = park(chunks(texts, neighbours(list(known.ids)), buckets), "chunks", compression="zstd")
+    asked = held.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.bucket", "a.units").repartition(buckets, "bucket")
+    different = asked.select("bucket", F.explode(F.split("units", " ")).alias("unit")).distinct().withColumn("n", F.length("unit"))
+    of = different.where(F.col("n").between(2, LONG)).withColumn("u", F.monotonically_increasing_id())
+    coded = (merged if model == "bpe" else viterbi)(of, pieces, known.longest)
+    answers = coded.select(F.col("bucket").alias("home"), "unit", "cuts", "tokens").groupBy("home").cogroup(asked.groupBy("bucket")).applyInArrow(answerer(known), "chunk long, bucket int, lens binary, ids binary")
     x = held.drop("asked").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(filled, "doc_id long, ids array<int>, digest binary")
-    same = F.md5(decoded("ids", rows).cast("binary")) == F.lower(F.hex("digest"))
-    return x.select("doc_id", "ids", F.coalesce(same, F.lit(False)).alias("round_trip"))
+    return decoded(x, rows, "doc_id long, ids array<int>, round_trip boolean", lambda batch, texts: [batch.column("doc_id"), batch.column("ids"), pa.array([t is not None and hashlib.md5(t).digest() == d for t, d in zip(texts, batch.column("digest").to_pylist())], pa.bool_())])
 
 
-def decoded(ids: str, rows: list[tuple[str, int, float, int]]) -> Column:
-    """The text of a column of ids: each is looked up in the piece table, and their bytes put together in order; null if they are no UTF-8."""
-    codes = [""] * (max((i for _, i, _, _ in rows), default=0) + 1)
+def decoded(x: DataFrame, rows: list[tuple[str, int, float, int]], schema: str, result) -> DataFrame:
+    """x (with ids) by way of result(batch, texts): texts are the bytes of each row's ids, in order; None if they are no UTF-8."""
+    codes = [b""] * (max((i for _, i, _, _ in rows), default=0) + 1)
     for p, i, _, b in rows:
-        codes[i] = (bytes([b]) if b >= 0 else p.encode()).hex()
-    # one string, as a literal of 32,000 would take as many calls
-    pieces = F.split(F.lit(" ".join(codes)), " ")
-    code = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")
-    text = F.translate(F.try_validate_utf8(F.try_to_binary(code, F.lit("hex")).cast("string")), MARK, " ")
-    return F.when(text.startswith(" "), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
+        codes[i] = bytes([b]) if b >= 0 else p.encode()
+    lens, flat, mark = np.array([len(c) for c in codes]), np.frombuffer(b"".join(codes), np.uint8), MARK.encode()
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+
+    def text(data: bytes) -> bytes | None:
+        data = data.replace(mark, b" ")
+        try:
+            data.decode()
+        except UnicodeDecodeError:
+            return None
+        return data[1:] if data.startswith(b" ") else data
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                column = part.column("ids")
+                ids = column.flatten().to_numpy(zero_copy_only=False)
+                n = np.nan_to_num(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)).astype(np.int64)
+                size, data = spliced(lens, flat, ids.astype(np.int64))
+                ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
+                yield pa.RecordBatch.from_arrays(result(part, [text(data[a:b].tobytes()) for a, b in zip(ends, ends[1:])]), names)
+
+    return x.mapInArrow(tidy(run), schema)
 
 
 def decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Per row: doc_id, text of its ids (control ids have none)."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(decoded(ids_col, piece_rows(path or default_model())), F.lit("")).alias("text"))
+    """Per row: doc_id, text of its ids (control ids have none; null if their bytes are no UTF-8, empty for null ids)."""
+    x = docs.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
+    return decoded(x, piece_rows(path or default_model()), f"doc_id {x.schema['doc_id'].dataType.simpleString()}, text string", lambda batch, texts: [batch.column("doc_id"), pa.array([None if t is None else t.decode() for t in texts], pa.string())])
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,15 +18,29 @@ def sp():
     return sentencepiece.SentencePieceProcessor(model_file=lattice.default_model())
 
 
-@pytest.mark.parametrize("hot", [0, 3, lattice.HOT])
-def test_ids_are_the_librarys(spark, sp, hot):
+def test_ids_are_the_librarys(spark, sp):
     rows = [(i if i else None, t, 1, "x") for i, t in enumerate(texts())] + [(3, texts()[3], 1, "x")]
-    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string, ids int, unit string"), hot=hot).collect()
+    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string, ids int, unit string")).collect()
     want = sorted((i or -1, sp.encode(t or "")) for i, t, *_ in rows)
     assert sorted((x["doc_id"] or -1, list(x["ids"])) for x in got) == want
     assert all(x["round_trip"] for x in got)
 
 
+@pytest.mark.parametrize("size", [300_000])
+def test_very_long_texts(spark, sp, size):
+    r = random.Random(8)
+    rows = [(0, " ".join(r.choice(["hello", "wörld", "日本語", "a-b/c?d=1", "xyz" * 40]) for _ in range(size // 8))), (1, "ab" * size), (2, " " * size)]
+    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: list(x["ids"]) for x in got} == {i: sp.encode(t) for i, t in rows} and all(x["round_trip"] for x in got)
+
+
+def test_the_query(spark, sp, tmp_path):
+    rows = [(i, t) for i, t in enumerate(texts())]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = lattice.op2_sentencepiece(spark, str(tmp_path)).collect()
+    assert sorted((x["doc_id"], list(x["ids"]), x["round_trip"]) for x in got) == [(i, sp.encode(t or ""), True) for i, t in rows]
+
+
 def test_decode_is_a_round_trip(spark):
     rows = [(i, (t or "").replace("▁", "")) for i, t in enumerate(texts())]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -34,27 +48,36 @@ def test_decode_is_a_round_trip(spark):
 
 
 def test_long_units_take_the_same_merges(sp):
-    rows = lattice.piece_rows(lattice.default_model())
-    ids, scores = {p: i for p, i, _, b in rows if b < 0}, {p: s for p, _, s, b in rows if b < 0}
+    known = lattice.Known(lattice.piece_rows(lattice.default_model()), "bpe")
     for t in texts():
         for u in (t or "").split():
-            assert lattice.merge_long("▁" + u.replace("▁", ""), ids, scores, 3) == sp.encode(u.replace("▁", "")) or not u.replace("▁", "")
+            assert known.merge_long("▁" + u.replace("▁", "")) == sp.encode(u.replace("▁", "")) or not u.replace("▁", "")
+
+
+def test_no_piece_crosses_units():
+    pieces = [p for p, _, _, b in lattice.piece_rows(lattice.default_model()) if b < 0]
+    joined = lattice.neighbours(pieces)
+    assert all(lattice.units([p], joined) == ([1], [p]) for p in pieces)
+    count, found = lattice.units(["▁foo_bar12", "日本語", "\n\n"], joined)
+    assert "".join(found) == "▁foo_bar12日本語\n\n" and sum(count) == len(found) > 5
+    assert lattice.units([], joined) == ([], [])
 
 
 def test_viterbi_has_the_best_sum(spark):
     scores = {"a": -1.0, "b": -1.0, "ab": -2.5, "abc": -2.2, "c": -1.5, "bc": -0.9}
-    pieces = spark.createDataFrame([(p, i, s, -1) for i, (p, s) in enumerate(scores.items())] + [(f"<0x{b:02X}>", 10 + b, 0.0, b) for b in range(256)], "piece string, id int, score double, byte int")
-    words = ["abc", "abab", "cab", "abz"]
-    grouped = lattice.edges(spark.createDataFrame([(w,) for w in words], "unit string"), pieces, 3).groupBy("unit", "n").agg({"edge": "collect_list"}).toDF("unit", "n", "edges")
-    got = dict(map(tuple, lattice.viterbi(grouped, 10).collect()))
+    rows = [(p, i, s, -1) for i, (p, s) in enumerate(scores.items())] + [(f"<0x{b:02X}>", 10 + b, 0.0, b) for b in range(256)]
+    pieces = spark.createDataFrame([(*r, 0) for r in rows], "piece string, id int, score double, byte int, place long")
+    of = spark.createDataFrame([(w, len(w), 0, i) for i, w in enumerate(["abc", "abab", "cab", "abz"])], "unit string, n int, bucket int, u long")
+    known = lattice.Known(rows, "unigram")
+    got = {x["unit"]: known.from_tokens(x["unit"], x["cuts"], [tuple(t) for t in x["tokens"]]) for x in lattice.viterbi(of, pieces, 3).collect()}
     assert got == {"abc": [0, 5], "abab": [0, 1, 0, 1], "cab": [4, 0, 1], "abz": [0, 1, 10 + ord("z")]}
+    assert got == {u: known.viterbi_long(u) for u in got}
 
 
 def test_small_chunks(spark, sp, monkeypatch):
     monkeypatch.setattr(lattice, "CHUNK_ROWS", 7)
-    monkeypatch.setattr(lattice, "MOST", 5)
     rows = [(i, t) for i, t in enumerate(texts())]
-    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string"), hot=20).collect()
+    got = lattice.encode(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x["doc_id"], list(x["ids"])) for x in got) == [(i, sp.encode(t or "")) for i, t in rows]
 
 
