@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 import zlib
 from array import array
@@ -72,8 +73,40 @@ def piece_rows(path: str) -> list[tuple[str, int, float, int]]:
     return rows
 
 
-def words(text: str | None) -> list[str]:
-    return WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+class Numbers(dict):
+    """Keys get numbers from a counter, in the order in which they are first asked for."""
+
+    def __init__(self, counter: Iterator[int]):
+        self.counter = counter
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = next(self.counter)
+        return n
+
+
+class Words:
+    """Numbers of the words of texts. A word is a run of marks with the characters after it, a run of newlines, or the characters behind one.
+
+    Where each space and each newline stands alone, splitting at spaces gives the words without their mark,
+    which is much faster. What begins with a newline then has no mark, and may hold further characters.
+    """
+
+    def __init__(self):
+        counter = itertools.count()
+        self.plain, self.other = Numbers(counter), Numbers(counter)
+
+    def of(self, text: str) -> Iterator[int]:
+        if text.startswith(" ") or "  " in text or "\n\n" in text or MARK in text:
+            return map(self.other.__getitem__, WORD.findall(MARK + text.replace(" ", MARK)))
+        return map(self.plain.__getitem__, text.replace("\n", " \n").split(" ")) if text else iter(())
+
+    def listed(self) -> list[str]:
+        out = [""] * (len(self.plain) + len(self.other))
+        for w, i in self.other.items():
+            out[i] = w
+        for w, i in self.plain.items():
+            out[i] = w if w.startswith("\n") else MARK + w
+        return out
 
 
 def neighbours(pieces: list[str]) -> np.ndarray:
@@ -125,14 +158,15 @@ def edges(of: DataFrame, pieces: DataFrame, longest: int, least: int) -> DataFra
 
 
 def merged(of: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """bucket, unit, cuts (a bit for each border of a token), tokens (start, id of those of several characters), by merges in order of score."""
+    """bucket, unit, cuts (a bit for each border of a token), tokens (those of several characters: start and id in a long), by merges in order of score."""
     packed = F.call_function("shiftleft", F.col("place"), F.lit(SCORE)) + F.call_function("shiftleft", (63 - F.col("start")).cast("long"), F.lit(START)) + F.call_function("shiftleft", F.col("size").cast("long"), F.lit(SIZE)) + F.col("id")
-    x = edges(of, pieces, longest, 2).withColumn("edge", packed).groupBy("bucket", "u").agg(F.first("unit").alias("unit"), F.first("n").alias("n"), F.collect_list("edge").alias("edges"))
+    # u comes first, as a sort by its bits is the fastest
+    x = edges(of, pieces, longest, 2).withColumn("edge", packed).groupBy("u", "bucket").agg(F.first("unit").alias("unit"), F.first("n").alias("n"), F.collect_list("edge").alias("edges"))
 
     def move(e: Column) -> Column:
         start, size = (63 - F.shiftright(e, START).bitwiseAND(F.lit(63))).cast("int"), F.shiftright(e, SIZE).bitwiseAND(F.lit(63)).cast("int")
         end = start + size
-        token = F.struct(start.alias("start"), e.bitwiseAND(F.lit((1 << SIZE) - 1)).cast("int").alias("id"))
+        token = F.call_function("shiftleft", start.cast("long"), F.lit(SIZE)) + e.bitwiseAND(F.lit((1 << SIZE) - 1))
         return F.struct(mask(start + 1, end - 1).alias("inner"), mask(start, start).bitwiseOR(mask(end, end)).alias("ends"), token.alias("token"))
 
     # the best first: of those that fit, the first is the one to make
@@ -150,17 +184,16 @@ def merged(of: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
 def viterbi(of: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """bucket, unit, cuts, tokens (as in merged), by the best sum of scores (characters without a piece cost 1e6), of equals the greater ids."""
     edge = F.struct("score", "start", "size", "id")
-    x = edges(of, pieces, longest, 1).groupBy("bucket", "u").agg(F.first("unit").alias("unit"), F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
-    token = "struct<start: int, id: int>"
-    state = f"array<struct<score: double, ids: array<int>, cuts: bigint, tokens: array<{token}>>>"
-    begin = F.array(F.struct(F.lit(0.0), F.array().cast("array<int>"), F.lit(1).cast("long"), F.array().cast(f"array<{token}>"))).cast(state)
+    x = edges(of, pieces, longest, 1).groupBy("u", "bucket").agg(F.first("unit").alias("unit"), F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
+    state = "array<struct<score: double, ids: array<int>, cuts: bigint, tokens: array<bigint>>>"
+    begin = F.array(F.struct(F.lit(0.0), F.array().cast("array<int>"), F.lit(1).cast("long"), F.array().cast("array<bigint>"))).cast(state)
 
     def step(done: Column, end: Column) -> Column:
         into = F.filter("edges", lambda e: e["start"] + e["size"] == end)
 
         def via(e: Column) -> Column:
             before = F.element_at(done, e["start"] + 1)
-            own = F.when(e["size"] > 1, F.array(F.struct(e["start"].alias("start"), e["id"].alias("id")))).otherwise(F.array().cast(f"array<{token}>"))
+            own = F.when(e["size"] > 1, F.array(F.call_function("shiftleft", e["start"].cast("long"), F.lit(SIZE)) + e["id"])).otherwise(F.array().cast("array<bigint>"))
             code = F.when(e["id"] >= 0, e["id"]).otherwise(F.ascii(F.substring(F.col("unit"), e["start"] + 1, F.lit(1))))
             sum_ = before["score"] + F.when(e["id"] >= 0, e["score"]).otherwise(F.lit(-1e6))
             return F.struct(sum_.alias("score"), F.concat(before["ids"], F.array(code)).alias("ids"), before["cuts"].bitwiseOR(mask(end, end)).alias("cuts"), F.concat(before["tokens"], own).alias("tokens"))
@@ -185,12 +218,15 @@ class Known:
         i = self.ids.get(piece)
         return [i] if i is not None else [self.first_byte + b for b in piece.encode("utf-8", "surrogatepass")]
 
-    def from_tokens(self, unit: str, cuts: int, tokens: list[tuple[int, int]]) -> list[int]:
-        """tokens: (start, id) of those of several characters; between other cuts stand single characters."""
-        at, out = dict(tokens), []
-        for start in range(len(unit)):
+    def from_tokens(self, unit: str, cuts: int, tokens: list[int]) -> list[int]:
+        """tokens: start and id of those of several characters; between other cuts stand single characters."""
+        at, out = {t >> SIZE: t & (1 << SIZE) - 1 for t in tokens}, []
+        for start, char in enumerate(unit):
             if cuts >> start & 1:
-                out += [at[start]] if start in at else self.own(unit[start])
+                if (i := at[start] if start in at else self.ids.get(char)) is not None:
+                    out.append(i)
+                else:
+                    out += self.own(char)
         return out
 
     def alone(self, unit: str) -> list[int]:
@@ -263,51 +299,49 @@ def spliced(lens: np.ndarray, flat: np.ndarray, index: np.ndarray) -> tuple[np.n
     return size, flat[np.arange(size.sum()) + np.repeat(shift, size)]
 
 
-class Numbers(dict):
-    """Keys get numbers from 0, in the order in which they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self)
-        return n
-
-
 CHUNK = "chunk long, doc_ids array<long>, digests binary, count binary, word binary, parts binary, unit binary, asked array<struct<bucket: int, units: string>>"
 
 
 def chunks(texts: DataFrame, joined: np.ndarray, buckets: int) -> DataFrame:
     """Per chunk of rows: its number, doc_ids, 16 bytes of each row's text, count (words of each row), word (their numbers),
-    parts (units of each different word), unit (their numbers), and asked, the units by bucket in the order of their numbers."""
+    parts (units of each different word), unit (their numbers), and asked, the chunk's number and the units by bucket in the order of their numbers."""
     asked = pa.list_(pa.struct([("bucket", pa.int32()), ("units", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
 
         def row(doc_ids, digests, count, word, seen) -> pa.RecordBatch:
-            parts, found = units(list(seen), joined)
+            # frequent words first, so that most numbers are small
+            word = np.array(word, np.int64)
+            order = np.argsort(-np.bincount(word), kind="stable")
+            rank = np.zeros(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            names = seen.listed()
+            parts, found = units([names[i] for i in order.tolist()], joined)
             by: dict[int, list[str]] = {}
             for u in sorted(set(found)):
                 by.setdefault(bucket_of(u, buckets), []).append(u)
             by = dict(sorted(by.items()))
             number = {u: i for i, u in enumerate(u for x in by.values() for u in x)}
-            data = [squeezed(np.array(x)) for x in (count, word, parts, [number[u] for u in found])]
-            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([bytes(digests)]), *(pa.array([x]) for x in data), pa.array([[{"bucket": b, "units": " ".join(x)} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "digests", "count", "word", "parts", "unit", "asked"])
+            data = [squeezed(np.array(x)) for x in (count, rank[word], parts, [number[u] for u in found])]
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([bytes(digests)]), *(pa.array([x]) for x in data), pa.array([[{"bucket": b, "units": " ".join([str(chunk), *x])} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "digests", "count", "word", "parts", "unit", "asked"])
 
-        state: tuple = ([], bytearray(), [], array("i"), Numbers())
+        state: tuple = ([], bytearray(), [], array("i"), Words())
         chars = 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 doc_ids, digests, count, word, seen = state
                 text = text.as_py() or ""
-                own = words(text)
-                word.extend(map(seen.__getitem__, own))
+                before = len(word)
+                word.extend(seen.of(text))
                 doc_ids.append(doc_id)
                 digests += hashlib.md5(text.replace(MARK, " ").encode()).digest()
-                count.append(len(own))
+                count.append(len(word) - before)
                 chars += len(text)
                 if len(doc_ids) >= CHUNK_ROWS or chars >= CHUNK_CHARS:
-                    del own, text
+                    del text
                     yield row(*state)
-                    state, chars, chunk = ([], bytearray(), [], array("i"), Numbers()), 0, chunk + 1
+                    state, chars, chunk = ([], bytearray(), [], array("i"), Words()), 0, chunk + 1
         if state[0]:
             yield row(*state)
 
@@ -322,15 +356,15 @@ def answerer(known: Known):
         """Of one bucket: to each chunk the ids of the units it asks for, in its order."""
         held: dict[str, list[int]] = {}
         for unit, cuts, tokens in zip(*(coded.column(c).to_pylist() for c in ("unit", "cuts", "tokens"))):
-            held[unit] = known.from_tokens(unit, cuts, [(t["start"], t["id"]) for t in tokens])
+            held[unit] = known.from_tokens(unit, cuts, tokens)
         out = []
-        for chunk, bucket, names in zip(*(asked.column(c).to_pylist() for c in ("chunk", "bucket", "units"))):
-            found = []
-            for u in names.split(" "):
+        for bucket, names in zip(*(asked.column(c).to_pylist() for c in ("bucket", "units"))):
+            (chunk, *names), found = names.split(" "), []
+            for u in names:
                 if (ids := held.get(u)) is None:
                     held[u] = ids = known.alone(u)
                 found.append(ids)
-            out.append((chunk, bucket, squeezed(np.array([len(x) for x in found])), squeezed(np.array([i for x in found for i in x]))))
+            out.append((int(chunk), bucket, squeezed(np.array([len(x) for x in found])), squeezed(np.array([i for x in found for i in x]))))
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out), ANSWER)], schema=ANSWER) if out else ANSWER.empty_table()
 
     return answer
@@ -366,8 +400,9 @@ def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col:
     buckets = 4 * parts(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     held = park(chunks(texts, neighbours(list(known.ids)), buckets), "chunks", compression="zstd")
-    asked = held.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.bucket", "a.units").repartition(buckets, "bucket")
-    different = asked.select("bucket", F.explode(F.split("units", " ")).alias("unit")).distinct().withColumn("n", F.length("unit"))
+    asked = held.select(F.explode("asked").alias("a")).select("a.bucket", "a.units").repartition(buckets, "bucket")
+    names = F.split("units", " ")
+    different = asked.select("bucket", F.explode(F.slice(names, F.lit(2), F.size(names))).alias("unit")).distinct().withColumn("n", F.length("unit"))
     of = different.where(F.col("n").between(2, LONG)).withColumn("u", F.monotonically_increasing_id())
     coded = (merged if model == "bpe" else viterbi)(of, pieces, known.longest)
     answers = coded.select(F.col("bucket").alias("home"), "unit", "cuts", "tokens").groupBy("home").cogroup(asked.groupBy("bucket")).applyInArrow(answerer(known), "chunk long, bucket int, lens binary, ids binary")

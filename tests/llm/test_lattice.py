@@ -54,6 +54,14 @@ def test_long_units_take_the_same_merges(sp):
             assert known.merge_long("▁" + u.replace("▁", "")) == sp.encode(u.replace("▁", "")) or not u.replace("▁", "")
 
 
+def test_words_by_splitting_are_those_of_the_pattern():
+    for t in texts():
+        w = lattice.Words()
+        numbers, names = list(w.of(t or "")), w.listed()
+        assert "".join(names[i] for i in numbers) == (lattice.MARK + t.replace(" ", lattice.MARK) if t else "")
+        assert all(len(lattice.WORD.findall(x)) <= 2 for x in names)
+
+
 def test_no_piece_crosses_units():
     pieces = [p for p, _, _, b in lattice.piece_rows(lattice.default_model()) if b < 0]
     joined = lattice.neighbours(pieces)
@@ -69,7 +77,7 @@ def test_viterbi_has_the_best_sum(spark):
     pieces = spark.createDataFrame([(*r, 0) for r in rows], "piece string, id int, score double, byte int, place long")
     of = spark.createDataFrame([(w, len(w), 0, i) for i, w in enumerate(["abc", "abab", "cab", "abz"])], "unit string, n int, bucket int, u long")
     known = lattice.Known(rows, "unigram")
-    got = {x["unit"]: known.from_tokens(x["unit"], x["cuts"], [tuple(t) for t in x["tokens"]]) for x in lattice.viterbi(of, pieces, 3).collect()}
+    got = {x["unit"]: known.from_tokens(x["unit"], x["cuts"], x["tokens"]) for x in lattice.viterbi(of, pieces, 3).collect()}
     assert got == {"abc": [0, 5], "abab": [0, 1, 0, 1], "cab": [4, 0, 1], "abz": [0, 1, 10 + ord("z")]}
     assert got == {u: known.viterbi_long(u) for u in got}
 
