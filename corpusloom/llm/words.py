@@ -10,6 +10,9 @@ from .base import by_value
 by_value(__name__)
 
 #: Odd multipliers of the hash; any fixed odd constants do.
+#: Flags of the bytes that words are made of: all but ASCII white space.
+SPACE_ENDS = np.ones(256, bool)
+SPACE_ENDS[[0x20, *range(0x09, 0x0E)]] = False
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
