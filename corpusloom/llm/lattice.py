@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, parts, table, tidy
+from .base import by_value, parts, table, tidy
 
 by_value(__name__)
 
@@ -299,16 +299,18 @@ def spliced(lens: np.ndarray, flat: np.ndarray, index: np.ndarray) -> tuple[np.n
     return size, flat[np.arange(size.sum()) + np.repeat(shift, size)]
 
 
-CHUNK = "chunk long, doc_ids array<long>, digests binary, count binary, word binary, parts binary, unit binary, asked array<struct<bucket: int, units: string>>"
+#: What a chunk of rows keeps: 16 bytes of each row's text, count (words of each row), word (their numbers), parts (units
+#: of each different word), unit (their numbers).
+HELD = pa.schema([("doc_ids", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("digests", "count", "word", "parts", "unit"))])
+#: Keys under it are buckets, the others chunks.
+FIRST_CHUNK = 1 << 32
 
 
 def chunks(texts: DataFrame, joined: np.ndarray, buckets: int) -> DataFrame:
-    """Per chunk of rows: its number, doc_ids, 16 bytes of each row's text, count (words of each row), word (their numbers),
-    parts (units of each different word), unit (their numbers), and asked, the chunk's number and the units by bucket in the order of their numbers."""
-    asked = pa.list_(pa.struct([("bucket", pa.int32()), ("units", pa.string())]))
+    """key, data: of each chunk of rows what it keeps, and for each bucket its number and the units that it asks for, in the order of their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
+        chunk = TaskContext.get().partitionId() + 1 << 32
 
         def row(doc_ids, digests, count, word, seen) -> pa.RecordBatch:
             # frequent words first, so that most numbers are small
@@ -324,7 +326,9 @@ def chunks(texts: DataFrame, joined: np.ndarray, buckets: int) -> DataFrame:
             by = dict(sorted(by.items()))
             number = {u: i for i, u in enumerate(u for x in by.values() for u in x)}
             data = [squeezed(np.array(x)) for x in (count, rank[word], parts, [number[u] for u in found])]
-            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([bytes(digests)]), *(pa.array([x]) for x in data), pa.array([[{"bucket": b, "units": " ".join([str(chunk), *x])} for b, x in by.items()]], asked)], ["chunk", "doc_ids", "digests", "count", "word", "parts", "unit", "asked"])
+            own = pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((doc_ids, bytes(digests), *data), HELD)], schema=HELD)
+            asked = [" ".join([str(chunk), *x]).encode() for x in by.values()]
+            return pa.RecordBatch.from_arrays([pa.array([chunk, *by], pa.int64()), pa.array([own.serialize().to_pybytes(), *asked], pa.binary())], ["key", "data"])
 
         state: tuple = ([], bytearray(), [], array("i"), Words())
         chars = 0
@@ -345,7 +349,7 @@ def chunks(texts: DataFrame, joined: np.ndarray, buckets: int) -> DataFrame:
         if state[0]:
             yield row(*state)
 
-    return texts.mapInArrow(tidy(run), CHUNK)
+    return texts.mapInArrow(tidy(run), "key long, data binary")
 
 
 ANSWER = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("lens", pa.binary()), ("ids", pa.binary())])
@@ -358,8 +362,8 @@ def answerer(known: Known):
         for unit, cuts, tokens in zip(*(coded.column(c).to_pylist() for c in ("unit", "cuts", "tokens"))):
             held[unit] = known.from_tokens(unit, cuts, tokens)
         out = []
-        for bucket, names in zip(*(asked.column(c).to_pylist() for c in ("bucket", "units"))):
-            (chunk, *names), found = names.split(" "), []
+        for bucket, names in zip(*(asked.column(c).to_pylist() for c in ("key", "data"))):
+            (chunk, *names), found = names.decode().split(" "), []
             for u in names:
                 if (ids := held.get(u)) is None:
                     held[u] = ids = known.alone(u)
@@ -377,7 +381,7 @@ def filled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
     """The chunk's rows: units' ids put together to words, and these to texts."""
     if not chunk.num_rows:
         return CODED.empty_table()
-    (row,) = chunk.to_pylist()
+    (row,) = pa.ipc.read_record_batch(pa.py_buffer(chunk.column("data")[0].as_py()), HELD).to_pylist()
     got = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
     none = np.zeros(0, np.int64)
     lens, ids = (np.concatenate([loosened(r[c]) for r in got] or [none]) for c in ("lens", "ids"))
@@ -399,14 +403,16 @@ def encode(docs: DataFrame, path: str | None = None, model: str = "bpe", id_col:
     pieces = spark.createDataFrame([(*r, place.get(r[2], 0)) for r in rows], "piece string, id int, score double, byte int, place long").coalesce(1)
     buckets = 4 * parts(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    held = park(chunks(texts, neighbours(list(known.ids)), buckets), "chunks", compression="zstd")
-    asked = held.select(F.explode("asked").alias("a")).select("a.bucket", "a.units").repartition(buckets, "bucket")
-    names = F.split("units", " ")
-    different = asked.select("bucket", F.explode(F.slice(names, F.lit(2), F.size(names))).alias("unit")).distinct().withColumn("n", F.length("unit"))
+    # one shuffle serves the lattice, the answers and the chunks: the three of them read it as it is, and so Spark makes it once
+    dealt = chunks(texts, neighbours(list(known.ids)), buckets).repartition(buckets, "key").withColumn("_row", F.monotonically_increasing_id())
+    of_kind = lambda kind: dealt.where(f"_row >= 0 and {kind}").drop("_row")
+    asked, held = of_kind(f"key < {FIRST_CHUNK}"), of_kind(f"key >= {FIRST_CHUNK}")
+    names = F.split(F.col("data").cast("string"), " ")
+    different = asked.select(F.col("key").alias("bucket"), F.explode(F.slice(names, F.lit(2), F.size(names))).alias("unit")).distinct().withColumn("n", F.length("unit"))
     of = different.where(F.col("n").between(2, LONG)).withColumn("u", F.monotonically_increasing_id())
     coded = (merged if model == "bpe" else viterbi)(of, pieces, known.longest)
-    answers = coded.select(F.col("bucket").alias("home"), "unit", "cuts", "tokens").groupBy("home").cogroup(asked.groupBy("bucket")).applyInArrow(answerer(known), "chunk long, bucket int, lens binary, ids binary")
-    x = held.drop("asked").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(filled, "doc_id long, ids array<int>, digest binary")
+    answers = coded.select(F.col("bucket").alias("home"), "unit", "cuts", "tokens").groupBy("home").cogroup(asked.groupBy("key")).applyInArrow(answerer(known), "chunk long, bucket int, lens binary, ids binary")
+    x = held.groupBy("key").cogroup(answers.groupBy("chunk")).applyInArrow(filled, "doc_id long, ids array<int>, digest binary")
     return decoded(x, rows, "doc_id long, ids array<int>, round_trip boolean", lambda batch, texts: [batch.column("doc_id"), batch.column("ids"), pa.array([t is not None and hashlib.md5(t).digest() == d for t, d in zip(texts, batch.column("digest").to_pylist())], pa.bool_())])
 
 
