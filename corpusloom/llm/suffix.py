@@ -48,7 +48,7 @@ class Rule(NamedTuple):
     gram: int
 
 
-BYTES, PASSAGES = Rule("bytes", 400, 32), Rule("words", 50, 10)
+BYTES, PASSAGES = Rule("bytes", 400, 64), Rule("words", 50, 16)
 #: Bytes that are worked on at once; windows of larger documents are taken in overlapping pieces.
 CHUNK = 1 << 21
 #: Segments of one anchor that go to one shard; more are spread over more shards.
@@ -292,42 +292,48 @@ def unpacked(packed: list[bytes], unit: str) -> tuple[bytes, np.ndarray, np.ndar
     return joined, offsets, *units(np.frombuffer(joined, np.uint8), offsets, unit)
 
 
-def cut_segments(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Of (rid, d, packed, runs with m, the shards of their anchor): one row for each run; the segment's units once per task, mostly."""
+def cut_segments(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Of (rid, d, packed, runs with m, the shards of their anchor, and k, their rule): one row for each run; the segment's units once per task, mostly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, bytes]] = set()
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part, out = batch.slice(start, 64), []
-                _, _, data, places, *_ = unpacked(part.column("packed").to_pylist(), rule.unit)
-                for rid, d, at, runs in zip(*(part.column(c).to_pylist() for c in ("rid", "d")), places.tolist(), part.column("runs").to_pylist()):
+                joined, offsets, data, places, *_ = unpacked(part.column("packed").to_pylist(), rules[0].unit)
+                each = [(data, places.tolist(), rules[0].length)]
+                for rule in rules[1:]:
+                    data, places, *_ = units(np.frombuffer(joined, np.uint8), offsets, rule.unit)
+                    each.append((data, places.tolist(), rule.length))
+                for n, (rid, d, runs) in enumerate(zip(*(part.column(c).to_pylist() for c in ("rid", "d", "runs")))):
                     for x in runs:
-                        seg = data[at + x["s"] : at + x["e"] + rule.length].tobytes()
+                        data, places, length = each[x["k"]]
+                        at = places[n]
+                        seg = data[at + x["s"] : at + x["e"] + length].tobytes()
                         digest = hashlib.blake2b(seg, digest_size=16).digest()
                         salt = int.from_bytes(digest[:4], "little") % x["m"]
                         new = (x["h"], digest) not in seen
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add((x["h"], digest))
-                        out.append((rid, d, x["s"], x["e"] - x["s"] + 1, x["h"], x["m"], salt, digest, seg if new else None))
+                        out.append((rid, d, x["k"], x["s"], x["e"] - x["s"] + 1, x["h"], x["m"], salt, digest, seg if new else None))
                 for at in range(0, len(out), 4096):
                     c = list(zip(*out[at : at + 4096]))
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, kinds)], ["rid", "d", "s", "w", "h", "m", "salt", "digest", "seg"])
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, kinds)], ["rid", "d", "k", "s", "w", "h", "m", "salt", "digest", "seg"])
 
-    return rows.mapInArrow(tidy(run), "rid long, d long, s long, w long, h long, m int, salt int, digest binary, seg binary")
+    return rows.mapInArrow(tidy(run), "rid long, d long, k int, s long, w long, h long, m int, salt int, digest binary, seg binary")
 
 
-def shard_sort(segments: DataFrame, rule: Rule, first: bool) -> DataFrame:
+def shard_sort(segments: DataFrame, rules: list[Rule], first: bool) -> DataFrame:
     """Per segment with repeats: h, digest, hits. Per shard of a split anchor and range also h, range, and its windows in seg.
 
-    segments: h, m, salt, digest, seg (null in some rows), place (d, rid, s: of its first copy; only with first), sorted by (h, salt);
+    segments: k, h, m, salt, digest, seg (null in some rows), place (d, rid, s: of its first copy; only with first), sorted by (k, h, salt);
     a shard is never cut in two. hits: windows that are elsewhere too; with first, of the segment's first copy those that are earlier too.
     """
-    length, width = rule.length, 1 if rule.unit == "bytes" else 8
 
-    def solve(rows: list) -> Iterator[tuple]:
+    def solve(rows: list, rule: Rule) -> Iterator[tuple]:
+        length, width = rule.length, 1 if rule.unit == "bytes" else 8
         data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8 if width == 1 else np.uint64)
         ends = np.cumsum([len(r[4]) // width for r in rows])
         begins = np.concatenate([[0], ends[:-1]])
@@ -374,13 +380,13 @@ def shard_sort(segments: DataFrame, rule: Rule, first: bool) -> DataFrame:
         def results():
             rows, size, key, have = [], 0, None, {}
             for batch in batches:
-                for h, m, salt, digest, seg, place in zip(*(batch.column(c).to_pylist() for c in ("h", "m", "salt", "digest", "seg", "place"))):
-                    if (h, salt) != key:
+                for k, h, m, salt, digest, seg, place in zip(*(batch.column(c).to_pylist() for c in ("k", "h", "m", "salt", "digest", "seg", "place"))):
+                    if (k, h, salt) != key:
                         rows += have.values()
-                        if size >= CHUNK // 2:
-                            yield from solve(rows)
+                        if rows and (size >= CHUNK // 2 or k != key[0]):
+                            yield from solve(rows, rules[key[0]])
                             rows, size = [], 0
-                        key, have = (h, salt), {}
+                        key, have = (k, h, salt), {}
                     if (row := have.get(digest)) is None:
                         have[digest] = row = [h, m, salt, digest, None, None]
                     if seg is not None and row[4] is None:
@@ -390,11 +396,11 @@ def shard_sort(segments: DataFrame, rule: Rule, first: bool) -> DataFrame:
                         row[5] = (place["d"], place["rid"], place["s"])
             rows += have.values()
             if rows:
-                yield from solve(rows)
+                yield from solve(rows, rules[key[0]])
 
         yield from batched(results())
 
-    return segments.select("h", "m", "salt", "digest", "seg", "place").mapInArrow(tidy(run), HITS)
+    return segments.select("k", "h", "m", "salt", "digest", "seg", "place").mapInArrow(tidy(run), HITS)
 
 
 HITS = "h long, digest binary, hits array<struct<a: long, b: long>>, range long, seg binary"
@@ -468,23 +474,23 @@ def merged_shards(runs: DataFrame, first: bool) -> DataFrame:
     return runs.repartition(n, "h", "range").sortWithinPartitions("h", "range").mapInArrow(tidy(run), HITS)
 
 
-def united(rows: DataFrame, length: int) -> DataFrame:
-    """Of (rid, hits), the maximal covered spans."""
+def united(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Of (rid, k, hits), the maximal covered spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for hits in batch.column(1).to_pylist():
+            for k, hits in zip(*(batch.column(c).to_pylist() for c in ("k", "hits"))):
                 spans: list[dict] = []
-                for a, b in sorted((x["a"], x["b"] + length) for x in hits):
+                for a, b in sorted((x["a"], x["b"] + rules[k].length) for x in hits):
                     if spans and a <= spans[-1]["end"]:
                         spans[-1]["end"] = max(spans[-1]["end"], b)
                     else:
                         spans.append({"start": a, "end": b})
                 out.append(spans)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["rid", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("k"), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["rid", "k", "spans"])
 
-    return rows.mapInArrow(tidy(run), f"rid long, spans {SPANS}")
+    return rows.select("rid", "k", "hits").mapInArrow(tidy(run), f"rid long, k int, spans {SPANS}")
 
 
 def texts_of(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col: str = "text", carry: list[str] = ()) -> DataFrame:
@@ -499,39 +505,43 @@ def copies_of(texts: DataFrame) -> DataFrame:
     return park(texts.groupBy("sha").agg(first.alias("first"), F.count("*").alias("n")).select("sha", "first.rid", "n"), "copies")
 
 
-def repeated_spans(texts: DataFrame, copies: DataFrame, rule: Rule, number: int = 0, keep: str = "none", split: int = SPLIT) -> DataFrame:
-    """rid, spans (in units of the rule, number `number` of those of texts_of) of the rows with something to remove."""
-    first, runs, size = keep == "first", f"runs{number}", f"size{number}"
-    one = texts.select("rid", runs).where(F.size(runs) > 0).join(copies.select("rid"), "rid", "left_semi").select("rid", F.explode(runs).alias("x")).select("rid", "x.*")
+def repeated_spans(texts: DataFrame, copies: DataFrame, rules: list[Rule], keep: str = "none", split: int = SPLIT) -> DataFrame:
+    """rid, k (the rule's place in rules, as given to texts_of), spans (in the rule's units) of the rows with something to remove."""
+    first, numbers = keep == "first", range(len(rules))
+    of_rule = lambda i: F.transform(f"runs{i}", lambda x: F.struct(F.lit(i).alias("k"), x["h"].alias("h"), x["s"].alias("s"), x["e"].alias("e")))
+    runs = F.concat(*map(of_rule, numbers))
+    one = texts.select("rid", *(f"runs{i}" for i in numbers)).join(copies.select("rid"), "rid", "left_semi").select("rid", F.explode(runs).alias("x")).select("rid", "x.*")
     one = park(one, "anchors")
     # written, so that the join reads two plain shuffles and a frequent anchor can be split there
     often = park(one.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / split).cast("int").alias("m")), "often")
-    lists = one.join(often, "h").groupBy("rid").agg(F.collect_list(F.struct("s", "e", "h", "m")).alias("runs"))
-    segments = park(cut_segments(texts.select("rid", F.coalesce("doc_id", F.lit(LAST)).alias("d"), "packed").join(lists, "rid").select("rid", "d", "packed", "runs"), rule), "segments")
+    lists = one.join(often, "h").groupBy("rid").agg(F.collect_list(F.struct("k", "s", "e", "h", "m")).alias("runs"))
+    segments = park(cut_segments(texts.select("rid", F.coalesce("doc_id", F.lit(LAST)).alias("d"), "packed").join(lists, "rid").select("rid", "d", "packed", "runs"), rules), "segments")
     # counts and smallest places are made before the shuffle too, so a passage that is everywhere is one row a task
-    place = F.struct("d", "rid", "s")
-    counts = segments.groupBy("h", "digest").agg(F.count("*").alias("n"), F.max("m").alias("m"), F.max("salt").alias("salt"), F.min(place).alias("place"))
+    counts = segments.groupBy("h", "digest").agg(F.count("*").alias("n"), *([F.max(c).alias(c) for c in ("k", "m", "salt")] + [F.min(F.struct("d", "rid", "s")).alias("place")] if first else []))
     counts = park(counts, "counts") if first else counts
-    columns = ["h", "m", "salt", "digest"]
-    dealt = segments.where("seg is not null").select(*columns, "seg", F.lit(None).cast(counts.schema["place"].dataType).alias("place"))
+    columns = ["k", "h", "m", "salt", "digest"]
+    place = F.lit(None).cast("struct<d: bigint, rid: bigint, s: bigint>").alias("place")
+    dealt = segments.where("seg is not null").select(*columns, "seg", place)
     dealt = dealt.union(counts.select(*columns, F.lit(None).cast("binary").alias("seg"), "place")) if first else dealt
-    dealt = dealt.repartition(parts(texts.sparkSession), "h", "salt").sortWithinPartitions("h", "salt")
-    sorted_ = park(shard_sort(dealt, rule, first), "shards")
+    dealt = dealt.repartition(parts(texts.sparkSession), "h", "salt").sortWithinPartitions("k", "h", "salt")
+    sorted_ = park(shard_sort(dealt, rules, first), "shards")
     hits = sorted_.where("digest is not null").select("h", "digest", "hits").union(merged_shards(sorted_.where("digest is null"), first).select("h", "digest", "hits"))
-    known = counts.select("h", "digest", "n", "place").join(hits.groupBy("h", "digest").agg(F.flatten(F.collect_list("hits")).alias("hits")), ["h", "digest"], "left").where("n > 1 or hits is not null")
-    known = known.select("h", "digest", "n", "hits", F.col("place.rid").alias("first_rid"), F.col("place.s").alias("first_s"))
+    known = counts.join(hits.groupBy("h", "digest").agg(F.flatten(F.collect_list("hits")).alias("hits")), ["h", "digest"], "left").where("n > 1 or hits is not null")
+    known = known.select("h", "digest", "n", "hits", *([F.col("place.rid").alias("first_rid"), F.col("place.s").alias("first_s")] if first else []))
     # Spark splits the rows of a frequent segment here, as both sides are plain shuffles
-    each = segments.select("rid", "s", "w", "h", "digest").join(park(known, "known"), ["h", "digest"])
+    each = segments.select("rid", "k", "s", "w", "h", "digest").join(park(known, "known"), ["h", "digest"])
     whole = F.array(F.struct(F.col("s").alias("a"), (F.col("s") + F.col("w") - 1).alias("b")))
     some = F.transform("hits", lambda x: F.struct((x["a"] + F.col("s")).alias("a"), (x["b"] + F.col("s")).alias("b")))
     all_of = (F.col("rid") != F.col("first_rid")) | (F.col("s") != F.col("first_s")) if first else F.col("n") > 1
-    each = each.select("rid", F.when(all_of, whole).otherwise(some).alias("hits")).where("hits is not null")
-    spans = united(each.groupBy("rid").agg(F.flatten(F.collect_list("hits")).alias("hits")), rule.length)
+    each = each.select("rid", "k", F.when(all_of, whole).otherwise(some).alias("hits")).where("hits is not null")
+    spans = united(each.groupBy("rid", "k").agg(F.flatten(F.collect_list("hits")).alias("hits")), rules)
     # copies: a document that is there twice repeats from end to end, if it is long enough
-    twin = texts.select("rid", "sha", size).where(F.col(size) >= rule.length).join(copies.where("n > 1").select("sha", F.col("rid").alias("first")), "sha")
+    twin = texts.select("rid", "sha", *(f"size{i}" for i in numbers)).join(copies.where("n > 1").select("sha", F.col("rid").alias("first")), "sha")
     twin = twin.where("rid <> first") if first else twin
-    whole = twin.select("rid", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col(size).alias("end"))).alias("spans"))
-    return spans.join(whole.select("rid"), "rid", "left_anti").union(whole)
+    sizes = F.filter(F.array(*(F.struct(F.lit(i).alias("k"), F.col(f"size{i}").alias("size"), F.lit(r.length).alias("least")) for i, r in enumerate(rules))), lambda x: x["size"] >= x["least"])
+    twin = twin.select("rid", F.explode(sizes).alias("x"))
+    whole = twin.select("rid", "x.k", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("x.size").alias("end"))).alias("spans"))
+    return spans.join(whole.select("rid", "k"), ["rid", "k"], "left_anti").union(whole)
 
 
 def kept_text(texts: DataFrame, spans: DataFrame, rule: Rule, whole_chars: bool, how: str = "inner") -> DataFrame:
@@ -567,13 +577,13 @@ def kept_text(texts: DataFrame, spans: DataFrame, rule: Rule, whole_chars: bool,
                 yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(zip(*out), kinds)), *(part.column(c) for c in rest)], ["n_removed", "n_units", "n_spans", "kept", "kept_sha256", *rest])
 
     types = "".join(f", {c} {texts.schema[c].dataType.simpleString()}" for c in rest)
-    return texts.join(spans, "rid", how).select("packed", "spans", *rest).mapInArrow(tidy(run), f"n_removed long, n_units long, n_spans long, kept binary, kept_sha256 string{types}")
+    return texts.join(spans.select("rid", "spans"), "rid", how).select("packed", "spans", *rest).mapInArrow(tidy(run), f"n_removed long, n_units long, n_spans long, kept binary, kept_sha256 string{types}")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] = (), rule: Rule = PASSAGES, keep: str = "first", split: int = SPLIT) -> DataFrame:
     """Per row: doc_id, text without what the rule removes (whole characters), n_removed (bytes), and the columns to carry."""
     texts = texts_of(docs, [rule], id_col, text_col, carry)
-    spans = repeated_spans(texts, copies_of(texts), rule, keep=keep, split=split)
+    spans = repeated_spans(texts, copies_of(texts), [rule], keep, split)
     cut = kept_text(texts.select("rid", "packed", "carried", "doc_id"), spans, rule, True, "left")
     return cut.select("doc_id", F.col("kept").cast("string").alias("text"), "n_removed", *(["carried.*"] if carry else []))
 
@@ -581,9 +591,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns by the rule BYTES. Beside them n_passages and n_passage_words: runs of 50 words or more that are elsewhere too, by the rule PASSAGES."""
     texts = texts_of(table(spark, sf_dir, "documents"), [BYTES, PASSAGES])
-    copies = copies_of(texts)
-    cut = kept_text(texts.select("rid", "packed"), repeated_spans(texts, copies, BYTES), BYTES, False).drop("kept", "n_units")
-    passages = repeated_spans(texts, copies, PASSAGES, 1)
+    spans = park(repeated_spans(texts, copies_of(texts), [BYTES, PASSAGES]), "spans")
+    cut = kept_text(texts.select("rid", "packed"), spans.where("k = 0").select("rid", "spans"), BYTES, False).drop("kept", "n_units")
+    passages = spans.where("k = 1")
     words_in = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     x = texts.select("rid", "doc_id", "sha", "n_bytes").join(cut, "rid", "left").join(passages.select("rid", F.size("spans").cast("long").alias("n_passages"), words_in.alias("n_passage_words")), "rid", "left")
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_removed", "n_spans", "n_passages", "n_passage_words")]

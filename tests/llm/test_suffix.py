@@ -42,7 +42,7 @@ def result(spark, texts, length, gram, **more):
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)], "doc_id long, text string, rid int, sha string")
     rule = suffix.Rule("bytes", length, gram)
     t = suffix.texts_of(df, [rule])
-    spans = suffix.repeated_spans(t, suffix.copies_of(t), rule, **more)
+    spans = suffix.repeated_spans(t, suffix.copies_of(t), [rule], **more)
     cut = {x["rid"]: x for x in suffix.kept_text(t.select("rid", "packed"), spans, rule, False).collect()}
     return sorted((x["n_bytes"], *((c["n_removed"], c["n_spans"], c["kept_sha256"]) if (c := cut.get(x["rid"])) else (0, 0, x["sha"].hex()))) for x in t.collect())
 
