@@ -10,6 +10,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 _FALLBACK = f"/tmp/checkpoints/corpusloom-{uuid.uuid4().hex[:12]}"
 
@@ -52,9 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the cluster names none."""
+    """The folder that driver and executors share; one of our own only in local mode, where the cluster names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master", "local").startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         atexit.register(shutil.rmtree, _FALLBACK, ignore_errors=True)
         named = f"file://{_FALLBACK}"
     return named
@@ -64,6 +67,10 @@ def park(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
+    jvm = df.sparkSession._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    # the folder goes with the session
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -71,6 +78,28 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+#: Groups of rows whose counts are added up together, before the sums are.
+SPAN = 1024
+
+
+def numbered(rows: DataFrame, key: str, order: list[str], name: str, group: int) -> DataFrame:
+    """rows with `name`: 0, 1, 2, ... among the rows of one value of key (not null, a bounded number of values).
+
+    Rows of a value are dealt by hash of `order` to groups of about `group` rows, which are numbered on
+    their own; what comes before a group is summed up in two levels. So a value that all rows have is many
+    tasks, and no sum is over more than a SPAN-th of the groups. rows is read twice and has to give the same
+    rows each time; `order` should tell rows apart.
+    """
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / group).cast("long").alias("_groups"))
+    x = rows.join(F.broadcast(sizes), key).withColumn("_g", F.pmod(F.xxhash64(*order), F.col("_groups")))
+    counts = x.groupBy(key, "_g").agg(F.count("*").alias("_n")).withColumn("_span", F.expr(f"_g div {SPAN}"))
+    spans = counts.groupBy(key, "_span").agg(F.sum("_n").alias("_n")).withColumn("_first", F.sum("_n").over(Window.partitionBy(key).orderBy("_span")) - F.col("_n"))
+    inner = counts.withColumn("_in", F.sum("_n").over(Window.partitionBy(key, "_span").orderBy("_g")) - F.col("_n"))
+    before = inner.join(spans.select(key, "_span", "_first"), [key, "_span"]).select(key, "_g", (F.col("_first") + F.col("_in")).alias("_before"))
+    x = x.withColumn("_k", F.row_number().over(Window.partitionBy(key, "_g").orderBy(*order)).cast("long") - 1).join(before, [key, "_g"])
+    return x.select(*rows.columns, (F.col("_k") + F.col("_before")).alias(name))
+
+
 #: Bits of the sketch in likely(); its size is fixed (4 MB), whatever the tables hold.
 SKETCH_BITS = 1 << 25
 

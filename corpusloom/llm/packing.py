@@ -24,9 +24,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .base import by_value, park, table, tidy
+from .base import by_value, numbered, park, table, tidy
 from .tokens import default_path, encoder
 
 by_value(__name__)
@@ -102,14 +101,20 @@ def best_fit(counts: dict[int, int], size: int) -> Counter:
         bins[tuple(sorted(pattern, reverse=True))] += 1 + more
 
 
+def pairs(bin_: tuple) -> list[tuple[int, int]]:
+    """Different pairs of lengths. A bin of `size` tokens has under sqrt(2 * size) different lengths, so they are some `size` at most."""
+    times = Counter(bin_)
+    ones = sorted(times)
+    return sorted([(x, y) for i, x in enumerate(ones) for y in ones[i + 1 :]] + [(x, x) for x in ones if times[x] > 1], key=sum)
+
+
 def steps(a: tuple, b: tuple, size: int) -> tuple[int, tuple, tuple] | None:
     """The step between bins a and b (a no emptier than b) that raises squared fill most: gain, new a, new b."""
     fa, fb, best = sum(a), sum(b), None
     room = size - fa
     # what leaves a and what comes from b: a piece, one for one, two for one, one for two
     ones_a, ones_b = sorted(set(a)), sorted(set(b))
-    two_b = sorted({(x, y) for i, x in enumerate(b) for y in b[i + 1 :]}, key=sum)
-    two_a = sorted({(x, y) for i, x in enumerate(a) for y in a[i + 1 :]}, key=sum)
+    two_a, two_b = pairs(a), pairs(b)
     for outs, ins in (([()], [(y,) for y in ones_b]), ([(x,) for x in ones_a], [(y,) for y in ones_b]), ([(x,) for x in ones_a], two_b), (two_a, [(y,) for y in ones_b])):
         for o in outs:
             for i in ins:
@@ -135,7 +140,7 @@ def improved(bins: Counter, size: int, limit: int) -> Counter:
             break
         best = None
         for p in under:
-            if (p != donor or bins[p] > 1) and sum(p) >= sum(donor) and len(p) + len(donor) <= 64 and (found := steps(p, donor, size)) and (best is None or found[0] > best[0]):
+            if (p != donor or bins[p] > 1) and sum(p) >= sum(donor) and (found := steps(p, donor, size)) and (best is None or found[0] > best[0]):
                 best = (*found, p)
         if best is None:
             stuck.add(donor)
@@ -174,14 +179,23 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     # at most `size` rows, whatever the input
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     bins = improved(best_fit(counts, size), size, limit)
-    where = spark.createDataFrame(places(bins), "length long, lo long, hi long, seq long, offset long")
-    groups = spark.createDataFrame([(n, -(-c // GROUP)) for n, c in counts.items()], "length long, groups long")
-    # `groups` has at most `size` rows and `where` a row for each length of each pattern
-    x = pieces.join(F.broadcast(groups), "length").withColumn("g", F.pmod(F.xxhash64("rid", "piece"), F.col("groups")))
-    before = x.groupBy("length", "g").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("g")) - F.col("n")).select("length", "g", "before")
-    x = x.withColumn("k", F.row_number().over(Window.partitionBy("length", "g").orderBy("rid", "piece")).cast("long") - 1).join(before, ["length", "g"])
-    x = x.withColumn("k", F.col("k") + F.col("before")).join(F.broadcast(where), "length").where("k between lo and hi")
-    return x.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", F.col("crc").alias("ids_crc32"), (F.col("seq") + F.col("k") - F.col("lo")).alias("sequence_id"), "offset")
+    table_ = sorted(places(bins))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a row for each length of each pattern, whatever the input; numbers of a length are gapless, so the row before or at (length, k) is the one
+        length, lo, _, seq, offset = (np.array(c, np.int64) for c in zip(*table_)) if table_ else (np.zeros(0, np.int64),) * 5
+        starts = np.searchsorted(length, np.arange(size + 2))
+        for batch in batches:
+            n, k = batch.column("length").to_numpy(), batch.column("k").to_numpy()
+            at = np.zeros(len(n), np.int64)
+            for one in np.unique(n).tolist():
+                own = n == one
+                at[own] = starts[one] + np.searchsorted(lo[starts[one] : starts[one + 1]], k[own], side="right") - 1
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(seq[at] + k - lo[at]), pa.array(offset[at])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+
+    x = numbered(pieces, "length", ["rid", "piece"], "k", GROUP)
+    x = x.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", F.col("crc").alias("ids_crc32"), "k")
+    return x.mapInArrow(tidy(placed), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,14 +16,13 @@ from __future__ import annotations
 import heapq
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .base import park, shared_dir, table
+from .base import numbered, park, shared_dir, table
 
 SHARDS, FINE = 16, 256
-#: Groups of rows of one shard that are numbered by a task of their own.
+#: Rows of one shard that are numbered together, by hash.
 SLOT_GROUP = 20000
 
 
@@ -129,23 +128,6 @@ def plan(sized: DataFrame, old: str, id_col: str, size_col: str, shards: int, fi
     return x.withColumn("shard", F.coalesce("coarse", "small")).drop("b1", "b2", "coarse", "small")
 
 
-def slotted(rows: DataFrame, shard: str, *order: Column | str) -> DataFrame:
-    """rows with `slot`: gapless from 0 in each shard. Counts of shards and groups reach the driver; rows are numbered group by group."""
-    spark = rows.sparkSession
-    n = rows.count()
-    groups = max(1, min(4096, n // SLOT_GROUP + 1)) if n > 1000 * SHARDS else 1
-    groups = max(groups, min(64, n // 500))
-    x = rows.withColumn("group", F.pmod(F.xxhash64(*order), F.lit(max(1, groups))).cast("int"))
-    counts = sorted((r[shard], r["group"], r["n"]) for r in x.groupBy(shard, "group").agg(F.count("*").alias("n")).collect())
-    before, starts = {}, []
-    for s, g, c in counts:
-        starts.append((s, g, before.get(s, 0)))
-        before[s] = before.get(s, 0) + c
-    at = spark.createDataFrame(starts, f"{shard} int, group int, start long")
-    number = F.row_number().over(Window.partitionBy(shard, "group").orderBy(*order))
-    return x.withColumn("slot", number.cast("long") - 1).join(F.broadcast(at), [shard, "group"]).withColumn("slot", F.col("slot") + F.col("start")).drop("start", "group")
-
-
 def rewrite(rows: DataFrame, old: str, source: str, target: str) -> list[int]:
     """Writes the rows of shards that give or take, as target/shard=N; returns the shards whose files stay as they are in source."""
     moved = rows.where(F.col(old) != F.col("shard"))
@@ -170,6 +152,6 @@ def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = rewrite(whole, "old_shard", sf_dir, target)
     written = spark.read.schema(whole.schema).parquet(target)
     files = written.unionByName(whole.where(F.col("shard").isin(same))) if same else written
-    rows = park(files.select("doc_id", size.alias("size"), crc.alias("text_crc32"), "old_shard", "shard"), "sizes")
-    placed = slotted(rows, "shard", "doc_id", "text_crc32", "size")
+    rows = park(files.select("doc_id", size.alias("size"), crc.alias("text_crc32"), "old_shard", "shard", F.monotonically_increasing_id().alias("rid")), "sizes")
+    placed = numbered(rows, "shard", ["doc_id", "text_crc32", "size", "rid"], "slot", SLOT_GROUP)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from corpusloom.llm.packing import best_fit, cut, improved, packed, places, steps
+from corpusloom.llm.packing import best_fit, cut, improved, op3_packing, packed, places, steps
 from corpusloom.llm.tokens import default_path, encoder
 
 
@@ -43,6 +43,65 @@ def test_places_are_gapless():
     assert {n: sorted(x) for n, x in numbers.items()} == {n: list(range(c)) for n, c in pieces(bins).items()}
 
 
+def least_bins(lengths, size):
+    """The fewest bins, by trying all partitions (few lengths)."""
+    best = [len(lengths)]
+
+    def put(i, fills):
+        if len(fills) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(fills)
+            return
+        for k in range(len(fills)):
+            if fills[k] + lengths[i] <= size and fills[k] not in fills[:k]:
+                put(i + 1, [*fills[:k], fills[k] + lengths[i], *fills[k + 1 :]])
+        put(i + 1, [*fills, lengths[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_near_the_optimum_of_small_cases():
+    r, more = random.Random(12), 0
+    for _ in range(60):
+        lengths = sorted((r.randrange(1, 25) for _ in range(r.randrange(1, 11))), reverse=True)
+        least, got = least_bins(lengths, 24), sum(improved(best_fit(Counter(lengths), 24), 24, 500).values())
+        assert least <= got <= least + 1
+        more += got > least
+    assert more <= 3
+
+
+def test_bins_of_many_short_pieces_take_steps():
+    start = Counter({(1,) * 90: 3, (2,) * 33 + (1,): 2, (95,): 1, (96,): 1})
+    end = improved(start, 100, 100)
+    assert pieces(end) == pieces(start) and sum(end.values()) == -(-sum(sum(p) * m for p, m in start.items()) // 100)
+
+
+def test_a_length_that_all_pieces_have(spark, monkeypatch):
+    from corpusloom.llm import base, packing
+
+    monkeypatch.setattr(packing, "GROUP", 7)
+    monkeypatch.setattr(base, "SPAN", 3)
+    df = spark.createDataFrame([(i, "the the the" if i % 9 else "the " * 40) for i in range(500)], "doc_id long, text string")
+    rows = packed(df, size=16).collect()
+    seqs = {}
+    for x in rows:
+        seqs.setdefault(x["sequence_id"], []).append((x["offset"], x["length"]))
+    for own in seqs.values():
+        assert all(a[0] + a[1] == b[0] for a, b in zip(sorted(own), sorted(own)[1:])) and sorted(own)[0][0] == 0 and sum(n for _, n in own) <= 16
+    assert len(rows) == sum(len(cut(len(encoder(default_path()).ids("the " * 40)) + 1, 16)) if i % 9 == 0 else 1 for i in range(500))
+
+
+def test_the_query(spark, tmp_path):
+    texts = ["", None, "word " * 3000, "日本語" * 400, *(f"short {i}" for i in range(50))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows, enc = op3_packing(spark, str(tmp_path)).collect(), encoder(default_path())
+    want = {(i, p, a, n) for i, t in enumerate(texts) for p, (a, n) in enumerate(cut(len(enc.ids(t or "")) + 1, 1024))}
+    assert {(x["doc_id"], x["piece"], x["start"], x["length"]) for x in rows} == want and len(rows) == len(want)
+    assert len({x["sequence_id"] for x in rows}) == -(-sum(x["length"] for x in rows) // 1024)
+
+
 def test_packs_every_token(spark):
     r = random.Random(4)
     texts = [" ".join(r.choice(["the", "of", "naïve", "日本", "42"]) for _ in range(r.choice([0, 1, 20, 300]))) for _ in range(120)] + [None, "", "a <|endoftext|> b", "the " * 500]

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusloom.llm import toxicity as tox
@@ -10,6 +11,7 @@ from corpusloom.llm.packing import cut
 from corpusloom.llm.tokens import default_path, encoder
 
 from .test_minhash import brute as components
+from .test_suffix import later_words
 
 
 def tables(spark, path):
@@ -37,24 +39,6 @@ def tables(spark, path):
     return rows
 
 
-def without_repeats(texts, length=400):
-    seen = Counter(b[i : i + length] for b in texts.values() for i in range(len(b) - length + 1))
-    out = {}
-    for key, b in texts.items():
-        gone = np.zeros(len(b), bool)
-        for i in range(len(b) - length + 1):
-            if seen[b[i : i + length]] > 1:
-                gone[i : i + length] = True
-        kept, at = bytearray(), 0
-        for c in b.decode():
-            n = len(c.encode())
-            if not gone[at : at + n].all():
-                kept += b[at : at + n]
-            at += n
-        out[key] = (bytes(kept).decode(), bool(gone.any()))
-    return out
-
-
 def test_equals_brute_force(spark, tmp_path):
     rows = tables(spark, tmp_path)
     docs, labels = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
@@ -62,9 +46,10 @@ def test_equals_brute_force(spark, tmp_path):
     left = [(i, t) for i, t, *_ in rows if score[i] < 0.7]
     assert 10 < len(rows) - len(left) < 80
     kept = {i for i, _, _, keep in components(left, 80) if keep}
-    left = {i: (t or "").encode() for i, t in left if i in kept}
-    clean = {i: t for i, (t, cut_) in without_repeats(left).items() if t.strip() or not cut_}
-    assert any(len(t) < len(left[i].decode()) for i, t in clean.items())
+    left = {i: t or "" for i, t in left if i in kept}
+    clean = {int(i): t for i, t in later_words(list(left.items()), 50)}
+    clean = {i: t for i, t in clean.items() if t.strip() or t == left[i]}
+    assert sum(len(t) < len(left[i]) for i, t in clean.items()) > 3
     got, enc, want = corpus_pipeline.run(spark, str(tmp_path)).collect(), encoder(default_path()), set()
     for i, t in clean.items():
         ids = [*enc.ids(t), 2]
@@ -80,5 +65,42 @@ def test_stages_keep_the_columns(spark, tmp_path):
     tables(spark, tmp_path)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, str(tmp_path)).columns == docs.columns
-    assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        more = docs.withColumn("row", F.lit("x")).withColumn("rid", F.lit(1)).withColumn("score", F.lit(2)).withColumn("n", F.lit(None).cast("int"))
+        assert stage(spark, more, str(tmp_path)).columns == docs.columns
+
+
+def test_stages_with_empty_tables(spark, tmp_path):
+    tables(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
+
+
+def test_repeated_rows_lose_nothing(spark, tmp_path):
+    tables(spark, tmp_path)
+    r = random.Random(5)
+    said = lambda n: " ".join(f"v{r.randrange(10**6)}" for _ in range(n))
+    a, b, c, long = said(120), said(90), said(20), said(60_000)
+    rows = [(1, a), (1, a), (1, b), (2, c), (2, None), (None, said(80)), (None, None), (None, None), (3, ""), (3, ""), (4, long), (None, long)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = lambda df: Counter((x["doc_id"], x["text"] or "") for x in df.collect())
+    all_rows = Counter((i, t or "") for i, t in rows)
+    once = all_rows - Counter([(1, a), (None, long)])
+    near, repeats = (dict(corpus_pipeline.STAGES)[x] for x in ("near_duplicates", "repeats"))
+    assert left(near(spark, docs, str(tmp_path))) == once
+    assert left(repeats(spark, docs, str(tmp_path))) == once
+    own = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    twice = left(corpus_pipeline.toxicity(spark, own.union(own), str(tmp_path)))
+    assert 150 < len(twice) < 242 and all(n % 2 == 0 for n in twice.values())
+    packed = corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()
+    assert sum(x["start"] == 0 for x in packed) == len(rows)
+
+
+def test_passages_go_but_for_the_first_copy(spark, tmp_path):
+    r = random.Random(6)
+    said = lambda n: " ".join(f"v{r.randrange(1000)}" for _ in range(n))
+    passage, start = said(51), [said(40) for _ in range(4)]
+    assert len(passage) < 400
+    docs = spark.createDataFrame([(9 - i, f"{x} {passage} end", "en", "s", 1) for i, x in enumerate(start)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x["doc_id"]: x["text"] for x in corpus_pipeline.repeats(spark, docs, "").collect()}
+    assert got == {9 - i: f"{x} {passage} end" if i == 3 else f"{x} " for i, x in enumerate(start)}

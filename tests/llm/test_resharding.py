@@ -42,6 +42,19 @@ def test_query(spark, tmp_path):
     assert moved <= sum(max(0, old.get(i, 0) - total / 16) for i in range(16)) + 16 * 601
 
 
+def test_slots_of_a_hot_shard_in_small_groups(spark, tmp_path, monkeypatch):
+    from corpusloom.llm import base
+
+    monkeypatch.setattr(rs, "SLOT_GROUP", 5)
+    monkeypatch.setattr(base, "SPAN", 2)
+    rows = [(7 if i % 3 else i, "same" if i % 3 else "x" * (i % 5), "hot") for i in range(900)] + [(5000, "é" * 100_000, "hot")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    slots = {}
+    for x in rs.op7_resharding(spark, str(tmp_path)).collect():
+        slots.setdefault(x["shard"], []).append(x["slot"])
+    assert sum(map(len, slots.values())) == 901 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     assert rs.op7_resharding(spark, str(tmp_path)).collect() == []
