@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, parts, table, tidy
+from .base import by_value, park, parts, table, tidy, without
 from .words import SPACE_ENDS, buffers, hashes, loads, mixed, words
 
 by_value(__name__)
@@ -54,7 +54,7 @@ CHUNK = 1 << 21
 #: Segments of one anchor that go to one shard; more are spread over more shards.
 SPLIT = 2000
 #: Segments that a task remembers, not to ship their units again.
-SEEN = 1 << 18
+SEEN = 1 << 16
 LAST = (1 << 63) - 1
 
 SPANS = "array<struct<start: long, end: long>>"
@@ -70,13 +70,13 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def units(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the joined bytes of texts: units (bytes, or 64-bit hashes of words), offsets in units, and byte start and end of words."""
+def units(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray]:
+    """Of the joined bytes of texts: units (bytes, or 64-bit hashes of words), and offsets in units."""
     if unit == "bytes":
-        return data, offsets, offsets[:0], offsets[:0]
+        return data, offsets
     start, length, doc = words(data, offsets, SPACE_ENDS)
     codes = hashes(np.concatenate([data, np.zeros(8, np.uint8)]), start, length)
-    return codes, np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(offsets) - 1))]), start, start + length
+    return codes, np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(offsets) - 1))])
 
 
 def keys(data: np.ndarray, spare: int = 0) -> tuple[np.ndarray, int]:
@@ -262,7 +262,7 @@ def ingest(docs: DataFrame, rules: list[Rule]) -> DataFrame:
                 data, offsets = buffers(part.column(1))
                 n, more = len(offsets) - 1, []
                 for unit, length, gram in rules:
-                    own, places, *_ = units(data, offsets, unit)
+                    own, places = units(data, offsets, unit)
                     found = []
                     for doc, begin, joined, cuts in pieces(own, places, length, CHUNK):
                         d, s, e, h = anchors(joined, cuts, length, gram)
@@ -282,14 +282,13 @@ def ingest(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     return docs.mapInArrow(tidy(run), f"rid long, doc_id long, sha binary, n_bytes long, packed binary, carried {kind}{each}")
 
 
-def unpacked(packed: list[bytes], unit: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Joined texts, their offsets, and what units() has of them."""
+def unpacked(packed: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """Joined texts and their offsets."""
     import zstandard
 
     z = zstandard.ZstdDecompressor()
     texts = [z.decompress(x) for x in packed]
-    joined, offsets = b"".join(texts), np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
-    return joined, offsets, *units(np.frombuffer(joined, np.uint8), offsets, unit)
+    return b"".join(texts), np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
 
 
 def cut_segments(rows: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -300,10 +299,10 @@ def cut_segments(rows: DataFrame, rules: list[Rule]) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part, out = batch.slice(start, 64), []
-                joined, offsets, data, places, *_ = unpacked(part.column("packed").to_pylist(), rules[0].unit)
-                each = [(data, places.tolist(), rules[0].length)]
-                for rule in rules[1:]:
-                    data, places, *_ = units(np.frombuffer(joined, np.uint8), offsets, rule.unit)
+                joined, offsets = unpacked(part.column("packed").to_pylist())
+                each = []
+                for rule in rules:
+                    data, places = units(np.frombuffer(joined, np.uint8), offsets, rule.unit)
                     each.append((data, places.tolist(), rule.length))
                 for n, (rid, d, runs) in enumerate(zip(*(part.column(c).to_pylist() for c in ("rid", "d", "runs")))):
                     for x in runs:
@@ -496,7 +495,7 @@ def united(rows: DataFrame, rules: list[Rule]) -> DataFrame:
 def texts_of(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col: str = "text", carry: list[str] = ()) -> DataFrame:
     """rid, doc_id, sha, n_bytes, packed (zstd), carried of every row, and what repeated_spans() needs for each rule."""
     carried = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(0)
-    return park(ingest(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), carried.alias("carried")), rules), "texts")
+    return park(ingest(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), carried.alias("carried")), rules), "texts", compression="zstd")
 
 
 def copies_of(texts: DataFrame) -> DataFrame:
@@ -510,12 +509,13 @@ def repeated_spans(texts: DataFrame, copies: DataFrame, rules: list[Rule], keep:
     first, numbers = keep == "first", range(len(rules))
     of_rule = lambda i: F.transform(f"runs{i}", lambda x: F.struct(F.lit(i).alias("k"), x["h"].alias("h"), x["s"].alias("s"), x["e"].alias("e")))
     runs = F.concat(*map(of_rule, numbers))
-    one = texts.select("rid", *(f"runs{i}" for i in numbers)).join(copies.select("rid"), "rid", "left_semi").select("rid", F.explode(runs).alias("x")).select("rid", "x.*")
-    one = park(one, "anchors")
-    # written, so that the join reads two plain shuffles and a frequent anchor can be split there
+    # only later copies of equal texts are shuffled here; anchors are read from the texts each time they are needed
+    later = park(texts.select("rid", "sha").join(copies.where("n > 1").select("sha", F.col("rid").alias("first")), "sha").where("rid <> first").select("rid"), "later")
+    one = without(texts.select("rid", *(f"runs{i}" for i in numbers)), later, "rid").select("rid", F.explode(runs).alias("x")).select("rid", "x.*")
+    # both sides of the join are plain shuffles, so Spark splits a frequent anchor
     often = park(one.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / split).cast("int").alias("m")), "often")
     lists = one.join(often, "h").groupBy("rid").agg(F.collect_list(F.struct("k", "s", "e", "h", "m")).alias("runs"))
-    segments = park(cut_segments(texts.select("rid", F.coalesce("doc_id", F.lit(LAST)).alias("d"), "packed").join(lists, "rid").select("rid", "d", "packed", "runs"), rules), "segments")
+    segments = park(cut_segments(texts.select("rid", F.coalesce("doc_id", F.lit(LAST)).alias("d"), "packed").join(lists, "rid").select("rid", "d", "packed", "runs"), rules), "segments", compression="zstd")
     # counts and smallest places are made before the shuffle too, so a passage that is everywhere is one row a task
     counts = segments.groupBy("h", "digest").agg(F.count("*").alias("n"), *([F.max(c).alias(c) for c in ("k", "m", "salt")] + [F.min(F.struct("d", "rid", "s")).alias("place")] if first else []))
     counts = park(counts, "counts") if first else counts
@@ -524,7 +524,7 @@ def repeated_spans(texts: DataFrame, copies: DataFrame, rules: list[Rule], keep:
     dealt = segments.where("seg is not null").select(*columns, "seg", place)
     dealt = dealt.union(counts.select(*columns, F.lit(None).cast("binary").alias("seg"), "place")) if first else dealt
     dealt = dealt.repartition(parts(texts.sparkSession), "h", "salt").sortWithinPartitions("k", "h", "salt")
-    sorted_ = park(shard_sort(dealt, rules, first), "shards")
+    sorted_ = park(shard_sort(dealt, rules, first), "shards", compression="zstd")
     hits = sorted_.where("digest is not null").select("h", "digest", "hits").union(merged_shards(sorted_.where("digest is null"), first).select("h", "digest", "hits"))
     known = counts.join(hits.groupBy("h", "digest").agg(F.flatten(F.collect_list("hits")).alias("hits")), ["h", "digest"], "left").where("n > 1 or hits is not null")
     known = known.select("h", "digest", "n", "hits", *([F.col("place.rid").alias("first_rid"), F.col("place.s").alias("first_s")] if first else []))
@@ -552,18 +552,21 @@ def kept_text(texts: DataFrame, spans: DataFrame, rule: Rule, whole_chars: bool,
     rest = [c for c in texts.columns if c != "packed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
-                spans = part.column("spans").to_pylist()
-                joined, offsets, _, places, starts, ends = unpacked(part.column("packed").to_pylist(), rule.unit if any(spans) else "bytes")
-                for a, b, place, own in zip(offsets.tolist(), offsets[1:].tolist(), places.tolist(), spans):
-                    kept, end, text, n = [], 0, joined[a:b], 0
+                z = zstandard.ZstdDecompressor()
+                for packed, own in zip(part.column("packed"), part.column("spans").to_pylist()):
+                    kept, end, text, n = [], 0, z.decompress(packed.as_py()), 0
+                    if own and rule.unit == "words":
+                        starts, size, _ = words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), SPACE_ENDS)
                     for x in own or []:
                         first, last = x["start"], x["end"]
                         n += last - first
                         if rule.unit == "words":
-                            first, last = int(starts[place + first]) - a, int(ends[place + last - 1]) - a
+                            first, last = int(starts[first]), int(starts[last - 1] + size[last - 1])
                         elif whole_chars:
                             while first < last and text[first] & 0xC0 == 0x80:
                                 first += 1
