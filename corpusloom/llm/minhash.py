@@ -7,8 +7,12 @@ under the chosen miss probability. Survivors are confirmed on their full sets, i
 
 Candidates never become all pairs of a bucket. First each bucket's smallest member is compared with
 the others (as many pairs as members). Buckets whose members are then still in different components
-are compared once more, in blocks and inside tasks, with their full sets at hand; only confirmed
-links that join two components leave the task, so the links stay fewer than the members.
+are compared once more, inside tasks, with their full sets at hand; only confirmed links that join two
+components leave the task, so the links stay fewer than the members. Where such a bucket is large, its
+members meet by prefixes instead: two sets that are similar enough share one of the rarest few of their
+shingles (those that are left when the least overlap, less one, is taken off). So a member goes to as many
+groups as its prefix has shingles, however large the bucket is, and groups within one component are left
+out. Only a group that is still large meets in blocks.
 
 Null or blank texts have no shingle and no link. Repeated rows, ties and extra columns are allowed;
 equal texts are linked. An empty table gives an empty result.
@@ -21,8 +25,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .base import by_value, likely, park, parts, table, tidy
 from .components import components
@@ -33,7 +38,7 @@ by_value(__name__)
 SHINGLE, THRESHOLD = 5, (80, 100)
 BANDS, ROWS = 24, 4
 MISS, BATCH = 1e-5, 16
-#: Members of a bucket, and their shingles, that meet in one task; larger buckets meet block by block.
+#: Members of a bucket, and their shingles, that meet in one task; those of larger ones meet by prefixes, and larger groups of these block by block.
 BLOCK, WEIGHT = 2048, 1 << 20
 
 IS_WORD = np.ones(256, bool)
@@ -198,7 +203,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int)
     return x.select("a", "b", "shingles_a", "shingles_b").mapInArrow(tidy(check), "a long, b long")
 
 
-def joining_pairs(ids: np.ndarray, part: np.ndarray, own: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], band: int, pivot: int, two: bool, keys: np.ndarray, bounds: list[tuple[int, int]], num: int, den: int) -> list[tuple[int, int]]:
+def joining_pairs(ids: np.ndarray, part: np.ndarray, own: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], band: int, pivot: int | None, two: bool, keys: np.ndarray, bounds: list[tuple[int, int]], num: int, den: int) -> list[tuple[int, int]]:
     """Confirmed links that join two components among one task's members; at most one fewer than members.
 
     Looked at are pairs of members whose components differ at that moment, who share no earlier
@@ -210,7 +215,7 @@ def joining_pairs(ids: np.ndarray, part: np.ndarray, own: np.ndarray, sig: np.nd
     flags, part, links = np.zeros(len(index), np.int32), part.copy(), []
     for i in range(len(ids)):
         j = np.arange(i + 1, len(ids))
-        j = j[(part[j] != part[i]) & (ids[j] != pivot) & (ids[i] != pivot) & (den * np.minimum(size[j], size[i]) >= num * np.maximum(size[j], size[i]))]
+        j = j[(part[j] != part[i]) & ((pivot is None) | (ids[j] != pivot) & (ids[i] != pivot)) & (den * np.minimum(size[j], size[i]) >= num * np.maximum(size[j], size[i]))]
         j = j[own[j] != own[i]] if two else j
         j = j[~(keys[j, :band] == keys[i, :band]).any(1)] if len(j) and band else j
         j = j[survivors(np.broadcast_to(sig[i], (len(j), sig.shape[1])), sig[j], bounds)] if len(j) else j
@@ -228,16 +233,45 @@ def joining_pairs(ids: np.ndarray, part: np.ndarray, own: np.ndarray, sig: np.nd
     return links
 
 
+def blocks_of(block: int, weight: int) -> Column:
+    """Of n, w: how many blocks a bucket is cut into."""
+    return F.greatest(F.lit(1), F.ceil(F.col("n") / block), F.ceil(F.col("w") / weight)).cast("int")
+
+
+def by_prefix(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """key (a shingle), n, w, pivot (null), doc_id, part: groups in which every two sets meet that are similar enough and in different components.
+
+    sets: doc_id, part, shingles. Of |a| shingles, a similar set has ceil(t |a|) at least; so two similar sets share one
+    of the first |a| - ceil(t |a|) + 1 and |b| - ceil(t |b|) + 1 in any common order. Here the rarest come first.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                own = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
+                size = np.array([len(x) for x in own])
+                row = np.repeat(np.arange(len(own)), size)
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(row)) for c in ("doc_id", "part")), pa.array(size[row]), pa.array(np.concatenate(own))], ["doc_id", "part", "size", "key"])
+
+    x = sets.select("doc_id", "part", "shingles").mapInArrow(tidy(each), "doc_id long, part long, size long, key long")
+    times = x.groupBy("key").agg(F.count("*").alias("times"))
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("times", "key"))
+    x = x.join(times, "key").withColumn("rank", rank).where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * num / den) + 1)
+    x = park(x.select("key", "doc_id", "part", "size"), "prefixes")
+    groups = x.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("w"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").drop("lo", "hi")
+    return x.drop("size").join(groups, "key").withColumn("pivot", F.lit(None).cast("long"))
+
+
 def mixed_buckets(members: DataFrame, k: int, rows: int, bounds: list[tuple[int, int]], block: int, weight: int, num: int, den: int) -> DataFrame:
     """Confirmed links between different components that share a bucket.
 
-    members: key, n (members of the bucket), w (their shingles), pivot, doc_id, part (component),
-    sig, shingles. A bucket of more than block members or weight shingles is cut, and each two of
+    members: key (a band's, or without pivot a shingle), n (members of the bucket), w (their shingles), pivot, doc_id,
+    part (component), sig, shingles. A bucket of more than block members or weight shingles is cut, and each two of
     its blocks meet in a task of their own.
     """
-    cut = F.greatest(F.lit(1), F.ceil(F.col("n") / block), F.ceil(F.col("w") / weight)).cast("int")
     own = F.when(F.col("cut") == 1, 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("cut")).cast("int"))
-    x = members.withColumn("cut", cut).withColumn("own", own)
+    x = members.withColumn("cut", blocks_of(block, weight)).withColumn("own", own)
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
     x = x.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "pivot", "doc_id", "part", "sig", "shingles")
     bands = k // rows
@@ -262,7 +296,7 @@ def mixed_buckets(members: DataFrame, k: int, rows: int, bounds: list[tuple[int,
                 continue
             sig = np.frombuffer(b"".join(r[7] for r in g), np.uint32).reshape(len(g), k)
             keys = band_keys(sig, bands, rows)
-            band = int(np.flatnonzero(keys[0] == np.uint64(key & 0xFFFFFFFFFFFFFFFF))[0])
+            band = 0 if pivot is None else int(np.flatnonzero(keys[0] == np.uint64(key & 0xFFFFFFFFFFFFFFFF))[0])
             links = joining_pairs(ids, part, own, sig, [np.frombuffer(r[8], np.uint64) for r in g], band, pivot, p != q, keys, bounds, num, den)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
@@ -302,6 +336,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     split = label.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
     rest = park(label.where("n > 2").join(split.select("key"), "key", "left_semi"), "mixed")
     sets = shingle_sets(texts, rest.select("doc_id").distinct(), size)
+    large = blocks_of(block, weight) > 1
+    own = park(rest.where(large).select("doc_id", "part").distinct().join(sets, "doc_id"), "large")
+    rest = rest.select("key", "n", "w", "pivot", "doc_id", "part")
+    rest = rest.where(~large).unionByName(by_prefix(own, num, den)) if not own.isEmpty() else rest
     rest = rest.join(sig.join(sets, "doc_id"), "doc_id")
     more = mixed_buckets(rest, k, rows, bounds, block, weight, num, den)
     last = components(park(links.union(more), "all_links"))

@@ -2,7 +2,10 @@ import itertools
 import random
 import re
 
-from corpusloom.llm.minhash import least_matches, near_duplicates
+import numpy as np
+
+from corpusloom.llm.components import components
+from corpusloom.llm.minhash import by_prefix, least_matches, near_duplicates, op8_minhash
 
 
 def shingles(text):
@@ -66,3 +69,49 @@ def test_bounds_rise_and_keep_certain_pairs():
     bounds = least_matches(96, 16, 0.85, 1e-5)
     assert [m for m, _ in bounds] == [16, 32, 48, 64, 80, 96]
     assert all(x < m for m, x in bounds) and all(a[1] < b[1] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_similar_sets_meet_by_prefix(spark):
+    r = np.random.default_rng(4)
+    common = r.integers(0, 2**62, 40)
+    sets = {}
+    for i in range(120):
+        base = sets[int(r.integers(i))] if i and r.random() < 0.6 else np.concatenate([common, r.integers(0, 2**62, int(r.integers(5, 80)))])
+        gone = r.random(len(base)) < r.choice([0, 0.05, 0.1])
+        sets[i] = np.unique(np.concatenate([base[~gone], r.integers(0, 2**62, int(r.integers(0, 4)))]))
+    part = {i: int(r.integers(0, 3)) for i in sets}
+    df = spark.createDataFrame([(i, part[i], bytearray(x.astype(np.uint64).tobytes())) for i, x in sets.items()], "doc_id long, part long, shingles binary")
+    groups = {}
+    rows = by_prefix(df, 80, 100).collect()
+    for x in rows:
+        groups.setdefault(x["key"], set()).add(x["doc_id"])
+    met = {frozenset(p) for g in groups.values() for p in itertools.combinations(sorted(g), 2)}
+    similar = {frozenset((a, b)) for a, b in itertools.combinations(sets, 2) if part[a] != part[b] and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert len(similar) > 20 and similar <= met
+    # what many sets share is not among their rarest
+    assert max(map(len, groups.values())) < 30
+
+
+def test_blocks_of_large_prefix_groups(spark):
+    rows = corpus()
+    assert result(spark, rows, block=2) == brute(rows)
+    assert result(spark, rows, weight=60) == brute(rows)
+
+
+def test_components_of_a_large_star(spark):
+    r = random.Random(1)
+    links = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1000, 1040)] + [(5000, 39), (5000, 1003)] + [(r.randrange(400), 7000) for _ in range(50)]
+    part = {i: i for e in links for i in e}
+    for _ in range(60):
+        for a, b in links:
+            part[a] = part[b] = min(part[a], part[b])
+    for few in (1, 10**6):
+        assert {tuple(x) for x in components(spark.createDataFrame(links, "a long, b long"), few=few).collect()} == set(part.items())
+
+
+def test_the_query_and_very_long_texts(spark, tmp_path):
+    r = random.Random(6)
+    long = " ".join(f"w{r.randrange(10**5)}" for _ in range(100_000))
+    rows = [*corpus(80), (900, long), (901, long + " end"), (902, long)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {tuple(x) for x in op8_minhash(spark, str(tmp_path)).collect()} == brute(rows)
