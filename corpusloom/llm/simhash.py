@@ -8,7 +8,7 @@ texts have several such sums, which are then taken apart and added up. So whole
 nothing but additions of longs runs per term.
 
 Null texts are empty; an empty text's only term is the empty word. Ids may be null (they come last)
-or repeated (in the order of their texts); extra columns do not matter. An empty table gives an
+or repeated (then they are in the order of their texts' hashes); extra columns do not matter. An empty table gives an
 empty result.
 """
 
@@ -30,8 +30,9 @@ RADIUS = 23
 BLOCKS, LIST, EVERY = 8, 256, 20
 STEP = 64 // LANES
 MASK = 0x0001000100010001
-#: Cells of the id range; neighbouring cells make a bucket, and ids are ordered within buckets.
-CELLS = 1 << 16
+#: Cells that a range of ids is cut into (at most, in each of STEPS steps); neighbouring cells make a bucket, and rows are ordered within buckets.
+SHIFT = 15
+CELLS, STEPS = 1 << SHIFT, 4
 
 
 def terms(text: Column) -> Column:
@@ -125,38 +126,79 @@ def within(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, blocks:
     return asked.join(matches(queries, corpus, radius, blocks), ["hi", "lo"]).select("query_id", F.explode("near").alias("n")).select("query_id", "n.doc_id", "n.distance")
 
 
+def celled(rows: DataFrame, steps: list[list[tuple]]) -> DataFrame:
+    """rows (doc_id, hash, ...) with `cell`: a higher one comes earlier in the order of descending ids, then ascending hashes.
+
+    A step: (cell, lo, width, parts) of the cells that it cuts, by id in ranges of that width from lo, or, where
+    parts is not 0, by hash in so many ranges. Null ids are below all others.
+    """
+    by_hash = F.col("parts") - 1 - F.shiftright((F.shiftright("hash", 33) + (1 << 30)) * F.col("parts"), 31)
+    by_id = F.floor((F.col("doc_id").cast("double") - F.col("lo")) / F.col("width")) + 1
+    x = rows.withColumn("cell", F.lit(0).cast("long"))
+    for step in steps:
+        # a row for each cell that is cut
+        x = x.join(F.broadcast(rows.sparkSession.createDataFrame(step, "cell long, lo double, width double, parts long")), "cell", "left")
+        place = F.coalesce(F.when(F.col("parts") > 0, by_hash).otherwise(by_id), F.lit(0)).cast("long")
+        x = x.select(*rows.columns, (F.call_function("shiftleft", "cell", F.lit(SHIFT)) + place).alias("cell"))
+    return x
+
+
+def cut(rows: DataFrame) -> tuple[list[list[tuple]], list[tuple[int, int, tuple]], int]:
+    """Of rows (doc_id, hash): the steps of celled(), (cell, number of rows, place of its first row) of all cells, lowest first, and the most rows that a bucket should have.
+
+    Cells of the first step have equal widths of ids. Those with too many rows are cut again by the range of ids
+    that they really hold, or, where they hold one id (or none), by the range of hashes; so neither a few ids far
+    from the others nor an id that many rows have puts them all into one cell. The driver holds one row for each
+    cell that has rows: for each step CELLS at most, and some for each task of the cluster.
+    """
+    lo, hi = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    lo, hi = (0, 0) if lo is None else (lo, hi)
+    steps, most = [[(0, float(lo), max(1.0, (float(hi) - float(lo)) / (CELLS - 2)), 0)]], 0
+    while True:
+        # the first row of a cell: the highest id, and of its rows that with the smallest hash
+        top = F.max(F.struct("doc_id", F.bitwise_not("hash").alias("hash"))).alias("top")
+        found = celled(rows, steps).groupBy("cell").agg(F.count("*").alias("n"), top, F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).collect()
+        most = most or max(64, sum(r["n"] for r in found) // (16 * parts(rows.sparkSession)))
+        step, large = [], [r for r in found if r["n"] > most]
+        for r in large:
+            into = min(max(-(-4 * r["n"] // most), CELLS // len(large)), CELLS - 2)
+            same = r["lo"] == r["hi"]
+            step.append((r["cell"], 0.0, 1.0, into) if same else (r["cell"], float(r["lo"]), (float(r["hi"]) - float(r["lo"])) / into or 1.0, 0))
+        if not step or len(steps) == STEPS:
+            return steps, sorted((r["cell"], r["n"], (r["top"]["doc_id"], ~r["top"]["hash"])) for r in found), most
+        steps.append(step)
+
+
 def chained(docs: DataFrame) -> DataFrame:
-    """doc_id, text of every row with `bucket` and `ghost`: within a bucket, a row is followed by the next lower id.
+    """doc_id, text and its hash of every row, with `bucket` and `ghost`: within a bucket, a row is followed by the next one in order.
 
-    The first row of the next lower bucket is there again, as the ghost at the bucket's end; the
-    lowest bucket ends with the highest id's. At most CELLS counts reach the driver.
+    The first row of the next lower bucket is there again, as the ghost at the bucket's end; the lowest bucket
+    ends with the first row of all. A bucket is some neighbouring cells.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    lo, hi = (0, 0) if lo is None else (lo, hi)
-    width = max(1.0, (float(hi) - float(lo)) / (CELLS - 1))
-    cell = F.coalesce(F.floor((F.col("doc_id").cast("double") - F.lit(float(lo))) / F.lit(width)), F.lit(0)).cast("int")
-    counts = sorted(map(tuple, docs.groupBy(cell.alias("cell")).agg(F.count("*"), F.max("doc_id")).collect()))
-    most = max(64, sum(n for _, n, _ in counts) // (16 * parts(spark)))
-    buckets, have = [], 0
-    for c, n, top in counts:
-        if not buckets or have + n > most:
-            buckets.append([c, c, top])
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    steps, cells, most = cut(texts.select("doc_id", "hash"))
+    buckets, have, tops = [], 0, []
+    for c, n, top in cells:
+        if not tops or have + n > most:
+            tops.append(top)
             have = 0
         have += n
-        buckets[-1][1], buckets[-1][2] = c, top if top is not None else buckets[-1][2]
-    of_cell = spark.createDataFrame([(c, b) for b, (first, last, _) in enumerate(buckets) for c, _, _ in counts if first <= c <= last], "cell int, bucket int")
-    ghosts = spark.createDataFrame([(buckets[b - 1][2], b) for b in range(len(buckets))], "doc_id long, bucket int")
-    own = texts.withColumn("cell", cell).join(F.broadcast(of_cell), "cell").select("doc_id", "text", "bucket", F.lit(0).alias("ghost"))
-    other = texts.join(F.broadcast(ghosts), texts["doc_id"].eqNullSafe(ghosts["doc_id"])).select(texts["doc_id"], "text", "bucket", F.lit(1).alias("ghost"))
-    return own.union(other).repartition(parts(spark), "bucket")
+        tops[-1] = top
+        buckets.append((c, len(tops) - 1))
+    of_cell = spark.createDataFrame(buckets, "cell long, bucket int")
+    ghosts = spark.createDataFrame([(*tops[b - 1], b) for b in range(len(tops))], "top long, top_hash long, bucket int")
+    own = celled(texts, steps).join(F.broadcast(of_cell), "cell").select("doc_id", "text", "hash", "bucket", F.lit(0).alias("ghost"))
+    other = texts.join(F.broadcast(ghosts), texts["doc_id"].eqNullSafe(ghosts["top"]) & (F.col("hash") == F.col("top_hash")))
+    # one row for each bucket, of however many equal ones
+    other = other.groupBy("bucket").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"), F.first("hash").alias("hash"))
+    return own.union(other.select("doc_id", "text", "hash", "bucket", F.lit(1))).repartition(parts(spark), "bucket")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Beside the contract's columns near: for ids divisible by 20, (doc_id, distance) of the other rows within RADIUS bits of the fingerprint, and near_docs, their number."""
     rows = chained(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    order = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "text")
+    order = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "hash", "text")
     n = F.length("text")
     x = rows.withColumn("following", F.lead("text").over(order)).withColumn("row", F.row_number().over(order))
     k = F.floor(n / 3).cast("int")

@@ -1,6 +1,10 @@
 import hashlib
 import random
 
+import xxhash
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
 from corpusloom.llm import simhash
 
 
@@ -102,3 +106,34 @@ def test_probed_blocks_find_all_within_a_wide_radius(spark):
     df = spark.createDataFrame([(i, signed(p >> 64), signed(p & ((1 << 64) - 1))) for i, p in enumerate(prints)], "doc_id long, hi long, lo long")
     found = sorted(tuple(x) for x in simhash.within(df.where("doc_id < 6"), df).collect())
     assert found == sorted((i, j, d) for i, p in enumerate(base) for j, q in enumerate(prints) if (d := bin(p ^ q).count("1")) <= simhash.RADIUS)
+
+
+def follows(spark, rows):
+    """(id, text, next text) by the chained buckets."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    order = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "hash", "text")
+    x = simhash.chained(df).withColumn("following", F.lead("text").over(order))
+    return x.where("ghost = 0").select("doc_id", "text", "following").collect(), x.groupBy("bucket").count().collect()
+
+
+def test_buckets_stay_small_whatever_the_ids(spark):
+    many = [(i, f"t{i}") for i in range(4000)]
+    for rows in (
+        [*many, (10**15, "far")],
+        [(2**k, f"t{k}") for k in range(62)] + [(-(2**62), "low")] + many,
+        many + [(7, f"same id {i}") for i in range(3000)],
+        many + [(None, f"no id {i}") for i in range(3000)],
+        [(5, f"all {i}") for i in range(3000)],
+    ):
+        got, sizes = follows(spark, rows)
+        signed = lambda t: (h := xxhash.xxh64(t.encode(), seed=42).intdigest()) - (h >> 63 << 64)
+        order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1]), r[1]))
+        want = [(*r, order[(i + 1) % len(order)][1]) for i, r in enumerate(order)]
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+        assert max(r["count"] for r in sizes) <= 4 * max(64, len(rows) // (16 * 4)), sizes
+
+
+def test_fingerprint_of_a_very_long_text(spark):
+    long = " ".join(f"w{i % 977}" for i in range(200_000))
+    got = {x["doc_id"]: (x["hi"], x["lo"]) for x in simhash.fingerprints(spark.createDataFrame([(0, long), (1, long + " end"), (2, long)], "doc_id long, text string")).collect()}
+    assert got[0] == got[2] and sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(got[0], got[1])) < 8
