@@ -8,13 +8,15 @@ host in Spark, and pages are read again with their host's winning path. A page k
 container where the path has no more than half of that container's text, unless the container is one
 that mostly loses on the host's pages. A page without any text gives an empty string.
 
-Not text: scripts, styles, templates, markup, head, menus, headers and footers outside an article,
-asides, forms, buttons; and containers with a class or id that as a whole names adverts, notices, cookie
+Not text: scripts, styles, templates, markup, head, menus, drawings, headers and footers outside an article,
+asides, forms, buttons; formulas are text. And containers with a class or id that as a whole names adverts, notices, cookie
 banners, share bars or reader comments, unless they hold most of the page's text outside links.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed
 and joined by two newlines in page order. Null html is empty. Null urls are one host of their own.
-Repeated rows vote as often as they are there; extra columns do not matter. An empty table gives an
+Repeated rows vote as often as they are there; of equal votes wins the path with more pages, then the
+first by name; of a page's containers with equal scores the deepest, then the last by name. Pages of any
+length are whole, and take time in proportion to it. Extra columns do not matter. An empty table gives an
 empty result.
 """
 
@@ -22,22 +24,27 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, table
+from .base import by_value, park, table, tidy
 
 by_value(__name__)
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A quote opens a value behind an equals sign only. Nothing is tried twice (possessive), so a page takes time in proportion to its size.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|aria-label)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select option canvas audio video".split())
-DROP = RAW | frozenset("head nav aside form button dialog menu figure-toolbar fieldset".split())
+#: Up to their own end tag, or the page's end, nothing is markup.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "iframe", "noembed", "noframes", "textarea", "title")}
+DROP = frozenset("head nav aside form button dialog menu fieldset noscript template object svg select canvas audio video annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+#: Tags at which a block ends: those that stand in a line of text do not break it, dropped or not.
+BREAKS = BLOCK | frozenset("head dialog menu fieldset".split())
 CONTAINER = frozenset("article main section div td body".split())
 CLOSES = {"li": ("li", ("ul", "ol")), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "tr": ("tr", ("table",)), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "option": ("option", ("select",))}
 WORD = r"(?:ads?|adverts?|advertisements?|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notices?|alert|newsletter|subscribe|signup|popup|modal|overlay|share|sharing|social|sidebar|side|related|recommend(?:ed|ations)?|more-stories|comments?|commentlist|disqus|respond|replies|reply|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|topbar|masthead|site-header|site-footer|footer|login|search|widget|tags?|skip|hidden|print-only|paywall)"
@@ -55,6 +62,8 @@ COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|reply
 #: Prose of a container's second part, as a share of its first's, from which both are one text; in the body.
 SECOND, SECOND_OF_BODY = 0.1, 0.5
 GENERAL = re.compile(r"\d+")
+#: Containers within containers that a path tells apart, as in browsers; what is deeper belongs to the last of them.
+DEPTH = 512
 
 
 class Block:
@@ -84,6 +93,7 @@ def blocks(html: str) -> list[Block]:
     """The page's text blocks outside what is dropped, with the generalised path of open containers."""
     out: list[Block] = []
     stack: list[tuple[str, tuple, bool, tuple]] = []  # tag, container path, dropped from here on, noisy containers
+    opened: Counter = Counter()  # tags on the stack
     needed: list[float] = []  # by noisy container, the share of the page's prose that keeps it
     parts: list[str] = []
     linked, links, path, dropped = 0, 0, (), 0
@@ -101,16 +111,17 @@ def blocks(html: str) -> list[Block]:
         nonlocal path, dropped, links, item, noise
         while len(stack) > depth:
             tag, before, drops, outer = stack.pop()
-            if tag in BLOCK or drops:
+            opened[tag] -= 1
+            if tag in BREAKS:
                 flush()
             dropped -= drops
             path, noise = before, outer
             links -= tag == "a"
             item = item and tag != "li"
 
-    at, size = 0, len(html)
+    at, size, last = 0, len(html), html.rfind(">") + 1
     while at < size:
-        m = TOKEN.search(html, at)
+        m = TOKEN.search(html, at, last)
         end = m.start() if m else size
         if end > at and not dropped:
             piece = html[at:end]
@@ -126,24 +137,21 @@ def blocks(html: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
+            elif tag in BLOCK:
+                flush()
             continue
         if tag in BLOCK:
             # a paragraph ends where a block begins, a cell or item where its like begins
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened["p"] else ():
                 if stack[i][0] == "p":
                     close(i)
                     break
                 if stack[i][0] in CONTAINER or stack[i][0] in ("li", "blockquote", "table"):
                     break
             flush()
-            if tag in CLOSES:
+            if tag in CLOSES and any(opened[t] for t in CLOSES[tag][0].split()):
                 like, stop = CLOSES[tag][0].split(), CLOSES[tag][1]
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in stop:
@@ -158,17 +166,16 @@ def blocks(html: str) -> list[Block]:
         if tag in VOID or m[3].endswith("/"):
             continue
         if tag in RAW:
-            # raw text up to its own end tag
-            e = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            flush()
+            e = RAW[tag].search(html, at)
             at = e.end() if e else size
             continue
         classes, unseen, names = attributes(m[3])
         outside = tag == "footer" or (tag == "header" and not any(x[0] in ("article", "main") for x in stack))
         drops = tag in DROP or outside or (unseen and tag not in ("html", "body", "main", "article"))
-        if drops:
+        if drops and tag in BREAKS:
             flush()
         stack.append((tag, path, drops, noise))
+        opened[tag] += 1
         comment = bool(COMMENT.search(names))
         if names and tag in JUDGED and (comment or tag != "article"):
             noise = (*noise, len(needed))
@@ -176,7 +183,7 @@ def blocks(html: str) -> list[Block]:
         dropped += drops
         links += tag == "a"
         item = item or tag == "li"
-        if tag in CONTAINER:
+        if tag in CONTAINER and len(path) < DEPTH:
             path = (*path, f"{tag}.{classes}" if classes else tag)
     close(0)
     flush()
@@ -256,7 +263,7 @@ def votes(pages: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["host", "path", "size", "won"])
 
-    return pages.select("host", "html").mapInArrow(run, "host string, path string, size long, won long")
+    return pages.select("host", "html").mapInArrow(tidy(run), "host string, path string, size long, won long")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -277,7 +284,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     kinds = f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string"
-    return rows.join(winner, "host", "left").select("page_id", "url", "html", "path", "losers").mapInArrow(run, kinds)
+    return rows.join(winner, "host", "left").select("page_id", "url", "html", "path", "losers").mapInArrow(tidy(run), kinds)
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

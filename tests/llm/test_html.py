@@ -1,4 +1,8 @@
-from corpusloom.llm.html import best_path, blocks, extracted, main_text
+import random
+import time
+from collections import Counter
+
+from corpusloom.llm.html import best_path, blocks, extracted, main_text, op6_html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="home">
 <header class="site"><p>Logo line</p></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
@@ -69,3 +73,68 @@ def test_an_article_in_several_containers_is_whole():
     page = f"<body><div class='top'><p>Name</p></div><div class='post'><div class='intro'><p>{'first ' * 30}</p></div><div class='body'><p>{'then ' * 100}</p></div></div></body>"
     assert extracted(page, None) == f"{('first ' * 30).strip()}\n\n{('then ' * 100).strip()}"
     assert extracted(page, "body>div.top") == extracted(page, None)
+
+
+def test_odd_attributes_formulas_and_alerts():
+    long = ("prose of the page " * 20).strip()
+    page = f"""<body><article><p title=it's>{long}</p><p>of <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math> and <svg><text>no</text></svg> more</p>
+<div class=alert-colours><p>Alert colours</p></div><div class="side-by-side"><p>Side by side</p></div><noscript><p>no</p></noscript><p data-x='a>b' class="y">quoted > end</p>
+<textarea>no <p>no</textarea><p>last</p></article></body>"""
+    assert extracted(page, None).split("\n\n") == [long, "of x=1 and more", "Alert colours", "Side by side", "quoted > end", "last"]
+
+
+def test_unclosed_things_take_time_in_proportion():
+    for part in ('<a x="', "<p title='", "<a ", "<b><p>", "</i>", "<div>", "<li>", "<!", "<script ", "= \"'", "<td><b>", "<svg>"):
+        times = []
+        for n in (4000, 16000):
+            page, start = "<body><p>text</p>" + part * n + "<p>end", time.process_time()
+            extracted(page, None)
+            times.append(time.process_time() - start)
+        assert times[1] < 8 * times[0] + 0.3, part
+
+
+def test_long_pages_are_whole():
+    text = [f"paragraph {i} of a long page with some words" for i in range(50_000)]
+    page = "<html><body><div class='menu'><a href='/'>Home</a></div><main>" + "".join(f"<p>{t}</p>" for t in text) + "</main></body></html>"
+    assert extracted(page, None) == "\n\n".join(text)
+
+
+def brute_votes(pages):
+    """Per host, the winning path and the losers, from all pages at once."""
+    size, won, seen, out = Counter(), Counter(), Counter(), {}
+    for host, page in pages:
+        found = blocks(page or "")
+        if best := best_path(found):
+            paths = {">".join(b.path) for b in found if b.path and b.prose} | {best[0]}
+            seen.update((host, p) for p in paths)
+            size[host, best[0]] += best[1]
+            won[host, best[0]] += 1
+    for host in {h for h, _ in won}:
+        own = [p for h, p in won if h == host]
+        out[host] = (min(own, key=lambda p: (-size[host, p], -won[host, p], p)), {p for p in own if 2 * won[host, p] < seen[host, p]})
+    return out
+
+
+def test_the_query_equals_brute_force(spark, tmp_path):
+    r = random.Random(4)
+    said = lambda n: " ".join(r.choice(["alpha", "beta", "gamma"]) for _ in range(n))
+    rows = []
+    for i in range(120):
+        parts = [f"<div class='{r.choice(['story', 'box', 'post', 'x9'])}'><p>{said(r.randrange(1, 60))}</p></div>" for _ in range(r.randrange(4))]
+        rows.append((i, r.choice(["https://a.example/1", "http://b.example", None, "no url"]), r.choice([None, "", "<body>" + "".join(parts)]) if i % 10 == 0 else "<body>" + "".join(parts)))
+    rows += rows[:7]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    host = lambda u: u.split("/")[2] if u and "://" in u else ""
+    vote = brute_votes([(host(u), h) for _, u, h in rows])
+    want = [(i, u, extracted(h or "", *vote.get(host(u), (None, set())))) for i, u, h in rows]
+    got = [(x["page_id"], x["url"], x["text"], x["n_chars"]) for x in op6_html(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(((*w, len(w[2])) for w in want), key=str)
+
+
+def test_equal_votes_go_to_the_first_path(spark):
+    page = lambda c: f"<body><div class='{c}'><p>same words here</p></div></body>"
+    both = "<body><div class='a'><p>of a</p></div><div class='b'><p>of b</p></div><p>own</p></body>"
+    rows = [(0, None, page("b")), (1, None, page("a")), (2, None, both)]
+    got = {x["page_id"]: x["text"] for x in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    again = {x["page_id"]: x["text"] for x in main_text(spark.createDataFrame(rows[::-1], "page_id long, url string, html string")).collect()}
+    assert got == again and got[0] == got[1] == "same words here"
