@@ -54,3 +54,37 @@ def test_no_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r["score"] for r in tox.scored(docs, tox.learned(spark, docs, labels)).collect()] == [0.5]
     assert tox.scored(docs.limit(0), tox.learned(spark, docs, labels)).collect() == []
+
+
+def test_the_cut_has_the_best_f1():
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        n = int(r.integers(3, 40))
+        y = (r.random(n) < 0.4).astype(float)
+        y[0] = 1
+        z = np.round(r.normal(y, 1.0), int(r.integers(0, 3)))
+        f1 = lambda c: 2 * ((z >= c) & (y == 1)).sum() / ((z >= c).sum() + y.sum())  # noqa: B023, E731
+        assert f1(tox.best_cut(z, y)) == max(f1(c) for c in z)
+
+
+def test_repeated_rows_and_very_long_texts(spark):
+    long = " ".join(f"w{i % 300}" for i in range(300_000))
+    data = [(i, t) for i, (t, _) in enumerate(rows(600, 4))] + [(700, long), (700, long), (None, long), (701, long + " clod martians")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows(600, 4))] * 2, "doc_id long, toxic int")
+    got = [tuple(x) for x in tox.scored(docs, tox.learned(spark, docs, labels)).collect()]
+    s = [v for i, v in got if i in (700, None)]
+    assert len(got) == 604 and len(s) == 3 and len(set(s)) == 1 and dict(got)[701] > s[0]
+
+
+def test_the_query(spark, tmp_path):
+    data = rows(1200, 5)
+    spark.createDataFrame([(i, t) for i, (t, _) in enumerate(data)] + [(None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, y) for i, (_, y) in enumerate(data)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {x["doc_id"]: x for x in tox.op1_toxicity(spark, str(tmp_path)).collect()}
+    held = [i for i in range(1200) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert len(got) == 1201 and {i for i, x in got.items() if x["held_out"]} == set(held)
+    assert all(x["predicted"] == int(x["score"] >= 0.7) for x in got.values())
+    found = [got[i]["predicted"] for i in held if data[i][1]]
+    clean = [got[i]["predicted"] for i in held if not data[i][1]]
+    assert np.mean(found) > 0.9 and np.mean(clean) < 0.05
