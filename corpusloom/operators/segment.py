@@ -22,7 +22,7 @@ def clean_pages(books: DataFrame) -> DataFrame:
 def classified_lines(books: DataFrame, strip_page_markers: bool = True) -> DataFrame:
     """book_id, line_no, line (right-stripped), level (0: no heading), chapter_no (0: front), run (headings so far).
 
-    Counters run inside the book's array of lines, so a book needs no window and no shuffle.
+    The counters are windows over a book's lines: one shuffle by book, which what follows by book uses too.
     """
     parts = F.transform(T.lines(T.normalize_newlines(F.col("text"))), T.rstrip)
     kept = F.filter(parts, lambda s: ~T.is_page_marker(s)) if strip_page_markers else parts

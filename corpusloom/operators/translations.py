@@ -87,6 +87,11 @@ def append_plan(draft: DataFrame, segments: DataFrame, ledger: DataFrame, allow_
     return x.select("append_pos", "segment_id", "translation", "status", "review_note", "action")
 
 
+def appended(ledger: DataFrame, draft: DataFrame) -> DataFrame:
+    """The ledger with the draft's rows that it has not."""
+    return ledger.unionByName(appendable(draft, ledger))
+
+
 def appendable(draft: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows whose id the ledger has not: appending them twice changes nothing."""
     return draft.join(ledger.select("segment_id").distinct(), "segment_id", "left_anti")

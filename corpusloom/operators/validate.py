@@ -31,8 +31,9 @@ def enforce(violations: DataFrame, shown: int = 20) -> None:
 
 
 def missing_keys(rows: DataFrame, required: list[str], name: str) -> DataFrame:
-    """Null fields of required columns (JSON readers leave missing keys null)."""
-    gone = F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in required)), lambda c: c.isNotNull())
+    """Required keys that a row has not. With a column `keys` (those of the JSON object) a null under its key is there; without it, null counts as missing."""
+    absent = (lambda c: ~F.array_contains("keys", c)) if "keys" in rows.columns else (lambda c: F.col(c).isNull())
+    gone = F.filter(F.array(*(F.when(absent(c), F.lit(c)) for c in required)), lambda c: c.isNotNull())
     x = rows.withColumn("_gone", gone).where(F.size("_gone") > 0)
     return violation(x, f"{name}: missing keys", 1, F.col(required[0]), F.array_join("_gone", ", "))
 
@@ -45,15 +46,26 @@ def segments(rows: DataFrame) -> DataFrame:
     ])
 
 
+def no_lists(rows: DataFrame) -> DataFrame:
+    """Batches whose segment_ids is no list, or whose segments is no list of objects, by the column `line` of their JSON (none without it)."""
+    if "line" not in rows.columns:
+        return violation(rows.limit(0), "batches: not a list", 4, F.col("batch_id"))
+    kind = lambda key: F.schema_of_variant(F.try_variant_get(F.try_parse_json("line"), f"$.{key}", "variant"))
+    bad = F.array_compact(F.array(F.when(~kind("segment_ids").startswith("ARRAY<"), F.lit("segment_ids")), F.when(~kind("segments").rlike("^ARRAY<(OBJECT<|VOID>)"), F.lit("segments"))))
+    x = rows.withColumn("_bad", bad).where(F.size("_bad") > 0)
+    return violation(x, "batches: not a list", 4, F.col("batch_id"), F.array_join("_bad", ", "))
+
+
 def batches(rows: DataFrame) -> DataFrame:
     inner = F.transform("segments", lambda s: s["id"])
     ids = rows.select("batch_id", F.explode("segment_ids").alias("id"))
     return union([
         missing_keys(rows, ["batch_id", "chapter_id", "order", "segment_ids", "segments", "source_text", "status"], "batches"),
+        no_lists(rows),
         violation(rows.where("batch_id = ''"), "batches: empty id", 2, F.col("batch_id")),
         violation(duplicates(rows.where("batch_id <> ''"), "batch_id"), "batches: duplicate id", 3, F.col("batch_id")),
-        violation(rows.where(F.col("segment_ids") != inner), "batches: segment_ids differ from segments", 4, F.col("batch_id")),
-        violation(duplicates(ids, "id"), "batches: segment in two batches", 5, F.col("id")),
+        violation(rows.where(F.col("segment_ids") != inner), "batches: segment_ids differ from segments", 5, F.col("batch_id")),
+        violation(duplicates(ids, "id"), "batches: segment in two batches", 6, F.col("id")),
     ])
 
 
@@ -77,13 +89,15 @@ def ordered_cover(segments_: DataFrame, items: DataFrame) -> DataFrame:
     return violation(x.withColumnRenamed("n", "pos"), "batches: segments missing, extra or out of order", 1, F.coalesce("a", "b"))
 
 
-def report(segments_: DataFrame, items: DataFrame, ledger: DataFrame) -> DataFrame:
-    """issue, entity_id of the tolerant validation: everything that is wrong, nothing raised."""
+def report(segments_: DataFrame, items: DataFrame, ledger: DataFrame, batch_rows: DataFrame | None = None) -> DataFrame:
+    """issue, entity_id of the tolerant validation: everything that is wrong, nothing raised. batch_rows: batch_id, a row for each batch."""
     done = completed(ledger)
     ids = lambda df, c: df.select(F.col(c).cast("string").alias("entity_id"))
     named = lambda df, issue: df.select(F.lit(issue).alias("issue"), "entity_id")
     given = ledger.where("segment_id is not null and segment_id <> ''")
+    twice = [named(ids(duplicates(batch_rows, "batch_id"), "batch_id"), "duplicate_batch_ids")] if batch_rows is not None else []
     return union([
+        *twice,
         named(ids(duplicates(segments_, "id"), "id"), "duplicate_segment_ids"),
         named(ids(duplicates(items, "id"), "id"), "duplicate_batch_segment_ids"),
         named(ids(duplicates(given, "segment_id"), "segment_id"), "duplicate_translation_ids"),

@@ -62,6 +62,10 @@ class Workspace:
         x = self._table(self.segments_path, SEGMENT)
         return x.select("fields.*", "line_number").withColumn("pos", F.coalesce("pos", F.col("line_number").cast("long"))).withColumn("book_id", F.coalesce("book_id", F.lit(""))).drop("line_number")
 
+    def _as_written(self, path: str, schema: str, optional: bool = False) -> DataFrame:
+        """The rows of a file with the keys and the JSON that they had there, for the checks of both."""
+        return self._table(path, schema, optional).select("fields.*", "keys", "line")
+
     def batches(self) -> DataFrame:
         return self._table(self.batches_path, BATCH).select("fields.*").withColumn("book_id", F.coalesce("book_id", F.lit("")))
 
@@ -114,7 +118,7 @@ class Workspace:
     def _checked(self) -> tuple[DataFrame, DataFrame]:
         """(items, ledger), after strict checks of both."""
         items, ledger = self.items(), self.ledger()
-        validate.enforce(validate.batches(self.batches()).unionByName(validate.translations(ledger, items)))
+        validate.enforce(validate.batches(self._as_written(self.batches_path, BATCH)).unionByName(validate.translations(self._as_written(self.ledger_path, LEDGER, True), items)))
         return items, ledger
 
     def pending(self, items: DataFrame | None = None, ledger: DataFrame | None = None) -> DataFrame:
@@ -134,8 +138,11 @@ class Workspace:
         segs, items, ledger = self.segments(), self.items(), self.ledger()
         done = progress.completed(ledger)
         issues: dict[str, list] = {}
-        for r in validate.report(segs, items, ledger).groupBy("issue").agg(F.slice(F.array_sort(F.collect_list("entity_id")), 1, LISTED).alias("ids")).collect():
-            issues[r["issue"]] = r["ids"]
+        wrong = validate.report(segs, items, ledger, self.batches().select("batch_id"))
+        # the first few of each issue: a top-k, cut in each task before the shuffle
+        rank = F.row_number().over(Window.partitionBy("issue").orderBy("entity_id"))
+        for r in wrong.withColumn("rank", rank).where(F.col("rank") <= LISTED).orderBy("issue", "rank").collect():
+            issues.setdefault(r["issue"], []).append(r["entity_id"])
         order = items.groupBy("book_id", "batch_id").agg(F.min("batch_order").alias("batch_order"))
         expected: list[str] = list(expect)
         if expect_from:
@@ -343,8 +350,11 @@ class Workspace:
         built = epub.build_epubs(books, self.segments(), self.ledger(), language=language, dry_run=dry_run, **options)
         built = built.cache()
         try:
+            built.count()
+            # the archives are read once more: one that changed meanwhile is not written
+            built = epub.unchanged(built, E.archives(self.spark, path or f"{self.root}/input/*.epub"))
             if not dry_run:
-                files.put_each(built, f"{self.root}/output", "book_id", "content", ".translated.epub", overwrite)
+                files.put_each(built.where("content is not null"), f"{self.root}/output", "book_id", "content", ".translated.epub", overwrite)
             return [r.asDict(recursive=True) for r in built.drop("content").collect()]
         finally:
             built.unpersist()

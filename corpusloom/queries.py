@@ -259,11 +259,13 @@ def unmatched_ids(spark, d):
 
 
 def holed(spark, d):
-    x = segs(spark, d)
-    return x.where("pos % 13 <> 0"), x.where("pos % 17 <> 0")
+    """The segments twice, each time with other ids that the other side has not."""
+    x, renamed = segs(spark, d), lambda by, name: F.when(F.col("pos") % by == 0, F.concat(F.lit(name), "id")).otherwise(F.col("id"))
+    return x.withColumn("id", renamed(13, "a")), x.withColumn("id", renamed(17, "b"))
 
 
-HOLED = "a AS (SELECT * FROM seg WHERE pos % 13 <> 0), b AS (SELECT * FROM seg WHERE pos % 17 <> 0)"
+HOLED = """a AS (SELECT * REPLACE (CASE WHEN pos % 13 = 0 THEN 'a' || id ELSE id END AS id) FROM seg),
+b AS (SELECT * REPLACE (CASE WHEN pos % 17 = 0 THEN 'b' || id ELSE id END AS id) FROM seg)"""
 
 
 @query(f"WITH {SEG}, {HOLED} SELECT id AS entity_id, 'segment without batch' AS side FROM a WHERE id NOT IN (SELECT id FROM b) UNION ALL SELECT id, 'batch item without segment' FROM b WHERE id NOT IN (SELECT id FROM a)")
@@ -277,13 +279,15 @@ REPORT = f"""{SEG}, {LED}, {DIRTY}, {HOLED}, good AS (SELECT DISTINCT segment_id
   UNION ALL SELECT 'unmatched_translation_ids', segment_id FROM good WHERE segment_id NOT IN (SELECT id FROM a)
   UNION ALL SELECT 'segments_without_batch', id FROM a WHERE id NOT IN (SELECT id FROM b)
   UNION ALL SELECT 'batch_items_without_segment', id FROM b WHERE id NOT IN (SELECT id FROM a)
+  UNION ALL SELECT 'duplicate_batch_ids', chapter_id FROM (SELECT DISTINCT book_id, chapter_id FROM seg) GROUP BY chapter_id HAVING count(*) > 1
 )"""
 
 
 @query(f"WITH {REPORT} SELECT * FROM rep")
 def validation_report(spark, d):
     a, b = holed(spark, d)
-    return validate.report(a, b, dirty(spark, d))
+    # chapters as batches: the same name in two books is one id twice
+    return validate.report(a, b, dirty(spark, d), segs(spark, d).select("book_id", F.col("chapter_id").alias("batch_id")).distinct())
 
 
 @query(f"WITH {REPORT} SELECT DISTINCT issue FROM rep")
@@ -336,22 +340,110 @@ def normalize_pairs(spark, d):
     return translations.normalized(x).select("conv_id", "turn", "error", "translation")
 
 
-@query("""WITH e AS (SELECT conv_id, turn AS id FROM conversations WHERE role = 'user' AND turn % 5 <> 3), o AS (SELECT conv_id, turn AS id FROM conversations WHERE role = 'user' AND turn % 7 <> 4 UNION ALL SELECT conv_id, turn FROM conversations WHERE role = 'user' AND turn % 4 = 2),
-k AS (SELECT DISTINCT conv_id FROM (SELECT conv_id FROM e UNION ALL SELECT conv_id FROM o)),
+@query("""WITH e AS (SELECT conv_id, turn AS id FROM conversations WHERE role = 'user'),
+o AS (SELECT conv_id, CASE WHEN id % 7 = 4 THEN id + 1000 ELSE id END AS id, unnest(range(CASE WHEN id % 4 = 2 THEN 2 ELSE 1 END)) AS again FROM e),
+k AS (SELECT conv_id, count(*) AS n FROM e GROUP BY conv_id),
 m AS (SELECT conv_id, string_agg(id, ',' ORDER BY id) AS missing FROM e WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.conv_id = e.conv_id AND o.id = e.id) GROUP BY conv_id),
 x AS (SELECT conv_id, string_agg(DISTINCT id, ',' ORDER BY id) AS extra FROM o WHERE NOT EXISTS (SELECT 1 FROM e WHERE o.conv_id = e.conv_id AND o.id = e.id) GROUP BY conv_id),
 d AS (SELECT conv_id, string_agg(id, ',' ORDER BY id) AS duplicate FROM (SELECT conv_id, id FROM o GROUP BY ALL HAVING count(*) > 1) GROUP BY conv_id)
-SELECT conv_id, coalesce(missing, '') AS missing, coalesce(extra, '') AS extra, coalesce(duplicate, '') AS duplicate FROM k LEFT JOIN m USING (conv_id) LEFT JOIN x USING (conv_id) LEFT JOIN d USING (conv_id)""")
+SELECT conv_id, coalesce(missing, '') AS missing, coalesce(extra, '') AS extra, coalesce(duplicate, '') AS duplicate,
+  missing IS NULL AND extra IS NULL AND duplicate IS NULL AS ok, missing IS NULL AND extra IS NULL AND duplicate IS NULL AND conv_id % 3 = 0 AND n > 1 AS reordered
+FROM k LEFT JOIN m USING (conv_id) LEFT JOIN x USING (conv_id) LEFT JOIN d USING (conv_id)""")
 def exact_cover(spark, d):
-    u = table(spark, d, "conversations").where("role = 'user'").select("conv_id", F.col("turn").alias("id"), F.col("turn").alias("idx"), F.col("turn").alias("pos"))
-    x = translations.exact_cover(u.where("id % 5 <> 3").drop("pos"), u.where("id % 7 <> 4").union(u.where("id % 4 = 2")).drop("idx"), ["conv_id"])
-    return x.select("conv_id", *(F.array_join(F.transform(c, lambda v: v.cast("string")), ",").alias(c) for c in ("missing", "extra", "duplicate")))
+    """All user turns, held against themselves with some ids renamed, some twice, and every third conversation backwards."""
+    u = table(spark, d, "conversations").where("role = 'user'").select("conv_id", F.col("turn").alias("id"))
+    times = F.explode(F.sequence(F.lit(1), F.when(F.col("id") % 4 == 2, 2).otherwise(1)))
+    pos = F.when(F.col("conv_id") % 3 == 0, -F.col("id")).otherwise(F.col("id"))
+    out = u.withColumn("pos", pos).withColumn("again", times).withColumn("id", F.when(F.col("id") % 7 == 4, F.col("id") + 1000).otherwise(F.col("id")))
+    x = translations.exact_cover(u.withColumn("idx", F.col("id")), out.select("conv_id", "id", "pos"), ["conv_id"])
+    return x.select("conv_id", *(F.array_join(F.transform(c, lambda v: v.cast("string")), ",").alias(c) for c in ("missing", "extra", "duplicate")), "ok", "reordered")
 
 
-@query(f"""WITH {SEG}, {LED} SELECT segment_id, translation, status FROM led WHERE append_pos % 3 = 0 AND segment_id NOT IN (SELECT segment_id FROM led WHERE append_pos % 2 = 0)""")
+DRAFT = "dra AS (SELECT CASE WHEN append_pos % 3 = 0 THEN 'n' || segment_id ELSE segment_id END AS segment_id, translation, status FROM led), cand AS (SELECT * FROM dra WHERE segment_id NOT IN (SELECT segment_id FROM led))"
+
+
+def draft(spark, d):
+    """The ledger with some ids renamed, which are then new."""
+    return ledger(spark, d).withColumn("segment_id", F.when(F.col("append_pos") % 3 == 0, F.concat(F.lit("n"), "segment_id")).otherwise(F.col("segment_id")))
+
+
+@query(f"WITH {LED}, {DRAFT} SELECT * FROM cand")
 def append_candidates(spark, d):
-    x = ledger(spark, d)
-    return translations.appendable(x.where("append_pos % 3 = 0"), x.where("append_pos % 2 = 0")).select("segment_id", "translation", "status")
+    return translations.appendable(draft(spark, d), ledger(spark, d)).select("segment_id", "translation", "status")
+
+
+@query(f"WITH {LED}, {DRAFT} SELECT segment_id, translation, status FROM led UNION ALL SELECT * FROM cand")
+def append_union(spark, d):
+    return translations.appended(ledger(spark, d), draft(spark, d)).select("segment_id", "translation", "status")
+
+
+STRIP = f"regexp_replace(%s, '^{WS}+|{WS}+$', '', 'g')"
+CLEAN = STRIP % "replace(replace(%s, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+
+
+def breaks(c: str) -> str:
+    return f"(length({c}) - length(replace({c}, chr(10), '')))"
+
+
+@query(f"""WITH t AS (SELECT doc_id, text AS source, CASE doc_id % 7 WHEN 0 THEN '  ' WHEN 1 THEN text || chr(10) || 'x' WHEN 2 THEN '⟦EPUB_IMG:a|alt=b⟧' || text WHEN 6 THEN ' ' || replace(text, chr(10), chr(13) || chr(10)) || chr(9) ELSE text END AS translation,
+  CASE doc_id % 7 WHEN 3 THEN 'odd' WHEN 4 THEN 'needs_review' WHEN 5 THEN 'needs_review' END AS status, CASE doc_id % 7 WHEN 5 THEN ' n ' END AS review_note FROM documents),
+n AS (SELECT *, {CLEAN % "translation"} AS clean, replace(replace(source, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS own FROM t),
+e AS (SELECT *, CASE WHEN coalesce(clean, '') = '' THEN 'empty translation' WHEN {breaks("own")} <> {breaks("clean")} THEN 'line break count differs' WHEN doc_id % 7 = 2 THEN 'image placeholders differ'
+  WHEN status = 'odd' THEN 'unsupported status' WHEN status = 'needs_review' AND review_note IS NULL THEN 'needs_review without review_note' END AS error FROM n)
+SELECT doc_id, error, CASE WHEN error IS NULL THEN clean ELSE translation END AS translation, CASE WHEN error IS NULL THEN coalesce(status, 'translated') ELSE status END AS status, CASE WHEN error IS NULL AND status = 'needs_review' THEN 'n' END AS review_note FROM e""")
+def normalize_rules(spark, d):
+    """Each document as the translation of itself, spoilt in one of seven ways by its id."""
+    way, text = F.col("doc_id") % 7, F.col("text")
+    spoilt = F.when(way == 0, "  ").when(way == 1, F.concat(text, F.lit("\nx"))).when(way == 2, F.concat(F.lit("⟦EPUB_IMG:a|alt=b⟧"), text)).when(way == 6, F.concat(F.lit(" "), F.replace(text, F.lit("\n"), F.lit("\r\n")), F.lit("\t"))).otherwise(text)
+    status = F.when(way == 3, "odd").when(way.isin(4, 5), "needs_review")
+    x = table(spark, d, "documents").select("doc_id", text.alias("source"), spoilt.alias("translation"), status.alias("status"), F.when(way == 5, " n ").alias("review_note"))
+    return translations.normalized(x).select("doc_id", "error", "translation", "status", "review_note")
+
+
+@query(f"""WITH dr AS (SELECT CASE WHEN l.doc_id % 10 = 3 THEN l.doc_id * 2 + 101 ELSE l.doc_id * 2 END AS append_pos, CASE WHEN l.doc_id % 97 = 0 THEN 'x' || l.doc_id WHEN l.doc_id % 31 = 0 THEN '' WHEN l.doc_id % 29 = 0 THEN 'same' ELSE CAST(l.doc_id AS VARCHAR) END AS segment_id,
+  CASE WHEN l.doc_id % 11 = 0 THEN ' ' ELSE d.text END AS translation FROM labels l JOIN documents d USING (doc_id)),
+ex AS (SELECT CASE WHEN doc_id % 5 = 0 THEN CAST(doc_id AS VARCHAR) ELSE 'old' || doc_id END AS segment_id FROM labels),
+k AS (SELECT dr.*, s.doc_id AS pos, replace(replace(s.text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS own, {CLEAN % "translation"} AS clean, count(*) OVER (PARTITION BY segment_id) AS n FROM dr LEFT JOIN documents s ON CAST(s.doc_id AS VARCHAR) = dr.segment_id),
+b AS (SELECT *, max(pos) OVER (ORDER BY append_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM k)
+SELECT append_pos, segment_id, CASE WHEN segment_id = '' THEN 'missing segment_id' WHEN n > 1 THEN 'duplicate segment_id' WHEN pos IS NULL THEN 'unknown segment_id' WHEN segment_id IN (SELECT segment_id FROM ex) THEN 'already in the ledger'
+  WHEN pos < before THEN 'out of source order' WHEN clean = '' THEN 'empty translation' WHEN {breaks("own")} <> {breaks("clean")} THEN 'line break count differs' ELSE 'append' END AS action FROM b""")
+def append_plan(spark, d):
+    """A draft of all labelled documents, some of them renamed, blank, repeated, out of order or already there."""
+    i, name = F.col("doc_id"), F.col("doc_id").cast("string")
+    both = table(spark, d, "labels").select("doc_id").join(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    id_ = F.when(i % 97 == 0, F.concat(F.lit("x"), name)).when(i % 31 == 0, "").when(i % 29 == 0, "same").otherwise(name)
+    rows = both.select(F.when(i % 10 == 3, i * 2 + 101).otherwise(i * 2).alias("append_pos"), id_.alias("segment_id"), F.when(i % 11 == 0, " ").otherwise(F.col("text")).alias("translation"), F.lit("translated").alias("status"), F.lit(None).cast("string").alias("review_note"))
+    old = table(spark, d, "labels").select(F.when(i % 5 == 0, name).otherwise(F.concat(F.lit("old"), name)).alias("segment_id"))
+    return translations.append_plan(rows, segs(spark, d), old).select("append_pos", "segment_id", "action")
+
+
+@query(f"""WITH {SEG} SELECT book_id, pos, CAST(sum(new) OVER (PARTITION BY book_id ORDER BY pos) AS BIGINT) AS run
+FROM (SELECT *, coalesce(CAST(chapter_id <> lag(chapter_id) OVER (PARTITION BY book_id ORDER BY pos) AS INTEGER), 1) AS new FROM seg)""")
+def chapter_runs(spark, d):
+    return batch.chapter_runs(segs(spark, d)).select("book_id", "pos", long("run").alias("run"))
+
+
+@query(f"""WITH {SEG}, a AS (SELECT pos AS n, id FROM seg), b AS (SELECT CASE WHEN pos % 19 = 0 THEN pos + 1000000000 ELSE pos END AS n, CASE WHEN pos % 17 = 0 THEN 'b' || id ELSE id END AS id FROM seg)
+SELECT coalesce(a.n, b.n) AS pos, coalesce(a.id, b.id) AS entity_id FROM a FULL JOIN b ON a.n = b.n WHERE a.id IS DISTINCT FROM b.id""")
+def ordered_cover(spark, d):
+    """The segments against themselves, with some renamed and some in another place."""
+    a, at = segs(spark, d).select(F.col("pos").alias("n"), "id"), F.col("n")
+    b = a.select(F.when(at % 19 == 0, at + 1000000000).otherwise(at).alias("n"), F.when(at % 17 == 0, F.concat(F.lit("b"), "id")).otherwise(F.col("id")).alias("id"))
+    return validate.ordered_cover(a, b).select("pos", "entity_id")
+
+
+INNER = r"[\t\x{b}-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+EDGED = "('  ' || text || chr(9))"
+
+
+@query(f"""SELECT doc_id, regexp_replace('　 ' || text || ' ' || chr(10), '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g') AS trimmed, replace(replace(text, chr(13), ''), chr(10), '') AS one_line,
+  regexp_replace(regexp_replace(chr(10) || ' ' || chr(10) || text || chr(10) || ' ' || chr(10), '^(?:{INNER}*\\n)+', ''), '(?:\\n{WS}*)+$', '') AS inside, regexp_replace('## ' || text, '^#{{1,6}}{WS}+', '') AS plain,
+  CASE WHEN length(replace(replace(text, chr(13), '\\r'), chr(10), '\\n')) <= 120 THEN replace(replace(text, chr(13), '\\r'), chr(10), '\\n') ELSE left(replace(replace(text, chr(13), '\\r'), chr(10), '\\n'), 119) || '…' END AS short,
+  CASE WHEN {STRIP % EDGED} = '' THEN {STRIP % "text"} ELSE regexp_extract({EDGED}, '^{WS}*') || {STRIP % "text"} || regexp_extract({EDGED}, '{WS}*$') END AS edged FROM documents""".replace("\\\\", "\\"))
+def text_edges(spark, d):
+    t, own = F.col("text"), table(spark, d, "documents")
+    around = lambda a, b: F.concat(F.lit(a), t, F.lit(b))
+    return own.select("doc_id", T.trim_ascii(around("　 ", " \n")).alias("trimmed"), T.drop_line_ends(t).alias("one_line"), T.trim_blank_lines(around("\n \n", "\n \n")).alias("inside"), T.strip_heading_prefix(around("## ", "")).alias("plain"), T.summarize(t).alias("short"), T.with_edges_of(t, around("  ", "\t")).alias("edged"))
 
 
 def aligned(spark, d):
@@ -384,6 +476,14 @@ def render_rows(spark, d):
     return render.rendered(aligned(spark, d), only_translated=True).select("id", "html")
 
 
+@query(f"""WITH RECURSIVE {ITEMS}, {LED}, {ALIGNED}, m AS (SELECT CASE WHEN pos % 13 = 0 THEN 'z' || id ELSE id END AS id, batch_id FROM items)
+SELECT al.id, al.status, coalesce(m.batch_id, '') AS batch_id FROM al LEFT JOIN m ON m.id = al.id""")
+def render_batches(spark, d):
+    """Each segment's batch, none for those that the batches have under another name."""
+    x = items(spark, d).select(F.when(F.col("pos") % 13 == 0, F.concat(F.lit("z"), "id")).otherwise(F.col("id")).alias("id"), "batch_id", F.col("pack").alias("batch_order"))
+    return render.aligned(segs(spark, d).withColumn("status", F.lit("imported")), ledger(spark, d), x).select("id", "status", "batch_id")
+
+
 @query(f"""WITH {SEG}, {LED}, {ALIGNED} SELECT id, coalesce(nullif({MARKS % "coalesce(translation, '')"}, ''), {MARKS % 'source'}) AS label FROM al WHERE kind = 'heading'""")
 def toc(spark, d):
     return render.contents(aligned(spark, d)).select("id", "label")
@@ -397,7 +497,24 @@ def request_targets(spark, d):
     return x.groupBy("batch_id").agg(F.array_join(rows, "\n").alias("targets"), F.count("*").alias("n"))
 
 
-@query()
+def indented(c: str) -> str:
+    return f"CASE WHEN {c} = '' THEN '' ELSE '    ' || replace(CASE WHEN {c} LIKE '%' || chr(10) THEN left({c}, length({c}) - 1) ELSE {c} END, chr(10), chr(10) || '    ') END"
+
+
+HEAD = "'### ' || id || ' | ' || kind || chr(10) || chr(10)"
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, {LED}, {DONE}, t AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY pos) AS i FROM items WHERE id NOT IN (SELECT id FROM done)),
+f AS (SELECT batch_id, any_value(book_id) AS book_id, any_value(chapter_id) AS chapter_id, min(pos) AS first, CAST(count(*) AS VARCHAR) AS n,
+  string_agg({HEAD} || {indented("source")} || chr(10), chr(10) ORDER BY pos) AS targets, string_agg(i || '. ' || id, chr(10) ORDER BY pos) AS ordered FROM t GROUP BY batch_id),
+c AS (SELECT f.batch_id, i.id, i.kind, i.source, i.pos, l.translation, row_number() OVER (PARTITION BY f.batch_id ORDER BY i.pos DESC) AS r
+  FROM f JOIN items i ON i.book_id = f.book_id AND i.chapter_id = f.chapter_id AND i.pos < f.first JOIN done USING (id) JOIN led l ON l.segment_id = i.id),
+b AS (SELECT batch_id, string_agg({HEAD} || 'Source:' || chr(10) || chr(10) || {indented("source")} || chr(10) || chr(10) || 'Translation:' || chr(10) || chr(10) || {indented("translation")} || chr(10), chr(10) ORDER BY pos) AS before FROM c WHERE r <= 12 GROUP BY batch_id)
+SELECT batch_id, concat_ws(chr(10), '# Request ' || batch_id, '', '- Chapter: ' || chapter_id, '- Targets: ' || n, '- Output: ' || batch_id || '_output.jsonl', chr(10) || '## Rules' || chr(10),
+  '- Every target comes back once, under its id and in this order; nothing else does.', '- A translation has as many line breaks as its source, and the same image tokens in the same order.',
+  '- One JSON object per line: segment_id, translation, status (translated, or needs_review with a review_note).', chr(10) || '## Style' || chr(10) || chr(10) || 'From: built-in' || chr(10) || chr(10) || '{context.DEFAULT_STYLE}',
+  chr(10) || '## Context, not to be translated' || chr(10), coalesce(before, 'Nothing of this chapter is done before these targets.' || chr(10)), '## Targets' || chr(10), targets, '## Order of the ' || n || ' rows' || chr(10), ordered, '') AS request
+FROM f LEFT JOIN b USING (batch_id)""")
 def request_markdown(spark, d):
     x, done = items(spark, d), progress.completed(ledger(spark, d))
     left = progress.pending_items(x, done)
@@ -472,12 +589,15 @@ def member_hashes(spark, d):
     return table(spark, d, "documents").groupBy(T.sha256(F.col("text").cast("binary")).alias("sha")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
 
 
-@query(f"""WITH a AS (SELECT conv_id, turn, role AS kind, text FROM conversations WHERE turn % 6 <> 5), b AS (SELECT conv_id, turn, CASE WHEN turn % 7 = 3 THEN 'x' ELSE role END AS kind, CASE WHEN turn % 4 = 1 THEN text || '!' ELSE ' ' || text || chr(12288) END AS text FROM conversations WHERE turn % 5 <> 4)
+@query(f"""WITH a AS (SELECT conv_id, CASE WHEN turn % 6 = 5 THEN turn + 1000 ELSE turn END AS turn, role AS kind, text FROM conversations),
+b AS (SELECT conv_id, CASE WHEN turn % 5 = 4 THEN turn + 2000 ELSE turn END AS turn, CASE WHEN turn % 7 = 3 THEN 'x' ELSE role END AS kind, CASE WHEN turn % 4 = 1 THEN text || '!' ELSE ' ' || text || chr(12288) END AS text FROM conversations)
 SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CASE WHEN b.turn IS NULL THEN 'only left' WHEN a.turn IS NULL THEN 'only right' WHEN a.kind <> b.kind THEN 'kind differs'
 WHEN regexp_replace(a.text, '^{WS}+|{WS}+$', '', 'g') <> regexp_replace(b.text, '^{WS}+|{WS}+$', '', 'g') THEN 'text differs' ELSE 'equal' END AS problem FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.turn = b.turn""")
 def zip_align(spark, d):
-    c = table(spark, d, "conversations")
-    a = c.where("turn % 6 <> 5").select("conv_id", "turn", F.col("role").alias("kind"), "text")
-    kind = F.when(F.col("turn") % 7 == 3, "x").otherwise(F.col("role"))
-    text = F.when(F.col("turn") % 4 == 1, F.concat("text", F.lit("!"))).otherwise(F.concat(F.lit(" "), "text", F.lit("　")))
-    return align.zipped(a, c.where("turn % 5 <> 4").select("conv_id", "turn", kind.alias("kind"), text.alias("text")), ["conv_id", "turn"])
+    """All turns against themselves, some of them in another place, of another kind or with another text."""
+    c, turn = table(spark, d, "conversations"), F.col("turn")
+    moved = lambda by, to: F.when(turn % by == by - 1, turn + to).otherwise(turn).alias("turn")
+    a = c.select("conv_id", moved(6, 1000), F.col("role").alias("kind"), "text")
+    kind = F.when(turn % 7 == 3, "x").otherwise(F.col("role"))
+    text = F.when(turn % 4 == 1, F.concat("text", F.lit("!"))).otherwise(F.concat(F.lit(" "), "text", F.lit("　")))
+    return align.zipped(a, c.select("conv_id", moved(5, 2000), kind.alias("kind"), text.alias("text")), ["conv_id", "turn"])

@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
+from pyspark.sql.window import Window
 
 from ..functions import text as T
 
@@ -49,26 +50,32 @@ def lines_of(books: DataFrame) -> DataFrame:
 
 
 def parse_jsonl(rows: DataFrame, text: str, schema: str, required: list[str] = ()) -> DataFrame:
-    """Of a column of lines: line, its fields, and error (null if fine). Blank lines are left out, a byte order mark is ignored."""
+    """Of a column of lines: line, its fields, keys of its object, and error (null if fine). Blank lines are left out, a byte order mark is ignored."""
     line = F.regexp_replace(F.col(text), "^﻿", "")
     x = rows.where(T.strip(line) != "").withColumn(text, line)
     keys = F.json_object_keys(F.col(text))
     missing = F.array_except(F.array(*(F.lit(k) for k in required)).cast("array<string>"), F.coalesce(keys, F.array().cast("array<string>")))
     parsed = F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"})
     error = F.when(F.try_parse_json(F.col(text)).isNull(), "invalid JSON").when(~T.strip(F.col(text)).startswith("{"), "not an object").when(F.size(missing) > 0, F.concat(F.lit("missing keys: "), F.array_join(missing, ", ")))
-    return x.withColumn("fields", F.when(error.isNull(), parsed)).withColumn("error", error)
+    return x.withColumn("fields", F.when(error.isNull(), parsed)).withColumn("keys", F.when(error.isNull(), keys)).withColumn("error", error)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, required: list[str] = (), optional: bool = False) -> DataFrame:
-    """file, line_number (from 1), fields, error of every line that is not blank."""
+    """file, line_number (from 1), fields, error, keys and line (the object's keys, and its JSON) of every line that is not blank.
+
+    Files are read in splits, however large. A line's number is its place in its split, as rows of a split have
+    numbers in a row, after the lines of the file's splits before it: one row for each split is joined.
+    """
     try:
-        whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
+        rows = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_from"), "value", F.monotonically_increasing_id().alias("_n"))
     except Exception as e:
         if optional and "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], f"file string, line_number int, fields struct<{schema}>, error string")
+            return spark.createDataFrame([], f"file string, line_number long, fields struct<{schema}>, error string, keys array<string>, line string")
         raise
-    each = whole.select("file", F.posexplode(T.lines(F.col("value"))).alias("n", "value"))
-    return parse_jsonl(each, "value", schema, required).select("file", (F.col("n") + 1).alias("line_number"), "fields", "error")
+    splits = rows.groupBy("file", "_from").agg(F.min("_n").alias("_first"), F.count("*").alias("_lines"))
+    before = F.coalesce(F.sum("_lines").over(Window.partitionBy("file").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    each = rows.join(splits.select("file", "_from", (before - F.col("_first") + 1).alias("_shift")), ["file", "_from"]).withColumn("line_number", F.col("_n") + F.col("_shift"))
+    return parse_jsonl(each, "value", schema, required).select("file", "line_number", "fields", "error", "keys", F.col("value").alias("line"))
 
 
 def strip_fence(text: Column) -> Column:
@@ -133,7 +140,10 @@ def parse_model_output(rows: DataFrame, text: str) -> DataFrame:
 def _model_series(s: pd.Series) -> pd.DataFrame:
     parsed = [model_rows(x) for x in s]
     as_text = lambda v: v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
-    return pd.DataFrame({"shape": [p[0] for p in parsed], "error": [p[1] for p in parsed], "rows": [[{f: as_text(r.get(f)) for f in MODEL_FIELDS} for r in p[2]] for p in parsed]})
+    # ids as str() has them: True, 1.0; a missing one stays null
+    as_id = lambda v: v if v is None else str(v)
+    fields = lambda r: {f: (as_id if f == "segment_id" else as_text)(r.get(f)) for f in MODEL_FIELDS}
+    return pd.DataFrame({"shape": [p[0] for p in parsed], "error": [p[1] for p in parsed], "rows": [list(map(fields, p[2])) for p in parsed]})
 
 
 def freshness(outputs: DataFrame, requests: DataFrame) -> DataFrame:

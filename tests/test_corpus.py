@@ -217,3 +217,26 @@ def test_alignment(spark):
 def test_tolerant_blocks(spark):
     pages = spark.createDataFrame([(1, "<h1>T</h1><p>a<br>b<p>c &amp; d<script>no</script><li>x"), (2, None), (3, "")], "id int, html string")
     assert [(r["id"], r["tag"], r["text"]) for r in markup.html_blocks(pages, "id", "html").orderBy("id", "block_no").collect()] == [(1, "h1", "T"), (1, "p", "a\nb"), (1, "p", "c & d"), (1, "li", "x")]
+
+
+def test_batches_as_they_were_written(spark, tmp_path):
+    from corpusloom.schemas import BATCH
+    from corpusloom.sources import text as S
+
+    good = '{"batch_id": "%s", "chapter_id": "c", "order": 1, "segment_ids": ["a"], "segments": [{"id": "a"}], "source_text": null, "status": null}'
+    lines = [good % "b1", (good % "b2").replace('["a"]', '"a"'), (good % "b3").replace('[{"id": "a"}]', '["a"]'), (good % "b4").replace('"status": null', '"other": 1'), (good % "b5").replace('["a"]', "[]").replace('[{"id": "a"}]', "[]")]
+    (tmp_path / "b.jsonl").write_text("\n".join(lines))
+    rows = S.read_jsonl(spark, str(tmp_path / "b.jsonl"), BATCH).select("fields.*", "keys", "line")
+    got = {(r["rule"], r["entity_id"], r["detail"]) for r in validate.batches(rows).collect() if r["rule"].split(": ")[1] in ("not a list", "missing keys")}
+    assert got == {("batches: not a list", "b2", "segment_ids"), ("batches: not a list", "b3", "segments"), ("batches: missing keys", "b4", "status")}
+    # without the JSON, null fields count as missing
+    plain = {(r["entity_id"], r["detail"]) for r in validate.batches(rows.drop("keys", "line")).collect() if r["rule"] == "batches: missing keys"}
+    assert ("b1", "source_text, status") in plain
+
+
+def test_duplicate_batch_ids_are_reported(spark):
+    segments = spark.createDataFrame([("s1",), ("s2",)], "id string")
+    rows = spark.createDataFrame([("s1", "t")], "segment_id string, translation string")
+    batches = spark.createDataFrame([("b1",), ("b1",), ("b2",)], "batch_id string")
+    got = {tuple(r) for r in validate.report(segments, segments, rows, batches).collect()}
+    assert got == {("duplicate_batch_ids", "b1")}

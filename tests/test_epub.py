@@ -1,3 +1,4 @@
+import hashlib
 import io
 import xml.etree.ElementTree as ET
 import zipfile
@@ -99,6 +100,40 @@ def test_build_and_read_back(spark):
     assert again["text"] == replaced(TEXT)
     (dry,) = epub.build_epubs(frame(spark, three=data), segments, ledger, dry_run=True).collect()
     assert dry["content"] is None and dry["report"]["blocks"] == x["report"]["blocks"]
+    own, sha = x["report"], lambda b: hashlib.sha256(b).hexdigest()
+    assert own["status"] == "built" and own["input_sha256"] == sha(data) and own["output_sha256"] == sha(x["content"]) and own["identifier"] == "id"
+    assert own["image_hashes"]["B/pic/i.png"] == sha(b"png") and "B/c1.xhtml" in own["modified_members"] and "B/pic/i.png" not in own["modified_members"]
+    assert own["epubcheck"] == "not_available" and dry["report"]["status"] == "dry_run" and dry["report"]["output_sha256"] is None
+
+
+def test_external_checker(spark, tmp_path):
+    segments, ledger = translated(spark, "three", epub3(), replaced)
+    for code, says in ((0, "passed"), (1, "epubcheck")):
+        tool = tmp_path / f"checker{code}"
+        tool.write_text(f"#!/bin/sh\necho found something\nexit {code}\n")
+        tool.chmod(0o755)
+        (x,) = epub.build_epubs(frame(spark, three=epub3()), segments, ledger, checker=str(tool)).collect()
+        assert (x["report"]["epubcheck"] if code == 0 else x["error"]["stage"]) == says and (code == 0 or "found something" in x["error"]["actual"])
+    slow = tmp_path / "slow"
+    slow.write_text("#!/bin/sh\nexec sleep 9\n")
+    slow.chmod(0o755)
+    with pytest.raises(E.EpubError, match="too long"):
+        epub.checked(b"x", str(slow), 1)
+
+
+def test_canonical_source_and_changed_archives(spark):
+    segments, ledger = translated(spark, "three", epub3(), replaced)
+    books = frame(spark, three=epub3())
+    (read,) = E.as_books(E.book_blocks(books)).collect()
+    other = read["text"][:7] + "¤" + read["text"][8:]
+    source = lambda t: spark.createDataFrame([("three", t)], "book_id string, text string")
+    (x,) = epub.build_epubs(books, segments, ledger, canonical=source(other)).collect()
+    assert x["content"] is None and x["error"]["stage"] == "source" and x["error"]["block_index"] == "7" and x["error"]["expected"].startswith("¤")
+    built = epub.build_epubs(books, segments, ledger, canonical=source(read["text"]))
+    (same,) = epub.unchanged(built, books).collect()
+    assert same["error"] is None and same["content"] and same["report"]["status"] == "built"
+    (changed,) = epub.unchanged(built, frame(spark, three=epub3() + b"x")).collect()
+    assert changed["content"] is None and changed["report"] is None and changed["error"]["stage"] == "source"
 
 
 def test_build_epub2(spark):

@@ -27,6 +27,28 @@ def test_jsonl(spark, tmp_path):
         S.read_jsonl(spark, str(tmp_path / "none.jsonl"), "id string")
 
 
+def test_jsonl_in_splits_keeps_line_numbers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, n in (("a.jsonl", 400), ("b.jsonl", 3), ("c.jsonl", 900)):
+        (tmp_path / "in" / name).write_text("".join("\n" if i % 7 == 5 else json.dumps({"id": f"{name}-{i + 1}", "k": "x" * (i % 50)}) + "\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = S.read_jsonl(spark, str(tmp_path / "in"), "id string, k string").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted((os.path.basename(r["file"]), r["line_number"], r["fields"]["id"]) for r in rows)
+    assert got == sorted((n, i + 1, f"{n}-{i + 1}") for n, c in (("a.jsonl", 400), ("b.jsonl", 3), ("c.jsonl", 900)) for i in range(c) if i % 7 != 5)
+
+
+def test_keys_and_ids_of_other_types(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"id": null, "k": "a"}\n{"k": "b"}\n')
+    rows = S.read_jsonl(spark, str(tmp_path / "x.jsonl"), "id string, k string").orderBy("line_number").collect()
+    assert [sorted(r["keys"]) for r in rows] == [["id", "k"], ["k"]]
+    out = S.parse_model_output(spark.createDataFrame([('[{"segment_id": true}, {"segment_id": 7}, {"segment_id": 1.5}, {"segment_id": null}, {}]',)], "t string"), "t").orderBy("pos")
+    assert [r["segment_id"] for r in out.collect()] == ["True", "7", "1.5", None, None]
+
+
 ROWS = [{"segment_id": "s1", "translation": "a"}, {"segment_id": "s2", "translation": "b", "status": "needs_review", "review_note": "n"}]
 
 
