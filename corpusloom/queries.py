@@ -7,12 +7,16 @@ by 11 have a blank translation). A user's turn and the next turn are a source an
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import placeholders as P
 from .functions import text as T
-from .operators import align, batch, context, markup, progress, render, segment, translations, validate
+from .operators import align, batch, context, epub, markup, progress, render, segment, translations, validate
+from .sinks import files
+from .sources import epub as E
 from .sources import text as S
 
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -601,3 +605,86 @@ def zip_align(spark, d):
     kind = F.when(turn % 7 == 3, "x").otherwise(F.col("role"))
     text = F.when(turn % 4 == 1, F.concat("text", F.lit("!"))).otherwise(F.concat(F.lit(" "), "text", F.lit("　")))
     return align.zipped(a, c.select("conv_id", moved(5, 2000), kind.alias("kind"), text.alias("text")), ["conv_id", "turn"])
+
+
+ASCII = "regexp_replace(text, '[^\\x00-\\x7f]', '', 'g')"
+
+
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS book_id, replace(replace(CASE doc_id % 4 WHEN 2 THEN {ASCII} || chr(65533) WHEN 3 THEN {ASCII} || chr(65393) ELSE text END, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents""")
+def text_decoding(spark, d):
+    """Each document's bytes: with a byte order mark and other line ends, plain, broken, or with a byte of Japanese Windows text behind."""
+    way, text = F.col("doc_id") % 4, F.col("text")
+    plain = F.encode(F.regexp_replace(text, r"[^\x00-\x7f]", ""), "UTF-8")
+    marked = F.encode(F.concat(F.lit("\ufeff"), F.replace(text, F.lit("\n"), F.lit("\r\n"))), "UTF-8")
+    with_byte = lambda b: F.concat(plain, F.lit(bytearray([b])))
+    content = F.when(way == 0, marked).when(way == 1, F.encode(text, "UTF-8")).when(way == 2, with_byte(0x81)).otherwise(with_byte(0xB1))
+    return S.decoded(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("book_id"), content.alias("content")))
+
+
+def scratch(spark) -> str:
+    """A new folder that the driver and all executors see."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{shared or 'file:///tmp/checkpoints/corpusloom'}/{uuid.uuid4().hex}"
+
+
+@query(f"WITH {SEG} SELECT id, pos, kind, source FROM seg")
+def jsonl_round_trip(spark, d):
+    """The segments, written as JSON Lines in order and read again by the numbers of their lines."""
+    path = f"{scratch(spark)}/segments.jsonl"
+    files.write_jsonl(segs(spark, d), path, "pos")
+    x = S.read_jsonl(spark, path, "id string, pos bigint, kind string, source string", ["id", "pos"])
+    return x.where("error is null and line_number > 0").select("fields.*")
+
+
+LINES = "list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[^A-Za-z0-9]+', ' ', 'g'))), lambda x: x <> '')"
+EPUB = f"""bk AS (SELECT CAST(doc_id AS VARCHAR) AS book_id, unnest({LINES}) AS line, generate_subscripts({LINES}, 1) AS i FROM documents),
+ln AS (SELECT book_id, i, line || CASE WHEN (i - 1) % 4 = 2 THEN '⟦EPUB_IMG:pic/i.png|alt=fig⟧' ELSE '' END AS line FROM bk),
+sm AS (SELECT CAST(doc_id AS VARCHAR) AS book_id, count(line) AS n, count(line) FILTER (WHERE (i - 1) % 4 = 2) AS images, string_agg(line, chr(10) || chr(10) ORDER BY i) AS body, string_agg('T ' || line, chr(10) || chr(10) ORDER BY i) AS other
+  FROM documents LEFT JOIN ln ON ln.book_id = CAST(doc_id AS VARCHAR) GROUP BY doc_id)"""
+
+
+def epubs(spark, d) -> DataFrame:
+    """Each document as a book: a paragraph for each line that has letters or digits, and nothing but these and spaces."""
+    lines = F.filter(F.transform(F.split("text", "\n", -1), lambda x: F.trim(F.regexp_replace(x, "[^A-Za-z0-9]+", " "))), lambda x: x != "")
+    name = F.col("doc_id").cast("string")
+    return epub.new_archives(table(spark, d, "documents").select(name.alias("book_id"), F.concat(F.lit("Book "), name).alias("title"), F.concat(F.lit("Part "), name).alias("chapter"), lines.alias("lines")))
+
+
+@query(f"""WITH {EPUB} SELECT book_id, CAST(1 AS INTEGER) AS block_index, 'book_title' AS kind, '# Book ' || book_id AS text FROM sm UNION ALL SELECT book_id, 2, 'heading', '## Part ' || book_id FROM sm
+UNION ALL SELECT book_id, CAST(i + 2 AS INTEGER), 'body', line FROM ln""")
+def epub_blocks(spark, d):
+    return E.book_blocks(epubs(spark, d)).where("error is null").select("book_id", "block_index", "kind", "text")
+
+
+@query(f"WITH {EPUB} SELECT book_id, '# Book ' || book_id || chr(10) || chr(10) || '## Part ' || book_id || coalesce(chr(10) || chr(10) || body, '') || chr(10) AS text, CAST(1 AS BIGINT) AS documents, CAST(2 AS BIGINT) AS headings, n AS paragraphs FROM sm")
+def epub_books(spark, d):
+    x = E.as_books(E.book_blocks(epubs(spark, d)))
+    return x.select("book_id", "text", *(long(c).alias(c) for c in ("documents", "headings", "paragraphs")))
+
+
+def rebuilt(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(books, build_epubs of them), translated by a mark before each line and other words for book and part."""
+    books = epubs(spark, d)
+    read = E.as_books(E.book_blocks(books)).select("book_id", "text")
+    rows = segment.segment(read, 1 << 30).withColumn("id", F.concat_ws(":", "book_id", "id"))
+    said = F.when(F.col("kind") == "paragraph", F.concat(F.lit("T "), F.replace("source", F.lit("\n\n"), F.lit("\n\nT ")))).otherwise(F.replace(F.replace("source", F.lit("Book"), F.lit("Buch")), F.lit("Part"), F.lit("Teil")))
+    done = rows.select("book_id", F.col("pos").alias("append_pos"), F.col("id").alias("segment_id"), said.alias("translation"), F.lit("translated").alias("status"), F.lit(None).cast("string").alias("review_note"))
+    return books, epub.build_epubs(books, rows, done, canonical=read, modified="2020-01-01T00:00:00Z", identifier="id", checker=None)
+
+
+@query(f"WITH {EPUB} SELECT book_id, '# Buch ' || book_id || chr(10) || chr(10) || '## Teil ' || book_id || coalesce(chr(10) || chr(10) || other, '') || chr(10) AS text FROM sm")
+def epub_rebuild(spark, d):
+    """The text of the translated archives, read again."""
+    built = rebuilt(spark, d)[1]
+    return E.as_books(E.book_blocks(built.where("error is null").select("book_id", "content"))).select("book_id", "text")
+
+
+@query(f"""WITH {EPUB} SELECT book_id, 'built' AS status, 'not_available' AS epubcheck, 'id' AS identifier, 'B/b.opf,B/c1.xhtml,B/nav.xhtml,B/s.css' AS modified, sha256('png') AS image, CAST(n + 2 AS BIGINT) AS blocks, images AS restored_images, images AS image_tokens,
+CAST(1 AS BIGINT) AS style_sheets, CAST(7 AS BIGINT) AS members FROM sm""")
+def epub_reports(spark, d):
+    """What the builds report, of books whose archives are still the same."""
+    books, built = rebuilt(spark, d)
+    x = epub.unchanged(built, books).where("error is null").select("book_id", "report.*")
+    return x.select("book_id", "status", "epubcheck", "identifier", F.array_join("modified_members", ",").alias("modified"), F.col("image_hashes")["B/pic/i.png"].alias("image"), "blocks", "restored_images", "image_tokens", "style_sheets", "members")

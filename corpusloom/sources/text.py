@@ -36,11 +36,15 @@ def read_books(spark: SparkSession, path: str) -> DataFrame:
     """book_id (file name without its last extension), text of each file. UTF-8 stays in the JVM; the rest is decoded in Python."""
     files = spark.read.format("binaryFile").load(path)
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(?<=.)\.[^.]*$", "")
+    return decoded(files.select(name.alias("book_id"), "content"))
+
+
+def decoded(rows: DataFrame) -> DataFrame:
+    """book_id, text of (book_id, content: bytes), in the first of four encodings that fits, with line ends as \\n."""
     decode = F.pandas_udf(_decode_series, "string")
-    valid = F.is_valid_utf8(F.col("content").cast("string"))
-    rows = files.select(name.alias("book_id"), "content", valid.alias("valid"))
-    good = rows.where("valid").select("book_id", F.regexp_replace(F.col("content").cast("string"), "^﻿", "").alias("text"))
-    other = rows.where("not valid").select("book_id", decode("content").alias("text"))
+    x = rows.withColumn("valid", F.is_valid_utf8(F.col("content").cast("string")))
+    good = x.where("valid").select("book_id", F.regexp_replace(F.col("content").cast("string"), "^﻿", "").alias("text"))
+    other = x.where("not valid").select("book_id", decode("content").alias("text"))
     return good.union(other).withColumn("text", T.normalize_newlines(F.col("text")))
 
 
