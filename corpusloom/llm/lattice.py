@@ -17,7 +17,7 @@ the same best sum.
 
 Texts are read once. A chunk of documents keeps its words as numbers, and asks, once for each of its
 units, the bucket that holds it; so no frequent word is shuffled more than once a chunk. Units travel
-sorted and joined by spaces, which they never hold, and so take a few bytes each.
+joined by spaces, which they never hold, and so take a few bytes each.
 
 Characters without a piece become their bytes' pieces. A null or empty text has no ids. Ids may be
 null or repeated, and texts too, as chunks keep their rows in order; texts of any length are whole;
@@ -48,6 +48,8 @@ by_value(__name__)
 MARK, LONG = "▁", 61
 #: Rows and characters after which a chunk is full.
 CHUNK_ROWS, CHUNK_CHARS = 8192, 1 << 23
+#: Characters of pieces up to which their pairs are looked up in a table.
+TABLE = 8192
 WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
 #: An edge as a long: the place of its score among all (best last), 63 less its start, its size, its id.
 SCORE, START, SIZE = 34, 28, 22
@@ -119,10 +121,20 @@ def units(of: list[str], joined: np.ndarray) -> tuple[list[int], list[str]]:
     if not of:
         return [], []
     text = " ".join(of)
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    pair = code[:-1] << np.uint64(32) | code[1:]
-    at = np.minimum(np.searchsorted(joined, pair), max(0, len(joined) - 1))
-    cut = joined[at] != pair if len(joined) else np.ones(len(pair), bool)
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    left, right = (joined >> np.uint64(32)).astype(np.int64), (joined & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    chars = np.unique(np.concatenate([left, right]))
+    if len(chars) <= TABLE:
+        # numbers for the characters of the pairs, and a table of which stand side by side
+        number = np.zeros(0x110000, np.int16)
+        number[chars] = np.arange(1, len(chars) + 1)
+        side = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        side[number[left], number[right]] = True
+        own = number[code]
+        cut = ~side[own[:-1], own[1:]]
+    else:
+        pair = code[:-1].astype(np.uint64) << np.uint64(32) | code[1:]
+        cut = joined[np.minimum(np.searchsorted(joined, pair), len(joined) - 1)] != pair
     space = code == 32
     begins = np.concatenate([[True], cut]) & ~space
     begin, end = np.flatnonzero(begins), np.flatnonzero(np.concatenate([cut, [True]]) & ~space) + 1
@@ -321,7 +333,7 @@ def chunks(texts: DataFrame, joined: np.ndarray, buckets: int) -> DataFrame:
             names = seen.listed()
             parts, found = units([names[i] for i in order.tolist()], joined)
             by: dict[int, list[str]] = {}
-            for u in sorted(set(found)):
+            for u in dict.fromkeys(found):
                 by.setdefault(bucket_of(u, buckets), []).append(u)
             by = dict(sorted(by.items()))
             number = {u: i for i, u in enumerate(u for x in by.values() for u in x)}

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, shared_dir, table
-from .tokens import PATTERN, cached, default_path, encoder
+from .base import by_value, park, shared_dir, table, tidy
+from .tokens import PATTERN, cached, default_path, encoder, unbroken
 
 by_value(__name__)
 
@@ -40,7 +40,7 @@ def rank_file(path: str):
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return unbroken(tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}))
 
 
 def token_counts(docs: DataFrame, tokenizer: str, path: str) -> DataFrame:
@@ -53,7 +53,7 @@ def token_counts(docs: DataFrame, tokenizer: str, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([tokenizer] * len(n), pa.string()), pa.array(n, pa.int64())], ["doc_id", *KEYS, "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long"), *(F.col(c).cast("string") for c in ("source", "lang", "text")))
-    return rows.mapInArrow(run, "doc_id long, source string, lang string, tokenizer string, n_tokens long")
+    return rows.mapInArrow(tidy(run), "doc_id long, source string, lang string, tokenizer string, n_tokens long")
 
 
 def signed(new: DataFrame | None, old: DataFrame | None) -> DataFrame:
@@ -101,7 +101,7 @@ class Rollup:
         return f"batch-{batch_id.encode().hex()}"
 
     def committed(self, batch_id: str) -> bool:
-        return self._folder(batch_id) in self._names("batch-")
+        return self._fs.util().exists(self._at(self._folder(batch_id)))
 
     def commit(self, batch_id: str, rows: DataFrame) -> bool:
         """Adds the signed rows once; false if the batch was there before."""
@@ -115,7 +115,7 @@ class Rollup:
         return self.spark.read.schema(ROWS).parquet(*(f"{self.path}/{n}" for n in names)) if names else self.spark.createDataFrame([], ROWS)
 
     def _parts(self) -> tuple[list[str], list[str]]:
-        """Folders to sum: the last snapshot's and those of batches that it does not cover; and all batches."""
+        """Folders to sum: the last snapshot's and those of batches that it does not cover; and all batches, by name (one for each commit)."""
         batches = self._names("batch-")
         snapshots = self._names("snapshot-")
         if not snapshots:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 import types
 
@@ -27,6 +28,32 @@ def cached(key: object, make):
     return held[key]
 
 
+#: Runs of white space (as the pattern has it) that its regex engine may give up on.
+LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{5000,}")
+
+
+def unbroken(encoding):
+    """A text's ids by PATTERN and tiktoken's encoding, also where the regex engine gives up on a very long run of white space, with a panic.
+
+    Such a run is one match of the pattern, but for its last one, which may begin the next token; so texts are cut there.
+    """
+
+    def ids(text: str) -> list[int]:
+        try:
+            return encoding.encode_ordinary(text)
+        except BaseException as e:
+            if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
+                raise
+        out, at = [], 0
+        for m in LONG_SPACE.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out += encoding.encode_ordinary(text[at : m.start()]) + encoding._encode_single_piece(text[m.start() : end])
+            at = end
+        return out + encoding.encode_ordinary(text[at:])
+
+    return ids
+
+
 class Encoder:
     """ids(text) as tokenizers' encode(text, add_special_tokens=False).ids."""
 

@@ -62,13 +62,21 @@ def test_words_by_splitting_are_those_of_the_pattern():
         assert all(len(lattice.WORD.findall(x)) <= 2 for x in names)
 
 
-def test_no_piece_crosses_units():
+def test_no_piece_crosses_units(monkeypatch):
     pieces = [p for p, _, _, b in lattice.piece_rows(lattice.default_model()) if b < 0]
     joined = lattice.neighbours(pieces)
     assert all(lattice.units([p], joined) == ([1], [p]) for p in pieces)
     count, found = lattice.units(["▁foo_bar12", "日本語", "\n\n"], joined)
     assert "".join(found) == "▁foo_bar12日本語\n\n" and sum(count) == len(found) > 5
     assert lattice.units([], joined) == ([], [])
+    some = [*words_of(texts()), "a😀b", "é"]
+    quick = lattice.units(some, joined)
+    monkeypatch.setattr(lattice, "TABLE", 0)
+    assert lattice.units(some, joined) == quick
+
+
+def words_of(texts):
+    return [w for t in texts for w in lattice.WORD.findall(lattice.MARK + (t or "").replace(" ", lattice.MARK))]
 
 
 def test_viterbi_has_the_best_sum(spark):

@@ -94,7 +94,7 @@ def test_a_length_that_all_pieces_have(spark, monkeypatch):
 
 
 def test_the_query(spark, tmp_path):
-    texts = ["", None, "word " * 3000, "日本語" * 400, *(f"short {i}" for i in range(50))]
+    texts = ["", None, "word " * 3000, "word " * 150_000, "日本語" * 400, *(f"short {i}" for i in range(50))]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     rows, enc = op3_packing(spark, str(tmp_path)).collect(), encoder(default_path())
     want = {(i, p, a, n) for i, t in enumerate(texts) for p, (a, n) in enumerate(cut(len(enc.ids(t or "")) + 1, 1024))}

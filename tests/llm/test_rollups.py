@@ -3,7 +3,6 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
-import tiktoken
 from tokenizers import Tokenizer
 
 from corpusloom.llm import rollups as rl
@@ -16,7 +15,6 @@ def test_query_equals_recount(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, sign int, tokenizer int").write.parquet(f"{tmp_path}/documents.parquet")
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ranks = rl.rank_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    assert isinstance(ranks.__self__, tiktoken.Encoding)
     want = {}
     for i, t, lang, source, *_ in rows:
         k = zlib.crc32(str(i).encode() if i is not None else b"") % 10
@@ -60,3 +58,14 @@ def test_a_second_writer_loses(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     assert rl.op10_rollups(spark, str(tmp_path)).collect() == []
+
+
+def test_very_long_texts_and_runs_of_white_space(spark, tmp_path):
+    hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["word " * 200_000, "x" + " " * 1_000_000 + "a", "\n" * 1_000_000 + "b c", "end" + "\t" * 1_000_000]
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {x["doc_id"]: x["n_tokens"] for x in rl.token_counts(df, "v", public_tokenizers.path("byte_bpe_50k.json")).collect()}
+    assert got == {i: len(hf.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    # the same vocabulary as ranks: what takes the place of the library's own there
+    ranks = rl.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert [ranks(t) for t in texts] == [hf.encode(t, add_special_tokens=False).ids for t in texts]
