@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import placeholders as P
 from .functions import text as T
 from .operators import align, batch, context, epub, markup, progress, render, segment, translations, validate
+from .plans.workspace import Workspace
 from .sinks import files
 from .sources import epub as E
 from .sources import text as S
@@ -688,3 +689,18 @@ def epub_reports(spark, d):
     books, built = rebuilt(spark, d)
     x = epub.unchanged(built, books).where("error is null").select("book_id", "report.*")
     return x.select("book_id", "status", "epubcheck", "identifier", F.array_join("modified_members", ",").alias("modified"), F.col("image_hashes")["B/pic/i.png"].alias("image"), "blocks", "restored_images", "image_tokens", "style_sheets", "members")
+
+
+@query(f"""WITH RECURSIVE {SEGMENTED}, n AS (SELECT count(*) AS n FROM segmented)
+SELECT 'prepared' AS step, n AS segments, CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS translated, n AS pending, true AS ok FROM n UNION ALL SELECT 'appended', n, n, n, 0, true FROM n""")
+def workspace_cycle(spark, d):
+    """A workspace of all documents as books: prepared, then with every segment appended to the ledger; its report each time."""
+    w = Workspace(spark, scratch(spark))
+    w.prepare(books(spark, d))
+    reports = {"prepared": w.report(list_pending=0)}
+    draft, path = w.segments().select("book_id", "pos", F.col("id").alias("segment_id"), F.col("source").alias("translation"), F.lit("translated").alias("status")), f"{w.root}/work/draft.jsonl"
+    files.write_jsonl(draft, path, "book_id", "pos", single=True)
+    w.append(path)
+    reports["appended"] = w.report(list_pending=0)
+    rows = [(step, r["segments"], r["translation_rows"], r["translated_source_segments"], r["pending_source_segments"], r["ok"]) for step, r in reports.items()]
+    return spark.createDataFrame(rows, "step string, segments long, rows long, translated long, pending long, ok boolean")
