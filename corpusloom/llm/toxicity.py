@@ -7,8 +7,8 @@ apart best (chi square) and learns
     score = sigmoid(w0 + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2))
 
 so a pair of terms, such as an insult and the mention of a group, has a weight of its own (the
-product of two vectors) beside those of the terms. Training runs in one executor task on at most
-SAMPLE labelled rows, the first in hash order (a documented bound); scoring covers every whole text. The
+product of two vectors) beside those of the terms. Training runs in one executor task, and one for each
+fold, on at most SAMPLE labelled rows, the first in hash order (a documented bound); scoring covers every whole text. The
 bias is then moved so that the cut with the best F1, over learning rows scored by models that have not
 seen them, is at a score of 0.7.
 
@@ -20,6 +20,7 @@ of both kinds gives the bias of what there is. Extra columns do not matter.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,36 +137,42 @@ def best_cut(z: np.ndarray, y: np.ndarray) -> float:
     return float(z[at] if at + 1 == len(z) else (z[at] + z[at + 1]) / 2)
 
 
-def calibrated(rows: list[np.ndarray], y: np.ndarray, folds: int = FOLDS, limit: float = TOXIC_FROM, **more) -> dict[str, np.ndarray]:
-    """fitted(), with the bias moved so that the best cut of rows scored by models that have not seen them comes to be at `limit`."""
-    model = fitted(rows, y, **more)
-    if not len(model["ids"]):
-        return model
-    z = np.zeros(len(y))
-    for k in range(folds):
-        own = np.arange(len(y)) % folds == k
-        part = fitted([r for r, o in zip(rows, own) if not o], y[~own], **more)
-        unseen = [r for r, o in zip(rows, own) if o]
-        z[own] = logit(scores(part, np.concatenate([*unseen, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([[0], np.cumsum([len(r) for r in unseen])]).astype(np.int64)))
-    return model | {"b": model["b"] + logit(np.array(limit)) - best_cut(z, y)}
+def joined(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+
 
+def train(labelled: DataFrame, folds: int = FOLDS, limit: float = TOXIC_FROM, **more) -> dict[str, np.ndarray]:
+    """labelled: text, toxic; a bounded sample. One executor task learns from all of it, and for each fold one from the rest, to score the fold.
 
-def train(labelled: DataFrame, **more) -> dict[str, np.ndarray]:
-    """labelled: text, toxic; a bounded sample, as its terms meet in one executor task."""
+    Equal texts are in one fold. The bias is moved so that the best cut of the folds' scores comes to be at `limit`.
+    """
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buckets, offsets = terms(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(buckets)), batch.column(1), pa.array(np.zeros(batch.num_rows, np.int32))], ["terms", "toxic", "one"])
+            mark = [zlib.crc32(buckets[a:b].tobytes()) for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(buckets)), batch.column(1), pa.array(mark, pa.int64())], ["terms", "toxic", "mark"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = calibrated([np.asarray(x, np.int64) for x in pdf["terms"]], pdf["toxic"].to_numpy(float), **more)
+        pdf = pdf.sort_values(["mark", "toxic"], kind="stable")
+        own, y, rows = (pdf["mark"] % folds == pdf["part"]).to_numpy(), pdf["toxic"].to_numpy(float), [np.asarray(x, np.int64) for x in pdf["terms"]]
+        m = fitted([r for r, o in zip(rows, own) if not o], y[~own], **more)
+        if pdf["part"].iloc[0] < folds:
+            m = {"z": logit(scores(m, *joined([r for r, o in zip(rows, own) if o]))), "y": y[own]}
         return pd.DataFrame({"name": list(m), "value": [np.asarray(m[x], float).tobytes() for x in m], "width": [m[x].shape[-1] for x in m]})
 
-    got = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(tidy(featured), "terms array<int>, toxic int, one int").groupBy("one").applyInPandas(fit, "name string, value binary, width int").collect()
-    model = {r["name"]: np.frombuffer(r["value"]) for r in got} or {x: np.asarray(y, float) for x, y in fitted([], np.zeros(0)).items()}
+    x = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(tidy(featured), "terms array<int>, toxic int, mark long")
+    # the last part, of no fold, learns from all
+    x = x.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(folds))))
+    got = x.groupBy("part").applyInPandas(fit, "name string, value binary, width int").collect()
+    held = {r["name"]: np.frombuffer(r["value"]) for r in got if r["name"] not in "zy"} or {x: np.asarray(y, float) for x, y in fitted([], np.zeros(0)).items()}
     factors = next((r["width"] for r in got if r["name"] == "v"), FACTORS)
-    return {"b": model["b"], "w": model["w"], "v": model["v"].reshape(-1, factors), "ids": model["ids"].astype(np.int64)}
+    model = {"b": held["b"], "w": held["w"], "v": held["v"].reshape(-1, factors), "ids": held["ids"].astype(np.int64)}
+    if not len(model["ids"]):
+        return model
+    # as many numbers as the sample has rows
+    z, y = (np.concatenate([np.frombuffer(r["value"]) for r in got if r["name"] == c]) for c in "zy")
+    return model | {"b": model["b"] + logit(np.array(limit)) - best_cut(z, y)}
 
 
 def scored(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
