@@ -40,8 +40,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = park(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows", compression="zstd")
     part = minhash.near_duplicates(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
     part = park(part.join(rows.select("row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")), "row"), "parts")
-    # a minimum for each group, made in part before the shuffle; Spark splits a large group in the join
-    first = part.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    # a minimum for each group, made in part before the shuffle; with both sides written, Spark splits a large group in the join
+    first = park(part.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     gone = part.join(first.select("component_id", F.col("first.row").alias("first")), "component_id").where("row <> first").select("row")
     return without(rows, park(gone, "gone"), "row").select(*COLUMNS)
 
