@@ -9,8 +9,9 @@ take their units' ids back in order.
 
 The fold follows the model. The file at hand is a byte-pair model, whose encoding is not the path of
 the best sum of scores, so Viterbi gives other ids than the library on it. With model="bpe" the fold
-merges, step by step, the neighbours whose joint piece has the best score (the leftmost of equals),
-on a bit mask of cuts; with model="unigram" it is Viterbi. Units of more than LONG characters, which
+merges the neighbours whose joint piece has the best score (the leftmost of equals), on a bit mask of
+cuts: in one pass over the unit's edges, best first, which is the order of merges unless a merge enables
+a better one; where it does, step by step. With model="unigram" it is Viterbi. Units of more than LONG characters, which
 have no place in the mask (runs such as rows of letters; text without spaces mostly falls into
 shorter units), leave the lattice: they are encoded in Python, by the same merges with a heap, or by
 the same best sum.
@@ -179,16 +180,27 @@ def merged(of: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
         start, size = (63 - F.shiftright(e, START).bitwiseAND(F.lit(63))).cast("int"), F.shiftright(e, SIZE).bitwiseAND(F.lit(63)).cast("int")
         end = start + size
         token = F.call_function("shiftleft", start.cast("long"), F.lit(SIZE)) + e.bitwiseAND(F.lit((1 << SIZE) - 1))
-        return F.struct(mask(start + 1, end - 1).alias("inner"), mask(start, start).bitwiseOR(mask(end, end)).alias("ends"), token.alias("token"))
+        return F.struct(mask(start + 1, end - 1).alias("inner"), mask(start, start).bitwiseOR(mask(end, end)).alias("ends"), token.alias("token"), e.alias("key"))
 
-    # the best first: of those that fit, the first is the one to make
+    # the best first
     x = x.withColumn("moves", F.transform(F.sort_array("edges", asc=False), move))
+    fits = lambda m, cuts: (m["ends"].bitwiseAND(cuts) == m["ends"]) & (F.bit_count(m["inner"].bitwiseAND(cuts)) == 1)
+    without = lambda cuts, m: cuts.bitwiseAND(F.bitwise_not(m["inner"]))
 
-    def step(cuts: Column, _: Column) -> Column:
-        fits = F.filter("moves", lambda m: (m["ends"].bitwiseAND(cuts) == m["ends"]) & (F.bit_count(m["inner"].bitwiseAND(cuts)) == 1))
-        return F.coalesce(cuts.bitwiseAND(F.bitwise_not(F.get(fits, F.lit(0))["inner"])), cuts)
+    def in_turn(cuts: Column, m: Column) -> Column:
+        """Makes the moves in their order. That one enables a better one, which had its turn, makes all bits of the mask ones: then this is not the order of merges."""
+        better = F.exists("moves", lambda o: (o["key"] > m["key"]) & (o["inner"].bitwiseAND(m["inner"]) != 0) & fits(o, without(cuts, m)))
+        return F.when((cuts != -1) & fits(m, cuts), F.when(better, F.lit(-1).cast("long")).otherwise(without(cuts, m))).otherwise(cuts)
 
-    x = x.withColumn("cuts", F.aggregate(F.sequence(F.lit(2), F.col("n")), mask(F.lit(0), F.col("n")), step))
+    def step(cuts: Column, _: Column) -> Column:
+        """Makes the best move that fits, whatever was made before."""
+        best = F.get(F.filter("moves", lambda m: fits(m, cuts)), F.lit(0))
+        return F.coalesce(without(cuts, best), cuts)
+
+    whole = mask(F.lit(0), F.col("n"))
+    all_steps = lambda: F.aggregate(F.sequence(F.lit(2), F.col("n")), whole, step)
+    # an array of one, so that the first fold is made once
+    x = x.withColumn("cuts", F.get(F.transform(F.array(F.aggregate("moves", whole, in_turn)), lambda c: F.when(c == -1, all_steps()).otherwise(c)), F.lit(0)))
     kept = F.filter("moves", lambda m: (m["ends"].bitwiseAND(F.col("cuts")) == m["ends"]) & (m["inner"].bitwiseAND(F.col("cuts")) == 0))
     return x.select("bucket", "unit", "cuts", F.transform(kept, lambda m: m["token"]).alias("tokens"))
 
