@@ -71,7 +71,21 @@ def park(df: DataFrame, name: str, **options: str) -> DataFrame:
     folder = jvm.org.apache.hadoop.fs.Path(path)
     # the folder goes with the session
     folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.parked_at = path
+    return out
+
+
+def unpark(*parked: DataFrame) -> None:
+    """Deletes the folders of results of park() that nothing reads any more."""
+    for df in parked:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.parked_at)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Shuffle files that nothing refers to any more go now, and not when the driver happens to collect its garbage: for steps that shuffle much."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def parts(spark: SparkSession) -> int:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, parts, table, tidy, without
+from .base import by_value, park, parts, sweep, table, tidy, unpark, without
 from .words import SPACE_ENDS, buffers, hashes, loads, mixed, words
 
 by_value(__name__)
@@ -505,7 +505,10 @@ def copies_of(texts: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, copies: DataFrame, rules: list[Rule], keep: str = "none", split: int = SPLIT) -> DataFrame:
-    """rid, k (the rule's place in rules, as given to texts_of), spans (in the rule's units) of the rows with something to remove."""
+    """rid, k (the rule's place in rules, as given to texts_of), spans (in the rule's units) of the rows with something to remove.
+
+    What the steps write goes as soon as no later one reads it.
+    """
     first, numbers = keep == "first", range(len(rules))
     of_rule = lambda i: F.transform(f"runs{i}", lambda x: F.struct(F.lit(i).alias("k"), x["h"].alias("h"), x["s"].alias("s"), x["e"].alias("e")))
     runs = F.concat(*map(of_rule, numbers))
@@ -516,6 +519,7 @@ def repeated_spans(texts: DataFrame, copies: DataFrame, rules: list[Rule], keep:
     often = park(one.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / split).cast("int").alias("m")), "often")
     lists = one.join(often, "h").groupBy("rid").agg(F.collect_list(F.struct("k", "s", "e", "h", "m")).alias("runs"))
     segments = park(cut_segments(texts.select("rid", F.coalesce("doc_id", F.lit(LAST)).alias("d"), "packed").join(lists, "rid").select("rid", "d", "packed", "runs"), rules), "segments", compression="zstd")
+    sweep(texts.sparkSession)
     # counts and smallest places are made before the shuffle too, so a passage that is everywhere is one row a task
     counts = segments.groupBy("h", "digest").agg(F.count("*").alias("n"), *([F.max(c).alias(c) for c in ("k", "m", "salt")] + [F.min(F.struct("d", "rid", "s")).alias("place")] if first else []))
     counts = park(counts, "counts") if first else counts
@@ -525,11 +529,14 @@ def repeated_spans(texts: DataFrame, copies: DataFrame, rules: list[Rule], keep:
     dealt = dealt.union(counts.select(*columns, F.lit(None).cast("binary").alias("seg"), "place")) if first else dealt
     dealt = dealt.repartition(parts(texts.sparkSession), "h", "salt").sortWithinPartitions("k", "h", "salt")
     sorted_ = park(shard_sort(dealt, rules, first), "shards", compression="zstd")
+    sweep(texts.sparkSession)
     hits = sorted_.where("digest is not null").select("h", "digest", "hits").union(merged_shards(sorted_.where("digest is null"), first).select("h", "digest", "hits"))
     known = counts.join(hits.groupBy("h", "digest").agg(F.flatten(F.collect_list("hits")).alias("hits")), ["h", "digest"], "left").where("n > 1 or hits is not null")
     known = known.select("h", "digest", "n", "hits", *([F.col("place.rid").alias("first_rid"), F.col("place.s").alias("first_s")] if first else []))
     # Spark splits the rows of a frequent segment here, as both sides are plain shuffles
-    each = segments.select("rid", "k", "s", "w", "h", "digest").join(park(known, "known"), ["h", "digest"])
+    known = park(known, "known")
+    sweep(texts.sparkSession)
+    each = segments.select("rid", "k", "s", "w", "h", "digest").join(known, ["h", "digest"])
     whole = F.array(F.struct(F.col("s").alias("a"), (F.col("s") + F.col("w") - 1).alias("b")))
     some = F.transform("hits", lambda x: F.struct((x["a"] + F.col("s")).alias("a"), (x["b"] + F.col("s")).alias("b")))
     all_of = (F.col("rid") != F.col("first_rid")) | (F.col("s") != F.col("first_s")) if first else F.col("n") > 1
@@ -541,7 +548,10 @@ def repeated_spans(texts: DataFrame, copies: DataFrame, rules: list[Rule], keep:
     sizes = F.filter(F.array(*(F.struct(F.lit(i).alias("k"), F.col(f"size{i}").alias("size"), F.lit(r.length).alias("least")) for i, r in enumerate(rules))), lambda x: x["size"] >= x["least"])
     twin = twin.select("rid", F.explode(sizes).alias("x"))
     whole = twin.select("rid", "x.k", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("x.size").alias("end"))).alias("spans"))
-    return spans.join(whole.select("rid", "k"), ["rid", "k"], "left_anti").union(whole)
+    spans = park(spans.join(whole.select("rid", "k"), ["rid", "k"], "left_anti").union(whole), "spans")
+    unpark(later, often, segments, sorted_, known, *([counts] if first else []))
+    sweep(texts.sparkSession)
+    return spans
 
 
 def kept_text(texts: DataFrame, spans: DataFrame, rule: Rule, whole_chars: bool, how: str = "inner") -> DataFrame:
@@ -594,7 +604,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns by the rule BYTES. Beside them n_passages and n_passage_words: runs of 50 words or more that are elsewhere too, by the rule PASSAGES."""
     texts = texts_of(table(spark, sf_dir, "documents"), [BYTES, PASSAGES])
-    spans = park(repeated_spans(texts, copies_of(texts), [BYTES, PASSAGES]), "spans")
+    spans = repeated_spans(texts, copies_of(texts), [BYTES, PASSAGES])
     cut = kept_text(texts.select("rid", "packed"), spans.where("k = 0").select("rid", "spans"), BYTES, False).drop("kept", "n_units")
     passages = spans.where("k = 1")
     words_in = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
