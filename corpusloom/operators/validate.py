@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import VIOLATION
-from .batch import coverage
-from .progress import completed, duplicates
+from .progress import duplicates
 
 
 def violation(rows: DataFrame, rule: str, priority: int, entity: Column, detail: Column | None = None) -> DataFrame:
@@ -91,21 +90,28 @@ def ordered_cover(segments_: DataFrame, items: DataFrame) -> DataFrame:
 
 def report(segments_: DataFrame, items: DataFrame, ledger: DataFrame, batch_rows: DataFrame | None = None) -> DataFrame:
     """issue, entity_id of the tolerant validation: everything that is wrong, nothing raised. batch_rows: batch_id, a row for each batch."""
-    done = completed(ledger)
-    ids = lambda df, c: df.select(F.col(c).cast("string").alias("entity_id"))
-    named = lambda df, issue: df.select(F.lit(issue).alias("issue"), "entity_id")
-    given = ledger.where("segment_id is not null and segment_id <> ''")
-    twice = [named(ids(duplicates(batch_rows, "batch_id"), "batch_id"), "duplicate_batch_ids")] if batch_rows is not None else []
-    return union([
-        *twice,
-        named(ids(duplicates(segments_, "id"), "id"), "duplicate_segment_ids"),
-        named(ids(duplicates(items, "id"), "id"), "duplicate_batch_segment_ids"),
-        named(ids(duplicates(given, "segment_id"), "segment_id"), "duplicate_translation_ids"),
-        named(ids(given.where(T.strip(F.coalesce("translation", F.lit(""))) == "").select("segment_id").distinct(), "segment_id"), "empty_translation_ids"),
-        named(ids(ledger.where("segment_id is null or segment_id = ''"), "segment_id"), "missing_translation_ids"),
-        named(ids(done.join(segments_.select("id"), "id", "left_anti"), "id"), "unmatched_translation_ids"),
-        coverage(segments_, items).select(F.when(F.col("side") == "segment without batch", "segments_without_batch").otherwise("batch_items_without_segment").alias("issue"), "entity_id"),
-    ])
+    none, no = F.lit(0), F.lit(False)
+    blank = T.strip(F.coalesce("translation", F.lit(""))) == ""
+    row = lambda df, c, **own: df.select(F.col(c).cast("string").alias("id"), *(own.get(k, v).alias(k) for k, v in {"s": none, "b": none, "t": none, "blank": no, "good": no}.items()))
+    each = row(segments_, "id", s=F.lit(1)).union(row(items, "id", b=F.lit(1))).union(row(ledger, "segment_id", t=F.lit(1), blank=blank, good=~blank))
+    # one row for each id: how often it is a segment, in a batch and in the ledger, and what its translations are
+    x = each.groupBy("id").agg(*(F.sum(c).alias(c) for c in "sbt"), *(F.max(c).alias(c) for c in ("blank", "good")))
+    s, b, t, named = F.col("s"), F.col("b"), F.col("t"), F.col("id").isNotNull() & (F.col("id") != "")
+    issues = {
+        "duplicate_segment_ids": s > 1,
+        "duplicate_batch_segment_ids": b > 1,
+        "duplicate_translation_ids": named & (t > 1),
+        "empty_translation_ids": named & F.col("blank"),
+        "unmatched_translation_ids": named & F.col("good") & (s == 0),
+        "segments_without_batch": (s > 0) & ((b == 0) | F.col("id").isNull()),
+        "batch_items_without_segment": (b > 0) & ((s == 0) | F.col("id").isNull()),
+    }
+    found = F.array_compact(F.array(*(F.when(cond, F.lit(issue)) for issue, cond in issues.items())))
+    missing = F.when(~named, F.array_repeat(F.lit("missing_translation_ids"), t.cast("int"))).otherwise(F.array().cast("array<string>"))
+    out = x.select(F.explode(F.concat(found, missing)).alias("issue"), F.col("id").alias("entity_id"))
+    if batch_rows is None:
+        return out
+    return out.union(duplicates(batch_rows, "batch_id").select(F.lit("duplicate_batch_ids"), F.col("batch_id").cast("string")))
 
 
 def issue_names(report_rows: DataFrame) -> DataFrame:
