@@ -132,13 +132,15 @@ def celled(rows: DataFrame, steps: list[list[tuple]]) -> DataFrame:
     A step: (cell, lo, width, parts) of the cells that it cuts, by id in ranges of that width from lo, or, where
     parts is not 0, by hash in so many ranges. Null ids are below all others.
     """
+    (_, lo, width, _), *_ = steps[0]
     by_hash = F.col("parts") - 1 - F.shiftright((F.shiftright("hash", 33) + (1 << 30)) * F.col("parts"), 31)
-    by_id = F.floor((F.col("doc_id").cast("double") - F.col("lo")) / F.col("width")) + 1
-    x = rows.withColumn("cell", F.lit(0).cast("long"))
-    for step in steps:
+    by_id = lambda lo, width: F.coalesce(F.floor((F.col("doc_id").cast("double") - lo) / width) + 1, F.lit(0)).cast("long")
+    # the first step cuts all ids, as one cell
+    x = rows.withColumn("cell", by_id(F.lit(lo), F.lit(width)))
+    for step in steps[1:]:
         # a row for each cell that is cut
         x = x.join(F.broadcast(rows.sparkSession.createDataFrame(step, "cell long, lo double, width double, parts long")), "cell", "left")
-        place = F.coalesce(F.when(F.col("parts") > 0, by_hash).otherwise(by_id), F.lit(0)).cast("long")
+        place = F.coalesce(F.when(F.col("parts") > 0, by_hash).otherwise(by_id(F.col("lo"), F.col("width"))), F.lit(0)).cast("long")
         x = x.select(*rows.columns, (F.call_function("shiftleft", "cell", F.lit(SHIFT)) + place).alias("cell"))
     return x
 
