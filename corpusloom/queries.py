@@ -625,7 +625,8 @@ def text_decoding(spark, d):
 def scratch(spark) -> str:
     """A new folder that the driver and all executors see."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "local")
+    if not shared and (not master.startswith("local") or master.startswith("local-cluster")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared or 'file:///tmp/checkpoints/corpusloom'}/{uuid.uuid4().hex}"
 
