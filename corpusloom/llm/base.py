@@ -23,27 +23,29 @@ def by_value(module: str) -> None:
 by_value(__name__)
 
 
-def tidy(run):
-    """run, a function of an Arrow batch iterator, that gives freed memory back to the system at its task's end.
+def trim() -> None:
+    """Gives freed memory back to the system: Python workers live on from task to task, and so would what their allocators keep."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
-    Python workers live on from task to task, and so would what their allocators keep.
-    """
+
+def tidy(run):
+    """run, a function of an Arrow batch iterator, with trim() at its task's end."""
 
     def whole(batches):
         try:
             yield from run(batches)
         finally:
-            import ctypes
-            import gc
-
-            import pyarrow
-
-            gc.collect()
-            pyarrow.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (AttributeError, OSError):  # not glibc
-                pass
+            trim()
 
     return whole
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import by_value, park, table, tidy
+from .base import by_value, table, tidy, trim
 from .words import buffers, hashes, loads, mixed, words
 
 by_value(__name__)
@@ -155,11 +155,15 @@ def train(labelled: DataFrame, folds: int = FOLDS, limit: float = TOXIC_FROM, **
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["mark", "toxic"], kind="stable")
-        own, y, rows = (pdf["mark"] % folds == pdf["part"]).to_numpy(), pdf["toxic"].to_numpy(float), [np.asarray(x, np.int64) for x in pdf["terms"]]
+        part, own, y, rows = pdf["part"].iloc[0], (pdf["mark"] % folds == pdf["part"]).to_numpy(), pdf["toxic"].to_numpy(float), list(pdf["terms"])
+        del pdf
         m = fitted([r for r, o in zip(rows, own) if not o], y[~own], **more)
-        if pdf["part"].iloc[0] < folds:
+        if part < folds:
             m = {"z": logit(scores(m, *joined([r for r, o in zip(rows, own) if o]))), "y": y[own]}
-        return pd.DataFrame({"name": list(m), "value": [np.asarray(m[x], float).tobytes() for x in m], "width": [m[x].shape[-1] for x in m]})
+        out = pd.DataFrame({"name": list(m), "value": [np.asarray(m[x], float).tobytes() for x in m], "width": [m[x].shape[-1] for x in m]})
+        del rows, m
+        trim()
+        return out
 
     x = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(tidy(featured), "terms array<int>, toxic int, mark long")
     # the last part, of no fold, learns from all
