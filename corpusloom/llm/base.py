@@ -6,6 +6,8 @@ import atexit
 import shutil
 import sys
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -75,9 +77,25 @@ def park(df: DataFrame, name: str, **options: str) -> DataFrame:
     folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.parked_at = path
+    for held in _SCOPES:
+        held.append(out)
     return out
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[DataFrame]]:
+    """A list of all that park() writes inside the block, so that it can go once its own result is parked."""
+    held: list[DataFrame] = []
+    _SCOPES.append(held)
+    try:
+        yield held
+    finally:
+        _SCOPES[:] = [x for x in _SCOPES if x is not held]
+
+
 def unpark(*parked: DataFrame) -> None:
     """Deletes the folders of results of park() that nothing reads any more."""
     for df in parked:
