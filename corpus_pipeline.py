@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import minhash, packing, suffix
 from corpusloom.llm import toxicity as toxic
-from corpusloom.llm.base import park, table, without
+from corpusloom.llm.base import noted, park, sweep, table, unpark, without
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -38,8 +38,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     So of repeated rows one stays. Texts without words are linked with nothing, and all stay.
     """
     rows = park(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows", compression="zstd")
-    part = minhash.near_duplicates(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
-    part = park(part.join(rows.select("row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")), "row"), "parts")
+    with noted() as written:
+        part = minhash.near_duplicates(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
+        part = park(part.join(rows.select("row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")), "row"), "parts")
+    # what the search for duplicates wrote is not read any more
+    unpark(*(x for x in written if x is not part))
+    sweep(spark)
     # a minimum for each group, made in part before the shuffle; with both sides written, Spark splits a large group in the join
     first = park(part.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     gone = part.join(first.select("component_id", F.col("first.row").alias("first")), "component_id").where("row <> first").select("row")
