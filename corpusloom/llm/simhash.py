@@ -108,7 +108,8 @@ def matches(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, blocks:
     size = rows.groupBy("key").agg(F.count("*").alias("size"))
     part = F.pmod(F.xxhash64("doc_id", "hi", "lo"), F.ceil(F.col("size") / most))
     lists = rows.join(size, "key").groupBy("key", part.alias("part")).agg(F.collect_list(F.struct("doc_id", "hi", "lo")).alias("rows"))
-    x = asked.join(lists, "key").withColumn("t", F.shiftright("key", width))
+    # merged, not broadcast: on small tables one side would go through the driver, with every list in it
+    x = asked.join(lists.hint("merge"), "key").withColumn("t", F.shiftright("key", width))
     distance = lambda r: F.bit_count(F.col("qhi").bitwiseXOR(r["hi"])) + F.bit_count(F.col("qlo").bitwiseXOR(r["lo"]))
 
     def found(r):
