@@ -67,10 +67,29 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: With it, Spark deletes the shuffle files of an execution at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside the block leaves no shuffle files. These are of its own plan, so nothing reads them again."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def park(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    with freed(df.sparkSession):
+        df.write.options(**options).parquet(path)
     jvm = df.sparkSession._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     # the folder goes with the session
