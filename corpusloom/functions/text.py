@@ -66,6 +66,11 @@ def line_count(s: Column) -> Column:
     return F.when(s == "", 0).otherwise(F.size(splitlines(s)))
 
 
+def feed_count(s: Column) -> Column:
+    """Lines as lines() has them, without the empty one behind a trailing line feed; a text without anything is a line."""
+    return F.size(lines(s)) - F.when(s.endswith("\n"), 1).otherwise(0)
+
+
 def blank_line_positions(s: Column) -> Column:
     """Indices, from 0, of the lines that are blank."""
     return F.filter(F.transform(lines(s), lambda x, i: F.when(strip(x) == "", i)), lambda i: i.isNotNull())
