@@ -119,6 +119,12 @@ def indent(s: Column, by: int = 4) -> Column:
     return F.array_join(F.transform(splitlines(s), lambda x: F.concat(F.lit(" " * by), x)), "\n")
 
 
+def feed_indent(s: Column, by: int = 4) -> Column:
+    """Indented after every line feed but one at the end; a text without anything is a line."""
+    pad = " " * by
+    return F.concat(F.lit(pad), F.replace(F.regexp_replace(s, r"\n\z", ""), F.lit("\n"), F.lit(f"\n{pad}")))
+
+
 def summarize(s: Column, most: int = 120) -> Column:
     """One line of at most `most` characters."""
     one = F.replace(F.replace(s, F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
