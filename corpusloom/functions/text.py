@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 #: Exactly the 29 characters that str.strip removes, for Java's regular expressions.
 WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-#: The same without the line feed.
+#: The same as a set, to trim by: edges are looked at from outside, where a pattern is tried at every white space of a text.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: WS without the line feed.
 INNER = r"[\t\x0b-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Line ends of str.splitlines.
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
@@ -31,11 +33,11 @@ def normalize_newlines(s: Column) -> Column:
 
 
 def strip(s: Column) -> Column:
-    return F.regexp_replace(s, rf"^{WS}+|{WS}+\z", "")
+    return F.btrim(s, F.lit(SPACES))
 
 
 def rstrip(s: Column) -> Column:
-    return F.regexp_replace(s, rf"{WS}+\z", "")
+    return F.rtrim(s, F.lit(SPACES))
 
 
 def trim_ascii(s: Column) -> Column:

@@ -167,3 +167,12 @@ def test_unsafe_archives():
             E.Book(archive(files), strict=True)
     with pytest.raises(E.EpubError, match="leaves"):
         E.resolved("B/b.opf", "../../x")
+
+
+def test_rows_are_taken_and_made_in_bounded_batches():
+    batch = E.pa.record_batch({"book_id": [str(i) for i in range(1000)], "content": [b"x" * 100_000] * 1000})
+    taken = E.taken(iter([batch]))
+    sizes = [(b.num_rows, b.nbytes) for b in E.gathered(taken, batch.schema)]
+    assert sum(n for n, _ in sizes) == 1000 and 1 < len(sizes) < 100 and max(size for _, size in sizes) < 2 * E.HELD_SIZE
+    many = E.gathered(((str(i), b"") for i in range(10_000)), batch.schema)
+    assert [b.num_rows for b in many] == [4096, 4096, 1808]
