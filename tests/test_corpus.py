@@ -165,6 +165,21 @@ def test_append_plan(spark):
     assert plan("s9") == ["unknown segment_id"] and plan("s2", "s2") == ["duplicate segment_id"] * 2 and plan(None) == ["missing segment_id"]
 
 
+def test_append_plan_in_stretches(spark):
+    r = random.Random(3)
+    pos = [r.randrange(n, n + 9) for n in range(3000)]
+    s = spark.createDataFrame([(f"s{i}", i, "a") for i in range(3009)], "id string, pos int, source string")
+    draft = spark.createDataFrame([(n * n, f"s{p}", "t", None, None) for n, p in enumerate(pos)], "append_pos long, segment_id string, translation string, status string, review_note string")
+    plan = translations.append_plan(draft.repartition(4), s, ledger(spark, ("s1", "x")).limit(0))
+    got = {row["append_pos"]: row["action"] for row in plan.collect()}
+    want = ["duplicate segment_id" if pos.count(p) > 1 else "out of source order" if n and p < max(pos[:n]) else "append" for n, p in enumerate(pos)]
+    assert [got[n * n] for n in range(3000)] == want and len(set(want)) == 3
+    # no task may see the whole draft
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in text.splitlines() if "SinglePartition" in line and "translation" in line]
+    assert "windowspecdefinition(append_pos" not in text
+
+
 def test_validation(spark):
     s = segs(spark, [1, 1])
     validate.enforce(validate.segments(s))
