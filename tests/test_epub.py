@@ -176,3 +176,18 @@ def test_rows_are_taken_and_made_in_bounded_batches():
     assert sum(n for n, _ in sizes) == 1000 and 1 < len(sizes) < 100 and max(size for _, size in sizes) < 2 * E.HELD_SIZE
     many = E.gathered(((str(i), b"") for i in range(10_000)), batch.schema)
     assert [b.num_rows for b in many] == [4096, 4096, 1808]
+
+
+def test_a_build_unpacks_each_member_once(monkeypatch):
+    data, seen = epub.new_archive("Book 1", "Part 1", ["a", "b", "c", "d"]), []
+    rows = [{"kind": b.kind, "segment_id": str(n), "source": b.text, "translation": b.text} for n, b in enumerate(E.Book(data).blocks(""))]
+    own = zipfile.ZipFile.read
+    monkeypatch.setattr(zipfile.ZipFile, "read", lambda z, name, *a: (seen.append((id(z), name)), own(z, name, *a))[1])
+    out, report = epub.build(data, "", rows, modified="2020-01-01T00:00:00Z", identifier="id", checker=None)
+    assert report["status"] == "built" and len(seen) == 2 * report["members"] == len(set(seen))
+
+
+def test_a_wrong_checksum_is_an_error():
+    broken = archive({"mimetype": "application/epub+zip", "x": b"some bytes"}).replace(b"mimetypeapplication/epub+zip", b"mimetypeapplication/epub+zap")
+    with pytest.raises(E.EpubError, match="checksum"):
+        E.Book(broken, strict=True)
