@@ -114,3 +114,15 @@ def test_command_line(spark, tmp_path, capsys):
     assert json.loads(call("strip-page-markers")[1])["removed_page_markers"] == 1
     assert "[Page" not in (tmp_path / "work" / "clean" / "book.no_pages.md").read_text()
     assert json.loads(call("prepare", "--keep-page-markers", "--force")[1])["segments"] == 6
+
+
+def test_a_draft_in_parts_is_one_draft(w, tmp_path):
+    w.prepare()
+    rows = [json.dumps({"segment_id": r["id"], "translation": r["source"], "status": "translated"}) for r in w.segments().orderBy("pos").collect()]
+    draft = tmp_path / "draft.jsonl"
+    draft.mkdir()
+    for n, part in enumerate((rows[:1], rows[1:4], rows[4:])):
+        (draft / f"part-{n}.txt").write_text("\n".join(part) + "\n")
+    assert w.append(str(draft))["appended_rows"] == 6
+    assert [r["append_pos"] for r in w.ledger().orderBy("append_pos").collect()] == [1, 2, 3, 4, 5, 6]
+    assert w.report()["ok"] and w.report()["pending_source_segments"] == 0
